@@ -12,9 +12,10 @@ from pyspark.sql import types as T
 
 from eventloom.functions.timeparse import parse_event_ts
 from eventloom.operators.latest import first_per_key
-from eventloom.operators.normalize import quarantine_split
+from eventloom.operators.normalize import bad_row_reason
 from eventloom.schemas import LANDING, RAW_EVENTS
-from eventloom.sources.tables import append_table, read_table
+from eventloom.sources.paths import exists
+from eventloom.sources.tables import append_absent, read_table
 
 RAW_ON_DISK = T.StructType(
     [T.StructField(f.name, f.dataType) for f in RAW_EVENTS.fields]
@@ -37,19 +38,23 @@ def insert_if_absent(
     return first_per_key(keyed, [key], order).join(target.select(key), key, "left_anti")
 
 
-def near_keys(target: DataFrame, batch: DataFrame, key: str, slices: int = KEY_SLICES) -> DataFrame:
+def near_keys(
+    target: DataFrame, batch: DataFrame, key: str, bounds: tuple[int, int] | None = None,
+    slices: int = KEY_SLICES,
+) -> DataFrame:
     """``target`` without rows whose key cannot occur in ``batch``.
 
-    The batch's key range is cut into equal slices and each occupied slice
-    contributes the smallest and largest key in it, so at most ``slices``
-    intervals reach the scan, where Parquet statistics skip the rest of the
-    table.  Exact for any data; effective because feed ids grow with time.
+    The batch's key range (``bounds`` if already known) is cut into equal slices
+    and each occupied slice contributes the smallest and largest key in it, so
+    at most ``slices`` intervals reach the scan, where Parquet statistics skip
+    the rest of the table.  Exact for any data; effective because feed ids grow
+    with time.
     """
-    bounds = batch.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-    if bounds.lo is None:
+    low, high = bounds or batch.agg(F.min(key), F.max(key)).first()
+    if low is None:
         return target.limit(0)
-    width = (int(bounds.hi) - int(bounds.lo)) // slices + 1
-    slot = F.floor((F.col(key).cast("decimal(38,0)") - F.lit(bounds.lo)) / F.lit(width))
+    width = (int(high) - int(low)) // slices + 1
+    slot = F.floor((F.col(key).cast("decimal(38,0)") - F.lit(low)) / F.lit(width))
     intervals = (
         batch.filter(F.col(key).isNotNull()).groupBy(slot.alias("slot"))
         .agg(F.min(key).alias("lo"), F.max(key).alias("hi")).collect()
@@ -82,40 +87,44 @@ def load_batch(landing: DataFrame, raw_root: str, quarantine_root: str, loaded_a
     and appended, clustered by event date and sorted by id for ``near_keys``.
     """
     spark = landing.sparkSession
-    batch = landing.select(*LANDING.names)
-    good, bad = quarantine_split(batch)
-    target = read_table(spark, raw_root, RAW_ON_DISK)
-    processed, inserted, rejected = Observation(), Observation(), Observation()
-    fresh = insert_if_absent(
-        good.observe(processed, F.count(F.lit(1)).alias("n")),
-        near_keys(target, good, "id"), "id", delivery_order(),
-    )
+    flagged = landing.select(*LANDING.names).withColumn("reason", bad_row_reason())
+    batch = flagged.filter(F.col("reason").isNull()).drop("reason")
+    key = F.when(F.col("reason").isNull(), F.col("id"))
+    seen = flagged.agg(
+        F.count("*").alias("n"), F.count("reason").alias("bad"),
+        F.min(key).alias("low"), F.max(key).alias("high"),
+    ).first()
+    if exists(spark, f"{raw_root}/event_date=*") and seen.low is not None:
+        raw = read_table(spark, raw_root, RAW_ON_DISK)
+        target = near_keys(raw, batch, "id", (seen.low, seen.high))
+        fresh = insert_if_absent(batch, target, "id", delivery_order())
+    else:
+        fresh = first_per_key(batch, ["id"], delivery_order())
+    inserted = Observation()
     rows = (
         fresh.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp"))
         .withColumn("event_date", F.to_date(parse_event_ts(F.col("created_at"))))
         .select(*RAW_ON_DISK.names)
     )
-    append_rows = rows.hint("rebalance", "event_date").sortWithinPartitions("event_date", "id").observe(
+    # Adaptive execution sizes the rebalanced partitions: a day that holds most
+    # rows is split over tasks, small days share one.
+    rows.hint("rebalance", "event_date").sortWithinPartitions("event_date", "id").observe(
         inserted, F.count(F.lit(1)).alias("n"), F.collect_set("event_date").alias("dates"),
         F.count_if(F.col("event_date").isNull()).alias("undated"),
-    )
-    append_rows.write.mode("append").partitionBy("event_date").parquet(raw_root)
-    append_table(
-        bad.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp")).observe(
-            rejected, F.count(F.lit(1)).alias("n")
-        ),
-        quarantine_root,
-    )
-    return LoadReport(
-        processed=_count(processed) + _count(rejected),
-        inserted=_count(inserted),
-        rejected=_count(rejected),
-        dates=sorted(inserted.get.get("dates") or []) + [None] * bool(inserted.get.get("undated")),
-    )
+    ).write.mode("append").partitionBy("event_date").parquet(raw_root)
 
+    added = inserted.get
 
-def _count(observation: Observation) -> int:
-    return int(observation.get.get("n") or 0)
+    if seen.bad:
+        stamped = flagged.filter(F.col("reason").isNotNull()).withColumn(
+            "loaded_at", F.lit(loaded_at).cast("timestamp")
+        )
+        append_absent(stamped, quarantine_root, LANDING.names)
+    dates: list[date | None] = sorted(added["dates"])
+    return LoadReport(
+        processed=seen.n, inserted=added["n"], rejected=seen.bad,
+        dates=dates + [None] * bool(added["undated"]),
+    )
 
 
 def on_dates(dates: Sequence[date | None]) -> Column:

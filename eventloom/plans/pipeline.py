@@ -23,7 +23,9 @@ from eventloom.session import pin
 from eventloom.sources.feed import (
     feed_files, hour_key, land_batch, read_feed, read_landing,
 )
-from eventloom.sources.tables import append_table, read_latest, read_table, replace_table
+from eventloom.sources.tables import (
+    append_absent, append_table, read_latest, read_table, replace_table,
+)
 
 
 @dataclass(frozen=True)
@@ -107,7 +109,7 @@ def ingest_hours(lake: Lake, feed_dir: str, start: date, end: date, hour: int |
     good, bad = split_corrupt(read_feed(lake.spark, files))
     span = (_key(start, hour or 0), _key(end, 23 if hour is None else hour))
     land_batch(normalize(good), lake.path("landing"), span)
-    append_table(bad, lake.path("quarantine/messages"))
+    append_absent(bad, lake.path("quarantine/messages"), ["message"])
 
 
 def _key(day: date, hour: int) -> int:

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt"
 
 # Feed messages.  Every member is declared as text, so a nested object arrives
-# as its verbatim JSON text and a quoted number is not lost to a typed parse.
+# as JSON text and a quoted number is not lost to a typed parse.
 FEED_FIELDS = ["id", "type", "actor", "repo", "org", "payload", "public", "created_at"]
 FEED = T.StructType([T.StructField(name, T.StringType()) for name in FEED_FIELDS])
 FEED_WITH_CORRUPT = T.StructType(FEED.fields + [T.StructField(CORRUPT, T.StringType())])

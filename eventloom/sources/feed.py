@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.functions.calendar import hour_grid
-from eventloom.schemas import CORRUPT, FEED_WITH_CORRUPT, HOUR_PARTITIONS, LANDING
+from eventloom.schemas import CORRUPT, FEED_FIELDS, FEED_WITH_CORRUPT, HOUR_PARTITIONS, LANDING
 from eventloom.sources.paths import exists, list_files
 
 # Read partition values as numbers: ``month=8`` and ``month=08`` are one month.
@@ -25,36 +25,36 @@ def feed_files(spark: SparkSession, feed_dir: str, start, end, hour: int | None
     return [present[name] for name in wanted if name in present]
 
 
-def read_feed(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Messages of the given JSON-lines files, unreadable lines in ``_corrupt``.
-
-    Only the named files are read, never a whole folder.  A gzip file is one
-    task; the writer rebalances afterwards.
-    """
-    reader = spark.read.schema(FEED_WITH_CORRUPT).option("columnNameOfCorruptRecord", CORRUPT)
-    if not paths:
-        return spark.createDataFrame([], FEED_WITH_CORRUPT)
-    return reader.json(list(paths))
-
-
 def decode(messages: DataFrame, value: Column) -> DataFrame:
-    """Messages carried as bytes or text (a topic) in the shape of :func:`read_feed`.
+    """Messages carried as bytes or text, parsed into :data:`FEED_WITH_CORRUPT`.
 
-    Bytes that are not UTF-8 and text that is not a JSON object both end up in
-    ``_corrupt``.
+    Bytes that are not UTF-8 and text that is not one JSON object end up in
+    ``_corrupt``.  Other columns of ``messages`` are kept.
     """
-    text = F.coalesce(F.try_validate_utf8(value.cast("string")), F.lit(""))
+    text = F.try_validate_utf8(value.cast("string"))
     parsed = F.from_json(
         text, FEED_WITH_CORRUPT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
+    readable = F.coalesce(text.rlike(r"^\s*\{"), F.lit(False)) & F.col(f"_message.{CORRUPT}").isNull()
     return messages.withColumn("_message", parsed).select(
-        *[F.col(f"_message.{name}") for name in FEED_WITH_CORRUPT.names[:-1]],
-        F.when(~F.coalesce(text.rlike(r"^\s*\{"), F.lit(False)) | F.col(f"_message.{CORRUPT}").isNotNull(),
-               value.cast("string")).alias(CORRUPT),
+        *[F.col(f"_message.{name}") for name in FEED_FIELDS],
+        F.when(~readable, F.coalesce(text, F.base64(value.cast("binary")))).alias(CORRUPT),
         *[c for c in messages.columns if c != "value"],
     )
 
 
+def read_feed(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Messages of the given JSON-lines files, unreadable lines in ``_corrupt``.
+
+    Only the named files are read, never a whole folder.  A gzip file is one
+    task; the writer rebalances afterwards.  Blank lines are no messages.
+    """
+    if not paths:
+        return spark.createDataFrame([], FEED_WITH_CORRUPT)
+    lines = spark.read.text(list(paths)).filter(F.length(F.trim("value")) > 0)
+    return decode(lines, F.col("value"))
+
+
 def read_landing(spark: SparkSession, root: str) -> DataFrame:
     if not exists(spark, f"{root}/year=*"):
         return spark.createDataFrame([], LANDING_ON_DISK)

@@ -68,6 +68,17 @@ def append_table(df: DataFrame, root: str) -> None:
     df.write.mode("append").parquet(root)
 
 
+def append_absent(df: DataFrame, root: str, identity: list[str]) -> None:
+    """Append rows whose ``identity`` columns are not in the table yet.
+
+    For small side tables such as quarantines, so that a rerun repeats nothing.
+    """
+    marked = df.withColumn("fingerprint", F.sha2(F.to_json(F.struct(*identity)), 256))
+    marked = marked.dropDuplicates(["fingerprint"])
+    known = read_table(df.sparkSession, root, marked.schema).select("fingerprint")
+    append_table(marked.join(known, "fingerprint", "left_anti"), root)
+
+
 def read_table(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """A plain (appended or partitioned) table; no rows before its first write."""
     # Names with a leading "_" or "." are markers and uncommitted work.

@@ -309,7 +309,9 @@ def actor_rollup(events: DataFrame) -> DataFrame:
     return actor_activities(actor_state(events, names))
 
 
-def profile_rows(state: DataFrame, as_of: datetime, offset: int = STAR_OFFSET) -> DataFrame:
+def profile_rows(
+    state: DataFrame, as_of: datetime, offset: int = STAR_OFFSET, newest: str = "latest"
+) -> DataFrame:
     """The wide repository row from one row of measures per repository.
 
     ``state`` already holds the group set the separate rollups would be joined
@@ -323,7 +325,7 @@ def profile_rows(state: DataFrame, as_of: datetime, offset: int = STAR_OFFSET) -
     )
     wide = state.select(
         "repo_id",
-        F.col("latest.repo_name").alias("repo_name"),
+        F.col(f"{newest}.repo_name").alias("repo_name"),
         F.when(keyed, language).otherwise("Unknown").alias("primary_language"),
         F.when(keyed, F.coalesce(description, F.lit(""))).otherwise("").alias("description"),
         _or_zero_for_no_key(F.col("star_count")).alias("star_count"),
@@ -372,11 +374,12 @@ def repo_profile_from_days(
 ) -> DataFrame:
     """The same rows as :func:`repo_profile`, from the per-day tables."""
     known = days.filter(F.col("latest_named").isNotNull())
-    state = merge_repo_state(known, PROFILE)
+    state = merge_repo_state(known, [*PROFILE, "latest_named"])
     counted = pushers.groupBy("repo_id").agg(F.count_distinct("actor_id").alias("unique_pushers"))
     joined = state.join(counted, "repo_id", "left")
     filled = joined.withColumn("unique_pushers", F.coalesce("unique_pushers", F.lit(0)))
-    return profile_rows(filled, as_of, offset)
+    # A day without a repository id also holds events without any repository.
+    return profile_rows(filled, as_of, offset, newest="latest_named")
 
 
 def newest_over(key: str) -> Column:

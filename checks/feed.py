@@ -42,7 +42,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
         )
 
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    k = F.col("k")
     event_type = F.concat(
         F.when(F.col("event_type") == "click", "Watch")
         .when(F.col("event_type") == "view", "Push")
@@ -123,8 +123,10 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         text = _object(language, *parts)
         hit = F.col("type") == name
         payload = F.when(hit, text) if payload is None else payload.when(hit, text)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return events.withColumn("type", event_type).select(
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumns({
+        "k": F.from_json("props", "k bigint")["k"], "type": event_type,
+    })
+    return events.select(
         e.cast("string").alias("id"),
         "type",
         F.when(

@@ -46,3 +46,26 @@ def with_repo(events: DataFrame) -> DataFrame:
         })
         .drop("_repo")
     )
+
+
+# Payload members the rollups read (fixed values).
+ROLLUP_MEMBERS = (
+    "action string, size string, language string, description string,"
+    " issue struct<created_at: string, closed_at: string>,"
+    " pull_request struct<merged: string, created_at: string, merged_at: string>"
+)
+
+
+def with_payload(events: DataFrame) -> DataFrame:
+    """Add the payload members of the rollups as ``details`` unless already typed."""
+    if "details" in events.columns:
+        return events
+    return events.withColumn("details", members(F.col("raw_payload"), ROLLUP_MEMBERS))
+
+
+def has_actor(events: DataFrame) -> Column:
+    return F.col("has_actor") if "has_actor" in events.columns else F.col("raw_actor").isNotNull()
+
+
+def has_repo(events: DataFrame) -> Column:
+    return F.col("has_repo") if "has_repo" in events.columns else F.col("raw_repo").isNotNull()

@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from eventloom.operators.load import on_dates, replace_dates
 from eventloom.plans.marts import fact_events, fct_repo_stars
 from eventloom.plans.rollups import actor_days, repo_day_pushers, repo_days
-from eventloom.plans.staging import stage
+from eventloom.plans.staging import typed_events
 from eventloom.sources.tables import read_table
 
 
+TYPED = "typed_events"
+
+
 @dataclass(frozen=True)
 class DayTable:
     """A table partitioned by ``event_date`` that is a function of that day's events."""
 
     name: str
-    build: object  # staged events -> rows with an event_date column
+    build: Callable[[DataFrame], DataFrame]  # typed events -> rows with an event_date
 
 
 def _facts(events: DataFrame) -> DataFrame:
@@ -29,7 +33,8 @@ def _facts(events: DataFrame) -> DataFrame:
 
 
 def _stars(events: DataFrame) -> DataFrame:
-    stars = fct_repo_stars(stage(events, "watch"))
+    watches = events.filter(events["event_type"] == "WatchEvent")
+    stars = fct_repo_stars(watches)
     return stars.withColumn("event_date", stars["starred_at"].cast("date"))
 
 
@@ -53,12 +58,25 @@ def refresh_days(
     """
     if not dates:
         return
-    touched = events.filter(on_dates(dates)).drop("event_date")
+    # The JSON of the touched days is parsed once, for all tables.
+    replace_dates(typed_events(events.filter(on_dates(dates))), f"{root}/{TYPED}", dates)
+    typed = read_typed(events, root).filter(on_dates(dates))
     for table in tables:
-        replace_dates(table.build(touched), f"{root}/{table.name}", dates)
+        replace_dates(table.build(typed), f"{root}/{table.name}", dates)
+
+
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def read_typed(events: DataFrame, root: str) -> DataFrame:
+    if TYPED not in _SCHEMAS:
+        _SCHEMAS[TYPED] = typed_events(events).schema
+    return read_table(events.sparkSession, f"{root}/{TYPED}", _SCHEMAS[TYPED])
 
 
 def read_day_table(spark: SparkSession, root: str, name: str, events: DataFrame) -> DataFrame:
-    table = next(t for t in DAY_TABLES if t.name == name)
-    schema = table.build(events.drop("event_date")).schema
-    return read_table(spark, f"{root}/{name}", schema)
+    """A per-day table, with the schema its builder gives (also before the first write)."""
+    if name not in _SCHEMAS:
+        table = next(t for t in DAY_TABLES if t.name == name)
+        _SCHEMAS[name] = table.build(typed_events(events)).schema
+    return read_table(spark, f"{root}/{name}", _SCHEMAS[name])

@@ -18,7 +18,7 @@ from eventloom.operators.scd2 import (
 )
 from eventloom.plans import marts, observe, quality, rollups, staging
 from eventloom.plans.incremental import read_day_table, refresh_days
-from eventloom.schemas import DETECTED_ANOMALIES, PIPELINE_METRICS
+from eventloom.schemas import DETECTED_ANOMALIES, DIM_REPO, PIPELINE_METRICS
 from eventloom.session import pin
 from eventloom.sources.feed import (
     feed_files, hour_key, land_batch, read_feed, read_landing,
@@ -52,10 +52,8 @@ class Lake:
         return read_latest(self.spark, self.path(f"marts/{name}"))
 
     def history(self) -> DataFrame:
-        profile = rollups.repo_profile(self.events(), datetime(1970, 1, 1)).schema
-        return read_history(
-            self.spark, self.path("snapshots/dim_repo"), history_schema(profile, REPO_KEY, REPO_CHECKS)
-        )
+        schema = history_schema(DIM_REPO, REPO_KEY, REPO_CHECKS)
+        return read_history(self.spark, self.path("snapshots/dim_repo"), schema)
 
     def dim_repo(self) -> DataFrame:
         return marts.dim_repo(self.history())

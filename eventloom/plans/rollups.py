@@ -15,7 +15,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.functions.jsonfields import members, with_actor, with_repo
+from eventloom.functions.jsonfields import (
+    has_actor, has_repo, with_actor, with_payload, with_repo,
+)
 from eventloom.functions.timeparse import hours_between, parse_event_ts
 from eventloom.operators.latest import recency
 
@@ -27,45 +29,37 @@ FALLBACK_LANGUAGES = ["Python", "JavaScript", "Go", "Java"]
 FALLBACK_LANGUAGE_ELSE = "Rust"
 FALLBACK_DESCRIPTION = "Description default for repository "
 
-ROLLUP_MEMBERS = (
-    "action string, size string, language string, description string,"
-    " issue struct<created_at: string, closed_at: string>,"
-    " pull_request struct<merged: string, created_at: string, merged_at: string>"
-)
-
-
 def _is(event_type: str) -> Column:
     return F.col("event_type") == event_type
 
 
 def _repo_rows(events: DataFrame) -> DataFrame:
-    rows = with_repo(with_actor(events))
-    rows = rows.withColumn("_p", members(F.col("raw_payload"), ROLLUP_MEMBERS))
-    return rows.withColumn("event_date", F.to_date("event_at"))
+    rows = with_payload(with_repo(with_actor(events)))
+    return rows.withColumns({"event_date": F.to_date("event_at"), "has_repo": has_repo(rows)})
 
 
 def _issue_hours() -> Column:
     return F.when(
-        _is("IssuesEvent") & (F.col("_p.action") == "closed"),
+        _is("IssuesEvent") & (F.col("details.action") == "closed"),
         hours_between(
-            parse_event_ts(F.col("_p.issue.created_at")), parse_event_ts(F.col("_p.issue.closed_at"))
+            parse_event_ts(F.col("details.issue.created_at")), parse_event_ts(F.col("details.issue.closed_at"))
         ),
     )
 
 
 def _pr(action: str, merged: bool | None = None) -> Column:
-    hit = _is("PullRequestEvent") & (F.col("_p.action") == action)
+    hit = _is("PullRequestEvent") & (F.col("details.action") == action)
     if merged is None:
         return hit
-    return hit & (F.col("_p.pull_request.merged").try_cast("boolean") == F.lit(merged))
+    return hit & (F.col("details.pull_request.merged").try_cast("boolean") == F.lit(merged))
 
 
 def _merge_hours() -> Column:
     return F.when(
         _pr("closed", merged=True),
         hours_between(
-            parse_event_ts(F.col("_p.pull_request.created_at")),
-            parse_event_ts(F.col("_p.pull_request.merged_at")),
+            parse_event_ts(F.col("details.pull_request.created_at")),
+            parse_event_ts(F.col("details.pull_request.merged_at")),
         ),
     )
 
@@ -81,14 +75,14 @@ REPO_MEASURES = {
     "last_starred_at": (lambda: F.when(_is("WatchEvent"), F.col("event_at")), "max"),
     "last_pushed_at": (lambda: F.when(_is("PushEvent"), F.col("event_at")), "max"),
     "commit_count": (
-        lambda: F.when(_is("PushEvent"), F.coalesce(F.col("_p.size").try_cast("int"), F.lit(0))),
+        lambda: F.when(_is("PushEvent"), F.coalesce(F.col("details.size").try_cast("int"), F.lit(0))),
         "sum",
     ),
     "opened_issues_count": (
-        lambda: _is("IssuesEvent") & (F.col("_p.action") == "opened"), "count_if"
+        lambda: _is("IssuesEvent") & (F.col("details.action") == "opened"), "count_if"
     ),
     "closed_issues_count": (
-        lambda: _is("IssuesEvent") & (F.col("_p.action") == "closed"), "count_if"
+        lambda: _is("IssuesEvent") & (F.col("details.action") == "closed"), "count_if"
     ),
     "issue_hours": (_issue_hours, "sum"),
     "issue_hours_n": (_issue_hours, "count"),
@@ -98,15 +92,15 @@ REPO_MEASURES = {
     "merge_hours": (_merge_hours, "sum"),
     "merge_hours_n": (_merge_hours, "count"),
     "latest": (
-        lambda: recency(repo_name=F.col("repo_name"), language=F.col("_p.language")), "max"
+        lambda: recency(repo_name=F.col("repo_name"), language=F.col("details.language")), "max"
     ),
     "latest_named": (
-        lambda: recency(F.col("raw_repo").isNotNull(), repo_name=F.col("repo_name")), "max"
+        lambda: recency(F.col("has_repo"), repo_name=F.col("repo_name")), "max"
     ),
     "latest_create": (
         lambda: recency(
-            _is("CreateEvent") & F.col("_p.description").isNotNull(),
-            description=F.col("_p.description"),
+            _is("CreateEvent") & F.col("details.description").isNotNull(),
+            description=F.col("details.description"),
         ),
         "max",
     ),
@@ -121,8 +115,7 @@ ACTOR_MEASURES = {
     "last_active_at": (lambda: F.col("event_at"), "max"),
     "latest_named": (
         lambda: recency(
-            F.col("raw_actor").isNotNull(),
-            actor_login=F.col("actor_login"), actor_avatar_url=F.col("actor_avatar_url"),
+            actor_login=F.col("actor_login"), actor_avatar_url=F.col("actor_avatar_url")
         ),
         "max",
     ),
@@ -167,7 +160,7 @@ def merge_repo_state(days: DataFrame, names: Sequence[str]) -> DataFrame:
 def actor_state(
     events: DataFrame, names: Sequence[str], grain: Sequence[str] = ("actor_id",)
 ) -> DataFrame:
-    rows = with_actor(events.filter(F.col("raw_actor").isNotNull()))
+    rows = with_actor(events.filter(has_actor(events)))
     rows = rows.withColumn("event_date", F.to_date("event_at"))
     return rows.groupBy(*grain).agg(*_aggregate(ACTOR_MEASURES, names))
 
@@ -346,7 +339,7 @@ def profile_rows(
 
 def repo_profile(events: DataFrame, as_of: datetime, offset: int = STAR_OFFSET) -> DataFrame:
     """One wide row per repository, from events in a single pass."""
-    named = events.filter(F.col("raw_repo").isNotNull())
+    named = events.filter(has_repo(events))
     return profile_rows(repo_state(named, PROFILE, ("repo_id",), _distinct_pushers()), as_of, offset)
 
 

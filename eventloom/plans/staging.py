@@ -7,7 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.functions.jsonfields import members, with_actor, with_repo
+from eventloom.functions.jsonfields import (
+    has_actor, has_repo, members, with_actor, with_payload, with_repo,
+)
 from eventloom.functions.timeparse import parse_event_ts
 from eventloom.operators.latest import latest_per_key
 
@@ -149,7 +151,7 @@ def stage(events: DataFrame, view: str) -> DataFrame:
 
 def stg_repos(events: DataFrame) -> DataFrame:
     """Latest name per repository."""
-    named = with_repo(events.filter(F.col("raw_repo").isNotNull()))
+    named = with_repo(events.filter(has_repo(events)))
     return latest_per_key(named, ["repo_id"], ["repo_name"]).withColumnRenamed(
         "event_at", "last_event_at"
     )
@@ -157,16 +159,21 @@ def stg_repos(events: DataFrame) -> DataFrame:
 
 def stg_actors(events: DataFrame) -> DataFrame:
     """Latest login and avatar per actor."""
-    named = with_actor(events.filter(F.col("raw_actor").isNotNull()))
+    named = with_actor(events.filter(has_actor(events)))
     return latest_per_key(
         named, ["actor_id"], ["actor_login", "actor_avatar_url"]
     ).withColumnRenamed("event_at", "last_event_at")
 
 
 def typed_events(events: DataFrame) -> DataFrame:
-    """Staged events with the actor and repo members as columns.
+    """Staged events with every JSON member the models read as a column.
 
-    Written once as the table the rollups and marts read, so the JSON of the
-    entities is parsed once per event and not once per model.
+    Parsing JSON is most of the cost of a model.  Written once per event day,
+    this table lets all of them share one parse.
     """
-    return with_repo(with_actor(events)).withColumn("event_date", F.to_date("event_at"))
+    typed = events.withColumns({"has_actor": has_actor(events), "has_repo": has_repo(events)})
+    return with_payload(with_repo(with_actor(typed))).select(
+        "event_id", "event_type", "has_actor", "actor_id", "actor_login", "actor_avatar_url",
+        "has_repo", "repo_id", "repo_name", "is_public", "event_at", "loaded_at", "details",
+        F.to_date("event_at").alias("event_date"),
+    )

@@ -90,7 +90,7 @@ def over_events(body: str, ctes: str = "") -> str:
 
 
 def of_type(name: str) -> str:
-    return f"CAST(count(CASE WHEN event_type = '{name}' THEN 1 END) AS BIGINT)"
+    return f"count(*) FILTER (event_type = '{name}')"
 
 
 def view(event_type: str, columns: str = "") -> str:
@@ -118,126 +118,105 @@ SELECT CAST(year(event_at) AS INTEGER) AS year, CAST(month(event_at) AS INTEGER)
 FROM ev GROUP BY ALL
 """
 
+# The repository list left-joined to one aggregate per event type.
 WATCH_STATS = """
+watched AS (
+  SELECT repo_id, count(*) AS stars, max(event_at) AS starred_at FROM ev
+  WHERE event_type = 'WatchEvent' AND repo_id IS NOT NULL GROUP BY repo_id),
+shifted AS (
+  SELECT repo_id, ifnull(stars, 0) AS stars, starred_at, ifnull(stars, 0) + repo_id % 1200 AS size
+  FROM spine LEFT JOIN watched USING (repo_id)),
 watch_stats AS (
-  SELECT s.repo_id, coalesce(w.n, 0) AS star_count,
-    coalesce(w.last_at, TIMESTAMP '2024-02-01 00:00:00') AS last_starred_at,
-    CASE WHEN coalesce(w.n, 0) + s.repo_id % 1200 <= 10 THEN '0-10'
-      WHEN coalesce(w.n, 0) + s.repo_id % 1200 <= 100 THEN '11-100'
-      WHEN coalesce(w.n, 0) + s.repo_id % 1200 <= 1000 THEN '101-1000'
-      ELSE '1000+' END AS star_count_bucket
-  FROM spine s LEFT JOIN (
-    SELECT repo_id, count(*) AS n, max(event_at) AS last_at FROM ev
-    WHERE event_type = 'WatchEvent' GROUP BY repo_id) w ON s.repo_id = w.repo_id
-)"""
+  SELECT repo_id, stars AS star_count, ifnull(starred_at, TIMESTAMP '2024-02-01') AS last_starred_at,
+    CASE WHEN size > 1000 OR size IS NULL THEN '1000+' WHEN size > 100 THEN '101-1000'
+      WHEN size > 10 THEN '11-100' ELSE '0-10' END AS star_count_bucket
+  FROM shifted)"""
 
 PUSH_STATS = """
+pushed AS (
+  SELECT repo_id, count(*) AS n, CAST(sum(ifnull(commit_size, 0)) AS BIGINT) AS commits,
+    count(DISTINCT actor_id) AS pushers, max(event_at) AS last_pushed_at
+  FROM pushes WHERE repo_id IS NOT NULL GROUP BY repo_id),
 push_stats AS (
-  SELECT s.repo_id, coalesce(p.n, 0) AS push_count, coalesce(p.commits, 0) AS commit_count,
-    coalesce(p.pushers, 0) AS unique_pushers, p.last_at AS last_pushed_at
-  FROM spine s LEFT JOIN (
-    SELECT repo_id, count(*) AS n, CAST(sum(coalesce(commit_size, 0)) AS BIGINT) AS commits,
-      count(DISTINCT actor_id) AS pushers, max(event_at) AS last_at
-    FROM pushes GROUP BY repo_id) p ON s.repo_id = p.repo_id
-)"""
+  SELECT repo_id, ifnull(n, 0) AS push_count, ifnull(commits, 0) AS commit_count,
+    ifnull(pushers, 0) AS unique_pushers, last_pushed_at
+  FROM spine LEFT JOIN pushed USING (repo_id))"""
 
 ISSUE_STATS = """
+issued AS (
+  SELECT repo_id, count(*) FILTER (action = 'opened') AS opened, count(*) FILTER (action = 'closed') AS closed,
+    avg(date_diff('microsecond', issue_created_at, issue_closed_at) / 3.6e9)
+      FILTER (action = 'closed') AS hours
+  FROM issues WHERE repo_id IS NOT NULL GROUP BY repo_id),
 issue_stats AS (
-  SELECT s.repo_id, coalesce(i.opened, 0) AS opened_issues_count,
-    coalesce(i.closed, 0) AS closed_issues_count, coalesce(i.hours, 0.0) AS average_resolution_hours
-  FROM spine s LEFT JOIN (
-    SELECT repo_id, count(CASE WHEN action = 'opened' THEN 1 END) AS opened,
-      count(CASE WHEN action = 'closed' THEN 1 END) AS closed,
-      avg(CASE WHEN action = 'closed' THEN epoch(issue_closed_at - issue_created_at) / 3600.0 END) AS hours
-    FROM issues GROUP BY repo_id) i ON s.repo_id = i.repo_id
-)"""
+  SELECT repo_id, ifnull(opened, 0) AS opened_issues_count, ifnull(closed, 0) AS closed_issues_count,
+    ifnull(hours, 0.0) AS average_resolution_hours
+  FROM spine LEFT JOIN issued USING (repo_id))"""
 
 PR_STATS = """
+requested AS (
+  SELECT repo_id, count(*) FILTER (action = 'opened') AS opened,
+    count(*) FILTER (action = 'closed' AND is_merged) AS merged,
+    count(*) FILTER (action = 'closed' AND NOT is_merged) AS closed,
+    avg(date_diff('microsecond', pr_created_at, pr_merged_at) / 3.6e9)
+      FILTER (action = 'closed' AND is_merged) AS hours
+  FROM prs WHERE repo_id IS NOT NULL GROUP BY repo_id),
 pr_stats AS (
-  SELECT s.repo_id, coalesce(p.opened, 0) AS prs_opened_count, coalesce(p.merged, 0) AS prs_merged_count,
-    coalesce(p.closed, 0) AS prs_closed_count, coalesce(p.hours, 0.0) AS average_merge_hours
-  FROM spine s LEFT JOIN (
-    SELECT repo_id, count(CASE WHEN action = 'opened' THEN 1 END) AS opened,
-      count(CASE WHEN action = 'closed' AND is_merged THEN 1 END) AS merged,
-      count(CASE WHEN action = 'closed' AND NOT is_merged THEN 1 END) AS closed,
-      avg(CASE WHEN action = 'closed' AND is_merged
-          THEN epoch(pr_merged_at - pr_created_at) / 3600.0 END) AS hours
-    FROM prs GROUP BY repo_id) p ON s.repo_id = p.repo_id
-)"""
+  SELECT repo_id, ifnull(opened, 0) AS prs_opened_count, ifnull(merged, 0) AS prs_merged_count,
+    ifnull(closed, 0) AS prs_closed_count, ifnull(hours, 0.0) AS average_merge_hours
+  FROM spine LEFT JOIN requested USING (repo_id))"""
 
-FALLBACK_LANGUAGE = (
-    "CASE repo_id % 5 WHEN 0 THEN 'Python' WHEN 1 THEN 'JavaScript' WHEN 2 THEN 'Go'"
-    " WHEN 3 THEN 'Java' ELSE 'Rust' END"
-)
+FALLBACK_LANGUAGE = "ifnull(['Python', 'JavaScript', 'Go', 'Java', 'Rust'][repo_id % 5 + 1], 'Rust')"
 
 LANGUAGES = f"""
-languages AS ({latest(f"repo_id, coalesce(language, {FALLBACK_LANGUAGE}) AS primary_language,"
+languages AS ({latest(f"repo_id, ifnull(language, {FALLBACK_LANGUAGE}) AS primary_language,"
                       " event_at AS updated_at", "repo_id")})"""
 
 DESCRIPTIONS = f"""
+newest_name AS ({latest("repo_id, repo_name, event_at AS named_at", "repo_id")}),
+newest_text AS ({latest("repo_id, description, event_at AS described_at", "repo_id", "creates",
+                        "description IS NOT NULL AND repo_id IS NOT NULL")}),
 descriptions AS (
-  SELECT f.repo_id,
-    coalesce(c.description, 'Description default for repository ' || f.repo_name) AS description,
-    coalesce(c.event_at, f.event_at) AS updated_at
-  FROM ({latest("repo_id, repo_name, event_at", "repo_id")}) f
-  LEFT JOIN ({latest("repo_id, description, event_at", "repo_id", "creates",
-                     "description IS NOT NULL")}) c ON f.repo_id = c.repo_id
-)"""
+  SELECT repo_id, ifnull(description, 'Description default for repository ' || repo_name) AS description,
+    ifnull(described_at, named_at) AS updated_at
+  FROM newest_name LEFT JOIN newest_text USING (repo_id))"""
 
 REPOS = f"repos AS ({latest('repo_id, repo_name', 'repo_id', where='repo_id IS NOT NULL')})"
 
 DAILY_REPO = f"""
-daily_repo AS (
-  SELECT d.repo_id, r.repo_name, d.event_date, d.total_events, d.star_count, d.push_count,
-    d.pr_count, d.issue_count
-  FROM (SELECT repo_id, event_date, count(*) AS total_events, {of_type('WatchEvent')} AS star_count,
-      {of_type('PushEvent')} AS push_count, {of_type('PullRequestEvent')} AS pr_count,
-      {of_type('IssuesEvent')} AS issue_count
-    FROM ev GROUP BY repo_id, event_date) d
-  LEFT JOIN repos r ON d.repo_id = r.repo_id
-)"""
+repo_day AS (
+  SELECT repo_id, event_date, count(*) AS total_events, {of_type('WatchEvent')} AS star_count,
+    {of_type('PushEvent')} AS push_count, {of_type('PullRequestEvent')} AS pr_count,
+    {of_type('IssuesEvent')} AS issue_count
+  FROM ev GROUP BY repo_id, event_date),
+daily_repo AS (SELECT repo_day.*, repo_name FROM repo_day LEFT JOIN repos USING (repo_id))"""
 
 DAILY_ACTOR = f"""
 actors AS ({latest('actor_id, actor_login, actor_avatar_url, event_at AS last_event_at', 'actor_id',
                    where='actor_id IS NOT NULL')}),
-daily_actor AS (
-  SELECT d.actor_id, a.actor_login, d.event_date, d.total_events, d.push_count, d.watch_count,
-    d.pr_count, d.issue_count
-  FROM (SELECT actor_id, event_date, count(*) AS total_events, {of_type('PushEvent')} AS push_count,
-      {of_type('WatchEvent')} AS watch_count, {of_type('PullRequestEvent')} AS pr_count,
-      {of_type('IssuesEvent')} AS issue_count
-    FROM ev WHERE actor_id IS NOT NULL GROUP BY actor_id, event_date) d
-  LEFT JOIN actors a ON d.actor_id = a.actor_id
-),
+actor_day AS (
+  SELECT actor_id, event_date, count(*) AS total_events, {of_type('PushEvent')} AS push_count,
+    {of_type('WatchEvent')} AS watch_count, {of_type('PullRequestEvent')} AS pr_count,
+    {of_type('IssuesEvent')} AS issue_count
+  FROM ev WHERE actor_id IS NOT NULL GROUP BY actor_id, event_date),
+daily_actor AS (SELECT actor_day.*, actor_login FROM actor_day LEFT JOIN actors USING (actor_id)),
 actor_totals AS (
   SELECT actor_id, count(*) AS total_events, {of_type('PushEvent')} AS push_events_count,
     {of_type('WatchEvent')} AS watch_events_count,
     {of_type('PullRequestEvent')} AS pull_request_events_count,
     {of_type('IssuesEvent')} AS issues_events_count, max(event_at) AS last_active_at
-  FROM ev WHERE actor_id IS NOT NULL GROUP BY actor_id
-)"""
+  FROM ev WHERE actor_id IS NOT NULL GROUP BY actor_id)"""
 
 PROFILE = ", ".join([REPOS, LANGUAGES, DESCRIPTIONS, WATCH_STATS, PUSH_STATS, ISSUE_STATS, PR_STATS]) + """,
 profile AS (
-  SELECT r.repo_id, r.repo_name, coalesce(l.primary_language, 'Unknown') AS primary_language,
-    coalesce(d.description, '') AS description, coalesce(w.star_count, 0) AS star_count,
-    coalesce(w.star_count_bucket, '0-10') AS star_count_bucket, coalesce(p.push_count, 0) AS push_count,
-    coalesce(p.commit_count, 0) AS commit_count, coalesce(p.unique_pushers, 0) AS unique_pushers,
-    coalesce(i.opened_issues_count, 0) AS opened_issues_count,
-    coalesce(i.closed_issues_count, 0) AS closed_issues_count,
-    coalesce(i.average_resolution_hours, 0.0) AS average_resolution_hours,
-    coalesce(q.prs_opened_count, 0) AS prs_opened_count,
-    coalesce(q.prs_merged_count, 0) AS prs_merged_count,
-    coalesce(q.prs_closed_count, 0) AS prs_closed_count,
-    coalesce(q.average_merge_hours, 0.0) AS average_merge_hours,
-    TIMESTAMP '2024-02-01 00:00:00' AS processed_at
-  FROM repos r LEFT JOIN languages l ON r.repo_id = l.repo_id
-  LEFT JOIN descriptions d ON r.repo_id = d.repo_id
-  LEFT JOIN watch_stats w ON r.repo_id = w.repo_id
-  LEFT JOIN push_stats p ON r.repo_id = p.repo_id
-  LEFT JOIN issue_stats i ON r.repo_id = i.repo_id
-  LEFT JOIN pr_stats q ON r.repo_id = q.repo_id
-)"""
+  SELECT repo_id, repo_name, primary_language, description, star_count, star_count_bucket, push_count,
+    commit_count, unique_pushers, opened_issues_count, closed_issues_count, average_resolution_hours,
+    prs_opened_count, prs_merged_count, prs_closed_count, average_merge_hours,
+    TIMESTAMP '2024-02-01' AS processed_at
+  FROM repos JOIN languages USING (repo_id) JOIN descriptions USING (repo_id)
+  JOIN watch_stats USING (repo_id) JOIN push_stats USING (repo_id)
+  JOIN issue_stats USING (repo_id) JOIN pr_stats USING (repo_id))
+"""
 
 # Profiles as of three dates, then one version per run of equal states.
 HISTORY = f"""
@@ -255,8 +234,8 @@ stars AS (SELECT run_at, repo_id, {of_type('WatchEvent')} + repo_id % 1200 AS n
   GROUP BY run_at, repo_id),
 states AS (
   SELECT n.run_at, n.repo_id, n.repo_name,
-    coalesce(n.language, CASE n.repo_id % 5 WHEN 0 THEN 'Python' WHEN 1 THEN 'JavaScript'
-      WHEN 2 THEN 'Go' WHEN 3 THEN 'Java' ELSE 'Rust' END) AS primary_language,
+    ifnull(n.language, ['Python', 'JavaScript', 'Go', 'Java', 'Rust'][n.repo_id % 5 + 1])
+      AS primary_language,
     coalesce(d.description, 'Description default for repository ' || n.repo_name) AS description,
     CASE WHEN s.n <= 10 THEN '0-10' WHEN s.n <= 100 THEN '11-100' WHEN s.n <= 1000 THEN '101-1000'
       ELSE '1000+' END AS star_count_bucket

@@ -70,7 +70,9 @@ class LoadReport:
     processed: int
     inserted: int
     rejected: int
-    # Event dates of the inserted rows; None stands for an unreadable event time.
+    # Event dates of the accepted rows, also of those already loaded, so that a
+    # rerun after a crash refreshes what the first attempt did not get to.  None
+    # stands for an unreadable event time.
     dates: list[date | None] = field(default_factory=list)
 
 
@@ -89,10 +91,13 @@ def load_batch(landing: DataFrame, raw_root: str, quarantine_root: str, loaded_a
     spark = landing.sparkSession
     flagged = landing.select(*LANDING.names).withColumn("reason", bad_row_reason())
     batch = flagged.filter(F.col("reason").isNull()).drop("reason")
-    key = F.when(F.col("reason").isNull(), F.col("id"))
+    accepted, event_date = F.col("reason").isNull(), F.to_date(parse_event_ts(F.col("created_at")))
+    key = F.when(accepted, F.col("id"))
     seen = flagged.agg(
         F.count("*").alias("n"), F.count("reason").alias("bad"),
         F.min(key).alias("low"), F.max(key).alias("high"),
+        F.collect_set(F.when(accepted, event_date)).alias("dates"),
+        F.count_if(accepted & event_date.isNull()).alias("undated"),
     ).first()
     if exists(spark, f"{raw_root}/event_date=*") and seen.low is not None:
         raw = read_table(spark, raw_root, RAW_ON_DISK)
@@ -103,27 +108,24 @@ def load_batch(landing: DataFrame, raw_root: str, quarantine_root: str, loaded_a
     inserted = Observation()
     rows = (
         fresh.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp"))
-        .withColumn("event_date", F.to_date(parse_event_ts(F.col("created_at"))))
+        .withColumn("event_date", event_date)
         .select(*RAW_ON_DISK.names)
     )
     # Adaptive execution sizes the rebalanced partitions: a day that holds most
     # rows is split over tasks, small days share one.
     rows.hint("rebalance", "event_date").sortWithinPartitions("event_date", "id").observe(
-        inserted, F.count(F.lit(1)).alias("n"), F.collect_set("event_date").alias("dates"),
-        F.count_if(F.col("event_date").isNull()).alias("undated"),
+        inserted, F.count(F.lit(1)).alias("n")
     ).write.mode("append").partitionBy("event_date").parquet(raw_root)
 
-    added = inserted.get
-
     if seen.bad:
         stamped = flagged.filter(F.col("reason").isNotNull()).withColumn(
             "loaded_at", F.lit(loaded_at).cast("timestamp")
         )
         append_absent(stamped, quarantine_root, LANDING.names)
-    dates: list[date | None] = sorted(added["dates"])
+    dates: list[date | None] = sorted(seen.dates)
     return LoadReport(
-        processed=seen.n, inserted=added["n"], rejected=seen.bad,
-        dates=dates + [None] * bool(added["undated"]),
+        processed=seen.n, inserted=inserted.get["n"], rejected=seen.bad,
+        dates=dates + [None] * bool(seen.undated),
     )
 
 

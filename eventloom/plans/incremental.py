@@ -1,18 +1,25 @@
-"""Per-day tables kept up to date by recomputing only the days a load touched."""
+"""Tables kept up to date by recomputing only what a load touched.
+
+Per-day tables are rebuilt for the touched days; per-entity tables for the
+entities active on those days.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from eventloom.operators.load import on_dates, replace_dates
 from eventloom.plans.marts import fact_events, fct_repo_stars
 from eventloom.plans.rollups import actor_days, repo_day_pushers, repo_days
 from eventloom.plans.staging import typed_events
+from eventloom.session import stage_table, write_together
 from eventloom.sources.tables import read_table
 
 
@@ -61,8 +68,9 @@ def refresh_days(
     # The JSON of the touched days is parsed once, for all tables.
     replace_dates(typed_events(events.filter(on_dates(dates))), f"{root}/{TYPED}", dates)
     typed = read_typed(events, root).filter(on_dates(dates))
-    for table in tables:
-        replace_dates(table.build(typed), f"{root}/{table.name}", dates)
+    write_together(events.sparkSession, [
+        partial(replace_dates, table.build(typed), f"{root}/{table.name}", dates) for table in tables
+    ])
 
 
 _SCHEMAS: dict[str, StructType] = {}
@@ -80,3 +88,26 @@ def read_day_table(spark: SparkSession, root: str, name: str, events: DataFrame)
         table = next(t for t in DAY_TABLES if t.name == name)
         _SCHEMAS[name] = table.build(typed_events(events)).schema
     return read_table(spark, f"{root}/{name}", _SCHEMAS[name])
+
+
+def touched_keys(days: DataFrame, key: str, dates: Sequence[date | None]) -> DataFrame:
+    """Entities with an event on one of the dates, as a table of one column."""
+    return stage_table(
+        days.filter(on_dates(dates)).select(F.col(key).alias("_touched")).distinct(), "touched"
+    )
+
+
+def of_touched(df: DataFrame, key: str, touched: DataFrame) -> DataFrame:
+    return df.join(touched, F.col(key).eqNullSafe(F.col("_touched")), "left_semi")
+
+
+def with_touched_replaced(
+    previous: DataFrame, fresh: DataFrame, key: str, touched: DataFrame
+) -> DataFrame:
+    """``previous`` with the rows of the touched entities replaced by ``fresh``.
+
+    Only rows of touched entities are aggregated again; the others pass by in
+    an anti join, against a broadcast when few entities were touched.
+    """
+    kept = previous.join(touched, F.col(key).eqNullSafe(F.col("_touched")), "left_anti")
+    return kept.unionByName(fresh)

@@ -95,42 +95,70 @@ def dim_repo(history: DataFrame) -> DataFrame:
     )
 
 
+REPO_SUMS = {
+    "total_events": "total_events", "star_count": "star_growth",
+    "push_count": "push_growth", "pr_count": "pr_growth",
+}
+ACTOR_SUMS = ["total_events", "push_count", "watch_count", "pr_count", "issue_count"]
+LANGUAGE_SUMS = ["total_events", "star_count", "push_count", "pr_count"]
+
+
+def rank_repos(totals: DataFrame) -> DataFrame:
+    """Repositories ranked by events and by stars; ``totals`` must be a table."""
+    return global_rank(totals, {"total_events": "rank_total", "star_growth": "rank_stars"})
+
+
 def trending_repos(daily: DataFrame) -> DataFrame:
     totals = daily.groupBy("repo_id", "repo_name").agg(
-        F.sum("total_events").alias("total_events"),
-        F.sum("star_count").alias("star_growth"),
-        F.sum("push_count").alias("push_growth"),
-        F.sum("pr_count").alias("pr_growth"),
-    )
-    return global_rank(
-        stage_table(totals, "repo-totals"),
-        {"total_events": "rank_total", "star_growth": "rank_stars"},
+        *[F.sum(c).alias(name) for c, name in REPO_SUMS.items()]
     )
+    return rank_repos(stage_table(totals, "repo-totals"))
+
+
+def trending_from_totals(totals: DataFrame) -> DataFrame:
+    """Trending repositories from the table of totals per repository."""
+    keyed = F.col("repo_id").isNotNull()
+    return rank_repos(totals.select(
+        "repo_id", F.when(keyed, F.col("latest_named.repo_name")).alias("repo_name"),
+        *[F.col(c).alias(name) for c, name in REPO_SUMS.items()],
+    ))
 
 
 def active_contributors(daily: DataFrame, k: int = CONTRIBUTOR_RANKS) -> DataFrame:
-    totals = daily.groupBy("actor_id", "actor_login").agg(
-        *[F.sum(c).alias(c)
-          for c in ("total_events", "push_count", "watch_count", "pr_count", "issue_count")]
-    )
+    totals = daily.groupBy("actor_id", "actor_login").agg(*[F.sum(c).alias(c) for c in ACTOR_SUMS])
     return top_k_with_ties(stage_table(totals, "actor-totals"), "total_events", k, "rank_activity")
 
 
+def contributors_from_totals(totals: DataFrame, k: int = CONTRIBUTOR_RANKS) -> DataFrame:
+    """Most active contributors from the table of totals per actor."""
+    keyed = F.col("actor_id").isNotNull()
+    return top_k_with_ties(
+        totals.select(
+            "actor_id", F.when(keyed, F.col("latest_named.actor_login")).alias("actor_login"), *ACTOR_SUMS
+        ),
+        "total_events", k, "rank_activity",
+    )
+
+
 def language_popularity(daily: DataFrame, repos: DataFrame) -> DataFrame:
     """Activity per language of the repository's current version.
 
     Daily facts fold to one row per repository before the join, so neither the
     join nor the per-language sums see a busy repository's days.
     """
-    measures = ["total_events", "star_count", "push_count", "pr_count"]
-    per_repo = daily.groupBy("repo_id").agg(*[F.sum(c).alias(c) for c in measures])
+    per_repo = daily.groupBy("repo_id").agg(*[F.sum(c).alias(c) for c in LANGUAGE_SUMS])
+    return languages_from_totals(per_repo, repos)
+
+
+def languages_from_totals(totals: DataFrame, repos: DataFrame) -> DataFrame:
     current = repos.filter("is_current").select(
         F.col("repo_id").alias("_repo"), "primary_language"
     )
     per_language = (
-        per_repo.join(current, F.col("repo_id") == F.col("_repo"), "left")
+        totals.select("repo_id", *LANGUAGE_SUMS)
+        .join(current, F.col("repo_id") == F.col("_repo"), "left")
         .groupBy("primary_language")
-        .agg(*[F.sum(c).alias(c) for c in measures],
+        .agg(*[F.sum(c).alias(c) for c in LANGUAGE_SUMS],
              F.count_distinct("_repo").alias("active_repos"))
     )
     return global_rank(

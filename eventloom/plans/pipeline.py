@@ -17,12 +17,15 @@ from eventloom.operators.scd2 import (
     REPO_CHECKS, REPO_KEY, history_schema, read_history, snapshot_table,
 )
 from eventloom.plans import marts, observe, quality, rollups, staging
-from eventloom.plans.incremental import read_day_table, refresh_days
+from eventloom.plans.incremental import (
+    of_touched, read_day_table, refresh_days, touched_keys, with_touched_replaced,
+)
 from eventloom.schemas import DETECTED_ANOMALIES, DIM_REPO, PIPELINE_METRICS
-from eventloom.session import pin
+from eventloom.session import pin, write_together
 from eventloom.sources.feed import (
     feed_files, hour_key, land_batch, read_feed, read_landing,
 )
+from eventloom.sources.paths import latest_version
 from eventloom.sources.tables import (
     append_absent, append_table, read_latest, read_table, replace_table,
 )
@@ -51,6 +54,9 @@ class Lake:
     def mart(self, name: str) -> DataFrame:
         return read_latest(self.spark, self.path(f"marts/{name}"))
 
+    def totals(self, name: str) -> DataFrame:
+        return read_latest(self.spark, self.path(f"totals/{name}"))
+
     def history(self) -> DataFrame:
         schema = history_schema(DIM_REPO, REPO_KEY, REPO_CHECKS)
         return read_history(self.spark, self.path("snapshots/dim_repo"), schema)
@@ -121,29 +127,69 @@ def load_hours(lake: Lake, first: datetime, last: datetime, run_ts: datetime) ->
     return load_batch(batch, lake.path("raw/events"), lake.path("quarantine/rows"), run_ts)
 
 
+def refresh_totals(lake: Lake, name: str, key: str, days: DataFrame, dates, build) -> None:
+    """Bring a per-entity table up to date with the touched days."""
+    touched = touched_keys(days, key, dates)
+    fresh = build(lambda df: of_touched(df, key, touched))
+    path = lake.path(f"totals/{name}")
+    previous = read_latest(lake.spark, path, fresh.schema)
+    replace_table(with_touched_replaced(previous, fresh, key, touched), path)
+
+
 def build_models(lake: Lake, dates: list[date | None], as_of: datetime) -> None:
-    """Refresh touched days, snapshot the repositories, rebuild the entity marts.
+    """Bring every model up to date after a load that touched ``dates``.
 
-    Everything after the per-day tables reads those and not the events.
+    Events of the touched days are read once.  Totals are recomputed for the
+    entities active on those days; all marts are built from the totals.
     """
+    built = latest_version(lake.spark, lake.path("marts/mart_language_popularity"))
+    if built and not dates:
+        return
     refresh_days(lake.events(), lake.path("days"), dates)
-    profile = rollups.repo_profile_from_days(
-        lake.day_table("repo_days"), lake.day_table("repo_day_pushers"), as_of
-    )
+    repo_days, pushers = lake.day_table("repo_days"), lake.day_table("repo_day_pushers")
+    actor_days = lake.day_table("actor_days")
+    write_together(lake.spark, [
+        lambda: refresh_totals(
+            lake, "repos", "repo_id", repo_days, dates,
+            lambda touched: rollups.repo_totals(touched(repo_days), touched(pushers)),
+        ),
+        lambda: refresh_totals(
+            lake, "actors", "actor_id", actor_days, dates,
+            lambda touched: rollups.merge_actor_state(touched(actor_days), rollups.DAILY_ACTOR),
+        ),
+    ])
+    repos, actors = lake.totals("repos"), lake.totals("actors")
+    profile = rollups.profile_from_totals(repos, as_of)
     replace_table(profile, lake.path("marts/int_daily_repo_metrics_joined"))
     snapshot_table(
         lake.path("snapshots/dim_repo"), lake.mart("int_daily_repo_metrics_joined"), as_of
     )
-    actors = rollups.merge_actor_state(lake.day_table("actor_days"), rollups.DAILY_ACTOR)
-    replace_table(marts.dim_actor_rows(actors), lake.path("marts/dim_actor"))
-    replace_table(dim_date(lake.spark), lake.path("marts/dim_date"))
-    replace_table(marts.trending_repos(lake.daily_repo()), lake.path("marts/mart_trending_repos"))
-    replace_table(
-        marts.active_contributors(lake.daily_actor()), lake.path("marts/mart_active_contributors")
+    marts_now = {
+        "dim_actor": lambda: marts.dim_actor_rows(actors),
+        "dim_date": lambda: dim_date(lake.spark),
+        "mart_trending_repos": lambda: marts.trending_from_totals(repos),
+        "mart_active_contributors": lambda: marts.contributors_from_totals(actors),
+        "mart_language_popularity": lambda: marts.languages_from_totals(repos, lake.dim_repo()),
+    }
+    write_together(lake.spark, [
+        lambda name=name, rows=rows: replace_table(rows(), lake.path(f"marts/{name}"))
+        for name, rows in marts_now.items()
+    ])
+
+
+def detect_anomalies(
+    lake: Lake, dates: list[date | None], method: str, run_ts: datetime
+) -> None:
+    """Replace the anomaly table, scoring again only the series that changed."""
+    days = lake.day_table("repo_days")
+    touched = touched_keys(days, "repo_id", dates)
+    changed = marts.daily_repo_from_days(of_touched(days, "repo_id", touched))
+    found = with_touched_replaced(
+        lake.detected_anomalies(), anomalies(series(changed), method, run_ts), "repo_id", touched
     )
     replace_table(
-        marts.language_popularity(lake.daily_repo(), lake.dim_repo()),
-        lake.path("marts/mart_language_popularity"),
+        found.withColumn("run_timestamp", F.lit(run_ts).cast("timestamp")),
+        lake.path("analytics/detected_anomalies"),
     )
 
 
@@ -205,6 +251,5 @@ def run_hour(
     if failures and gate:
         record("FAILED")
         raise quality.QualityError(failures)
-    found = anomalies(series(lake.daily_repo()), method, run_ts)
-    replace_table(found, lake.path("analytics/detected_anomalies"))
+    detect_anomalies(lake, report.dates, method, run_ts)
     return record("SUCCESS")

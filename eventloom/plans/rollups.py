@@ -362,17 +362,23 @@ def repo_day_pushers(events: DataFrame) -> DataFrame:
     return pushes.select("repo_id", F.to_date("event_at").alias("event_date"), "actor_id").distinct()
 
 
-def repo_profile_from_days(
-    days: DataFrame, pushers: DataFrame, as_of: datetime, offset: int = STAR_OFFSET
-) -> DataFrame:
-    """The same rows as :func:`repo_profile`, from the per-day tables."""
-    known = days.filter(F.col("latest_named").isNotNull())
-    state = merge_repo_state(known, [*PROFILE, "latest_named"])
-    counted = pushers.groupBy("repo_id").agg(F.count_distinct("actor_id").alias("unique_pushers"))
-    joined = state.join(counted, "repo_id", "left")
-    filled = joined.withColumn("unique_pushers", F.coalesce("unique_pushers", F.lit(0)))
-    # A day without a repository id also holds events without any repository.
-    return profile_rows(filled, as_of, offset, newest="latest_named")
+def repo_totals(days: DataFrame, pushers: DataFrame) -> DataFrame:
+    """Every repository measure over all days; one row per repository."""
+    counted = pushers.groupBy(F.col("repo_id").alias("_repo")).agg(
+        F.count_distinct("actor_id").alias("_pushers")
+    )
+    state = merge_repo_state(days, REPO_DAY)
+    return (
+        state.join(counted, F.col("repo_id").eqNullSafe(F.col("_repo")), "left")
+        .withColumn("unique_pushers", F.coalesce("_pushers", F.lit(0))).drop("_repo", "_pushers")
+    )
+
+
+def profile_from_totals(totals: DataFrame, as_of: datetime, offset: int = STAR_OFFSET) -> DataFrame:
+    """The same rows as :func:`repo_profile`, from the totals per repository."""
+    # Events without any repository share the NULL key; they make no profile.
+    known = totals.filter(F.col("latest_named").isNotNull())
+    return profile_rows(known, as_of, offset, newest="latest_named")
 
 
 def newest_over(key: str) -> Column:

@@ -6,6 +6,10 @@ import os
 import tempfile
 import uuid
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -34,6 +38,15 @@ def pin(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def write_together(spark: SparkSession, writes: Iterable[Callable[[], object]], threads: int = 4) -> None:
+    """Run independent writes at the same time, so that the tail of one job does
+    not leave the cluster idle.  The first error is raised after all have ended."""
+    with ThreadPoolExecutor(threads) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]
+    for job in started:
+        job.result()
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the cluster's checkpoint folder.
 

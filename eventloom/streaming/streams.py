@@ -22,24 +22,37 @@ from eventloom.sources.feed import LANDING_ON_DISK, decode
 
 # Flush settings of the live consumer (fixed values).
 FLUSH_ROWS = 5000
+FLUSH_DELAY = "30s"
 FLUSH_INTERVAL = "30 seconds"
 
 
 def read_topic(
-    spark: SparkSession, servers: str, topic: str, max_rows: int | None = None, **options: str
+    spark: SparkSession, servers: str, topic: str,
+    flush_rows: int = FLUSH_ROWS, flush_delay: str = FLUSH_DELAY, **options: str
 ) -> DataFrame:
     """Messages of a Kafka topic from its beginning: key, value, received_at.
 
-    ``max_rows`` bounds a micro-batch over all topic partitions together.
+    A micro-batch starts once ``flush_rows`` messages wait or ``flush_delay``
+    has passed, and takes all that wait.  Needs Spark's Kafka package.
     """
-    reader = (
+    return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-        .option("startingOffsets", "earliest").options(**options)
+        .option("startingOffsets", "earliest")
+        .option("minOffsetsPerTrigger", flush_rows).option("maxTriggerDelay", flush_delay)
+        .options(**options).load()
+        .select("key", "value", F.col("timestamp").alias("received_at"))
     )
-    if max_rows:
-        reader = reader.option("maxOffsetsPerTrigger", max_rows)
-    return reader.load().select("key", "value", F.col("timestamp").alias("received_at"))
+
+
+def write_topic(
+    messages: DataFrame, servers: str, topic: str, checkpoint: str, interval: str | None = None
+) -> StreamingQuery:
+    """Send replayed messages (key, value) to a Kafka topic."""
+    writer = messages.writeStream.format("kafka").option(
+        "kafka.bootstrap.servers", servers
+    ).option("topic", topic)
+    return _start(writer, None, checkpoint, interval)
 
 
 def read_message_files(
@@ -84,7 +97,7 @@ def unreadable_messages(messages: DataFrame) -> DataFrame:
 
 
 def _start(
-    writer: DataStreamWriter, path: str, checkpoint: str, interval: str | None
+    writer: DataStreamWriter, path: str | None, checkpoint: str, interval: str | None
 ) -> StreamingQuery:
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start(path)

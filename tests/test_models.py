@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from eventloom.plans import marts, observe, quality, rollups, staging
 from eventloom.plans.staging import stage
 from eventloom.schemas import PIPELINE_METRICS
+from eventloom.session import stage_table
 from tests.conftest import event
 
 AS_OF = datetime(2024, 2, 1)
@@ -131,15 +132,31 @@ def test_profile_equals_the_six_joins(staged):
     assert as_set(profile.select(*joined.columns)) == as_set(joined)
 
 
-def test_profile_from_days_equals_profile_from_events(staged):
+def test_profile_from_totals_equals_profile_from_events(staged):
     events = staged(messy_events())
     direct = rollups.repo_profile(events, AS_OF)
-    merged = rollups.repo_profile_from_days(
-        rollups.repo_days(events), rollups.repo_day_pushers(events), AS_OF
-    )
+    totals = rollups.repo_totals(rollups.repo_days(events), rollups.repo_day_pushers(events))
+    merged = rollups.profile_from_totals(totals, AS_OF)
     assert as_set(merged.select(*direct.columns)) == as_set(direct)
 
 
+def test_marts_from_totals_equal_marts_from_daily_facts(staged):
+    events = staged(messy_events())
+    repos = stage_table(
+        rollups.repo_totals(rollups.repo_days(events), rollups.repo_day_pushers(events))
+    )
+    actors = stage_table(rollups.merge_actor_state(rollups.actor_days(events), rollups.DAILY_ACTOR))
+    daily = marts.daily_repo(events)
+    dim = rollups.repo_profile(events, AS_OF).withColumn("is_current", F.lit(True))
+    pairs = [
+        (marts.trending_from_totals(repos), marts.trending_repos(daily)),
+        (marts.contributors_from_totals(actors, 4), marts.active_contributors(marts.daily_actor(events), 4)),
+        (marts.languages_from_totals(repos, dim), marts.language_popularity(daily, dim)),
+    ]
+    for from_totals, from_daily in pairs:
+        assert as_set(from_totals) == as_set(from_daily)
+
+
 def test_actor_dimension_from_days_equals_from_events(staged):
     events = staged(messy_events())
     merged = rollups.merge_actor_state(rollups.actor_days(events), rollups.DAILY_ACTOR)

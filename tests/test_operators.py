@@ -110,7 +110,7 @@ def test_load_batch_twice_is_load_once(spark, tmp_path):
     assert (first.processed, first.inserted, first.rejected) == (7, 3, 3)
     assert first.dates == [date(2024, 1, 1), date(2024, 1, 2), None]
     second = load_batch(batch, raw_root, bad_root, datetime(2024, 2, 2))
-    assert (second.inserted, second.rejected, second.dates) == (0, 3, [])
+    assert (second.inserted, second.rejected, second.dates) == (0, 3, first.dates)
     more = load_batch(
         spark.createDataFrame([event(2), event(9)], RAW), raw_root, bad_root, datetime(2024, 2, 3)
     )

@@ -7,7 +7,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.plans import marts, rollups
+from eventloom.operators.anomaly import anomalies, series
+from eventloom.plans import marts, pipeline, rollups
 from eventloom.plans.pipeline import Lake, run_hour
 from eventloom.plans.quality import QualityError
 from eventloom.plans.staging import stg_raw_events
@@ -63,6 +64,16 @@ def test_hours_in_sequence(spark, tmp_path):
     assert brief(lake.mart("dim_actor")) == brief(marts.dim_actor(events))
     full = rollups.repo_profile(events, datetime(2024, 1, 6, 2, 5))
     assert brief(lake.mart("int_daily_repo_metrics_joined").select(*full.columns)) == brief(full)
+    daily = marts.daily_repo(events)
+    assert brief(lake.mart("mart_trending_repos")) == brief(marts.trending_repos(daily))
+    assert brief(lake.mart("mart_language_popularity")) == brief(
+        marts.language_popularity(daily, lake.dim_repo())
+    )
+    assert brief(lake.mart("mart_active_contributors")) == brief(
+        marts.active_contributors(marts.daily_actor(events))
+    )
+    found = anomalies(series(daily), "auto", datetime(2024, 1, 6, 2, 5))
+    assert brief(lake.detected_anomalies().select(*found.columns)) == brief(found)
     current = lake.dim_repo().filter("is_current")
     assert current.count() == full.count() == 6
     assert lake.dim_repo().filter(~F.col("is_current")).count() > 0
@@ -101,6 +112,23 @@ def test_failing_test_stops_the_run_after_recording_it(spark, tmp_path):
     assert (recorded.status, recorded.dbt_tests_passed, recorded.dbt_tests_failed) == ("SUCCESS", 42, 1)
 
 
+def test_rerun_finishes_what_a_crash_left_undone(spark, tmp_path, monkeypatch):
+    hour = datetime(2024, 1, 5, 7)
+    write_feed(tmp_path / "feed/2024-01-05-7.json.gz", hour_messages(hour, 12))
+
+    def crash(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(pipeline, "build_models", crash)
+        with pytest.raises(RuntimeError):
+            run(spark, tmp_path / "lake", tmp_path / "feed", hour, "r1")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    assert (lake.raw().count(), lake.day_table("repo_days").count()) == (12, 0)
+    assert run(spark, tmp_path / "lake", tmp_path / "feed", hour, "r1").rows_ingested == 12
+    assert lake.raw().count() == 12
+
+
 def test_hour_without_a_feed_file(spark, tmp_path):
     record = run(spark, tmp_path / "lake", tmp_path / "feed", datetime(2024, 1, 5, 7), "r1")
     assert (record.rows_ingested, record.status) == (0, "SUCCESS")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.timeparse import ISO_FORMAT, hour_partition, parse_event_ts
-from eventloom.schemas import CORRUPT, FEED_FIELDS, HOUR_PARTITIONS, LANDING, MAX_LENGTHS
+from eventloom.schemas import CORRUPT, FEED_FIELDS, LANDING, MAX_LENGTHS
 
 
 def normalize(df: DataFrame, on_bad_id: str = "drop", received_at: Column | None = None) -> DataFrame:
@@ -81,6 +81,3 @@ def split_corrupt(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
         feed.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("message")),
     )
 
-
-def partition_columns(landing: DataFrame) -> DataFrame:
-    return landing.select(*HOUR_PARTITIONS)

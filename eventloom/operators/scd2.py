@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventloom.sources.paths import latest_version, version_path
+from eventloom.sources.paths import expire_versions, latest_version, version_path
+from eventloom.sources.tables import KEEP_VERSIONS
 
 REPO_KEY = "repo_id"
 REPO_CHECKS = ["repo_name", "primary_language", "description", "star_count_bucket"]
@@ -100,13 +101,14 @@ def read_history(spark: SparkSession, root: str, schema: T.StructType) -> DataFr
 
 def snapshot_table(
     root: str, incoming: DataFrame, as_of: datetime,
-    key: str = REPO_KEY, checks: Sequence[str] = REPO_CHECKS,
+    key: str = REPO_KEY, checks: Sequence[str] = REPO_CHECKS, keep: int = KEEP_VERSIONS,
 ) -> int:
     """Run one snapshot into the table at ``root``; returns the version written.
 
     Versions closed by earlier runs are neither read nor rewritten.  The run is
     visible once its folder is committed; a failed run is overwritten by the
-    next attempt.
+    next attempt.  Open rows of runs before the newest ``keep`` are deleted;
+    closed rows stay.
     """
     spark = incoming.sparkSession
     schema = history_schema(incoming.schema, key, checks)
@@ -118,4 +120,5 @@ def snapshot_table(
         .drop("is_current")
         .write.mode("overwrite").partitionBy("state").parquet(version_path(root, version))
     )
+    expire_versions(spark, root, max(keep, 1), "/state=open")
     return version

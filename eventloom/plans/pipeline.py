@@ -6,7 +6,8 @@ import time
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.functions.calendar import dim_date
@@ -20,7 +21,7 @@ from eventloom.plans import marts, observe, quality, rollups, staging
 from eventloom.plans.incremental import (
     of_touched, read_day_table, refresh_days, touched_keys, with_touched_replaced,
 )
-from eventloom.schemas import DETECTED_ANOMALIES, DIM_REPO, PIPELINE_METRICS
+from eventloom.schemas import CORRUPT, DETECTED_ANOMALIES, DIM_REPO, PIPELINE_METRICS
 from eventloom.session import pin, write_together
 from eventloom.sources.feed import (
     feed_files, hour_key, land_batch, read_feed, read_landing,
@@ -110,10 +111,28 @@ def ingest_hours(lake: Lake, feed_dir: str, start: date, end: date, hour: int |
     files = feed_files(lake.spark, feed_dir, start, end, hour)
     if not files:
         return
-    good, bad = split_corrupt(read_feed(lake.spark, files))
+    unreadable = Observation()
+    feed = read_feed(lake.spark, files)
+    good, _ = split_corrupt(
+        feed.observe(unreadable, F.count_if(F.col(CORRUPT).isNotNull()).alias("n"))
+    )
     span = (_key(start, hour or 0), _key(end, 23 if hour is None else hour))
     land_batch(normalize(good), lake.path("landing"), span)
-    append_absent(bad, lake.path("quarantine/messages"), ["message"])
+    if _observed(unreadable) != 0:
+        _, bad = split_corrupt(feed)
+        append_absent(bad, lake.path("quarantine/messages"), ["message"])
+
+
+def _observed(observation: Observation) -> int | None:
+    """The observed count, or None when the plan that carried it was dropped.
+
+    Adaptive execution replaces a write by an empty one once it has seen that
+    no row is left (a replayed hour), and the metrics go with it.
+    """
+    try:
+        return observation.get["n"]
+    except Py4JJavaError:
+        return None
 
 
 def _key(day: date, hour: int) -> int:

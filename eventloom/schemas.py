@@ -52,7 +52,6 @@ DIM_REPO = _table(
     "repo_id bigint, repo_name string, primary_language string, description string,"
     " star_count_bucket string, valid_from timestamp, valid_to timestamp, is_current boolean"
 )
-CHECK_RESULTS = _table("test string, table string, column string, failures bigint, status string")
 
 # Text length limits of the warehouse columns (fixed values).
 MAX_LENGTHS = {

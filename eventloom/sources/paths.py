@@ -20,14 +20,26 @@ def list_files(spark: SparkSession, pattern: str) -> dict[str, str]:
     return {p.rsplit("/", 1)[-1]: p for p in _glob(spark, pattern)}
 
 
-def latest_version(spark: SparkSession, root: str) -> int:
-    """Newest committed version below ``root``; 0 when there is none.
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Committed versions below ``root``, oldest first.
 
     A version counts once the writer left its ``_SUCCESS`` marker, so a failed
     or running write is invisible.
     """
     marked = _glob(spark, f"{root}/v=*/_SUCCESS")
-    return max((int(p.rsplit("/", 2)[-2].split("=")[1]) for p in marked), default=0)
+    return sorted(int(p.rsplit("/", 2)[-2].split("=")[1]) for p in marked)
+
+
+def latest_version(spark: SparkSession, root: str) -> int:
+    """Newest committed version; 0 when there is none."""
+    return max(versions(spark, root), default=0)
+
+
+def expire_versions(spark: SparkSession, root: str, keep: int, part: str = "") -> None:
+    """Delete all but the newest ``keep`` committed versions, or one folder in them."""
+    for version in versions(spark, root)[:-keep]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{version_path(root, version)}{part}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def version_path(root: str, version: int) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventloom.sources.paths import exists, latest_version, version_path
+from eventloom.sources.paths import exists, expire_versions, latest_version, version_path
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -42,15 +42,20 @@ def contract_breaks(
     return df.withColumn("reason", reason.otherwise(None)).filter(F.col("reason").isNotNull())
 
 
-def replace_table(df: DataFrame, root: str) -> int:
+KEEP_VERSIONS = 5
+
+
+def replace_table(df: DataFrame, root: str, keep: int = KEEP_VERSIONS) -> int:
     """Write ``df`` as the next version of the table, also when it is empty.
 
     Readers keep the previous version until the new one is committed, and the
-    plan of ``df`` may read that previous version.
+    plan of ``df`` may read that previous version.  Versions beyond the newest
+    ``keep`` are deleted.
     """
     spark = df.sparkSession
     version = latest_version(spark, root) + 1
     df.write.mode("overwrite").parquet(version_path(root, version))
+    expire_versions(spark, root, max(keep, 1))
     return version
 
 

@@ -139,6 +139,27 @@ def test_uncommitted_version_is_invisible(spark, tmp_path):
     assert read_table(spark, str(tmp_path / "absent"), spark.range(1).schema).count() == 0
 
 
+def test_old_versions_expire(spark, tmp_path):
+    root = tmp_path / "t"
+    for n in range(1, 5):
+        replace_table(spark.range(n), str(root), keep=2)
+    assert sorted(p.name for p in root.iterdir()) == ["v=00000003", "v=00000004"]
+    assert read_latest(spark, str(root)).count() == 4
+
+
+def test_snapshot_keeps_closed_rows_when_old_runs_expire(spark, tmp_path):
+    root = str(tmp_path / "snap")
+    for day, language in enumerate(["Go", "C", "Go", "C"], start=1):
+        frame = spark.createDataFrame([(1, "a", language, "", "0-10")], PROFILE)
+        snapshot_table(root, frame, datetime(2024, 1, day), keep=1)
+    schema = history_schema(frame.schema, REPO_KEY, REPO_CHECKS)
+    rows = brief(read_history(spark, root, schema))
+    assert {(r[1], r[2].day, r[3] and r[3].day) for r in rows} == {
+        ("Go", 1, 2), ("C", 2, 3), ("Go", 3, 4), ("C", 4, None)
+    }
+    assert not (tmp_path / "snap/v=00000003/state=open").exists()
+
+
 PROFILE = "repo_id bigint, repo_name string, primary_language string, description string, star_count_bucket string"
 LOADS = [
     (datetime(2024, 1, 1), [(1, "a", "Go", None, "0-10"), (2, "b", "C", "x", "0-10"), (3, None, None, None, None)]),

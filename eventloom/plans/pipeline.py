@@ -77,9 +77,20 @@ class Lake:
     def metrics(self) -> DataFrame:
         return read_table(self.spark, self.path("observability/pipeline_metrics"), PIPELINE_METRICS)
 
-    def register_views(self) -> None:
-        """Every model as a temporary view, for SQL users."""
+    def register_views(self, as_of: datetime) -> None:
+        """Every model as a temporary view, for SQL users.
+
+        ``as_of`` is the time shown where a model falls back to the current time.
+        """
+        repos = self.totals("repos")
         views = {
+            "int_repo_watch_stats": rollups.watch_stats(repos, as_of),
+            "int_repo_push_stats": rollups.push_stats(repos),
+            "int_repo_issue_stats": rollups.issue_stats(repos),
+            "int_repo_pr_stats": rollups.pr_stats(repos),
+            "int_repo_languages": rollups.languages(repos),
+            "int_repo_descriptions": rollups.descriptions(repos),
+            "int_actor_activities": rollups.actor_activities(self.totals("actors")),
             "raw_events": self.raw(),
             "stg_raw_events": self.events().drop("event_date"),
             "stg_repos": staging.stg_repos(self.events()),

@@ -24,6 +24,7 @@ from eventloom.sources.feed import LANDING_ON_DISK, decode
 FLUSH_ROWS = 5000
 FLUSH_DELAY = "30s"
 FLUSH_INTERVAL = "30 seconds"
+DEDUPE_LANES = 16
 
 
 def read_topic(
@@ -147,16 +148,24 @@ def load_stream(
     )
 
 
-def dedupe_stream(landing: DataFrame, event_at: Column, delay: str = "2 hours") -> DataFrame:
+def dedupe_stream(
+    landing: DataFrame, event_at: Column, delay: str = "2 hours", lanes: int = DEDUPE_LANES
+) -> DataFrame:
     """Drop repeats of an id that arrive within ``delay`` of event time.
 
-    State is bounded by the watermark, so this only thins the stream; the keyed
-    load stays the exact guard.
+    Copies are first dropped per (id, lane), the lane being the task that read
+    them, so that one much repeated id is spread over ``lanes`` tasks; the
+    second step then sees at most ``lanes`` copies.  State is bounded by the
+    watermark, so this only thins the stream; the keyed load stays the exact
+    guard.
     """
-    return (
-        landing.withColumn("event_at", event_at).withWatermark("event_at", delay)
-        .dropDuplicatesWithinWatermark(["id"])
-    )
+    timed = landing.withColumn("event_at", event_at).withWatermark("event_at", delay)
+    if lanes > 1:
+        timed = (
+            timed.withColumn("_lane", F.spark_partition_id() % lanes)
+            .dropDuplicatesWithinWatermark(["id", "_lane"]).drop("_lane")
+        )
+    return timed.dropDuplicatesWithinWatermark(["id"])
 
 
 def daily_repo_stream(raw: DataFrame, delay: str = "2 hours") -> DataFrame:

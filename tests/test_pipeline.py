@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventloom.operators.anomaly import anomalies, series
-from eventloom.plans import marts, pipeline, rollups
+from eventloom.plans import marts, pipeline, rollups, staging
 from eventloom.plans.pipeline import Lake, run_hour
 from eventloom.plans.quality import QualityError
 from eventloom.plans.staging import stg_raw_events
@@ -90,7 +90,19 @@ def test_hours_in_sequence(spark, tmp_path):
     }
     assert lake.metrics().count() == 4
 
-    lake.register_views()
+    as_of = datetime(2024, 2, 1)
+    lake.register_views(as_of)
+    for view, direct in {
+        "int_repo_watch_stats": rollups.repo_watch_stats(events, as_of),
+        "int_repo_push_stats": rollups.repo_push_stats(events),
+        "int_repo_issue_stats": rollups.repo_issue_stats(events),
+        "int_repo_pr_stats": rollups.repo_pr_stats(events),
+        "int_repo_languages": rollups.repo_languages(events),
+        "int_repo_descriptions": rollups.repo_descriptions(events),
+        "int_actor_activities": rollups.actor_rollup(events),
+        "stg_repos": staging.stg_repos(events),
+    }.items():
+        assert brief(spark.table(view).select(*direct.columns)) == brief(direct)
     top = spark.sql("select repo_id from mart_trending_repos where rank_total = 1").collect()
     assert {r.repo_id for r in top} == {0, 1, 2, 3, 4}
     assert spark.sql("select count(*) from stg_push_events").first()[0] == 15

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from eventloom.functions.timeparse import parse_event_ts
@@ -96,10 +97,12 @@ def stream_rows(spark, tmp_path, batches):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder), folder
 
 
-def test_stream_dedupe(spark, tmp_path):
+@pytest.mark.parametrize("lanes", [1, 16])
+def test_stream_dedupe(spark, tmp_path, lanes):
     stream, _ = stream_rows(spark, tmp_path, [[event(1), event(1), event(2)], [event(2), event(3, at=None)]])
     out = str(tmp_path / "out")
-    streams.dedupe_stream(stream, parse_event_ts(F.col("created_at"))).select("id").writeStream.format(
+    event_at = parse_event_ts(F.col("created_at"))
+    streams.dedupe_stream(stream, event_at, lanes=lanes).select("id").writeStream.format(
         "parquet"
     ).option("checkpointLocation", f"{out}-progress").trigger(availableNow=True).start(out).awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2, 3]

@@ -15,12 +15,18 @@ SALTS = 32
 def _block(value: Column) -> Column:
     """A coarse bucket that grows with the value.
 
-    64 buckets per power of two and sign, so a double falls into one of at most
-    2 * 64 * 1024 + 1 buckets; NULL sorts before everything in a descending rank.
+    64 buckets per power of two and sign, so a finite double falls into one of at
+    most 2 * 64 * 1024 + 1 buckets.  In descending order NULL comes first, then
+    NaN and infinity.
     """
     v = value.cast("double")
-    coarse = F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * 64)
-    return F.coalesce(coarse.cast("bigint"), F.lit(1 << 40))
+    top = F.lit(1 << 40)
+    return (
+        F.when(v.isNull(), top)
+        .when(F.isnan(v) | (v == float("inf")), top - 1)
+        .when(v == float("-inf"), -top)
+        .otherwise((F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * 64)).cast("bigint"))
+    )
 
 
 def _ranked_values(values: DataFrame) -> DataFrame:

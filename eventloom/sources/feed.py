@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.functions.calendar import hour_grid
-from eventloom.schemas import CORRUPT, FEED_FIELDS, FEED_WITH_CORRUPT, HOUR_PARTITIONS, LANDING
+from eventloom.schemas import (
+    CORRUPT, FEED, FEED_FIELDS, FEED_WITH_CORRUPT, HOUR_PARTITIONS, LANDING,
+)
 from eventloom.sources.paths import exists, list_files
 
 # Read partition values as numbers: ``month=8`` and ``month=08`` are one month.
@@ -25,6 +27,17 @@ def feed_files(spark: SparkSession, feed_dir: str, start, end, hour: int | None
     return [present[name] for name in wanted if name in present]
 
 
+def json_object(text: Column, schema: T.StructType) -> Column:
+    """The members of ``text`` if it is exactly one JSON object, else NULL.
+
+    Parsed as the only element of an array, because Spark's parser stops after
+    the first value and would accept whatever follows it.
+    """
+    wrapped = F.concat(F.lit("["), text, F.lit("]"))
+    values = F.from_json(wrapped, T.ArrayType(schema), {"allowSingleQuotes": "false"})
+    return F.when(text.rlike(r"^\s*\{") & (F.size(values) == 1), values[0])
+
+
 def decode(messages: DataFrame, value: Column) -> DataFrame:
     """Messages carried as bytes or text, parsed into :data:`FEED_WITH_CORRUPT`.
 
@@ -32,13 +45,11 @@ def decode(messages: DataFrame, value: Column) -> DataFrame:
     ``_corrupt``.  Other columns of ``messages`` are kept.
     """
     text = F.try_validate_utf8(value.cast("string"))
-    parsed = F.from_json(
-        text, FEED_WITH_CORRUPT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    )
-    readable = F.coalesce(text.rlike(r"^\s*\{"), F.lit(False)) & F.col(f"_message.{CORRUPT}").isNull()
-    return messages.withColumn("_message", parsed).select(
+    return messages.withColumn("_message", json_object(text, FEED)).select(
         *[F.col(f"_message.{name}") for name in FEED_FIELDS],
-        F.when(~readable, F.coalesce(text, F.base64(value.cast("binary")))).alias(CORRUPT),
+        F.when(
+            F.col("_message").isNull(), F.coalesce(text, F.base64(value.cast("binary")))
+        ).alias(CORRUPT),
         *[c for c in messages.columns if c != "value"],
     )
 

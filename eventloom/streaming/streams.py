@@ -12,13 +12,14 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 from eventloom.functions.jsonfields import with_repo
 from eventloom.operators.load import load_batch
 from eventloom.operators.normalize import normalize, split_corrupt
 from eventloom.plans.staging import stg_raw_events
-from eventloom.schemas import HOUR_PARTITIONS
-from eventloom.sources.feed import LANDING_ON_DISK, decode
+from eventloom.schemas import FEED, HOUR_PARTITIONS
+from eventloom.sources.feed import LANDING_ON_DISK, decode, json_object
 
 # Flush settings of the live consumer (fixed values).
 FLUSH_ROWS = 5000
@@ -81,10 +82,11 @@ def replay_messages(lines: DataFrame) -> DataFrame:
     set by the files per trigger of the source, not by sleeping.
     """
     text = F.trim("value")
-    event_id = F.get_json_object(text, "$.id")
-    return lines.filter(
-        text.startswith("{") & F.try_parse_json(text).isNotNull()
-    ).select(F.when(F.length(event_id) > 0, event_id).alias("key"), text.alias("value"))
+    found = lines.withColumn("_message", json_object(text, StructType([FEED["id"]])))
+    event_id = F.col("_message.id")
+    return found.filter(F.col("_message").isNotNull()).select(
+        F.when(F.length(event_id) > 0, event_id).alias("key"), text.alias("value")
+    )
 
 
 def landing_rows(messages: DataFrame) -> DataFrame:

@@ -86,11 +86,16 @@ def test_stream_normalize_keeps_bad_ids_under_a_stable_key(spark, tmp_path):
 
 
 def test_decode_quarantines_what_is_not_an_object(spark):
-    values = [b'{"id": "1", "type": "WatchEvent"}', b"[1,2]", b"nope", b"\xff\xfe", b'"text"', b"3"]
+    values = [
+        b'{"id": "1", "type": "WatchEvent"}', b"[1,2]", b"nope", b"\xff\xfe", b'"text"', b"3", b"null",
+        b'{"id": "2"} more', b'{"id": "2"}{"id": "3"}', b'{"id": "2"},{"id": "3"}', b"{'id': '4'}",
+        b'{"id": "5", "actor": {"id": 1}, "actor": {"id": 2}}', b'{"id": "6", "payload": [1,',
+    ]
     df = spark.createDataFrame([(bytearray(v),) for v in values], "value binary")
     good, bad = split_corrupt(decode(df, F.col("value")))
-    assert [r.id for r in good.collect()] == ["1"]
-    assert bad.count() == 5
+    rows = good.orderBy("id").collect()
+    assert [(r.id, r.actor) for r in rows] == [("1", None), ("5", '{"id":2}')]
+    assert bad.count() == len(values) - 2
 
 
 def test_quarantine_split_reasons(spark):

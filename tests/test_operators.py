@@ -59,10 +59,11 @@ def test_global_rank_equals_window(spark, values, broadcast_rows):
 
 
 def test_global_rank_of_doubles(spark):
-    values = [0.5, 0.25, 0.5, -3.0, 1e300, 1e-9, 0.0]
+    inf, nan = float("inf"), float("nan")
+    values = [0.5, 0.25, 0.5, -3.0, 1e300, 1e-9, 0.0, inf, -inf, nan, None, -0.0]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v double")
     rows = global_rank(df, {"v": "r"}).orderBy("id").collect()
-    assert [r.r for r in rows] == [2, 4, 2, 7, 1, 5, 6]
+    assert [r.r for r in rows] == [5, 7, 5, 11, 4, 8, 9, 3, 12, 2, 1, 9]
 
 
 @pytest.mark.parametrize("k, expected", [(1, [0, 1]), (2, [0, 1]), (3, [0, 1, 2]), (4, [0, 1, 2, 3, 4, 5])])

@@ -73,17 +73,17 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     """Land a topic continuously, unreadable messages aside."""
     lake = Lake(spark, args.lake)
     messages = streams.read_topic(spark, args.servers, args.topic)
-    for start, name in ((streams.land_stream, "landing_stream"), (streams.quarantine_stream, "quarantine/stream")):
-        start(messages, lake.path(name), f"{args.checkpoint}/{name}")
+    streams.land_stream(messages, lake.path("landing_stream"), f"{args.checkpoint}/landing")
+    streams.quarantine_stream(messages, lake.path("quarantine/stream"), f"{args.checkpoint}/quarantine")
     spark.streams.awaitAnyTermination()
 
 
 def stream_load(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Load what the stream landed so far, whatever hour it belongs to."""
+    """Load what the stream landed so far, whatever hour it belongs to, and refresh the models."""
     lake = Lake(spark, args.lake)
     streams.load_stream(
         spark, lake.path("landing_stream"), lake.path("raw/events"), lake.path("quarantine/rows"),
-        args.checkpoint, now(),
+        args.checkpoint, now(), on_loaded=lambda report: build_models(lake, report.dates, now()),
     ).awaitTermination()
 
 

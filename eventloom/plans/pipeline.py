@@ -42,6 +42,12 @@ class Lake:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def landing(self) -> DataFrame:
+        """Everything landed, by batches and by the stream (each has its own folder)."""
+        return read_landing(self.spark, self.path("landing")).unionByName(
+            read_landing(self.spark, self.path("landing_stream"))
+        )
+
     def raw(self) -> DataFrame:
         return read_table(self.spark, self.path("raw/events"), RAW_ON_DISK)
 
@@ -153,7 +159,7 @@ def _key(day: date, hour: int) -> int:
 def load_hours(lake: Lake, first: datetime, last: datetime, run_ts: datetime) -> LoadReport:
     """Load the landed hours from ``first`` to ``last``, both included."""
     span = (_key(first.date(), first.hour), _key(last.date(), last.hour))
-    batch = read_landing(lake.spark, lake.path("landing")).filter(hour_key().between(*span))
+    batch = lake.landing().filter(hour_key().between(*span))
     return load_batch(batch, lake.path("raw/events"), lake.path("quarantine/rows"), run_ts)
 
 

@@ -7,6 +7,7 @@ a restart neither loses nor repeats rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from eventloom.functions.jsonfields import with_repo
-from eventloom.operators.load import load_batch
+from eventloom.operators.load import LoadReport, load_batch
 from eventloom.operators.normalize import normalize, split_corrupt
 from eventloom.plans.staging import stg_raw_events
 from eventloom.schemas import FEED, HOUR_PARTITIONS
@@ -129,11 +130,14 @@ def quarantine_stream(
 def load_stream(
     spark: SparkSession, landing_root: str, raw_root: str, quarantine_root: str, checkpoint: str,
     loaded_at: datetime, interval: str | None = None, max_files: int = 1000,
+    on_loaded: Callable[[LoadReport], None] | None = None,
 ) -> StreamingQuery:
     """Load every landed file, whatever hour it belongs to, exactly once by key.
 
     A micro-batch that is repeated after a failure inserts nothing again,
-    because the insert itself is keyed.
+    because the insert itself is keyed.  ``on_loaded`` gets each report, for
+    instance to refresh the days it names; it is repeated with its batch.  Run
+    one loader of a table at a time.
     """
     landed = (
         spark.readStream.schema(LANDING_ON_DISK).option("maxFilesPerTrigger", max_files)
@@ -141,7 +145,9 @@ def load_stream(
     )
 
     def load(batch: DataFrame, _: int) -> None:
-        load_batch(batch, raw_root, quarantine_root, loaded_at)
+        report = load_batch(batch, raw_root, quarantine_root, loaded_at)
+        if on_loaded:
+            on_loaded(report)
 
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (

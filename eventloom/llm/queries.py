@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventloom.llm import exact_dedup, mixing
+from eventloom.llm import bpe, chat, exact_dedup, mixing, quality
 from eventloom.llm.common import table
 from eventloom.session import pin
 
@@ -31,6 +33,32 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_chat", chat.SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.chat_digest(chat.format_chats(rows))
+
+
+@query("op7_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+@query("op8_bpe")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(VOCABULARY)
+    ids = bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return bpe.token_digest(bpe.decode_documents(ids, path))
+
+
 @query("op10_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
   doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, chat, exact_dedup, mixing, quality
+from eventloom.llm import bpe, chat, exact_dedup, minhash, mixing, quality
 from eventloom.llm.common import table
 from eventloom.session import pin
 
@@ -33,6 +33,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_near_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_decisions(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 @query("op5_chat", chat.SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"

@@ -195,3 +195,33 @@ def shingle_hashes(word_hash: np.ndarray, first: np.ndarray, count: np.ndarray,
         step = h * np.uint64(0x9FB21C651E98DF25) + word_hash[np.where(live, start + j, 0)] if total else h
         h = np.where(live, mix(step), h)
     return h, n
+
+
+def group_starts(rows: pa.Table | pa.RecordBatch, by: list[str]) -> np.ndarray:
+    """Which rows begin a group, in rows sorted by whole-number columns."""
+    new = np.zeros(rows.num_rows, dtype=bool)
+    new[:1] = True
+    for name in by:
+        values = rows.column(name).to_numpy(zero_copy_only=False) if isinstance(rows, pa.RecordBatch) else rows.column(name).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return new
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.RecordBatch]:
+    """Sorted batches cut anew, so that no group stands in two of them."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held:
+            edge = pa.concat_batches([held[-1].slice(held[-1].num_rows - 1), batch.slice(0, 1)])
+            if group_starts(edge, by)[1]:
+                yield pa.concat_batches(held)
+                held = []
+        last = int(np.flatnonzero(group_starts(batch, by))[-1])
+        if last:
+            yield pa.concat_batches([*held, batch.slice(0, last)])
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield pa.concat_batches(held)

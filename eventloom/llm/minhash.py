@@ -13,8 +13,8 @@ Copies and hot buckets.  Documents with equal sets are one class from the start.
 bucket is never turned into all its pairs:
 
 1. every member is paired with the bucket's smallest member only (linear);
-2. where a bucket still holds several components, every member outside the largest is
-   paired with its nearest member of another component, twice (linear);
+2. where a bucket still holds several components, every member is paired with its
+   nearest member of another component (linear), again while that closes half of them;
 3. what is left, that is pairs within T between different components, is checked in full.
 
 Pairs inside one component need no check, since they cannot change the components.  A
@@ -34,12 +34,13 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import SpanHash, blocks, bytes_of, fold, mix, pin_batches, shingle_hashes, spaced, text_of, words
+from eventloom.llm.common import (
+    SpanHash, blocks, bytes_of, fold, group_starts, mix, pin_batches, shingle_hashes, spaced, text_of, whole_groups, words,
+)
 from eventloom.llm.components import components
 from eventloom.session import stage_table
 
@@ -186,25 +187,51 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
     )
 
 
+PAIR_ROWS = 1 << 16
+
+
+def _expanded(sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All ordered pairs (i, j) inside groups of the given sizes, some at a time, by i."""
+    starts = np.cumsum(sizes) - sizes
+    width, first = np.repeat(sizes, sizes), np.repeat(starts, sizes)
+    ends = np.cumsum(width)
+    row = 0
+    while row < len(width):
+        base = ends[row - 1] if row else 0
+        stop = max(row + 1, int(np.searchsorted(ends, base + PAIR_ROWS, side="right")))
+        w = width[row:stop]
+        i = np.repeat(np.arange(row, stop), w)
+        yield i, np.arange(len(i)) - np.repeat(np.cumsum(w) - w, w) + first[i]
+        row = stop
+
+
 def _crossing(bound: int, nearest: bool):
-    """Pairs within the bound between different components of one bucket (slice pair)."""
-    def pairs(members: pd.DataFrame) -> pd.DataFrame:
-        rep, label = members["rep"].to_numpy(), members["label"].to_numpy()
-        left, right = members["left"].to_numpy(), members["right"].to_numpy()
-        rows = _matrix(members["signature"])
-        kinds, counts = np.unique(label, return_counts=True)
-        outside = np.flatnonzero(left & (label != kinds[counts.argmax()]))
-        if members["apart"].iloc[0]:  # two slices: the left one against the right one
-            outside = np.flatnonzero(left)
-        others = np.flatnonzero(right)
-        a, b = [], []
-        for i in outside:
-            apart = (rows[others] != rows[i]).sum(axis=1)
-            apart[label[others] == label[i]] = HASHES + 1
-            hits = others[apart <= bound] if not nearest else others[[apart.argmin()]][apart.min(keepdims=True) <= bound]
-            a.append(np.minimum(rep[i], rep[hits]))
-            b.append(np.maximum(rep[i], rep[hits]))
-        return pd.DataFrame({"a": np.concatenate(a or [rep[:0]]), "b": np.concatenate(b or [rep[:0]])})
+    """Pairs within the bound between different components of one bucket (or slice pair).
+
+    Buckets arrive sorted, as runs of rows.  With ``nearest`` every member gives its
+    nearest partner only.
+    """
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in whole_groups(batches, ["key", "x", "y"]):
+            group = np.cumsum(group_starts(run, ["key", "x", "y"])) - 1
+            rep, label = (run.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "label"))
+            left, right = (run.column(c).to_numpy(zero_copy_only=False) for c in ("left", "right"))
+            rows = _matrix(run.column("signature"))
+            for i, j in _expanded(np.bincount(group)):
+                wanted = left[i] & right[j] & (label[i] != label[j])
+                i, j = i[wanted], j[wanted]
+                if not len(i):
+                    continue
+                apart = (rows[i] != rows[j]).sum(axis=1)
+                if nearest:
+                    starts = np.flatnonzero(np.diff(i, prepend=-1))
+                    least = np.repeat(np.minimum.reduceat(apart, starts), np.diff(starts, append=len(i)))
+                    first = np.lexsort((j, apart != least, i))[starts]
+                    i, j, apart = i[first], j[first], apart[first]
+                close = apart <= bound
+                a, b = rep[i[close]], rep[j[close]]
+                found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
     return pairs
 
@@ -224,7 +251,7 @@ def _unresolved(shared: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFr
     ))
     cut = open_.withColumn("mine", mine).withColumn("pair", F.explode(pairs)).select(
         "key", "rep", "label", "pair.x", "pair.y", (F.col("mine") == F.col("pair.x")).alias("left"),
-        (F.col("mine") == F.col("pair.y")).alias("right"), (F.col("pair.x") != F.col("pair.y")).alias("apart"),
+        (F.col("mine") == F.col("pair.y")).alias("right"),
     )
     return cut.join(reps.select("rep", "signature"), "rep")
 
@@ -245,20 +272,25 @@ def near_links(docs: DataFrame, signed: DataFrame, k: int, percent: int) -> Data
         .filter("center < top").drop("top"),
         "near-shared",
     )
-    found, labels = None, None
-    for step in ("star", "nearest", "nearest", "all"):
-        if step == "star":
-            pairs = shared.filter("center < rep").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
-        else:
-            open_ = stage_table(_unresolved(shared, labels, reps), "near-open")
-            if open_.isEmpty():
-                break
-            pairs = open_.groupBy("key", "x", "y").applyInPandas(
-                _crossing(bound, step == "nearest"), "a long, b long"
-            ).distinct()
+    star = shared.filter("center < rep").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
+    found = stage_table(_confirmed(_near(star, reps, bound, percent), docs, k, percent), "near-links")
+    labels, before, nearest = components(found), None, True
+    while True:
+        open_ = stage_table(_unresolved(shared, labels, reps), "near-open")
+        rows = open_.count()
+        if not rows:
+            break
+        # Nearest partners only, as long as that closes half of what is open; then all.
+        nearest = nearest and (before is None or 2 * rows < before)
+        pairs = (
+            open_.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+            .mapInArrow(_crossing(bound, nearest), "a long, b long").distinct()
+        )
         linked = _confirmed(_near(pairs, reps, bound, percent), docs, k, percent)
-        found = stage_table(linked if found is None else found.unionByName(linked), "near-links")
-        labels = components(found)
+        found = stage_table(found.unionByName(linked), "near-links")
+        labels, before = components(found), rows
+        if not nearest:
+            break
     return labels
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, chat, exact_dedup, minhash, mixing, quality
+from eventloom.llm import bpe, chat, exact_dedup, fingerprints, lattice, minhash, mixing, quality
 from eventloom.llm.common import table
 from eventloom.session import pin
 
@@ -33,6 +33,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_lattice")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.lattice_scores(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op4_near_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_decisions(table(spark, sf_dir, "documents"), k=3, percent=85)
@@ -49,6 +54,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.format_chats(rows))
 
 
+@query("op6_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query("op7_quality")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, chat, exact_dedup, fingerprints, lattice, minhash, mixing, quality
+from eventloom.llm import bpe, chat, exact_dedup, fingerprints, lattice, minhash, mixing, quality, suffix_dedup
 from eventloom.llm.common import table
 from eventloom.session import pin
 
@@ -33,6 +33,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_digest(suffix_dedup.without_repeats(table(spark, sf_dir, "documents")))
+
+
 @query("op3_lattice")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.lattice_scores(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, chat, exact_dedup, fingerprints, lattice, minhash, mixing, quality, suffix_dedup
+from eventloom.llm import bpe, chat, exact_dedup, extract, fingerprints, lattice, minhash, mixing, quality, suffix_dedup
 from eventloom.llm.common import table
 from eventloom.session import pin
 
@@ -79,6 +79,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digest(bpe.decode_documents(ids, path))
 
 
+@query("op9_extract")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.main_texts(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 @query("op10_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
   doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256

@@ -7,7 +7,8 @@ standard deviations above the mean at the link threshold.  The signature is spli
 ``m`` chunks with ``2 * m > T``: by the pigeonhole principle two signatures within T
 differ in at most one symbol of some chunk, so the chunk without one of its symbols,
 for each symbol, is a key; *every* pair within T shares a key.  Keys carry 64-bit
-hashes, candidates are compared on whole signatures, then confirmed on full sets.
+hashes; candidates are compared on whole signatures, or on a longer sketch of 8-bit
+symbols where buckets are crowded, and confirmed on full sets.
 
 Copies and hot buckets.  Documents with equal sets are one class from the start.  A
 bucket is never turned into all its pairs:
@@ -15,7 +16,7 @@ bucket is never turned into all its pairs:
 1. every member is paired with the bucket's smallest member only (linear);
 2. where a bucket still holds several components, every member is paired with its
    nearest member of another component (linear), again while that closes half of them;
-3. what is left, that is pairs within T between different components, is checked in full.
+3. what is left, that is close pairs between different components, is checked in full.
 
 Pairs inside one component need no check, since they cannot change the components.  A
 bucket of more than ``SLICE`` members is compared slice against slice, so that no task
@@ -45,16 +46,26 @@ from eventloom.llm.components import components
 from eventloom.session import stage_table
 
 HASHES = 64
+# Symbols of 8 bits of the longer sketch that members of open buckets are compared on.
+SKETCH = 512
 SLICE = 4096
+# Members of buckets of this size or more carry the whole sketch, others one bit a symbol.
+CROWD = 32
 _HASH = SpanHash()
 _ODD = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 _ADD = mix(np.arange(1001, 1001 + HASHES, dtype=np.uint64))
+_ODD_32 = (mix(np.arange(2001, 2001 + SKETCH, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_ADD_32 = (mix(np.arange(4001, 4001 + SKETCH, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
 
-def distance_bound(percent: int) -> int:
-    """The largest signature distance that counts, for a link threshold in percent."""
-    j = percent / 100
-    return min(HASHES - 1, math.ceil(HASHES * (1 - j) + 4 * math.sqrt(HASHES * j * (1 - j))))
+def distance_bound(percent: int, symbols: int = HASHES, bits: bool = False) -> int:
+    """The largest distance that counts, for a link threshold in percent.
+
+    Four standard deviations above the mean distance at the threshold; single bits
+    differ half as often as symbols.
+    """
+    apart = (1 - percent / 100) / (2 if bits else 1)
+    return min(symbols - 1, math.ceil(symbols * apart + 4 * math.sqrt(symbols * apart * (1 - apart))))
 
 
 def key_sets(bound: int) -> list[tuple[int, ...]]:
@@ -95,26 +106,38 @@ def signatures(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketches(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A row of ``SKETCH`` 8-bit symbols per set, of other hash functions."""
+    out = np.zeros((len(sizes), SKETCH), dtype=np.uint8)
+    full = sizes > 0
+    starts = (np.cumsum(sizes) - sizes)[full]
+    if len(starts):
+        short = (mix(shingles) >> np.uint64(32)).astype(np.uint32)
+        for j in range(SKETCH):
+            least = np.minimum.reduceat(short * _ODD_32[j] + _ADD_32[j], starts)
+            out[full, j] = ((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
+    return out
+
+
 def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(values, dtype=np.uint64)])
     ends = np.cumsum(sizes)
     return (total[ends] - total[ends - sizes]).view(np.int64)
 
 
-SIGNED = "doc_id long, n_shingles long, s1 long, s2 long, signature binary"
+SIGNED = "doc_id long, n_shingles long, s1 long, s2 long, signature binary, sketch binary"
 
 
 def _signer(k: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             shingles, sizes = shingle_sets(block.column("text"), k)
-            raw = signatures(shingles, sizes).tobytes()
-            width = 2 * HASHES
+            rows = [signatures(shingles, sizes), sketches(shingles, sizes)]
             yield pa.RecordBatch.from_arrays([
                 block.column("doc_id"), pa.array(sizes.astype(np.int64)),
                 pa.array(_sums(mix(shingles), sizes)), pa.array(_sums(mix(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)), sizes)),
-                pa.array([raw[i:i + width] for i in range(0, len(raw), width)], pa.binary()),
-            ], names=["doc_id", "n_shingles", "s1", "s2", "signature"])
+                *(pa.array([r.tobytes() for r in row], pa.binary()) for row in rows),
+            ], names=["doc_id", "n_shingles", "s1", "s2", "signature", "sketch"])
 
     return sign
 
@@ -191,69 +214,114 @@ PAIR_ROWS = 1 << 16
 
 
 def _expanded(sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All ordered pairs (i, j) inside groups of the given sizes, some at a time, by i."""
-    starts = np.cumsum(sizes) - sizes
-    width, first = np.repeat(sizes, sizes), np.repeat(starts, sizes)
-    ends = np.cumsum(width)
+    """All pairs i < j inside groups of the given sizes, some at a time."""
+    ends = np.repeat(np.cumsum(sizes), sizes)
+    later = ends - np.arange(len(ends)) - 1
+    done = np.cumsum(later)
     row = 0
-    while row < len(width):
-        base = ends[row - 1] if row else 0
-        stop = max(row + 1, int(np.searchsorted(ends, base + PAIR_ROWS, side="right")))
-        w = width[row:stop]
-        i = np.repeat(np.arange(row, stop), w)
-        yield i, np.arange(len(i)) - np.repeat(np.cumsum(w) - w, w) + first[i]
+    while row < len(later):
+        base = done[row - 1] if row else 0
+        stop = max(row + 1, int(np.searchsorted(done, base + PAIR_ROWS, side="right")))
+        n = later[row:stop]
+        i = np.repeat(np.arange(row, stop), n)
+        yield i, i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
         row = stop
 
 
-def _crossing(bound: int, nearest: bool):
-    """Pairs within the bound between different components of one bucket (or slice pair).
+def _nearest(i: np.ndarray, j: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs in either direction the nearest partner of each member."""
+    one, two, apart = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([apart, apart])
+    order = np.lexsort((two, apart, one))
+    first = order[np.diff(one[order], prepend=-1) != 0]
+    return one[first], two[first]
+
 
-    Buckets arrive sorted, as runs of rows.  With ``nearest`` every member gives its
-    nearest partner only.
+def _crossing(percent: int, nearest: bool):
+    """Pairs close enough to link between different components of one bucket.
+
+    Buckets (or slice pairs) arrive sorted, as runs of rows.  Pairs are compared on one
+    bit of each sketch symbol first, then on whole symbols.  With ``nearest`` every
+    member gives its nearest partner only.
     """
+    bound, bit_bound = distance_bound(percent, SKETCH), distance_bound(percent, SKETCH, bits=True)
+
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in whole_groups(batches, ["key", "x", "y"]):
             group = np.cumsum(group_starts(run, ["key", "x", "y"])) - 1
-            rep, label = (run.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "label"))
-            left, right = (run.column(c).to_numpy(zero_copy_only=False) for c in ("left", "right"))
-            rows = _matrix(run.column("signature"))
+            rep, label, left, right, n = (
+                run.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "label", "left", "right", "n_shingles")
+            )
+            bits = np.frombuffer(b"".join(run.column("bits").to_pylist()), dtype=np.uint64).reshape(-1, SKETCH // 64)
+            crowded = run.column("sketch").is_valid().to_numpy(zero_copy_only=False)
+            rows = np.frombuffer(b"".join(run.column("sketch").drop_null().to_pylist()), dtype=np.uint8).reshape(-1, SKETCH)
+            at = np.cumsum(crowded) - 1
+            kept = []
             for i, j in _expanded(np.bincount(group)):
-                wanted = left[i] & right[j] & (label[i] != label[j])
+                wanted = (label[i] != label[j]) & (left[i] & right[j] | right[i] & left[j])
                 i, j = i[wanted], j[wanted]
-                if not len(i):
-                    continue
-                apart = (rows[i] != rows[j]).sum(axis=1)
+                close = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+                i, j = i[close], j[close]
+                apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1)
+                close = apart <= bit_bound
+                i, j, apart = i[close], j[close], apart[close]
+                full = np.flatnonzero(crowded[i])
+                apart[full] = (rows[at[i[full]]] != rows[at[j[full]]]).sum(axis=1)
+                close = apart <= np.where(crowded[i], bound, bit_bound)
+                if close.any():
+                    kept.append((i[close], j[close], apart[close].astype(np.int64)))
+            if kept:
+                i, j, apart = (np.concatenate(c) for c in zip(*kept))
                 if nearest:
-                    starts = np.flatnonzero(np.diff(i, prepend=-1))
-                    least = np.repeat(np.minimum.reduceat(apart, starts), np.diff(starts, append=len(i)))
-                    first = np.lexsort((j, apart != least, i))[starts]
-                    i, j, apart = i[first], j[first], apart[first]
-                close = apart <= bound
-                a, b = rep[i[close]], rep[j[close]]
-                found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+                    i, j = _nearest(i, j, apart)
+                found = np.unique(np.stack([np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])], axis=1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
     return pairs
 
 
-def _unresolved(shared: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
-    """Members of buckets with several components, cut into slice pairs."""
+def _open_members(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets that hold several components."""
     of = labels.select(F.col("id").alias("rep"), F.col("component").alias("label"))
     known = shared.join(of, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     bucket = Window.partitionBy("key")
-    open_ = known.withColumn("lo", F.min("label").over(bucket)).withColumn("hi", F.max("label").over(bucket)).withColumn(
+    return known.withColumn("lo", F.min("label").over(bucket)).withColumn("hi", F.max("label").over(bucket)).withColumn(
         "n", F.count("*").over(bucket)
     ).filter("lo < hi")
+
+
+def _sketches_of(members: DataFrame, reps: DataFrame, signed: DataFrame) -> DataFrame:
+    """``rep, n_shingles, sketch, bits`` of the documents in open buckets.
+
+    Buckets only close from round to round, so one table serves all rounds.
+    """
+    keys = ["rep", "s1", "s2", "n_shingles"]
+    wanted = reps.select(*keys).join(members.select("rep").distinct(), "rep", "left_semi")
+    rows = signed.select(F.col("doc_id").alias("rep"), "s1", "s2", "n_shingles", "sketch").join(wanted, keys, "left_semi")
+
+    def with_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = batch.column("sketch").to_pylist()
+            low = np.packbits(np.frombuffer(b"".join(raw), dtype=np.uint8).reshape(-1, SKETCH) & 1, axis=1)
+            yield batch.append_column("bits", pa.array([r.tobytes() for r in low], pa.binary()))
+
+    found = rows.select("rep", "n_shingles", "sketch").mapInArrow(
+        with_bits, "rep long, n_shingles long, sketch binary, bits binary"
+    )
+    return stage_table(found.dropDuplicates(["rep", "n_shingles"]), "near-sketches")
+
+
+def _unresolved(open_: DataFrame, sketches_: DataFrame) -> DataFrame:
+    """Members of open buckets with their sketches, cut into slice pairs."""
     slices = F.ceil(F.col("n") / SLICE).cast("int")
     mine = F.pmod(F.xxhash64("rep"), slices).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), slices - 1), lambda s: F.struct(
         F.least(s, mine).alias("x"), F.greatest(s, mine).alias("y")
     ))
     cut = open_.withColumn("mine", mine).withColumn("pair", F.explode(pairs)).select(
-        "key", "rep", "label", "pair.x", "pair.y", (F.col("mine") == F.col("pair.x")).alias("left"),
+        "key", "rep", "label", "n", "pair.x", "pair.y", (F.col("mine") == F.col("pair.x")).alias("left"),
         (F.col("mine") == F.col("pair.y")).alias("right"),
     )
-    return cut.join(reps.select("rep", "signature"), "rep")
+    return cut.join(sketches_, "rep").withColumn("sketch", F.when(F.col("n") >= CROWD, F.col("sketch")))
 
 
 def near_links(docs: DataFrame, signed: DataFrame, k: int, percent: int) -> DataFrame:
@@ -262,7 +330,7 @@ def near_links(docs: DataFrame, signed: DataFrame, k: int, percent: int) -> Data
     reps = stage_table(
         signed.filter("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2", "n_shingles")
         .agg(F.min(F.struct("doc_id", "signature")).alias("m"))
-        .select(F.col("m.doc_id").alias("rep"), "n_shingles", "m.signature"),
+        .select(F.col("m.doc_id").alias("rep"), "s1", "s2", "n_shingles", "m.signature"),
         "near-reps",
     )
     bucket = Window.partitionBy("key")
@@ -274,21 +342,24 @@ def near_links(docs: DataFrame, signed: DataFrame, k: int, percent: int) -> Data
     )
     star = shared.filter("center < rep").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
     found = stage_table(_confirmed(_near(star, reps, bound, percent), docs, k, percent), "near-links")
-    labels, before, nearest = components(found), None, True
+    labels, before, sketched, nearest = components(found), None, None, True
     while True:
-        open_ = stage_table(_unresolved(shared, labels, reps), "near-open")
-        rows = open_.count()
-        if not rows:
-            break
-        # Nearest partners only, as long as that closes half of what is open; then all.
-        nearest = nearest and (before is None or 2 * rows < before)
+        open_ = _open_members(shared, labels)
+        sketched = _sketches_of(open_, reps, signed) if sketched is None else sketched
+        if nearest:
+            # Nearest partners in crowded buckets, as long as that closes half of them.
+            open_ = open_.filter(F.col("n") >= CROWD)
+            rows = open_.count()
+            if not rows or before is not None and 2 * rows > before:
+                nearest = False
+                continue
+            before = rows
         pairs = (
-            open_.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-            .mapInArrow(_crossing(bound, nearest), "a long, b long").distinct()
+            _unresolved(open_, sketched).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+            .mapInArrow(_crossing(percent, nearest), "a long, b long").distinct()
         )
-        linked = _confirmed(_near(pairs, reps, bound, percent), docs, k, percent)
-        found = stage_table(found.unionByName(linked), "near-links")
-        labels, before = components(found), rows
+        found = stage_table(found.unionByName(_confirmed(pairs, docs, k, percent)), "near-links")
+        labels = components(found)
         if not nearest:
             break
     return labels

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.bpe import pack, spans, unpack
-from eventloom.llm.common import SpanHash, blocks, bytes_of, group_starts, pin_batches, shuffle_parts, text_of, whole_groups
+from eventloom.llm.common import SpanHash, blocks, bytes_of, group_starts, mix, pin_batches, shuffle_parts, text_of, whole_groups
 
 SPAN, GRAM = 100, 32
 RUN = SPAN - GRAM + 1
@@ -223,6 +223,8 @@ def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.py_buffer(np.append(0, ends).astype(np.int32).tobytes()),
              pa.py_buffer(data[spans(begin[send], size[send])].tobytes())],
         )
+        # Places without bytes are settled, so they need not meet their gram.
+        gram = np.where(send, gram, mix((ids[row] + place).astype(np.uint64)).view(np.int64))
         yield pa.RecordBatch.from_arrays([
             pa.array(gram), pa.array(ids[row]), pa.array(place.astype(np.int32)), pa.array(n.astype(np.int32)), covered,
         ], names=["gram", "id", "first", "n", "covered"])

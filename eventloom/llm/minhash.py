@@ -189,7 +189,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
     Only documents that occur in a pair are reduced to sets.
     """
     pairs = stage_table(pairs, "near-pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    needed = pairs.select(F.col("a").alias("doc_id")).distinct().union(pairs.select("b").distinct()).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):

@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from zlib import crc32
@@ -97,7 +96,7 @@ def unpack(blob: bytes) -> np.ndarray:
 
 def pattern_of(pattern: str) -> regex.Pattern:
     """The pre-token pattern, with white space as Unicode defines it."""
-    return regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}"). replace(r"\S", r"\P{White_Space}"))
+    return regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
 # A row is either words of one block for one owner (docs null) or a block's positions.
@@ -108,10 +107,16 @@ _CUT = pa.schema([
 ])
 
 
-def _cut_block(block: int, ids: list, counts: list[int], tokens: list[str], owners: int) -> pa.RecordBatch:
-    local = {w: i for i, (w, _) in enumerate(Counter(tokens).most_common())}
-    at = np.fromiter(map(local.__getitem__, tokens), dtype=np.uint32, count=len(tokens))
-    encoded = [w.encode() for w in local]
+def _cut_block(block: int, ids: list, found: list[np.ndarray], local: dict[str, int], owners: int) -> pa.RecordBatch:
+    """``local`` numbers the block's words as met; here the most frequent become the first."""
+    counts = [len(f) for f in found]
+    met = np.concatenate(found)
+    order = np.argsort(-np.bincount(met, minlength=len(local)), kind="stable")
+    rank = np.empty(len(order), dtype=np.uint32)
+    rank[order] = np.arange(len(order), dtype=np.uint32)
+    at = rank[met]
+    names = list(local)
+    encoded = [names[i].encode() for i in order]
     owner = np.fromiter((crc32(w) % owners for w in encoded), dtype=np.int64, count=len(encoded))
     place = np.argsort(owner, kind="stable")
     rows = [(block, block, None, None, None, ids, pack(np.asarray(counts)), pack(at), pack(place))]
@@ -129,20 +134,18 @@ def _cutter(pattern: str, owners: int):
         find = pattern_of(pattern).findall
         # Keys of blocks lie above those of owners.
         block = (TaskContext.get().partitionId() + 1) << 24
-        ids, counts, tokens, size = [], [], [], 0
+        ids, found, local, size = [], [], {}, 0
         for part in blocks(batches):
             texts = part.column("text")
             ids += part.column("doc_id").to_pylist()
             size += texts.nbytes
             for text in texts.to_pylist():
-                found = find(text)
-                counts.append(len(found))
-                tokens += found
+                found.append(np.array([local.setdefault(w, len(local)) for w in find(text)], dtype=np.uint32))
             if size >= DICTIONARY_BYTES:
-                yield _cut_block(block, ids, counts, tokens, owners)
-                ids, counts, tokens, size, block = [], [], [], 0, block + 1
+                yield _cut_block(block, ids, found, local, owners)
+                ids, found, local, size, block = [], [], {}, 0, block + 1
         if ids:
-            yield _cut_block(block, ids, counts, tokens, owners)
+            yield _cut_block(block, ids, found, local, owners)
 
     return cut
 

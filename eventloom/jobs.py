@@ -13,7 +13,7 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import SparkSession
 
 from eventloom.plans.pipeline import (
-    Lake, build_models, detect_anomalies, ingest_hours, load_hours, run_hour,
+    Lake, build_models, detect_anomalies, ingest_hours, load_hours, load_landed, run_hour,
 )
 from eventloom.session import build_session
 from eventloom.sources.feed import feed_files
@@ -32,9 +32,12 @@ def backfill(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Load one landed hour (default: the current one) and refresh the models."""
-    lake, hour = Lake(spark, args.lake), args.at or now().replace(minute=0, second=0, microsecond=0)
-    report = load_hours(lake, hour, hour, now())
+    """Load one landed hour, or by default all that is not loaded yet, and refresh the models."""
+    lake = Lake(spark, args.lake)
+    if not args.at:
+        build_models(lake, load_landed(lake, now()), now())
+        return
+    report = load_hours(lake, args.at, args.at, now())
     print(f"processed {report.processed}, inserted {report.inserted}, rejected {report.rejected}")
     build_models(lake, report.dates, now())
 

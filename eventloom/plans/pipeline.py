@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventloom.functions.calendar import dim_date
 from eventloom.operators.anomaly import anomalies, series
@@ -26,10 +27,14 @@ from eventloom.session import pin, write_together
 from eventloom.sources.feed import (
     feed_files, hour_key, land_batch, read_feed, read_landing,
 )
-from eventloom.sources.paths import latest_version
+from eventloom.sources.paths import exists, latest_version
 from eventloom.sources.tables import (
     append_absent, append_table, read_latest, read_table, replace_table,
 )
+from eventloom.streaming.streams import load_stream
+
+
+PENDING = T.StructType([T.StructField("event_date", T.DateType())])
 
 
 @dataclass(frozen=True)
@@ -163,6 +168,33 @@ def load_hours(lake: Lake, first: datetime, last: datetime, run_ts: datetime) ->
     return load_batch(batch, lake.path("raw/events"), lake.path("quarantine/rows"), run_ts)
 
 
+def load_landed(lake: Lake, run_ts: datetime) -> list[date | None]:
+    """Load every landed file that no load has taken yet, whatever hours it holds.
+
+    Returns the event dates that wait for their models: those of this load and of
+    earlier ones whose run did not end.  They are written down before the files
+    count as loaded, so a crash forgets none; ``settle`` ends their waiting.
+    """
+    spark, waiting = lake.spark, lake.path("pending/dates")
+
+    def remember(report: LoadReport) -> None:
+        append_table(spark.createDataFrame([(d,) for d in report.dates], "event_date date"), waiting)
+
+    for folder in ("landing", "landing_stream"):
+        if exists(spark, f"{lake.path(folder)}/year=*"):
+            load_stream(
+                spark, lake.path(folder), lake.path("raw/events"), lake.path("quarantine/rows"),
+                lake.path(f"checkpoints/load_{folder}"), run_ts, on_loaded=remember,
+            ).awaitTermination()
+    rows = read_table(spark, waiting, PENDING).distinct().collect()
+    return sorted((r.event_date for r in rows), key=lambda d: (d is None, d or date.min))
+
+
+def settle(lake: Lake) -> None:
+    """Forget the waiting dates, once their models, tests and anomalies are done."""
+    lake.spark.createDataFrame([], PENDING).write.mode("overwrite").parquet(lake.path("pending/dates"))
+
+
 def refresh_totals(lake: Lake, name: str, key: str, days: DataFrame, dates, build) -> None:
     """Bring a per-entity table up to date with the touched days."""
     touched = touched_keys(days, key, dates)
@@ -250,13 +282,13 @@ def check_tables(lake: Lake, dates: list[date | None] | None = None) -> dict[str
 
 def run_hour(
     spark: SparkSession, root: str, feed_dir: str, logical_hour: datetime, run_ts: datetime,
-    run_id: str, lookback_hours: int = 2, method: str = "auto",
+    run_id: str, method: str = "auto",
     gate: bool = True, check_everything: bool = False,
 ) -> DataFrame:
     """Run one logical hour and return its run record.
 
-    Rerunning an hour changes nothing but the run log.  The load also takes
-    the ``lookback_hours`` before the hour, where stragglers of its file land.
+    Rerunning an hour changes nothing but the run log.  The load takes all that
+    has landed and is not loaded yet, however old or undated its events are.
     Tests cover the event days this run touched, or all with
     ``check_everything``; with ``gate`` a failing test stops the run before the
     anomalies, after recording it.
@@ -264,10 +296,10 @@ def run_hour(
     started = time.monotonic()
     lake = Lake(pin(spark), root)
     ingest_hours(lake, feed_dir, logical_hour.date(), logical_hour.date(), logical_hour.hour)
-    report = load_hours(lake, logical_hour - timedelta(hours=lookback_hours), logical_hour, run_ts)
-    build_models(lake, report.dates, run_ts)
+    dates = load_landed(lake, run_ts)
+    build_models(lake, dates, run_ts)
 
-    scope = None if check_everything else report.dates
+    scope = None if check_everything else dates
     results = quality.run_checks(check_tables(lake, scope)).collect()
     failures = [r for r in results if r.failures]
 
@@ -287,5 +319,6 @@ def run_hour(
     if failures and gate:
         record("FAILED")
         raise quality.QualityError(failures)
-    detect_anomalies(lake, report.dates, method, run_ts)
+    detect_anomalies(lake, dates, method, run_ts)
+    settle(lake)
     return record("SUCCESS")

@@ -26,6 +26,8 @@ from eventloom.sources.feed import LANDING_ON_DISK, decode, json_object
 FLUSH_ROWS = 5000
 FLUSH_DELAY = "30s"
 FLUSH_INTERVAL = "30 seconds"
+# Files count however long ago they were written.
+ANY_AGE = "36500d"
 DEDUPE_LANES = 16
 
 
@@ -67,7 +69,8 @@ def read_message_files(
     the file was written.
     """
     lines = (
-        spark.readStream.format("text").option("maxFilesPerTrigger", max_files).load(folder)
+        spark.readStream.format("text").option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", ANY_AGE).load(folder)
     )
     arrived = (
         F.lit(received_at).cast("timestamp") if received_at
@@ -141,7 +144,7 @@ def load_stream(
     """
     landed = (
         spark.readStream.schema(LANDING_ON_DISK).option("maxFilesPerTrigger", max_files)
-        .parquet(landing_root)
+        .option("maxFileAge", ANY_AGE).option("pathGlobFilter", "*.parquet").parquet(landing_root)
     )
 
     def load(batch: DataFrame, _: int) -> None:

@@ -144,3 +144,18 @@ def test_rerun_finishes_what_a_crash_left_undone(spark, tmp_path, monkeypatch):
 def test_hour_without_a_feed_file(spark, tmp_path):
     record = run(spark, tmp_path / "lake", tmp_path / "feed", datetime(2024, 1, 5, 7), "r1")
     assert (record.rows_ingested, record.status) == (0, "SUCCESS")
+
+
+def test_stragglers_and_undated_events_of_a_feed_file_are_loaded(spark, tmp_path):
+    """Six events of one file: this hour's, older ones, a later one and one without a time."""
+    times = ["2024-01-05T07:10:00Z", "2024-01-05T06:10:00Z", "2024-01-05T02:10:00Z", "2024-01-05T08:00:00Z", "bad",
+             "2024-01-04T07:10:00Z"]
+    write_feed(tmp_path / "feed" / "2024-01-05-7.json.gz", [message(str(i + 1), at=t) for i, t in enumerate(times)])
+    root = str(tmp_path / "lake")
+    run_hour(spark, root, str(tmp_path / "feed"), datetime(2024, 1, 5, 7), datetime(2024, 1, 5, 9), "r1", gate=False)
+    lake = Lake(spark, root)
+    loaded = {r.id for r in lake.raw().select("id").collect()}
+    aside = tmp_path / "lake" / "quarantine" / "rows"
+    if aside.exists():
+        loaded |= {r.id for r in spark.read.parquet(str(aside)).select("id").collect()}
+    assert loaded == {1, 2, 3, 4, 5, 6}

@@ -13,7 +13,7 @@
 
 Only hashes of paths and texts are shuffled, folded inside the tasks first, so that a
 host with a third of all pages adds one row per node and text.  The join by host is
-split by adaptive execution where a host is hot.
+dealt over ``LANES`` lanes, so that a hot host does not end in one task.
 
 Defined results: null or empty html gives empty text; a page without a readable host has
 no style tree, only its markup counts; unclosed elements end with their parent; blocks
@@ -38,6 +38,7 @@ from eventloom.llm.common import blocks, pin_batches
 
 # A node seen on fewer pages of its host says nothing about the site.
 LEAST_PAGES = 4
+LANES = 32
 IMPORTANCE, CONTENT_SHARE = 0.3, 0.8
 
 _TOKEN = re.compile(
@@ -198,7 +199,10 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, page in zip(block.column("host").to_pylist(), block.column("html").to_pylist()):
             found, shapes = parse(page)
             mine: Counter = Counter()
-            for paths, text, *_ in found:
+            for paths, text, noise, _, bare in found:
+                # What markup removes or protects needs no importance.
+                if noise or bare:
+                    continue
                 value = code(text)
                 for path in paths:
                     mine[host, code(path), 1, value] += 1
@@ -219,7 +223,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """``host, path, pages, importance`` of every node that holds text."""
+    """``host, path, pages, importance`` of the nodes that markup neither removes nor protects."""
     pin_batches(pages.sparkSession)
     rows = pages.select(host_of().alias("host"), F.coalesce("html", F.lit("")).alias("html")).filter("host is not null")
     values = rows.mapInArrow(_features, FEATURE).groupBy("host", "path", "kind", "value").agg(
@@ -259,6 +263,9 @@ def main_texts(pages: DataFrame, least_pages: int = LEAST_PAGES, least_importanc
             )
 
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
-    return rows.join(low, "host", "left").select("page_id", "url", "html", "low").mapInArrow(
+    # A host's short list goes to every lane, so that a hot host's pages are spread.
+    low = low.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))))
+    rows = rows.withColumn("lane", F.pmod(F.xxhash64("page_id", "url"), F.lit(LANES)).cast("int"))
+    return rows.join(low, ["host", "lane"], "left").select("page_id", "url", "html", "low").mapInArrow(
         extract, f"page_id {kinds['page_id']}, url {kinds['url']}, text string"
     )

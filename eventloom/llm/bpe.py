@@ -213,10 +213,7 @@ def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, owners: int
     return cut.groupBy("key").cogroup(answers.groupBy("block")).applyInPandas(_assemble, "doc_id long, ids array<int>")
 
 
-def decode_documents(encoded: DataFrame, vocab_path: str) -> DataFrame:
-    """``encoded`` with ``decoded``, the bytes of its ``ids``."""
-    vocab = encoded.sparkSession.sparkContext.broadcast(vocabulary(vocab_path))
-
+def _decoder(vocab):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, starts, sizes = token_table(vocab.value)
         for batch in batches:
@@ -227,8 +224,14 @@ def decode_documents(encoded: DataFrame, vocab_path: str) -> DataFrame:
             ) for a, b in zip(np.append(0, ends[:-1]), ends)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, "decoded"])
 
+    return decode
+
+
+def decode_documents(encoded: DataFrame, vocab_path: str) -> DataFrame:
+    """``encoded`` with ``decoded``, the bytes of its ``ids``."""
+    vocab = encoded.sparkSession.sparkContext.broadcast(vocabulary(vocab_path))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
-    return encoded.mapInArrow(decode, f"{fields}, decoded binary")
+    return encoded.mapInArrow(_decoder(vocab), f"{fields}, decoded binary")
 
 
 def _chunks(ids: np.ndarray) -> Iterator[np.ndarray]:
@@ -236,18 +239,31 @@ def _chunks(ids: np.ndarray) -> Iterator[np.ndarray]:
         yield ids[start:start + CHUNK_IDS]
 
 
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        column = batch.column("ids")
+        sizes = column.value_lengths().to_numpy().astype(np.int64)
+        ends = np.cumsum(sizes) * 4
+        raw = column.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
+        yield pa.RecordBatch.from_arrays([
+            batch.column("doc_id"), pa.array(sizes),
+            pa.array([hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(ends - sizes * 4, ends)], pa.string()),
+            pa.array([hashlib.sha256(b.as_buffer()).hexdigest() for b in batch.column("decoded")], pa.string()),
+        ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
 def token_digest(decoded: DataFrame) -> DataFrame:
     """Per row the number of ids, and digests of the ids and of the decoded bytes."""
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column("ids")
-            sizes = column.value_lengths().to_numpy().astype(np.int64)
-            ends = np.cumsum(sizes) * 4
-            raw = column.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(sizes),
-                pa.array([hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(ends - sizes * 4, ends)], pa.string()),
-                pa.array([hashlib.sha256(b.as_buffer()).hexdigest() for b in batch.column("decoded")], pa.string()),
-            ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return decoded.mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return decoded.mapInArrow(_digest, DIGEST)
+
+
+def decoded_digest(encoded: DataFrame, vocab_path: str) -> DataFrame:
+    """``token_digest`` of the decoded documents, decoded and digested by one Python worker.
+
+    No decoded text goes back to the JVM.
+    """
+    decode = _decoder(encoded.sparkSession.sparkContext.broadcast(vocabulary(vocab_path)))
+    return encoded.select("doc_id", "ids").mapInArrow(lambda batches: _digest(decode(batches)), DIGEST)

@@ -76,7 +76,7 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
     ids = bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return bpe.token_digest(bpe.decode_documents(ids, path))
+    return bpe.decoded_digest(ids, path)
 
 
 @query("op9_extract")

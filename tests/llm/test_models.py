@@ -38,6 +38,9 @@ def test_bpe_equals_the_library(sample, edge, empty):
         got = [(r["doc_id"], tuple(r["ids"]), bytes(r["decoded"])) for r in bpe.decode_documents(ids, VOCAB).collect()]
         want = [(i, tuple(own.encode_ordinary(t or "")), (t or "").encode()) for i, t in pairs_of(df)]
         assert Counter(got) == Counter(want)
+    ids = bpe.encode_documents(edge, VOCAB, public_tokenizers.PATTERN)
+    apart = bpe.token_digest(bpe.decode_documents(ids, VOCAB)).collect()
+    assert sorted(map(str, bpe.decoded_digest(ids, VOCAB).collect())) == sorted(map(str, apart))
     assert bpe.token_digest(bpe.decode_documents(bpe.encode_documents(empty, VOCAB, public_tokenizers.PATTERN), VOCAB)).count() == 0
 
 

@@ -542,8 +542,7 @@ SELECT * FROM (SELECT *, rank() OVER (ORDER BY line_count DESC) AS rank_lines FR
     "stream_dedupe": over_events("SELECT event_id AS id, event_type AS type, event_at FROM ev"),
     "stream_daily": over_events(
         "SELECT repo_id, event_date, total_events, star_count, push_count, pr_count, issue_count"
-        " FROM daily_repo WHERE CAST(event_date + 1 AS TIMESTAMP)"
-        " <= (SELECT max(event_at) - INTERVAL 2 HOUR FROM ev)",
+        " FROM daily_repo",
         f"{REPOS}, {DAILY_REPO}",
     ),
 }

@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
-from eventloom.functions.jsonfields import with_repo
-from eventloom.operators.load import LoadReport, load_batch
+from eventloom.operators.load import RAW_ON_DISK, LoadReport, load_batch
 from eventloom.operators.normalize import normalize, split_corrupt
+from eventloom.plans.incremental import DAY_TABLES, read_day_table, refresh_days
+from eventloom.plans.marts import daily_repo_from_days
 from eventloom.plans.staging import stg_raw_events
 from eventloom.schemas import FEED, HOUR_PARTITIONS
 from eventloom.sources.feed import LANDING_ON_DISK, decode, json_object
+from eventloom.sources.tables import read_table
 
 # Flush settings of the live consumer (fixed values).
 FLUSH_ROWS = 5000
@@ -29,6 +31,7 @@ FLUSH_INTERVAL = "30 seconds"
 # Files count however long ago they were written.
 ANY_AGE = "36500d"
 DEDUPE_LANES = 16
+_REPO_DAYS = [t for t in DAY_TABLES if t.name == "repo_days"]
 
 
 def read_topic(
@@ -167,8 +170,8 @@ def dedupe_stream(
     Copies are first dropped per (id, lane), the lane being the task that read
     them, so that one much repeated id is spread over ``lanes`` tasks; the
     second step then sees at most ``lanes`` copies.  State is bounded by the
-    watermark, so this only thins the stream; the keyed load stays the exact
-    guard.
+    watermark, and the engine drops rows later than ``delay``, unique ids too:
+    for a complete table use ``load_stream``, which is keyed and exact.
     """
     timed = landing.withColumn("event_at", event_at).withWatermark("event_at", delay)
     if lanes > 1:
@@ -179,21 +182,30 @@ def dedupe_stream(
     return timed.dropDuplicatesWithinWatermark(["id"])
 
 
-def daily_repo_stream(raw: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Streaming daily counts per repository: the batch daily fact without names."""
-    events = with_repo(stg_raw_events(raw)).withWatermark("event_at", delay)
+def daily_repo_stream(
+    spark: SparkSession, landing_root: str, root: str, checkpoint: str, loaded_at: datetime,
+    interval: str | None = None, max_files: int = 1000,
+) -> StreamingQuery:
+    """Keep the daily facts per repository equal to the batch ones while events arrive.
 
-    def of_type(name: str) -> Column:
-        return F.count_if(F.col("event_type") == name)
+    Each micro-batch is loaded by key into ``raw`` below ``root``, then the days it
+    touched are rebuilt in ``days``.  There is no watermark: late and undated events
+    count like any other, and open days are there at once.  Read the result with
+    ``daily_repo_streamed``.
+    """
+    def refresh(report: LoadReport) -> None:
+        refresh_days(_streamed_events(spark, root), f"{root}/days", report.dates, _REPO_DAYS)
 
-    counts = events.groupBy(F.window("event_at", "1 day"), "repo_id").agg(
-        F.count("*").alias("total_events"),
-        of_type("WatchEvent").alias("star_count"),
-        of_type("PushEvent").alias("push_count"),
-        of_type("PullRequestEvent").alias("pr_count"),
-        of_type("IssuesEvent").alias("issue_count"),
-    )
-    return counts.select(
-        "repo_id", F.to_date("window.start").alias("event_date"),
-        "total_events", "star_count", "push_count", "pr_count", "issue_count",
+    return load_stream(
+        spark, landing_root, f"{root}/raw", f"{root}/quarantine", checkpoint, loaded_at,
+        interval, max_files, on_loaded=refresh,
     )
+
+
+def daily_repo_streamed(spark: SparkSession, root: str) -> DataFrame:
+    """The daily facts that ``daily_repo_stream`` keeps below ``root``."""
+    return daily_repo_from_days(read_day_table(spark, f"{root}/days", "repo_days", _streamed_events(spark, root)))
+
+
+def _streamed_events(spark: SparkSession, root: str) -> DataFrame:
+    return stg_raw_events(read_table(spark, f"{root}/raw", RAW_ON_DISK), "event_date")

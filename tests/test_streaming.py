@@ -108,18 +108,20 @@ def test_stream_dedupe(spark, tmp_path, lanes):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2, 3]
 
 
-def test_stream_daily_equals_batch_for_closed_days(spark, tmp_path):
-    batches = [
-        [event(100 * d + i, ["WatchEvent", "PushEvent"][i % 2], repo=i % 3 or None,
-               at=f"2024-01-{d:02d}T{i:02d}:00:00Z") for i in range(24)]
-        for d in (1, 2, 3)
-    ]
-    stream, folder = stream_rows(spark, tmp_path, batches)
-    out = str(tmp_path / "out")
-    streams.daily_repo_stream(stream).writeStream.format("parquet").outputMode("append").option(
-        "checkpointLocation", f"{out}-progress"
-    ).trigger(availableNow=True).start(out).awaitTermination()
-    batch = marts.daily_repo(stg_raw_events(spark.read.parquet(folder))).drop("repo_name")
-    closed = batch.filter("event_date < '2024-01-03'")
-    streamed = spark.read.parquet(out).select(*closed.columns)
-    assert sorted(map(str, streamed.collect())) == sorted(map(str, closed.collect()))
+def test_stream_daily_equals_batch_out_of_order(spark, tmp_path):
+    inbox, landing, root = tmp_path / "in", tmp_path / "landing", str(tmp_path / "daily")
+
+    def run():
+        land(spark, inbox, landing)
+        streams.daily_repo_stream(spark, str(landing), root, f"{root}-progress", ARRIVED).awaitTermination()
+        return streams.daily_repo_streamed(spark, root).drop("repo_name")
+
+    write_lines(inbox, "a.json", [message(10 + i, at=f"2024-01-03T{i:02d}:00:00Z") for i in range(4)])
+    assert run().count() == 1
+    # Two days late, a repeated id, and no readable time.
+    write_lines(inbox, "b.json", [message(20, at="2024-01-01T05:00:00Z"), message(10), message(30, at="bad")])
+    streamed = run()
+    raw = read_table(spark, f"{root}/raw", RAW_ON_DISK)
+    assert sorted(r.id for r in raw.collect()) == [10, 11, 12, 13, 20, 30]
+    batch = marts.daily_repo(stg_raw_events(raw)).drop("repo_name")
+    assert sorted(map(str, streamed.select(*batch.columns).collect())) == sorted(map(str, batch.collect()))

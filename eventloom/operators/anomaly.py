@@ -130,6 +130,8 @@ def grouped_bounds(
 ) -> DataFrame:
     """Bounds from a Python model per series, NULL where the model fails.
 
+    A fit fails by ``ValueError`` (singular systems included) or ``ArithmeticError``;
+    any other error is a bug of the model and ends the job.
     ``fit(days, y)`` returns fitted values and a noise deviation; any
     forecaster with that shape can be passed.
     """
@@ -139,7 +141,7 @@ def grouped_bounds(
             days = pd.to_datetime(pdf["ds"]).to_numpy().astype("datetime64[D]").astype(float)
             fitted, sigma = fit(days, pdf["y"].to_numpy())
             lower, upper = fitted - z * sigma, fitted + z * sigma
-        except Exception:  # a failed fit falls back to the deviation rule
+        except (ArithmeticError, ValueError):  # what a failed fit raises; the deviation rule follows
             lower = upper = np.full(len(pdf), np.nan)
         return pdf.assign(
             yhat_lower=np.round(lower, ROUND_DIGITS), yhat_upper=np.round(upper, ROUND_DIGITS)

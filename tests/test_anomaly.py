@@ -74,6 +74,14 @@ def test_failed_fit_falls_back(points):
     assert fallen == anomalies(df, "zscore", RUN).collect()
 
 
+def test_bug_in_a_model_is_not_hidden(points):
+    def wrong(days, y):
+        return y.no_such_member, 0.0
+
+    with pytest.raises(Exception, match="no_such_member"):
+        anomalies(points(six=[6, 6, 6, 6, 6, 60]), "piecewise", RUN, fit=wrong).collect()
+
+
 def test_piecewise_follows_a_change_of_slope():
     days = np.arange(60.0)
     y = np.where(days < 30, 100 + days, 130 + 6 * (days - 30))

@@ -299,6 +299,23 @@ deviation_flags AS (
   FROM deviation WHERE y > yhat_upper)"""
 
 
+TESTED = [
+    ("raw_events", "id"), ("raw_events", "type"), ("raw_events", "created_at"),
+    ("stg_raw_events", "event_id"), ("stg_raw_events", "event_type"),
+    ("stg_watch_events", "event_id"), ("stg_watch_events", "repo_id"),
+    ("stg_push_events", "event_id"), ("stg_push_events", "push_id"),
+    ("stg_create_events", "event_id"), ("stg_fork_events", "event_id"),
+    ("stg_issues_events", "event_id"), ("stg_issues_events", "issue_id"),
+    ("stg_pull_request_events", "event_id"), ("stg_pull_request_events", "pr_id"),
+    ("dim_actor", "actor_id"), ("dim_actor", "actor_login"),
+    ("dim_repo", "repo_id"), ("dim_repo", "repo_name"), ("dim_repo", "is_current"),
+    ("dim_date", "date_id"), ("fact_events", "event_id"), ("fact_events", "event_type"),
+    ("fact_events", "actor_id"), ("fact_events", "date_id"),
+    ("fct_daily_repo_metrics", "repo_id"), ("fct_daily_repo_metrics", "event_date"),
+    ("fct_daily_repo_metrics", "total_events"),
+]
+
+
 def _nulls() -> str:
     """Not-null results: (table, column, failing rows)."""
     zero = "CAST(0 AS BIGINT)"
@@ -310,22 +327,7 @@ def _nulls() -> str:
         ("fct_daily_repo_metrics", "repo_id"): null_days,
         ("fact_events", "actor_id"): null_actor,
     }
-    tested = [
-        ("raw_events", "id"), ("raw_events", "type"), ("raw_events", "created_at"),
-        ("stg_raw_events", "event_id"), ("stg_raw_events", "event_type"),
-        ("stg_watch_events", "event_id"), ("stg_watch_events", "repo_id"),
-        ("stg_push_events", "event_id"), ("stg_push_events", "push_id"),
-        ("stg_create_events", "event_id"), ("stg_fork_events", "event_id"),
-        ("stg_issues_events", "event_id"), ("stg_issues_events", "issue_id"),
-        ("stg_pull_request_events", "event_id"), ("stg_pull_request_events", "pr_id"),
-        ("dim_actor", "actor_id"), ("dim_actor", "actor_login"),
-        ("dim_repo", "repo_id"), ("dim_repo", "repo_name"), ("dim_repo", "is_current"),
-        ("dim_date", "date_id"), ("fact_events", "event_id"), ("fact_events", "event_type"),
-        ("fact_events", "actor_id"), ("fact_events", "date_id"),
-        ("fct_daily_repo_metrics", "repo_id"), ("fct_daily_repo_metrics", "event_date"),
-        ("fct_daily_repo_metrics", "total_events"),
-    ]
-    return _results("not_null", [(t, c, failing.get((t, c), zero)) for t, c in tested])
+    return _results("not_null", [(t, c, failing.get((t, c), zero)) for t, c in TESTED])
 
 
 def _results(test: str, rows: list[tuple[str, str, str]]) -> str:
@@ -344,9 +346,93 @@ def _repeats(table: str, key: str) -> str:
 
 _EVENT_REPEATS = _repeats("ev", "event_id")
 
+# What the dirty tables are made of: rows, and the number that says what is spoilt.
+DIRTY_SOURCES = {
+    "raw_events": ("SELECT event_id AS id, event_type AS type, created_at FROM ev", "id"),
+    "stg_raw_events": ("SELECT * FROM ev", "event_id"),
+    "stg_watch_events": ("SELECT * FROM ev WHERE event_type = 'WatchEvent'", "event_id"),
+    "stg_push_events": ("SELECT * FROM pushes", "event_id"),
+    "stg_create_events": ("SELECT * FROM creates", "event_id"),
+    "stg_fork_events": ("SELECT * FROM ev WHERE event_type = 'ForkEvent'", "event_id"),
+    "stg_issues_events": ("SELECT * FROM issues", "event_id"),
+    "stg_pull_request_events": ("SELECT * FROM prs", "event_id"),
+    "dim_actor": ("SELECT * FROM actors", "actor_id"),
+    "dim_repo": ("SELECT repo_id, repo_name, true AS is_current FROM repos", "repo_id"),
+    "dim_date": (
+        "SELECT CAST(unnest(generate_series(min(event_at)::DATE::TIMESTAMP, max(event_at)::DATE::TIMESTAMP,"
+        " INTERVAL 1 DAY)) AS DATE) AS date_id FROM ev", "day(date_id)",
+    ),
+    "fact_events": ("SELECT *, event_date AS date_id FROM ev", "event_id"),
+    "fct_daily_repo_metrics": ("SELECT * FROM repo_day", "repo_id"),
+}
+
+
+def _dirty_tables() -> str:
+    ctes = []
+    for table, (rows, number) in DIRTY_SOURCES.items():
+        columns = [c for t, c in TESTED if t == table]
+        spoilt = ", ".join(f"CASE WHEN n % {7 + 2 * i} <> 0 THEN {c} END AS {c}" for i, c in enumerate(columns))
+        ctes.append(f"b_{table} AS (SELECT *, {number} AS n FROM ({rows}))")
+        ctes.append(
+            f"d_{table} AS (SELECT n, {spoilt} FROM"
+            f" (SELECT * FROM b_{table} UNION ALL SELECT * FROM b_{table} WHERE n % 5 = 0))"
+        )
+    return ", ".join(ctes)
+
+
+def _dirty() -> str:
+    def orphans(column: str, parent: str) -> str:
+        return (
+            f"(SELECT count(*) FROM d_fact_events f WHERE f.{column} IS NOT NULL"
+            f" AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{column} = f.{column}))"
+        )
+
+    def repeats(table: str, key: str, where: str = "true") -> str:
+        return (
+            f"(SELECT count(*) FROM (SELECT {key} FROM {table} WHERE {key} IS NOT NULL AND {where}"
+            f" GROUP BY {key} HAVING count(*) > 1))"
+        )
+
+    staged = [("watch", "Watch"), ("push", "Push"), ("create", "Create"), ("fork", "Fork"),
+              ("issues", "Issues"), ("pull_request", "PullRequest")]
+    return " UNION ALL ".join([
+        _results("not_null", [(t, c, f"(SELECT count(*) FROM d_{t} WHERE {c} IS NULL)") for t, c in TESTED]),
+        _results("unique", [
+            ("stg_raw_events", "event_id", repeats("d_stg_raw_events", "event_id")),
+            *[(f"stg_{v}_events", "event_id",
+               repeats("d_stg_raw_events", "event_id", f"event_type = '{t}Event'")) for v, t in staged],
+            *[(t, c, repeats(f"d_{t}", c)) for t, c in [
+                ("raw_events", "id"), ("dim_actor", "actor_id"), ("dim_date", "date_id"),
+                ("fact_events", "event_id")]],
+        ]),
+        _results("relationships", [
+            ("fact_events", "actor_id", orphans("actor_id", "d_dim_actor")),
+            ("fact_events", "date_id", orphans("date_id", "d_dim_date")),
+        ]),
+        _results("assert_dim_repo_date_range_valid", [
+            ("dim_repo", "", "(SELECT count(*) FROM d_dim_repo WHERE n % 4 = 0)")]),
+        _results("assert_repo_stars_non_negative", [
+            ("int_repo_watch_stats", "", "(SELECT count(*) FROM spine WHERE repo_id % 3 = 0)")]),
+    ])
+
 ORACLE: dict[str, str] = {
     "normalize_batch": over_events(LANDED),
     "json_scan": over_events(LANDED),
+    "json_quarantine": over_events(
+        "SELECT CASE WHEN event_id % 83 = 0 OR event_id % 79 = 0 THEN 'quarantined' ELSE 'read' END AS kind,"
+        " CASE WHEN event_id % 83 = 0 THEN 'not json ' || event_id"
+        " WHEN event_id % 79 = 0 THEN '[1, ' || event_id || ']'"
+        " ELSE CAST(event_id AS VARCHAR) END AS value FROM ev"
+    ),
+    "normalize_stream": over_events(
+        "SELECT event_id % 71 = 0 AS hashed, CASE WHEN event_id % 71 <> 0 THEN event_id END AS id,"
+        " CASE WHEN event_id % 73 = 0 THEN 'UnknownEvent' ELSE event_type END AS type,"
+        " event_id % 59 = 0 OR is_public AS public, CASE WHEN event_id % 61 = 0 THEN 'bad'"
+        " WHEN event_id % 67 = 0 THEN '2024-02-01T00:00:00Z' ELSE created_at END AS created_at,"
+        " strftime(routed, '%Y') AS year, strftime(routed, '%m') AS month, strftime(routed, '%d') AS day,"
+        " strftime(routed, '%H') AS hour FROM (SELECT *, CASE WHEN event_id % 61 = 0 OR event_id % 67 = 0"
+        " THEN TIMESTAMP '2024-02-01 00:00:00' ELSE event_at END AS routed FROM ev)"
+    ),
     "land_batch": over_events(HOUR_COUNTS),
     "partition_scan": over_events(
         "SELECT event_id AS id, event_type AS type, is_public AS public, created_at,"
@@ -461,6 +547,7 @@ FROM (SELECT o_custkey, count(*) AS orders, count(DISTINCT year(o_orderdate)) AS
 SELECT * FROM (SELECT *, rank() OVER (ORDER BY line_count DESC) AS rank_lines FROM (
   SELECT l_partkey, count(*) AS line_count FROM lineitem GROUP BY l_partkey)) WHERE rank_lines <= 100""",
     "dq_not_null": over_events(_nulls()),
+    "dq_dirty": over_events(_dirty(), f"{REPOS}, {DAILY_REPO}, {DAILY_ACTOR}, {_dirty_tables()}"),
     "dq_unique": over_events(_results("unique", [
         ("stg_raw_events", "event_id", _EVENT_REPEATS),
         *[(f"stg_{v}_events", "event_id",
@@ -534,6 +621,11 @@ SELECT * FROM (SELECT *, rank() OVER (ORDER BY line_count DESC) AS rank_lines FR
         " SELECT f.* FROM deviation_flags f JOIN deviation d USING (repo_id, ds) WHERE d.n < 3",
         SERIES,
     ),
+    "anomaly_hook": over_events(
+        "SELECT f.* FROM trend_flags f JOIN trend t USING (repo_id, ds) WHERE t.n >= 3 UNION ALL"
+        " SELECT f.* FROM deviation_flags f JOIN deviation d USING (repo_id, ds) WHERE d.n < 3",
+        SERIES,
+    ),
     "replay": over_events("SELECT CAST(event_id AS VARCHAR) AS key, event_type AS type FROM ev"),
     "stream_land": over_events(HOUR_COUNTS),
     "stream_load": over_events(

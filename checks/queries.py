@@ -10,6 +10,7 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import wraps
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -109,6 +110,43 @@ def _(spark, sf_dir):
     return normalize(good).select(*LANDED)
 
 
+@query("json_quarantine")
+def _(spark, sf_dir):
+    """Readable ids and unreadable lines of a feed with broken lines and bare arrays."""
+    key = F.get_json_object("value", "$.id")
+    lines = feed_lines(spark, sf_dir).withColumn("k", key.cast("bigint")).select(
+        F.when(F.col("k") % 83 == 0, F.concat(F.lit("not json "), "k"))
+        .when(F.col("k") % 79 == 0, F.concat(F.lit("[1, "), "k", F.lit("]")))
+        .otherwise(F.col("value")).alias("value")
+    )
+    path = scratch_path(spark, "broken-feed")
+    lines.write.option("compression", "gzip").text(path)
+    files = list_files(spark, f"{path}/*.txt.gz").values()
+    good, bad = split_corrupt(read_feed(spark, sorted(files)))
+    return good.select(F.lit("read").alias("kind"), F.col("id").alias("value")).unionByName(
+        bad.select(F.lit("quarantined").alias("kind"), F.col("message").alias("value"))
+    )
+
+
+@query("normalize_stream")
+def _(spark, sf_dir):
+    """Messages without a numeric id, type, flag or time take hashes and defaults."""
+    e = F.col("id").cast("bigint")
+    messages = feed(spark, sf_dir).withColumns({
+        "id": F.when(e % 71 == 0, F.concat(F.lit("x"), "id")).otherwise(F.col("id")),
+        "type": F.when(e % 73 != 0, F.col("type")),
+        "public": F.when(e % 59 != 0, F.col("public")),
+        "created_at": F.when(e % 61 == 0, F.lit("bad")).when(e % 67 != 0, F.col("created_at")),
+    })
+    rows = normalize(messages, "hash", F.lit(AS_OF).cast("timestamp"))
+    # Ids of the feed are small; a 64-bit hash is not.
+    hashed = (F.col("id") < 0) | (F.col("id") > 1 << 40)
+    return rows.select(
+        hashed.alias("hashed"), F.when(~hashed, F.col("id")).alias("id"), "type", "public", "created_at",
+        "year", "month", "day", "hour",
+    )
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "landing")
     land_batch(landing(spark, sf_dir), root)
@@ -338,6 +376,36 @@ def _(spark, sf_dir):
     return quality.assertion_checks(_check_tables(spark, sf_dir))
 
 
+def _dirtied(df: DataFrame, columns: list[str], number: str) -> DataFrame:
+    """``df`` with every fifth row twice and each column empty at a step of its own."""
+    rows = df.withColumn("_n", F.expr(number))
+    rows = rows.unionByName(rows.filter(F.col("_n") % 5 == 0))
+    return rows.withColumns({
+        c: F.when(F.col("_n") % (7 + 2 * i) != 0, F.col(c)) for i, c in enumerate(columns)
+    })
+
+
+@query("dq_dirty")
+def _(spark, sf_dir):
+    """All declared tests on tables with repeats, gaps, missing parents and bad values."""
+    tables = _check_tables(spark, sf_dir)
+    numbers = {
+        "raw_events": "id", "dim_actor": "actor_id", "dim_repo": "repo_id",
+        "dim_date": "dayofmonth(date_id)", "fct_daily_repo_metrics": "repo_id",
+    }
+    dirty = {
+        t: _dirtied(tables[t], columns, numbers.get(t, "event_id")) for t, columns in quality.NOT_NULL.items()
+    }
+    dirty["dim_repo"] = dirty["dim_repo"].withColumn(
+        "valid_to", F.when(F.col("_n") % 4 == 0, F.col("valid_from") - F.expr("interval 1 day"))
+    )
+    stars = F.col("star_count")
+    dirty["int_repo_watch_stats"] = tables["int_repo_watch_stats"].withColumn(
+        "star_count", F.when(F.col("repo_id") % 3 == 0, -stars - 1).otherwise(stars)
+    )
+    return quality.run_checks(dirty)
+
+
 # Observability ----------------------------------------------------------------
 
 @query("rows_ingested")
@@ -415,6 +483,21 @@ _anomaly("anomaly_auto", "auto")
 _anomaly("anomaly_piecewise", "piecewise")
 
 
+def straight_line(days: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Least-squares line and residual deviation: a model whose bounds SQL can state."""
+    x = days - days.mean()
+    spread = (x * x).sum()
+    fitted = y.mean() + (x * y).sum() / (spread or 1.0) * x
+    return fitted, float(np.sqrt(((y - fitted) ** 2).mean()))
+
+
+@query("anomaly_hook")
+def _(spark, sf_dir):
+    """The per-series model hook with a model of the caller."""
+    daily = marts.daily_repo(staged(spark, sf_dir))
+    return anomalies(series(daily), "piecewise", AS_OF, fit=straight_line)
+
+
 # Streams ------------------------------------------------------------------------
 
 @query("replay")

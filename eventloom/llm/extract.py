@@ -5,15 +5,20 @@
 2. For every node of the tree two entropies over the host's pages are taken: of its
    *content* (a text that stands on all of the node's pages carries nothing, one of a
    single page carries all) and of its *presentation* (the child tags it is built of).
-   Their weighted sum is the node's importance.
-3. The paths of low importance, a short list per host, are joined to its pages, and the
-   branches below them are removed, together with what its markup declares to be no
-   text: menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts.
-   Where a page has an article or main element, only what is inside it counts.
-
-Only hashes of paths and texts are shuffled, folded inside the tasks first, so that a
-host with a third of all pages adds one row per node and text.  The join by host is
-dealt over ``LANES`` lanes, so that a hot host does not end in one task.
+   Their weighted sum is the node's importance.  All text counts for every node above it,
+   whatever the markup says about it; the text that stands in a node beside child
+   elements is a node of its own.
+3. The paths of known importance, a short list per host, are joined to its pages.  The
+   nearest known node of a block decides: the block is removed if that node is of low
+   importance, and, where it is a node further up, holds no important block on the page.
+   What the markup declares to be no text is removed too: menus, headers, footers,
+   sidebars, notices, adverts, forms, comments, scripts.  Where a page has an article or
+   main element, only what is inside it counts.
+
+Only hashes of paths and texts are shuffled, folded inside the tasks first: a text is one
+row with the nodes above it, dealt by host and text and spread to its nodes behind the
+shuffle.  The join by host is dealt over ``LANES`` lanes, so that a hot host does not end
+in one task.
 
 Defined results: null or empty html gives empty text; a page without a readable host has
 no style tree, only its markup counts; unclosed elements end with their parent; blocks
@@ -107,7 +112,10 @@ class _Open:
 
 def parse(page: str) -> tuple[list[tuple], list[tuple]]:
     """Blocks (paths above, text, noise, main, bare) in page order, and the
-    presentation (path, child tags) of every element that holds others."""
+    presentation (path, child tags) of every element that holds others.
+
+    Text beside child elements gets a last path of its own.
+    """
     found: list[tuple] = []
     shapes: list[tuple] = []
     root = _Open("", "", False, None)
@@ -166,15 +174,24 @@ def parse(page: str) -> tuple[list[tuple], list[tuple]]:
             stack.append(_Open(tag, *_element(tag, rest), stack[-1]))
     flush()
     close(1)
-    return found, shapes
+    mixed = {path for path, _ in shapes}
+    return [(p + (f"{p[-1]}/",) if p and p[-1] in mixed else p, *rest) for p, *rest in found], shapes
 
 
-def page_text(page: str, low: frozenset[int] = frozenset()) -> str:
-    """The main text: blocks that are no noise and below no path of low importance."""
-    kept = [
-        (main, text) for paths, text, noise, main, bare in parse(page)[0]
-        if not noise and (bare or not any(code(p) in low for p in paths))
-    ]
+def page_text(page: str, low: frozenset[int] = frozenset(), high: frozenset[int] = frozenset()) -> str:
+    """The main text: blocks that are no noise and not held by the host's tree to be of low
+    importance; ``low`` and ``high`` are its known nodes."""
+    judged, rich = [], set()
+    for paths, text, noise, main, bare in parse(page)[0]:
+        if noise:
+            continue
+        above = [code(p) for p in paths] if low else []
+        known = next((p for p in reversed(above) if p in low or p in high), None)
+        if bare or known in high:
+            rich.update(above)
+        own = bool(above) and known == above[-1]
+        judged.append((main, text, not bare and known in low, known, own))
+    kept = [(main, text) for main, text, poor, known, own in judged if not poor or not own and known in rich]
     if any(main for main, _ in kept):
         kept = [(main, text) for main, text in kept if main]
     return "\n".join(text for _, text in kept)
@@ -185,48 +202,50 @@ def host_of(url: str = "url"):
     return F.nullif(host, F.lit(""))
 
 
-FEATURE = "host string, path long, kind int, value long, pages long, uses long"
+FEATURE = "host string, kind int, value long, paths array<bigint>, pages long, uses long"
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per host, node and value: on how many pages, how often.
+    """Per host, value and its nodes: on how many pages, how often under each node.
 
-    Kinds: 0 the node itself, 1 a text of it, 2 a presentation of it.
+    Kinds: 0 the node itself, 1 a text, 2 a presentation of the node.  A text that some
+    nodes of a page hold more often than others has a row for each number of uses.
     """
     for block in blocks(batches, "html", 8 << 20):
         pages: Counter = Counter()
         uses: Counter = Counter()
         for host, page in zip(block.column("host").to_pylist(), block.column("html").to_pylist()):
             found, shapes = parse(page)
-            mine: Counter = Counter()
-            for paths, text, noise, _, bare in found:
-                # What markup removes or protects needs no importance.
-                if noise or bare:
-                    continue
-                value = code(text)
-                for path in paths:
-                    mine[host, code(path), 1, value] += 1
-            nodes = {(h, p) for h, p, _, _ in mine}
+            texts: dict[int, Counter] = {}
+            for paths, text, *_ in found:
+                texts.setdefault(code(text), Counter()).update(map(code, paths))
+            nodes: set[int] = set()
+            for value, under in texts.items():
+                nodes.update(under)
+                for n in set(under.values()):
+                    key = host, 1, value, tuple(sorted(p for p, m in under.items() if m == n))
+                    pages[key] += 1
+                    uses[key] += n
             for path, shape in shapes:
-                if (host, code(path)) in nodes:
-                    mine[host, code(path), 2, code(shape)] += 1
-            for h, p in nodes:
-                mine[h, p, 0, 0] += 1
-            uses.update(mine)
-            pages.update(mine.keys())
-        keys = list(uses)
+                if code(path) in nodes:
+                    uses[host, 2, code(f"{path} {shape}"), (code(path),)] += 1
+            for node in nodes:
+                pages[host, 0, node, (node,)] += 1
+        keys = list(pages.keys() | uses.keys())
         yield pa.RecordBatch.from_arrays([
-            pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()),
-            pa.array([k[2] for k in keys], pa.int32()), pa.array([k[3] for k in keys], pa.int64()),
+            pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
+            pa.array([k[2] for k in keys], pa.int64()), pa.array([k[3] for k in keys], pa.list_(pa.int64())),
             pa.array([pages[k] for k in keys], pa.int64()), pa.array([uses[k] for k in keys], pa.int64()),
-        ], names=["host", "path", "kind", "value", "pages", "uses"])
+        ], names=["host", "kind", "value", "paths", "pages", "uses"])
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """``host, path, pages, importance`` of the nodes that markup neither removes nor protects."""
+    """``host, path, pages, importance`` of every node that holds text."""
     pin_batches(pages.sparkSession)
     rows = pages.select(host_of().alias("host"), F.coalesce("html", F.lit("")).alias("html")).filter("host is not null")
-    values = rows.mapInArrow(_features, FEATURE).groupBy("host", "path", "kind", "value").agg(
+    # Dealt by host and value, so that the totals per node need no further shuffle of texts.
+    dealt = rows.mapInArrow(_features, FEATURE).repartition("host", "value")
+    values = dealt.withColumn("path", F.explode("paths")).groupBy("host", "path", "kind", "value").agg(
         F.sum("pages").alias("pages"), F.sum("uses").alias("uses")
     )
     on = lambda kind, column: F.sum(F.when(F.col("kind") == kind, column))
@@ -247,16 +266,18 @@ def style_tree(pages: DataFrame) -> DataFrame:
 def main_texts(pages: DataFrame, least_pages: int = LEAST_PAGES, least_importance: float = IMPORTANCE) -> DataFrame:
     """``page_id, url, text`` for every row of ``pages``."""
     tree = style_tree(pages)
-    low = tree.filter((F.col("pages") >= least_pages) & (F.col("importance") < least_importance)).groupBy("host").agg(
-        F.collect_list("path").alias("low")
+    is_low = F.col("importance") < least_importance
+    known = tree.filter(F.col("pages") >= least_pages).groupBy("host").agg(
+        F.collect_list(F.when(is_low, F.col("path"))).alias("low"),
+        F.collect_list(F.when(~is_low, F.col("path"))).alias("high"),
     )
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host_of().alias("host"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                page_text(page, frozenset(found or ()))
-                for page, found in zip(batch.column("html").to_pylist(), batch.column("low").to_pylist())
+                page_text(page, frozenset(low or ()), frozenset(high or ()))
+                for page, low, high in zip(*(batch.column(name).to_pylist() for name in ("html", "low", "high")))
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
@@ -264,8 +285,8 @@ def main_texts(pages: DataFrame, least_pages: int = LEAST_PAGES, least_importanc
 
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
     # A host's short list goes to every lane, so that a hot host's pages are spread.
-    low = low.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))))
+    known = known.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))))
     rows = rows.withColumn("lane", F.pmod(F.xxhash64("page_id", "url"), F.lit(LANES)).cast("int"))
-    return rows.join(low, ["host", "lane"], "left").select("page_id", "url", "html", "low").mapInArrow(
+    return rows.join(known, ["host", "lane"], "left").select("page_id", "url", "html", "low", "high").mapInArrow(
         extract, f"page_id {kinds['page_id']}, url {kinds['url']}, text string"
     )

@@ -172,6 +172,43 @@ def test_copies_of_an_article_keep_their_text(spark):
     assert {r["text"] for r in got} == {"same"}
 
 
+def texts_of(spark, pages, host="h.example"):
+    rows = [(i, f"https://{host}/{i}", page) for i, page in enumerate(pages)]
+    got = extract.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r["text"] for r in sorted(got, key=lambda r: r["page_id"])]
+
+
+def test_protected_text_weighs_for_the_nodes_above(spark):
+    plain = [[f"text {i} {j}" for j in range(9)] for i in range(8)]
+    for lead in ("lead", "lead-%d"):
+        got = texts_of(spark, [
+            f"<html><body><div>fixed one</div><div>fixed two</div><article><p class={lead.replace('%d', str(i))}>lead {i}"
+            f"{''.join(f'<p>{t}' for t in texts)}</article></body></html>" for i, texts in enumerate(plain)
+        ])
+        assert got == ["\n".join([f"lead {i}", *texts]) for i, texts in enumerate(plain)]
+
+
+def test_marked_menus_do_not_pull_down_the_text_beside_them(spark):
+    menu = "<nav>" + "".join(f"<li>item {j}" for j in range(30)) + "</nav>"
+    got = texts_of(spark, [
+        f"<body>{menu}own {i}<div class=c><p>text {i}</p><p class=x{i}>rare {i}</p></div><ul><li>fixed</li></ul></body>"
+        for i in range(8)
+    ])
+    assert got == [f"own {i}\ntext {i}\nrare {i}" for i in range(8)]
+
+
+def test_style_tree_counts_all_text(spark):
+    pages = [f"<body><nav>menu</nav><article><p>same<p>own {i}</article>tail {i % 2}</body>" for i in range(8)]
+    rows = [(f"https://h.example/{i}", page) for i, page in enumerate(pages)]
+    got = {r["path"]: r for r in extract.style_tree(spark.createDataFrame(rows, "url string, html string")).collect()}
+    # Two texts of all 8 pages, two of 4 pages, eight of one page; one presentation.
+    spread = (16 * math.log(8) + 8 * math.log(4)) / 32 / math.log(8)
+    want = {"/body": 0.8 * (1 - spread), "/body/article": 0.4, "/body/article/p": 0.5, "/body/nav": 0.0,
+            "/body/": 1 - math.log(4) / math.log(8)}
+    assert set(got) == set(map(extract.code, want)) and {r["pages"] for r in got.values()} == {8}
+    assert all(abs(got[extract.code(p)]["importance"] - v) < 1e-9 for p, v in want.items())
+
+
 def test_whole_groups_join_batches():
     import pyarrow as pa
 

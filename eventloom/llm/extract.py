@@ -12,8 +12,12 @@
    nearest known node of a block decides: the block is removed if that node is of low
    importance, and, where it is a node further up, holds no important block on the page.
    What the markup declares to be no text is removed too: menus, headers, footers,
-   sidebars, notices, adverts, forms, comments, scripts.  Where a page has an article or
-   main element, only what is inside it counts.
+   sidebars, notices, adverts, forms, comments, scripts.  A class, id or role declares it
+   if all its words do (``cookie-notice``); one with other words besides (``menu-open``,
+   ``search-results``) leaves the decision to the tree, except for comments and adverts,
+   whose text differs from page to page.  Words and forms never hide html, body, an
+   article or main element, or what holds one; an article inside an article counts as any
+   element.  Where a page has an article or main element, only what is inside it counts.
 
 Only hashes of paths and texts are shuffled, folded inside the tasks first: a text is one
 row with the nodes above it, dealt by host and text and spread to its nodes behind the
@@ -74,18 +78,22 @@ NOISE = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar cookie cookies"
     " consent notice notices alert popup modal overlay newsletter subscribe signup login search share sharing social"
     " related breadcrumb breadcrumbs menu nav navbar navigation footer masthead comment comments reply replies respond"
-    " widget toolbar pagination pager contentinfo complementary".split()
+    " widget toolbar pagination pager contentinfo complementary header".split()
+)
+# Noise whose text differs from page to page, so that entropy cannot confirm it.
+VARIED = set(
+    "ad ads advert adverts advertisement advertising sponsor sponsored comment comments reply replies respond".split()
 )
 
 
 @lru_cache(maxsize=1 << 14)
 def _element(tag: str, attributes: str) -> tuple[str, bool]:
-    """The element's name in a path, and whether its markup says it is no text."""
+    """The element's name in a path, and whether its class, id or role says it is no text."""
     names = []
     for kind, *values in _NAMED.findall(attributes):
         names.append((kind.lower(), next((v for v in values if v), "")))
-    words = {w.lower() for _, v in names for w in _PART.findall(v)}
-    noise = tag in NEVER or bool(words & NOISE) or (tag == "header" or "header" in words and tag not in MAIN)
+    marks = [{w.lower() for w in _PART.findall(mark)} for _, v in names for mark in v.split()]
+    noise = any(words and (words <= NOISE or words & VARIED) for words in marks)
     return tag + "".join(f"[{k}={v}]" for k, v in sorted(names)), noise
 
 
@@ -95,20 +103,38 @@ def code(text: str) -> int:
 
 
 class _Open:
-    __slots__ = ("tag", "path", "noise", "main", "bare", "children")
+    __slots__ = ("tag", "path", "above", "noise", "hinted", "holds", "main", "story", "bare", "children")
 
-    def __init__(self, tag: str, name: str, noise: bool, above: _Open | None) -> None:
+    def __init__(self, tag: str, name: str, hinted: bool, above: _Open | None) -> None:
         self.tag = tag
         self.path = name if above is None else f"{above.path}/{name}"
+        self.above = above
         inside = above is not None and above.main
+        within = above is not None and above.story
         self.main = inside or tag in MAIN
+        self.story = within or tag == "article"
         # A page header is noise; the header of an article holds its title.
-        own = noise and not (tag == "header" and inside)
-        # A form around the whole article, as some servers write, does not hide it.
-        self.noise = own or (above is not None and above.noise and not (tag in MAIN and above.tag == "form"))
+        self.noise = tag in NEVER and tag != "form" or tag == "header" and not inside
+        # Noise unless it turns out to hold the main text, as a form round a whole page does.
+        self.hinted = tag == "form" or hinted and tag not in ("html", "body") and not (tag == "header" and inside)
+        self.holds = False
+        if tag == "main" or tag == "article" and not within:
+            node: _Open | None = self
+            while node is not None and not node.holds:
+                node.holds = True
+                node = node.above
         self.bare = inside and above.bare and name == tag or tag in MAIN
         self.children: list[str] = []
 
+    def hidden(self) -> bool:
+        """Whether markup says it is no text; known once the page is read."""
+        node: _Open | None = self
+        while node is not None:
+            if node.noise or node.hinted and not node.holds:
+                return True
+            node = node.above
+        return False
+
 
 def parse(page: str) -> tuple[list[tuple], list[tuple]]:
     """Blocks (paths above, text, noise, main, bare) in page order, and the
@@ -127,7 +153,7 @@ def parse(page: str) -> tuple[list[tuple], list[tuple]]:
             pieces.clear()
             if text:
                 top = stack[-1]
-                found.append((tuple(o.path for o in stack[1:]), text, top.noise, top.main, top.bare))
+                found.append((tuple(o.path for o in stack[1:]), text, top, top.main, top.bare))
 
     def close(n: int) -> None:
         while len(stack) > n:
@@ -175,7 +201,10 @@ def parse(page: str) -> tuple[list[tuple], list[tuple]]:
     flush()
     close(1)
     mixed = {path for path, _ in shapes}
-    return [(p + (f"{p[-1]}/",) if p and p[-1] in mixed else p, *rest) for p, *rest in found], shapes
+    return [
+        (paths + (f"{paths[-1]}/",) if paths and paths[-1] in mixed else paths, text, node.hidden(), main, bare)
+        for paths, text, node, main, bare in found
+    ], shapes
 
 
 def page_text(page: str, low: frozenset[int] = frozenset(), high: frozenset[int] = frozenset()) -> str:

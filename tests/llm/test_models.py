@@ -209,6 +209,28 @@ def test_style_tree_counts_all_text(spark):
     assert all(abs(got[extract.code(p)]["importance"] - v) < 1e-9 for p, v in want.items())
 
 
+@pytest.mark.parametrize("page", [
+    "<body class='has-sidebar'><article><p>a<p>b</article><footer>no</footer></body>",
+    "<body class=menu><p>a<p>b<div class=menu>no</div></body>",
+    "<div class='menu-open'><div><article><p>a<p>b</article></div><div class='cookie-notice'>no</div></div>",
+    "<div id='search-results'><article><p>a</article><article><p>b</article></div>",
+    "<div class=search><main><p>a<p>b</main></div><p>no",
+    "<article class='post comment-open'><p>a<div class=entry-header>b</div><div class=comment-list>no</div></article>",
+    "<article><p>a<p>b<section class=comments><article>no</article></section></article>",
+    "<form><div>no<article><p>a<p>b</article></div></form>",
+    "<nav><article>no</article></nav><p>a<form>no</form><p>b<div id=ad-3>no</div><div role=search>no</div>",
+])
+def test_words_hide_only_leaf_side_branches(page):
+    assert extract.page_text(page) == "a\nb"
+
+
+def test_the_host_confirms_ambiguous_words(spark):
+    got = texts_of(spark, [
+        f"<body><div class=menu-open><p>text {i}</p></div><div class=main-menu><p>home</p></div></body>" for i in range(8)
+    ])
+    assert got == [f"text {i}" for i in range(8)]
+
+
 def test_whole_groups_join_batches():
     import pyarrow as pa
 

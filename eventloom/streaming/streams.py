@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
-from eventloom.operators.load import RAW_ON_DISK, LoadReport, load_batch
+from eventloom.operators.load import RAW_ON_DISK, LoadReport, insert_if_absent, load_batch, near_keys
 from eventloom.operators.normalize import normalize, split_corrupt
 from eventloom.plans.incremental import DAY_TABLES, read_day_table, refresh_days
 from eventloom.plans.marts import daily_repo_from_days
 from eventloom.plans.staging import stg_raw_events
 from eventloom.schemas import FEED, HOUR_PARTITIONS
 from eventloom.sources.feed import LANDING_ON_DISK, decode, json_object
-from eventloom.sources.tables import read_table
+from eventloom.sources.tables import append_table, read_table
 
 # Flush settings of the live consumer (fixed values).
 FLUSH_ROWS = 5000
@@ -162,24 +162,40 @@ def load_stream(
     )
 
 
-def dedupe_stream(
-    landing: DataFrame, event_at: Column, delay: str = "2 hours", lanes: int = DEDUPE_LANES
-) -> DataFrame:
-    """Drop repeats of an id that arrive within ``delay`` of event time.
+def dedupe_stream(landing: DataFrame, event_at: Column, lanes: int = DEDUPE_LANES) -> DataFrame:
+    """Drop repeats of an id, however late they arrive; every id stays once.
 
     Copies are first dropped per (id, lane), the lane being the task that read
     them, so that one much repeated id is spread over ``lanes`` tasks; the
-    second step then sees at most ``lanes`` copies.  State is bounded by the
-    watermark, and the engine drops rows later than ``delay``, unique ids too:
-    for a complete table use ``load_stream``, which is keyed and exact.
+    second step then sees at most ``lanes`` copies.  There is no watermark, so
+    the state holds every id; ``dedupe_into`` keeps them in a table instead.
     """
-    timed = landing.withColumn("event_at", event_at).withWatermark("event_at", delay)
+    timed = landing.withColumn("event_at", event_at)
     if lanes > 1:
         timed = (
             timed.withColumn("_lane", F.spark_partition_id() % lanes)
-            .dropDuplicatesWithinWatermark(["id", "_lane"]).drop("_lane")
+            .dropDuplicates(["id", "_lane"]).drop("_lane")
         )
-    return timed.dropDuplicatesWithinWatermark(["id"])
+    return timed.dropDuplicates(["id"])
+
+
+def dedupe_into(rows: DataFrame, root: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Keep one row per id of a stream in the table at ``root``, however late it arrives.
+
+    Each micro-batch inserts what the table does not hold yet, so a batch that is
+    repeated after a failure inserts nothing again and no state grows with the
+    stream.  Rows without an id are refused.  Run one writer of a table at a time.
+    """
+    schema = rows.schema
+    order = [F.xxhash64(*schema.names).asc()]
+
+    def insert(batch: DataFrame, _: int) -> None:
+        held = near_keys(read_table(batch.sparkSession, root, schema), batch, "id")
+        fresh = insert_if_absent(batch, held, "id", order)
+        append_table(fresh.sortWithinPartitions("id"), root)
+
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return rows.writeStream.foreachBatch(insert).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def daily_repo_stream(

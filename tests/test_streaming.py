@@ -108,6 +108,33 @@ def test_stream_dedupe(spark, tmp_path, lanes):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2, 3]
 
 
+LATE = [
+    [event(1, at="2024-01-05T07:00:00Z"), event(2, at="2024-01-05T09:00:00Z")],
+    [event(3, at="2024-01-05T12:00:00Z")],
+    [event(4, at="2024-01-04T02:00:00Z"), event(1, at="2024-01-05T07:00:00Z"), event(4, at="2024-01-04T02:00:00Z")],
+    [event(5, at=None), event(3, at="2024-01-05T12:00:00Z"), event(6, at="2023-01-01T00:00:00Z")],
+]
+
+
+@pytest.mark.parametrize("lanes", [1, 16])
+def test_stream_dedupe_keeps_late_ids(spark, tmp_path, lanes):
+    stream, _ = stream_rows(spark, tmp_path, LATE)
+    out = str(tmp_path / "out")
+    deduped = streams.dedupe_stream(stream, parse_event_ts(F.col("created_at")), lanes=lanes)
+    deduped.select("id").writeStream.format("parquet").option("checkpointLocation", f"{out}-progress").trigger(
+        availableNow=True
+    ).start(out).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_dedupe_into_a_table_keeps_late_ids(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for batches in (LATE[:3], LATE[3:], [[event(None), event(2)]]):
+        stream, _ = stream_rows(spark, tmp_path, batches)
+        streams.dedupe_into(stream, out, f"{out}-progress").awaitTermination()
+    assert sorted(r.id for r in read_table(spark, out, stream.schema).collect()) == [1, 2, 3, 4, 5, 6]
+
+
 def test_stream_daily_equals_batch_out_of_order(spark, tmp_path):
     inbox, landing, root = tmp_path / "in", tmp_path / "landing", str(tmp_path / "daily")
 

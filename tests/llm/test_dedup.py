@@ -60,6 +60,13 @@ def test_exact_filter_keeps_columns_and_one_row_each(edge):
     assert ids[1] == 0 and ids[2] == 1 and ids[12] == 1
 
 
+def test_exact_filter_knows_rows_by_id_and_text(spark):
+    rows = [(5, "A"), (9, "a"), (5, "B"), (5, "B"), (None, "C"), (None, "c"), (None, "B"), (None, "D"), (7, None), (8, "")]
+    kept = exact_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    got = sorted((str(r["doc_id"]), (r["text"] or "").lower()) for r in kept)
+    assert got == [("5", "b"), ("8", ""), ("9", "a"), ("None", "c"), ("None", "d")]
+
+
 def near_brute(rows, k, percent):
     sets = {}
     for i, t in rows:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, chat, exact_dedup, extract, fingerprints, lattice, minhash, mixing, quality, suffix_dedup
+from eventloom.llm import bpe, chat, exact_dedup, extract, fingerprints, lattice, minhash, mixing, pii, quality, suffix_dedup
 from eventloom.llm.common import table
 from eventloom.session import pin
 
@@ -92,3 +92,8 @@ FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
 """)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_decisions(table(spark, sf_dir, "documents"))
+
+
+@query("op13_pii", pii.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(pii.find_pii(table(spark, sf_dir, "documents")))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, chat, exact_dedup, extract, fingerprints, lattice, minhash, mixing, pii, quality, suffix_dedup
+from eventloom.llm import bpe, chat, exact_dedup, extract, fingerprints, lattice, merkle, minhash, mixing, pii, quality, search, suffix_dedup
 from eventloom.llm.common import table
 from eventloom.session import pin
 
@@ -94,6 +94,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_decisions(table(spark, sf_dir, "documents"))
 
 
+@query("op11_merkle", merkle.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_search", search.SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op13_pii", pii.SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(pii.find_pii(table(spark, sf_dir, "documents")))

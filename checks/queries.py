@@ -19,14 +19,14 @@ from checks.feed import LOADED_AT, feed, landing, raw_events, staged
 from eventloom.functions.calendar import days_in, hours_in, span_of
 from eventloom.operators.anomaly import anomalies, series
 from eventloom.operators.latest import latest_per_key
-from eventloom.operators.load import delivery_order, insert_if_absent, load_batch, near_keys
+from eventloom.operators.load import RawTable, delivery_order, insert_if_absent, load_batch, near_keys
 from eventloom.operators.normalize import normalize, split_corrupt
 from eventloom.operators.ranking import global_rank, top_k_with_ties
 from eventloom.operators.scd2 import (
     REPO_CHECKS, REPO_KEY, history_schema, read_history, scd2_merge, snapshot_table,
 )
 from eventloom.plans import marts, observe, quality, rollups, staging
-from eventloom.plans.incremental import DAY_TABLES, read_day_table, refresh_days
+from eventloom.plans.incremental import REPO_DAYS, REPO_TOTALS, Models
 from eventloom.plans.staging import EVENT_VIEWS, stage, stg_raw_events
 from eventloom.schemas import FEED_FIELDS
 from eventloom.session import pin, scratch_path, stage_table
@@ -272,15 +272,12 @@ def _(spark, sf_dir):
     """Days 1 to 20, then days 19 to 30 with two days delivered again."""
     rows = landing(spark, sf_dir)
     root = scratch_path(spark, "incremental")
-    raw_root, bad_root = f"{root}/raw", f"{root}/bad"
-    loaded_at = datetime.fromisoformat(LOADED_AT)
-    tables = [t for t in DAY_TABLES if t.name == "repo_days"]
+    models = Models(RawTable(spark, f"{root}/raw"), f"{root}/states")
     day = F.substring("created_at", 1, 10)
     for part in (rows.filter(day <= "2024-01-20"), rows.filter(day >= "2024-01-19")):
-        report = load_batch(part, raw_root, bad_root, loaded_at)
-        events = stg_raw_events(read_table(spark, raw_root, RAW_ON_DISK), "event_date")
-        refresh_days(events, root, report.dates, tables)
-    return marts.daily_repo_from_days(read_day_table(spark, root, "repo_days", events))
+        load_batch(part, f"{root}/raw", f"{root}/bad", datetime.fromisoformat(LOADED_AT))
+        models.refresh([REPO_DAYS, REPO_TOTALS])
+    return marts.daily_repo_view(models.read(REPO_DAYS), models.read(REPO_TOTALS))
 
 
 # Generic operators on the order tables ---------------------------------------

@@ -34,12 +34,12 @@ def backfill(spark: SparkSession, args: argparse.Namespace) -> None:
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
     """Load one landed hour, or by default all that is not loaded yet, and refresh the models."""
     lake = Lake(spark, args.lake)
-    if not args.at:
-        build_models(lake, load_landed(lake, now()), now())
-        return
-    report = load_hours(lake, args.at, args.at, now())
-    print(f"processed {report.processed}, inserted {report.inserted}, rejected {report.rejected}")
-    build_models(lake, report.dates, now())
+    if args.at:
+        report = load_hours(lake, args.at, args.at, now())
+        print(f"processed {report.processed}, inserted {report.inserted}, rejected {report.rejected}")
+    else:
+        load_landed(lake, now())
+    build_models(lake, now())
 
 
 def hour(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -54,8 +54,7 @@ def hour(spark: SparkSession, args: argparse.Namespace) -> None:
 def anomalies(spark: SparkSession, args: argparse.Namespace) -> None:
     """Score every series again and replace the anomaly table."""
     lake = Lake(spark, args.lake)
-    days = [r.event_date for r in lake.day_table("repo_days").select("event_date").distinct().collect()]
-    detect_anomalies(lake, days, args.method, now())
+    detect_anomalies(lake, lake.raw_table.dates(), args.method, now())
 
 
 def replay(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -86,7 +85,7 @@ def stream_load(spark: SparkSession, args: argparse.Namespace) -> None:
     lake = Lake(spark, args.lake)
     streams.load_stream(
         spark, lake.path("landing_stream"), lake.path("raw/events"), lake.path("quarantine/rows"),
-        args.checkpoint, now(), on_loaded=lambda report: build_models(lake, report.dates, now()),
+        args.checkpoint, now(), on_loaded=lambda report: build_models(lake, now()),
     ).awaitTermination()
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,14 +14,26 @@ from eventloom.functions.timeparse import parse_event_ts
 from eventloom.operators.latest import first_per_key
 from eventloom.operators.normalize import bad_row_reason
 from eventloom.schemas import LANDING, RAW_EVENTS
-from eventloom.sources.paths import exists
+from eventloom.session import stage_table
+from eventloom.sources.paths import delete, glob_paths, latest_version, version_path, versions
+from eventloom.sources.state import StateTable, bucket_of, bucketed
 from eventloom.sources.tables import append_absent, read_table
 
-RAW_ON_DISK = T.StructType(
+STAGED = T.StructType(
     [T.StructField(f.name, f.dataType) for f in RAW_EVENTS.fields]
     + [T.StructField("event_date", T.DateType())]
 )
+RAW_ON_DISK = T.StructType(STAGED.fields + [T.StructField("load_id", T.IntegerType())])
+LOADS = T.StructType([T.StructField("event_date", T.DateType())])
+KEYS = T.StructType([T.StructField("id", T.LongType())])
+NEW_KEYS = T.StructType(
+    KEYS.fields + [T.StructField("bucket", T.IntegerType()), T.StructField("load_id", T.IntegerType())]
+)
 KEY_SLICES = 64
+# So many ids are looked up by value: what Spark pushes into a scan as a list.
+POINTS = 10
+# Loads whose ids may wait to be folded into the buckets of the index.
+COMPACT_EVERY = 48
 
 
 def insert_if_absent(
@@ -70,10 +82,11 @@ class LoadReport:
     processed: int
     inserted: int
     rejected: int
-    # Event dates of the accepted rows, also of those already loaded, so that a
-    # rerun after a crash refreshes what the first attempt did not get to.  None
-    # stands for an unreadable event time.
+    # Event dates of the accepted rows, also of those already loaded.  None stands
+    # for an unreadable event time.
     dates: list[date | None] = field(default_factory=list)
+    # The load the inserted rows belong to, or the last one if there were none.
+    load_id: int = 0
 
 
 def delivery_order() -> list[Column]:
@@ -82,50 +95,160 @@ def delivery_order() -> list[Column]:
     return [F.col("created_at").asc_nulls_last(), F.xxhash64(*rest).asc()]
 
 
+@dataclass(frozen=True)
+class RawTable:
+    """The raw table below ``root``, its loads and the index of its ids.
+
+    Rows lie by event date and load.  A load first writes its rows to ``staged``; from
+    then on it is finished by whoever comes next: its partitions of the table and of the
+    index are overwritten as a whole, so doing that twice changes nothing, and its dates
+    in ``loads`` commit it.  Run one loader of a table at a time.
+    """
+
+    spark: SparkSession
+    root: str
+
+    @property
+    def staged(self) -> str:
+        return f"{self.root}_staged"
+
+    @property
+    def loads(self) -> str:
+        return f"{self.root}_loads"
+
+    @property
+    def keys(self) -> StateTable:
+        """Ids of the loads up to its version, by hash, with Bloom filters in the files."""
+        return bucketed(
+            f"{self.root}_keys/old", KEYS, "id", **{
+                "parquet.bloom.filter.enabled#id": "true", "parquet.bloom.filter.adaptive.enabled": "true",
+            },
+        )
+
+    @property
+    def new_keys(self) -> str:
+        """Ids of the loads since, by hash and load."""
+        return f"{self.root}_keys/new"
+
+    def last(self) -> int:
+        """The last load that is complete; 0 before the first."""
+        return latest_version(self.spark, self.loads)
+
+    def read(self) -> DataFrame:
+        """All rows of complete loads."""
+        return read_table(self.spark, self.root, RAW_ON_DISK).filter(F.col("load_id") <= self.last())
+
+    def dates(self, after: int = 0) -> list[date | None]:
+        """Event dates of the rows of all loads past ``after``."""
+        found = [version_path(self.loads, n) for n in versions(self.spark, self.loads) if n > after]
+        if not found:
+            return []
+        rows = self.spark.read.schema(LOADS).parquet(*found).distinct().collect()
+        return sorted((r.event_date for r in rows), key=lambda d: (d is None, d or date.min))
+
+    def since(self, after: int) -> DataFrame:
+        """The rows of the loads past ``after``; reads only the dates they touched."""
+        return self.read().filter(F.col("load_id") > after).filter(on_dates(self.dates(after)))
+
+    def held_keys(self, batch: DataFrame) -> DataFrame:
+        """The ids held that can occur in ``batch``.
+
+        The index is read in the buckets of the batch only.  There a few ids are looked
+        up by value, which Bloom filters and statistics answer per file, and many by
+        the intervals of :func:`near_keys`.
+        """
+        ids = batch.select("id").filter(F.col("id").isNotNull())
+        few = [r.id for r in ids.distinct().limit(POINTS + 1).collect()]
+        old = self.keys
+        buckets = old.values_in(ids)
+        new = read_table(self.spark, self.new_keys, NEW_KEYS).filter(
+            F.col("bucket").isin(buckets) & F.col("load_id").between(old.version(self.spark) + 1, self.last())
+        )
+        held = old.read(self.spark, buckets).unionByName(new.select("id"))
+        return held.filter(F.col("id").isin(few)) if len(few) <= POINTS else near_keys(held, ids, "id")
+
+    def keys_of(self, after: int) -> DataFrame:
+        """Every row's id, for all ids that the loads past ``after`` brought."""
+        fresh = stage_table(self.since(after).select("id").distinct(), "fresh-ids")
+        return self.held_keys(fresh).join(fresh, "id", "left_semi")
+
+    def finish(self) -> int:
+        """Complete the staged load, if there is one; returns the last complete load."""
+        spark, last = self.spark, self.last()
+        number = latest_version(spark, self.staged)
+        if number <= last:
+            return last
+        rows = spark.read.schema(STAGED).parquet(version_path(self.staged, number)).withColumn(
+            "load_id", F.lit(number)
+        )
+        # Adaptive execution sizes the rebalanced partitions: a day that holds most
+        # rows is split over tasks, small days share one.
+        table = rows.select(*RAW_ON_DISK.names).hint("rebalance", "event_date").sortWithinPartitions("event_date", "id")
+        overwrite_partitions(table, self.root, "event_date", "load_id")
+        ids = rows.select("id", bucket_of("id").alias("bucket"), "load_id")
+        overwrite_partitions(ids.hint("rebalance", "bucket").sortWithinPartitions("bucket", "id"), self.new_keys, "bucket", "load_id")
+        rows.select("event_date").distinct().write.mode("overwrite").parquet(version_path(self.loads, number))
+        delete(spark, version_path(self.staged, number))
+        if number - self.keys.version(spark) >= COMPACT_EVERY:
+            self.compact_keys()
+        return number
+
+    def compact_keys(self) -> None:
+        """Fold the ids of all complete loads into the buckets."""
+        last, old = self.last(), self.keys
+        new = read_table(self.spark, self.new_keys, NEW_KEYS).filter(
+            F.col("load_id").between(old.version(self.spark) + 1, last)
+        )
+        old.upsert(new.select("id"), lambda held, ids: held.unionByName(ids), last)
+        for path in glob_paths(self.spark, f"{self.new_keys}/bucket=*/load_id=*"):
+            if int(path.rsplit("=", 1)[1]) <= last:
+                delete(self.spark, path)
+
+
+def overwrite_partitions(rows: DataFrame, root: str, *parts: str) -> None:
+    """Overwrite the partitions ``rows`` belong to, and no others."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(root)
+
+
 def load_batch(landing: DataFrame, raw_root: str, quarantine_root: str, loaded_at: datetime) -> LoadReport:
     """Insert a landing batch into the raw table; rerunning it inserts nothing.
 
-    Rows that break the table contract go to quarantine, the others are stamped
-    and appended, clustered by event date and sorted by id for ``near_keys``.
+    The batch is evaluated once.  Rows that break the table contract go to quarantine,
+    the others are stamped and, if their id is new, become a load of :class:`RawTable`.
     """
     spark = landing.sparkSession
-    flagged = landing.select(*LANDING.names).withColumn("reason", bad_row_reason())
-    batch = flagged.filter(F.col("reason").isNull()).drop("reason")
-    accepted, event_date = F.col("reason").isNull(), F.to_date(parse_event_ts(F.col("created_at")))
-    key = F.when(accepted, F.col("id"))
+    raw = RawTable(spark, raw_root)
+    last = raw.finish()
+    flagged = stage_table(
+        landing.select(*LANDING.names).withColumn("reason", bad_row_reason())
+        .withColumn("event_date", F.to_date(parse_event_ts(F.col("created_at")))),
+        "load",
+    )
+    accepted = F.col("reason").isNull()
     seen = flagged.agg(
         F.count("*").alias("n"), F.count("reason").alias("bad"),
-        F.min(key).alias("low"), F.max(key).alias("high"),
-        F.collect_set(F.when(accepted, event_date)).alias("dates"),
-        F.count_if(accepted & event_date.isNull()).alias("undated"),
+        F.collect_set(F.when(accepted, F.col("event_date"))).alias("dates"),
+        F.count_if(accepted & F.col("event_date").isNull()).alias("undated"),
     ).first()
-    if exists(spark, f"{raw_root}/event_date=*") and seen.low is not None:
-        raw = read_table(spark, raw_root, RAW_ON_DISK)
-        target = near_keys(raw, batch, "id", (seen.low, seen.high))
-        fresh = insert_if_absent(batch, target, "id", delivery_order())
-    else:
-        fresh = first_per_key(batch, ["id"], delivery_order())
-    inserted = Observation()
-    rows = (
-        fresh.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp"))
-        .withColumn("event_date", event_date)
-        .select(*RAW_ON_DISK.names)
-    )
-    # Adaptive execution sizes the rebalanced partitions: a day that holds most
-    # rows is split over tasks, small days share one.
-    rows.hint("rebalance", "event_date").sortWithinPartitions("event_date", "id").observe(
+    batch = flagged.filter(accepted).drop("reason")
+    fresh = insert_if_absent(batch, raw.held_keys(batch), "id", delivery_order())
+    inserted, path = Observation(), version_path(raw.staged, last + 1)
+    fresh.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp")).select(*STAGED.names).observe(
         inserted, F.count(F.lit(1)).alias("n")
-    ).write.mode("append").partitionBy("event_date").parquet(raw_root)
+    ).write.mode("overwrite").parquet(path)
+    number = raw.finish() if spark.read.schema(STAGED).parquet(path).head(1) else last
+    if number == last:
+        delete(spark, path)
 
     if seen.bad:
-        stamped = flagged.filter(F.col("reason").isNotNull()).withColumn(
+        stamped = flagged.filter(~accepted).drop("event_date").withColumn(
             "loaded_at", F.lit(loaded_at).cast("timestamp")
         )
         append_absent(stamped, quarantine_root, LANDING.names)
     dates: list[date | None] = sorted(seen.dates)
     return LoadReport(
-        processed=seen.n, inserted=inserted.get["n"], rejected=seen.bad,
-        dates=dates + [None] * bool(seen.undated),
+        processed=seen.n, inserted=inserted.get["n"] if number > last else 0, rejected=seen.bad,
+        dates=dates + [None] * bool(seen.undated), load_id=number,
     )
 
 
@@ -134,11 +257,3 @@ def on_dates(dates: Sequence[date | None]) -> Column:
     known = [d for d in dates if d is not None]
     hit = F.col("event_date").isin(known) if known else F.lit(False)
     return hit | F.col("event_date").isNull() if len(known) < len(dates) else hit
-
-
-def replace_dates(df: DataFrame, root: str, dates: Sequence[date | None]) -> None:
-    """Overwrite only the given ``event_date`` partitions of a table with ``df``."""
-    (
-        df.filter(on_dates(dates)).hint("rebalance", "event_date").write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(root)
-    )

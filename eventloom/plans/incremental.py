@@ -1,7 +1,11 @@
-"""Tables kept up to date by recomputing only what a load touched.
-
-Per-day tables are rebuilt for the touched days; per-entity tables for the
-entities active on those days.
+"""Tables kept up to date from the rows a load inserted, and nothing else.
+
+The raw table only ever gains rows, and all measures merge (counts and sums add, maxima
+win, sets of actors unite).  So every state is brought up to date by folding the rows of
+the loads it has not seen and merging them into the partitions they fall into: the
+touched days, or the touched buckets of entities.  A state's version is the last load in
+it, which makes a rerun after a crash fold each load exactly once, whatever step it had
+reached.  History is never read; a full rebuild is the same fold with version 0.
 """
 
 from __future__ import annotations
@@ -13,81 +17,153 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
-from eventloom.operators.load import on_dates, replace_dates
+from eventloom.operators.load import RawTable, on_dates, overwrite_partitions
+from eventloom.plans import rollups
 from eventloom.plans.marts import fact_events, fct_repo_stars
-from eventloom.plans.rollups import actor_days, repo_day_pushers, repo_days
-from eventloom.plans.staging import typed_events
+from eventloom.plans.staging import stg_raw_events, typed_events
 from eventloom.session import stage_table, write_together
+from eventloom.sources.paths import latest_version, mark_version
+from eventloom.sources.state import StateTable, bucketed, by_date
 from eventloom.sources.tables import read_table
 
-
 TYPED = "typed_events"
+LOAD_PARTS = ("event_date", "load_id")
 
 
-@dataclass(frozen=True)
-class DayTable:
-    """A table partitioned by ``event_date`` that is a function of that day's events."""
+def _facts(typed: DataFrame) -> DataFrame:
+    return fact_events(typed, *LOAD_PARTS)
 
-    name: str
-    build: Callable[[DataFrame], DataFrame]  # typed events -> rows with an event_date
 
+def _stars(typed: DataFrame) -> DataFrame:
+    return fct_repo_stars(typed.filter(F.col("event_type") == "WatchEvent"), *LOAD_PARTS)
 
-def _facts(events: DataFrame) -> DataFrame:
-    facts = fact_events(events)
-    return facts.withColumn("event_date", facts["date_id"])
 
+# One row per event, kept by day and load: name -> how typed events become rows.
+EVENT_TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {"fact_events": _facts, "fct_repo_stars": _stars}
 
-def _stars(events: DataFrame) -> DataFrame:
-    watches = events.filter(events["event_type"] == "WatchEvent")
-    stars = fct_repo_stars(watches)
-    return stars.withColumn("event_date", stars["starred_at"].cast("date"))
 
+@dataclass(frozen=True)
+class State:
+    """A table that is a fold of all events.
 
-DAY_TABLES = [
-    DayTable("repo_days", repo_days),
-    DayTable("repo_day_pushers", repo_day_pushers),
-    DayTable("actor_days", actor_days),
-    DayTable("fact_events", _facts),
-    DayTable("fct_repo_stars", _stars),
-]
+    ``fold`` gives rows from typed events; ``merge`` makes one row of several that stand
+    for the same.  Days lie by date, entities by the hash of their id.
+    """
 
+    name: str
+    fold: Callable[[DataFrame], DataFrame]
+    merge: Callable[[DataFrame], DataFrame]
+    entity: str | None = None
 
-def refresh_days(
-    events: DataFrame, root: str, dates: Sequence[date | None], tables: Sequence[DayTable] = tuple(DAY_TABLES)
-) -> None:
-    """Rebuild the touched days of each table; other days are not read.
+    def table(self, root: str, typed: DataFrame) -> StateTable:
+        schema, path = self.fold(typed).schema, f"{root}/{self.name}"
+        return bucketed(path, schema, self.entity) if self.entity else by_date(path, schema)
+
+    def united(self, held: DataFrame, fresh: DataFrame) -> DataFrame:
+        return self.merge(held.unionByName(fresh))
 
-    ``events`` must carry the raw table's ``event_date`` partition column, so
-    the filter prunes partitions.  Equal to a full rebuild, because every row
-    of these tables depends on one day only.
-    """
-    if not dates:
-        return
-    # The JSON of the touched days is parsed once, for all tables.
-    replace_dates(typed_events(events.filter(on_dates(dates))), f"{root}/{TYPED}", dates)
-    typed = read_typed(events, root).filter(on_dates(dates))
-    write_together(events.sparkSession, [
-        partial(replace_dates, table.build(typed), f"{root}/{table.name}", dates) for table in tables
-    ])
 
+def _repo_days(rows: DataFrame) -> DataFrame:
+    return rollups.merge_repo_state(rows, rollups.REPO_DAY, ("repo_id", "event_date"))
 
-_SCHEMAS: dict[str, StructType] = {}
 
+def _actor_days(rows: DataFrame) -> DataFrame:
+    return rollups.merge_actor_state(rows, rollups.DAILY_ACTOR, ("actor_id", "event_date"))
 
-def read_typed(events: DataFrame, root: str) -> DataFrame:
-    if TYPED not in _SCHEMAS:
-        _SCHEMAS[TYPED] = typed_events(events).schema
-    return read_table(events.sparkSession, f"{root}/{TYPED}", _SCHEMAS[TYPED])
 
+REPO_DAYS = State("repo_days", rollups.repo_days, _repo_days)
+ACTOR_DAYS = State("actor_days", rollups.actor_days, _actor_days)
+REPO_TOTALS = State(
+    "repo_totals", lambda typed: rollups.repo_state(typed, rollups.REPO_DAY),
+    lambda rows: rollups.merge_repo_state(rows, rollups.REPO_DAY), "repo_id",
+)
+ACTOR_TOTALS = State(
+    "actor_totals", lambda typed: rollups.actor_state(typed, rollups.DAILY_ACTOR),
+    lambda rows: rollups.merge_actor_state(rows, rollups.DAILY_ACTOR), "actor_id",
+)
+REPO_PUSHERS = State("repo_pushers", rollups.repo_pushers, rollups.merge_pushers, "repo_id")
+STATES = (REPO_DAYS, ACTOR_DAYS, REPO_TOTALS, ACTOR_TOTALS, REPO_PUSHERS)
 
-def read_day_table(spark: SparkSession, root: str, name: str, events: DataFrame) -> DataFrame:
-    """A per-day table, with the schema its builder gives (also before the first write)."""
-    if name not in _SCHEMAS:
-        table = next(t for t in DAY_TABLES if t.name == name)
-        _SCHEMAS[name] = table.build(typed_events(events)).schema
-    return read_table(spark, f"{root}/{name}", _SCHEMAS[name])
+
+@dataclass(frozen=True)
+class Models:
+    """The event tables and states below ``root`` that follow the raw table."""
+
+    raw: RawTable
+    root: str
+
+    @property
+    def spark(self) -> SparkSession:
+        return self.raw.spark
+
+    def _typed_rows(self, rows: DataFrame) -> DataFrame:
+        return typed_events(stg_raw_events(rows, *LOAD_PARTS), "load_id")
+
+    def _schema(self, build: Callable[[DataFrame], DataFrame]) -> T.StructType:
+        return build(self._typed_rows(self.raw.read())).schema
+
+    def _event_table(self, name: str, schema: T.StructType) -> DataFrame:
+        fields = [f for f in schema.fields if f.name not in LOAD_PARTS]
+        parts = [T.StructField("event_date", T.DateType()), T.StructField("load_id", T.IntegerType())]
+        return read_table(self.spark, f"{self.root}/{name}", T.StructType(fields + parts))
+
+    def typed(self) -> DataFrame:
+        rows = self._event_table(TYPED, self._schema(lambda typed: typed))
+        return rows.filter(F.col("load_id") <= self.events_version())
+
+    def events(self, name: str) -> DataFrame:
+        """One of :data:`EVENT_TABLES`."""
+        rows = self._event_table(name, self._schema(EVENT_TABLES[name]))
+        return rows.filter(F.col("load_id") <= self.events_version()).drop("load_id")
+
+    def events_version(self) -> int:
+        return latest_version(self.spark, f"{self.root}/events_done")
+
+    def state(self, state: State) -> StateTable:
+        return state.table(self.root, self._typed_rows(self.raw.read()))
+
+    def read(self, state: State, only: Sequence | None = None) -> DataFrame:
+        return self.state(state).read(self.spark, only)
+
+    def refresh_events(self) -> None:
+        """Parse the rows of the new loads once and write them by day and load."""
+        after, last = self.events_version(), self.raw.last()
+        if after >= last:
+            return
+        overwrite_partitions(
+            self._typed_rows(self.raw.since(after)).hint("rebalance", *LOAD_PARTS), f"{self.root}/{TYPED}", *LOAD_PARTS
+        )
+        fresh = self._event_table(TYPED, self._schema(lambda typed: typed)).filter(
+            F.col("load_id").between(after + 1, last) & on_dates(self.raw.dates(after))
+        )
+        for name, build in EVENT_TABLES.items():
+            overwrite_partitions(build(fresh).hint("rebalance", *LOAD_PARTS), f"{self.root}/{name}", *LOAD_PARTS)
+        mark_version(self.spark, f"{self.root}/events_done", last)
+
+    def since(self, after: int) -> DataFrame:
+        """Typed events of the loads past ``after``; reads only the dates they touched."""
+        return self.typed().filter(F.col("load_id") > after).filter(on_dates(self.raw.dates(after)))
+
+    def refresh_state(self, state: State) -> None:
+        table, last = self.state(state), self.events_version()
+        after = table.version(self.spark)
+        if after < last:
+            table.upsert(state.fold(self.since(after)), state.united, last)
+
+    def refresh(self, states: Sequence[State] = STATES) -> None:
+        """Bring the event tables and ``states`` up to the last load."""
+        self.refresh_events()
+        write_together(self.spark, [partial(self.refresh_state, state) for state in states])
+
+    def repo_totals(self, only: Sequence | None = None) -> DataFrame:
+        """Every repository measure over all days, with the number of distinct pushers."""
+        return rollups.with_pushers(self.read(REPO_TOTALS, only), self.read(REPO_PUSHERS, only))
+
+    def touched(self, state: State, after: int) -> list:
+        """Partitions of ``state`` that the loads past ``after`` fall into."""
+        return self.state(state).values_in(state.fold(self.since(after)))
 
 
 def touched_keys(days: DataFrame, key: str, dates: Sequence[date | None]) -> DataFrame:

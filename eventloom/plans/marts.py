@@ -20,17 +20,17 @@ from eventloom.session import stage_table
 CONTRIBUTOR_RANKS = 100
 
 
-def fact_events(events: DataFrame) -> DataFrame:
+def fact_events(events: DataFrame, *keep: str) -> DataFrame:
     return with_repo(with_actor(events)).select(
         "event_id", "event_type", "actor_id", "repo_id",
         F.to_date("event_at").alias("date_id"),
-        "event_at", "is_public", "loaded_at",
+        "event_at", "is_public", "loaded_at", *keep,
     )
 
 
-def fct_repo_stars(watch_events: DataFrame) -> DataFrame:
+def fct_repo_stars(watch_events: DataFrame, *keep: str) -> DataFrame:
     return watch_events.select(
-        "event_id", "repo_id", "actor_id", F.col("event_at").alias("starred_at")
+        "event_id", "repo_id", "actor_id", F.col("event_at").alias("starred_at"), *keep
     )
 
 
@@ -48,6 +48,26 @@ def daily_repo_from_days(days: DataFrame) -> DataFrame:
     )
 
 
+def daily_repo_view(days: DataFrame, totals: DataFrame) -> DataFrame:
+    """The same facts with the name taken from the totals per repository.
+
+    No window over all days: a filter on ``event_date`` reaches the scan of ``days``
+    and prunes its partitions; ``totals`` has one row per repository.
+    """
+    names = totals.select(F.col("repo_id").alias("_repo"), F.col("latest_named.repo_name").alias("repo_name"))
+    return days.join(names, F.col("repo_id") == F.col("_repo"), "left").select(
+        "repo_id", "repo_name", "event_date", "total_events", "star_count", "push_count", "pr_count", "issue_count",
+    )
+
+
+def daily_actor_view(days: DataFrame, totals: DataFrame) -> DataFrame:
+    """The daily facts per actor, named and pruned as in :func:`daily_repo_view`."""
+    names = totals.select(F.col("actor_id").alias("_actor"), F.col("latest_named.actor_login").alias("actor_login"))
+    return days.join(names, F.col("actor_id") == F.col("_actor"), "left").select(
+        "actor_id", "actor_login", "event_date", "total_events", "push_count", "watch_count", "pr_count", "issue_count",
+    )
+
+
 def daily_repo(events: DataFrame) -> DataFrame:
     return daily_repo_from_days(repo_days(events, DAILY_REPO))
 

@@ -9,34 +9,31 @@ from datetime import date, datetime
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from eventloom.functions.calendar import dim_date
 from eventloom.operators.anomaly import anomalies, series
-from eventloom.operators.load import RAW_ON_DISK, LoadReport, load_batch, on_dates
+from eventloom.operators.load import LoadReport, RawTable, load_batch, on_dates
 from eventloom.operators.normalize import normalize, split_corrupt
 from eventloom.operators.scd2 import (
     REPO_CHECKS, REPO_KEY, history_schema, read_history, snapshot_table,
 )
 from eventloom.plans import marts, observe, quality, rollups, staging
 from eventloom.plans.incremental import (
-    of_touched, read_day_table, refresh_days, touched_keys, with_touched_replaced,
+    ACTOR_DAYS, ACTOR_TOTALS, EVENT_TABLES, REPO_DAYS, REPO_TOTALS, Models, of_touched, touched_keys,
+    with_touched_replaced,
 )
 from eventloom.schemas import CORRUPT, DETECTED_ANOMALIES, DIM_REPO, PIPELINE_METRICS
 from eventloom.session import pin, write_together
 from eventloom.sources.feed import (
     feed_files, hour_key, land_batch, read_feed, read_landing,
 )
-from eventloom.sources.paths import exists, latest_version
+from eventloom.sources.paths import exists, latest_version, mark_version
 from eventloom.sources.tables import (
     append_absent, append_table, read_latest, read_table, replace_table,
 )
 from eventloom.streaming.streams import load_stream
 
 
-PENDING = T.StructType([T.StructField("event_date", T.DateType())])
-
-
 @dataclass(frozen=True)
 class Lake:
     """Where everything lives below one root, and how to read it back."""
@@ -53,21 +50,36 @@ class Lake:
             read_landing(self.spark, self.path("landing_stream"))
         )
 
+    @property
+    def raw_table(self) -> RawTable:
+        return RawTable(self.spark, self.path("raw/events"))
+
+    @property
+    def models(self) -> Models:
+        """Event tables, days and totals, kept up from the inserted rows."""
+        return Models(self.raw_table, self.path("states"))
+
     def raw(self) -> DataFrame:
-        return read_table(self.spark, self.path("raw/events"), RAW_ON_DISK)
+        return self.raw_table.read()
 
     def events(self) -> DataFrame:
         """Staged raw events with their partition column."""
         return staging.stg_raw_events(self.raw(), "event_date")
 
-    def day_table(self, name: str) -> DataFrame:
-        return read_day_table(self.spark, self.path("days"), name, self.events())
-
     def mart(self, name: str) -> DataFrame:
         return read_latest(self.spark, self.path(f"marts/{name}"))
 
-    def totals(self, name: str) -> DataFrame:
-        return read_latest(self.spark, self.path(f"totals/{name}"))
+    def day_table(self, name: str) -> DataFrame:
+        """A table kept by event date: one of the event tables, or measures per entity and day."""
+        if name in EVENT_TABLES:
+            return self.models.events(name)
+        return self.models.read({state.name: state for state in (REPO_DAYS, ACTOR_DAYS)}[name])
+
+    def repo_totals(self, only: list | None = None) -> DataFrame:
+        return self.models.repo_totals(only)
+
+    def actor_totals(self) -> DataFrame:
+        return self.models.read(ACTOR_TOTALS)
 
     def history(self) -> DataFrame:
         schema = history_schema(DIM_REPO, REPO_KEY, REPO_CHECKS)
@@ -77,10 +89,18 @@ class Lake:
         return marts.dim_repo(self.history())
 
     def daily_repo(self) -> DataFrame:
-        return marts.daily_repo_from_days(self.day_table("repo_days"))
+        """Daily facts; a filter on ``event_date`` prunes the days read."""
+        return marts.daily_repo_view(self.day_table("repo_days"), self.models.read(REPO_TOTALS))
 
     def daily_actor(self) -> DataFrame:
-        return marts.daily_actor_from_days(self.day_table("actor_days"))
+        return marts.daily_actor_view(self.day_table("actor_days"), self.actor_totals())
+
+    def waiting(self) -> list[date | None]:
+        """Event dates of the loads whose models, tests and anomalies are not all done."""
+        return self.raw_table.dates(self.settled())
+
+    def settled(self) -> int:
+        return latest_version(self.spark, self.path("settled"))
 
     def detected_anomalies(self) -> DataFrame:
         return read_latest(self.spark, self.path("analytics/detected_anomalies"), DETECTED_ANOMALIES)
@@ -93,7 +113,7 @@ class Lake:
 
         ``as_of`` is the time shown where a model falls back to the current time.
         """
-        repos = self.totals("repos")
+        repos = self.repo_totals()
         views = {
             "int_repo_watch_stats": rollups.watch_stats(repos, as_of),
             "int_repo_push_stats": rollups.push_stats(repos),
@@ -101,7 +121,7 @@ class Lake:
             "int_repo_pr_stats": rollups.pr_stats(repos),
             "int_repo_languages": rollups.languages(repos),
             "int_repo_descriptions": rollups.descriptions(repos),
-            "int_actor_activities": rollups.actor_activities(self.totals("actors")),
+            "int_actor_activities": rollups.actor_activities(self.actor_totals()),
             "raw_events": self.raw(),
             "stg_raw_events": self.events().drop("event_date"),
             "stg_repos": staging.stg_repos(self.events()),
@@ -172,77 +192,52 @@ def load_landed(lake: Lake, run_ts: datetime) -> list[date | None]:
     """Load every landed file that no load has taken yet, whatever hours it holds.
 
     Returns the event dates that wait for their models: those of this load and of
-    earlier ones whose run did not end.  They are written down before the files
-    count as loaded, so a crash forgets none; ``settle`` ends their waiting.
+    earlier ones whose run did not end.
     """
-    spark, waiting = lake.spark, lake.path("pending/dates")
-
-    def remember(report: LoadReport) -> None:
-        append_table(spark.createDataFrame([(d,) for d in report.dates], "event_date date"), waiting)
-
     for folder in ("landing", "landing_stream"):
-        if exists(spark, f"{lake.path(folder)}/year=*"):
+        if exists(lake.spark, f"{lake.path(folder)}/year=*"):
             load_stream(
-                spark, lake.path(folder), lake.path("raw/events"), lake.path("quarantine/rows"),
-                lake.path(f"checkpoints/load_{folder}"), run_ts, on_loaded=remember,
+                lake.spark, lake.path(folder), lake.path("raw/events"), lake.path("quarantine/rows"),
+                lake.path(f"checkpoints/load_{folder}"), run_ts,
             ).awaitTermination()
-    rows = read_table(spark, waiting, PENDING).distinct().collect()
-    return sorted((r.event_date for r in rows), key=lambda d: (d is None, d or date.min))
+    return lake.waiting()
 
 
-def settle(lake: Lake) -> None:
-    """Forget the waiting dates, once their models, tests and anomalies are done."""
-    lake.spark.createDataFrame([], PENDING).write.mode("overwrite").parquet(lake.path("pending/dates"))
+def settle(lake: Lake, load_id: int) -> None:
+    """Nothing waits any more up to ``load_id``: models, tests and anomalies are done."""
+    if load_id > lake.settled():
+        mark_version(lake.spark, lake.path("settled"), load_id)
 
 
-def refresh_totals(lake: Lake, name: str, key: str, days: DataFrame, dates, build) -> None:
-    """Bring a per-entity table up to date with the touched days."""
-    touched = touched_keys(days, key, dates)
-    fresh = build(lambda df: of_touched(df, key, touched))
-    path = lake.path(f"totals/{name}")
-    previous = read_latest(lake.spark, path, fresh.schema)
-    replace_table(with_touched_replaced(previous, fresh, key, touched), path)
+def build_models(lake: Lake, as_of: datetime) -> None:
+    """Bring every model up to date with the loads so far.
 
-
-def build_models(lake: Lake, dates: list[date | None], as_of: datetime) -> None:
-    """Bring every model up to date after a load that touched ``dates``.
-
-    Events of the touched days are read once.  Totals are recomputed for the
-    entities active on those days; all marts are built from the totals.
+    Inserted events are read once and merged into the days and entities they touch;
+    repositories of untouched buckets keep their version history as it is.  The marts
+    rank all entities, so they are built from all totals.
     """
-    built = latest_version(lake.spark, lake.path("marts/mart_language_popularity"))
-    if built and not dates:
+    spark, models, last = lake.spark, lake.models, lake.raw_table.last()
+    built = latest_version(spark, lake.path("built"))
+    if latest_version(spark, lake.path("marts/mart_language_popularity")) and built >= last:
         return
-    refresh_days(lake.events(), lake.path("days"), dates)
-    repo_days, pushers = lake.day_table("repo_days"), lake.day_table("repo_day_pushers")
-    actor_days = lake.day_table("actor_days")
-    write_together(lake.spark, [
-        lambda: refresh_totals(
-            lake, "repos", "repo_id", repo_days, dates,
-            lambda touched: rollups.repo_totals(touched(repo_days), touched(pushers)),
-        ),
-        lambda: refresh_totals(
-            lake, "actors", "actor_id", actor_days, dates,
-            lambda touched: rollups.merge_actor_state(touched(actor_days), rollups.DAILY_ACTOR),
-        ),
-    ])
-    repos, actors = lake.totals("repos"), lake.totals("actors")
-    profile = rollups.profile_from_totals(repos, as_of)
-    replace_table(profile, lake.path("marts/int_daily_repo_metrics_joined"))
-    snapshot_table(
-        lake.path("snapshots/dim_repo"), lake.mart("int_daily_repo_metrics_joined"), as_of
-    )
+    models.refresh()
+    repos, actors = lake.repo_totals(), lake.actor_totals()
+    replace_table(rollups.profile_from_totals(repos, as_of), lake.path("marts/int_daily_repo_metrics_joined"))
+    touched = lake.repo_totals(models.touched(REPO_TOTALS, built))
+    snapshot_table(lake.path("snapshots/dim_repo"), rollups.profile_from_totals(touched, as_of), as_of)
     marts_now = {
         "dim_actor": lambda: marts.dim_actor_rows(actors),
-        "dim_date": lambda: dim_date(lake.spark),
+        "dim_date": lambda: dim_date(spark),
         "mart_trending_repos": lambda: marts.trending_from_totals(repos),
         "mart_active_contributors": lambda: marts.contributors_from_totals(actors),
         "mart_language_popularity": lambda: marts.languages_from_totals(repos, lake.dim_repo()),
     }
-    write_together(lake.spark, [
+    write_together(spark, [
         lambda name=name, rows=rows: replace_table(rows(), lake.path(f"marts/{name}"))
         for name, rows in marts_now.items()
     ])
+    if last:
+        mark_version(spark, lake.path("built"), last)
 
 
 def detect_anomalies(
@@ -251,7 +246,8 @@ def detect_anomalies(
     """Replace the anomaly table, scoring again only the series that changed."""
     days = lake.day_table("repo_days")
     touched = touched_keys(days, "repo_id", dates)
-    changed = marts.daily_repo_from_days(of_touched(days, "repo_id", touched))
+    names = lake.models.read(REPO_TOTALS)
+    changed = marts.daily_repo_view(of_touched(days, "repo_id", touched), names)
     found = with_touched_replaced(
         lake.detected_anomalies(), anomalies(series(changed), method, run_ts), "repo_id", touched
     )
@@ -289,18 +285,20 @@ def run_hour(
 
     Rerunning an hour changes nothing but the run log.  The load takes all that
     has landed and is not loaded yet, however old or undated its events are.
-    Tests cover the event days this run touched, or all with
-    ``check_everything``; with ``gate`` a failing test stops the run before the
-    anomalies, after recording it.
+    Tests cover the event days this run touched, and the ids it brought against the
+    whole raw table, or everything with ``check_everything``; with ``gate`` a failing
+    test stops the run before the anomalies, after recording it.
     """
     started = time.monotonic()
     lake = Lake(pin(spark), root)
     ingest_hours(lake, feed_dir, logical_hour.date(), logical_hour.date(), logical_hour.hour)
     dates = load_landed(lake, run_ts)
-    build_models(lake, dates, run_ts)
+    last, settled = lake.raw_table.last(), lake.settled()
+    build_models(lake, run_ts)
 
     scope = None if check_everything else dates
-    results = quality.run_checks(check_tables(lake, scope)).collect()
+    ids = {} if check_everything else {"raw_events": lake.raw_table.keys_of(settled)}
+    results = quality.run_checks(check_tables(lake, scope), ids).collect()
     failures = [r for r in results if r.failures]
 
     def record(status: str) -> DataFrame:
@@ -308,7 +306,7 @@ def run_hour(
         counted = days.filter(F.col("event_date") == F.lit(logical_hour.date())).agg(
             F.coalesce(F.sum("total_events"), F.lit(0)).alias("n")
         ).first().n
-        lag = observe.freshness(days, run_ts, "last_event_at").first().freshness_lag_seconds
+        lag = observe.freshness(lake.models.read(REPO_TOTALS), run_ts, "last_event_at").first().freshness_lag_seconds
         row = observe.run_record(
             spark, run_id, logical_hour, counted, lag, len(results) - len(failures), len(failures),
             int(time.monotonic() - started), status, run_ts,
@@ -320,5 +318,5 @@ def run_hour(
         record("FAILED")
         raise quality.QualityError(failures)
     detect_anomalies(lake, dates, method, run_ts)
-    settle(lake)
+    settle(lake, last)
     return record("SUCCESS")

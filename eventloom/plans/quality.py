@@ -137,10 +137,16 @@ def assertion_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _results([expect_empty(name, t, rule(tables[t])) for name, (t, rule) in ASSERTIONS.items()])
 
 
-def run_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Results of every declared test, one row each."""
-    kinds = [not_null_checks, unique_checks, relationship_checks, assertion_checks]
-    return reduce(DataFrame.unionByName, [check(tables) for check in kinds])
+def run_checks(tables: Mapping[str, DataFrame], keys: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Results of every declared test, one row each.
+
+    Where ``tables`` hold a part of the rows, ``keys`` may name a wider table whose key
+    column the uniqueness tests read instead.
+    """
+    return reduce(DataFrame.unionByName, [
+        not_null_checks(tables), unique_checks({**tables, **(keys or {})}),
+        relationship_checks(tables), assertion_checks(tables),
+    ])
 
 
 class QualityError(RuntimeError):

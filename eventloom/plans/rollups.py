@@ -152,9 +152,11 @@ def repo_state(
     return _repo_rows(events).groupBy(*grain).agg(*_aggregate(REPO_MEASURES, names), *extra)
 
 
-def merge_repo_state(days: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Per-repository measures from measures kept per repository and day."""
-    return days.groupBy("repo_id").agg(*_merge(REPO_MEASURES, names))
+def merge_repo_state(
+    parts: DataFrame, names: Sequence[str], keys: Sequence[str] = ("repo_id",)
+) -> DataFrame:
+    """One row of measures per ``keys`` from rows kept at a finer grain, or several of one."""
+    return parts.groupBy(*keys).agg(*_merge(REPO_MEASURES, names))
 
 
 def actor_state(
@@ -165,8 +167,10 @@ def actor_state(
     return rows.groupBy(*grain).agg(*_aggregate(ACTOR_MEASURES, names))
 
 
-def merge_actor_state(days: DataFrame, names: Sequence[str]) -> DataFrame:
-    return days.groupBy("actor_id").agg(*_merge(ACTOR_MEASURES, names))
+def merge_actor_state(
+    parts: DataFrame, names: Sequence[str], keys: Sequence[str] = ("actor_id",)
+) -> DataFrame:
+    return parts.groupBy(*keys).agg(*_merge(ACTOR_MEASURES, names))
 
 
 def _distinct_pushers() -> Column:
@@ -355,25 +359,50 @@ def actor_days(events: DataFrame, names: Sequence[str] = DAILY_ACTOR) -> DataFra
     return actor_state(events, names, ("actor_id", "event_date"))
 
 
+def repo_pushers(events: DataFrame, *grain: str) -> DataFrame:
+    """Who pushed to a repository, as exact bitmaps: a bit per actor id.
+
+    ``slot`` is the run of 32,768 ids a bitmap stands for, so a repository has at most
+    one row per run, however many pushes; bitmaps of parts (days, loads) unite bit by bit,
+    which keeps distinct counts mergeable.  A bitmap is 4 kB in memory and, being mostly
+    zeros for a repository of few actors, some tens of bytes in a compressed file.
+    """
+    pushes = with_repo(with_actor(events.filter(_is("PushEvent")))).filter(F.col("actor_id").isNotNull())
+    pushes = pushes.withColumn("event_date", F.to_date("event_at"))
+    return pushes.groupBy("repo_id", *grain, F.bitmap_bucket_number("actor_id").alias("slot")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("actor_id")).alias("bits")
+    )
+
+
 def repo_day_pushers(events: DataFrame) -> DataFrame:
-    """Who pushed where on which day; the part of the profile that only a set
-    can carry from day to day."""
-    pushes = with_repo(with_actor(events.filter(_is("PushEvent"))))
-    return pushes.select("repo_id", F.to_date("event_at").alias("event_date"), "actor_id").distinct()
+    """The bitmaps per repository and day."""
+    return repo_pushers(events, "event_date")
 
 
-def repo_totals(days: DataFrame, pushers: DataFrame) -> DataFrame:
-    """Every repository measure over all days; one row per repository."""
-    counted = pushers.groupBy(F.col("repo_id").alias("_repo")).agg(
-        F.count_distinct("actor_id").alias("_pushers")
-    )
-    state = merge_repo_state(days, REPO_DAY)
+def merge_pushers(parts: DataFrame) -> DataFrame:
+    """The bitmaps of each repository, united over days or loads."""
+    return parts.groupBy("repo_id", "slot").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def count_pushers(bitmaps: DataFrame) -> DataFrame:
+    """``repo_id, unique_pushers`` from united bitmaps."""
+    return bitmaps.groupBy("repo_id").agg(F.sum(F.bitmap_count("bits")).alias("unique_pushers"))
+
+
+def with_pushers(totals: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """Totals with the number of distinct pushers, 0 where nobody pushed."""
+    counted = count_pushers(bitmaps).withColumnRenamed("repo_id", "_repo")
     return (
-        state.join(counted, F.col("repo_id").eqNullSafe(F.col("_repo")), "left")
-        .withColumn("unique_pushers", F.coalesce("_pushers", F.lit(0))).drop("_repo", "_pushers")
+        totals.join(counted, F.col("repo_id").eqNullSafe(F.col("_repo")), "left")
+        .withColumn("unique_pushers", F.coalesce("unique_pushers", F.lit(0))).drop("_repo")
     )
 
 
+def repo_totals(days: DataFrame, pushers: DataFrame) -> DataFrame:
+    """Every repository measure over all days; one row per repository."""
+    return with_pushers(merge_repo_state(days, REPO_DAY), merge_pushers(pushers))
+
+
 def profile_from_totals(totals: DataFrame, as_of: datetime, offset: int = STAR_OFFSET) -> DataFrame:
     """The same rows as :func:`repo_profile`, from the totals per repository."""
     # Events without any repository share the NULL key; they make no profile.

@@ -165,7 +165,7 @@ def stg_actors(events: DataFrame) -> DataFrame:
     ).withColumnRenamed("event_at", "last_event_at")
 
 
-def typed_events(events: DataFrame) -> DataFrame:
+def typed_events(events: DataFrame, *keep: str) -> DataFrame:
     """Staged events with every JSON member the models read as a column.
 
     Parsing JSON is most of the cost of a model.  Written once per event day,
@@ -175,5 +175,5 @@ def typed_events(events: DataFrame) -> DataFrame:
     return with_payload(with_repo(with_actor(typed))).select(
         "event_id", "event_type", "has_actor", "actor_id", "actor_login", "actor_avatar_url",
         "has_repo", "repo_id", "repo_name", "is_public", "event_at", "loaded_at", "details",
-        F.to_date("event_at").alias("event_date"),
+        F.to_date("event_at").alias("event_date"), *keep,
     )

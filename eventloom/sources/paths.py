@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def _glob(spark: SparkSession, pattern: str) -> list[str]:
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
     return [status.getPath().toString() for status in (found or [])]
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    return bool(_glob(spark, path))
+    return bool(glob_paths(spark, path))
 
 
 def list_files(spark: SparkSession, pattern: str) -> dict[str, str]:
     """File name -> full path for a glob."""
-    return {p.rsplit("/", 1)[-1]: p for p in _glob(spark, pattern)}
+    return {p.rsplit("/", 1)[-1]: p for p in glob_paths(spark, pattern)}
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
@@ -26,7 +26,7 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     A version counts once the writer left its ``_SUCCESS`` marker, so a failed
     or running write is invisible.
     """
-    marked = _glob(spark, f"{root}/v=*/_SUCCESS")
+    marked = glob_paths(spark, f"{root}/v=*/_SUCCESS")
     return sorted(int(p.rsplit("/", 2)[-2].split("=")[1]) for p in marked)
 
 
@@ -35,12 +35,24 @@ def latest_version(spark: SparkSession, root: str) -> int:
     return max(versions(spark, root), default=0)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def expire_versions(spark: SparkSession, root: str, keep: int, part: str = "") -> None:
     """Delete all but the newest ``keep`` committed versions, or one folder in them."""
     for version in versions(spark, root)[:-keep]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{version_path(root, version)}{part}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, f"{version_path(root, version)}{part}")
 
 
 def version_path(root: str, version: int) -> str:
     return f"{root}/v={version:08d}"
+
+
+def mark_version(spark: SparkSession, root: str, version: int) -> None:
+    """Commit a version that has no rows of its own: progress, not data."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{version_path(root, version)}/_SUCCESS")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True).close()
+    expire_versions(spark, root, 2)

@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
-from eventloom.operators.load import RAW_ON_DISK, LoadReport, insert_if_absent, load_batch, near_keys
+from eventloom.operators.load import LoadReport, RawTable, insert_if_absent, load_batch, near_keys
 from eventloom.operators.normalize import normalize, split_corrupt
-from eventloom.plans.incremental import DAY_TABLES, read_day_table, refresh_days
-from eventloom.plans.marts import daily_repo_from_days
-from eventloom.plans.staging import stg_raw_events
+from eventloom.plans.incremental import REPO_DAYS, REPO_TOTALS, Models
+from eventloom.plans.marts import daily_repo_view
 from eventloom.schemas import FEED, HOUR_PARTITIONS
 from eventloom.sources.feed import LANDING_ON_DISK, decode, json_object
 from eventloom.sources.tables import append_table, read_table
@@ -31,7 +30,6 @@ FLUSH_INTERVAL = "30 seconds"
 # Files count however long ago they were written.
 ANY_AGE = "36500d"
 DEDUPE_LANES = 16
-_REPO_DAYS = [t for t in DAY_TABLES if t.name == "repo_days"]
 
 
 def read_topic(
@@ -204,13 +202,15 @@ def daily_repo_stream(
 ) -> StreamingQuery:
     """Keep the daily facts per repository equal to the batch ones while events arrive.
 
-    Each micro-batch is loaded by key into ``raw`` below ``root``, then the days it
-    touched are rebuilt in ``days``.  There is no watermark: late and undated events
-    count like any other, and open days are there at once.  Read the result with
+    Each micro-batch is loaded by key into ``raw`` below ``root``; the rows it inserted
+    are folded and merged into the days they fall on.  No event is read again, so a late
+    one costs its own row and the measures of its day.  There is no watermark: late and
+    undated events count like any other, and open days are there at once.  A batch that
+    is repeated after a failure is merged once.  Read the result with
     ``daily_repo_streamed``.
     """
-    def refresh(report: LoadReport) -> None:
-        refresh_days(_streamed_events(spark, root), f"{root}/days", report.dates, _REPO_DAYS)
+    def refresh(_: LoadReport) -> None:
+        _streamed(spark, root).refresh([REPO_DAYS, REPO_TOTALS])
 
     return load_stream(
         spark, landing_root, f"{root}/raw", f"{root}/quarantine", checkpoint, loaded_at,
@@ -220,8 +220,9 @@ def daily_repo_stream(
 
 def daily_repo_streamed(spark: SparkSession, root: str) -> DataFrame:
     """The daily facts that ``daily_repo_stream`` keeps below ``root``."""
-    return daily_repo_from_days(read_day_table(spark, f"{root}/days", "repo_days", _streamed_events(spark, root)))
+    models = _streamed(spark, root)
+    return daily_repo_view(models.read(REPO_DAYS), models.read(REPO_TOTALS))
 
 
-def _streamed_events(spark: SparkSession, root: str) -> DataFrame:
-    return stg_raw_events(read_table(spark, f"{root}/raw", RAW_ON_DISK), "event_date")
+def _streamed(spark: SparkSession, root: str) -> Models:
+    return Models(RawTable(spark, f"{root}/raw"), f"{root}/states")

@@ -158,14 +158,22 @@ class RawTable:
         the intervals of :func:`near_keys`.
         """
         ids = batch.select("id").filter(F.col("id").isNotNull())
-        few = [r.id for r in ids.distinct().limit(POINTS + 1).collect()]
-        old = self.keys
-        buckets = old.values_in(ids)
+        last, old = self.last(), self.keys
+        found = ids.agg(
+            F.collect_set(bucket_of("id")).alias("buckets"), F.min("id").alias("low"), F.max("id").alias("high"),
+            F.approx_count_distinct("id").alias("n"),
+        ).first() if last else None
+        if not found or found.low is None:
+            return self.spark.createDataFrame([], KEYS)
         new = read_table(self.spark, self.new_keys, NEW_KEYS).filter(
-            F.col("bucket").isin(buckets) & F.col("load_id").between(old.version(self.spark) + 1, self.last())
+            F.col("bucket").isin(found.buckets) & F.col("load_id").between(old.version(self.spark) + 1, last)
         )
-        held = old.read(self.spark, buckets).unionByName(new.select("id"))
-        return held.filter(F.col("id").isin(few)) if len(few) <= POINTS else near_keys(held, ids, "id")
+        held = old.read(self.spark, found.buckets).unionByName(new.select("id"))
+        if found.n <= POINTS:
+            few = [r.id for r in ids.distinct().limit(2 * POINTS).collect()]
+            if len(few) <= POINTS:
+                return held.filter(F.col("id").isin(few))
+        return near_keys(held, ids, "id", (found.low, found.high))
 
     def keys_of(self, after: int) -> DataFrame:
         """Every row's id, for all ids that the loads past ``after`` brought."""

@@ -19,6 +19,16 @@ def members(text: Column, ddl: str) -> Column:
     return F.from_json(text, ddl)
 
 
+def variant_text(value: Column, path: str) -> Column:
+    """The member at ``path`` as text, as :func:`members` gives it; NULL if absent.
+
+    Objects and arrays come as JSON text, other values as their plain text.
+    """
+    member = F.try_variant_get(value, f"$.{path}", "variant")
+    nested = F.schema_of_variant(member).rlike("^(OBJECT|ARRAY)")
+    return F.when(nested, F.to_json(member)).otherwise(member.try_cast("string"))
+
+
 def with_actor(events: DataFrame) -> DataFrame:
     """Add ``actor_id, actor_login, actor_avatar_url`` unless already typed."""
     if "actor_id" in events.columns:

@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values of the detection rules.
 MIN_POINTS = 3
@@ -39,8 +40,73 @@ def _over(value: Column) -> Column:
     return value.over(Window.partitionBy("repo_id"))
 
 
+def _whole(value: Column) -> Column:
+    return value.cast("decimal(38,0)")
+
+
+def trend_state(points: DataFrame, weight: Column | None = None) -> DataFrame:
+    """What a straight line and a deviation need to know of each series, as exact sums.
+
+    Rows of sums add up (:func:`merge_trend_states`), so points can be taken in, or out
+    with ``weight`` -1, without the rest of their series.  ``x`` counts days from a fixed
+    day and ``y`` must be whole numbers, hence every sum is exact in any order.
+    """
+    w = F.lit(1) if weight is None else weight
+    x, y = F.unix_date("ds"), F.col("y").cast("bigint")
+    terms = {"n": F.lit(1), "sx": x, "sy": y, "sxy": x * y, "sxx": x.cast("bigint") * x, "syy": y * y}
+    return points.groupBy("repo_id").agg(*[F.sum(_whole(w * t)).cast("decimal(38,0)").alias(c) for c, t in terms.items()])
+
+
+TREND_SUMS = ["n", "sx", "sy", "sxy", "sxx", "syy"]
+TREND_STATE = T.StructType(
+    [T.StructField("repo_id", T.LongType())] + [T.StructField(c, T.DecimalType(38, 0)) for c in TREND_SUMS]
+)
+
+
+def merge_trend_states(parts: DataFrame) -> DataFrame:
+    """One row of sums per series; series whose points were all taken out go."""
+    return parts.groupBy("repo_id").agg(*[_whole(F.sum(c)).alias(c) for c in TREND_SUMS]).filter("n > 0")
+
+
+def fits(state: DataFrame) -> DataFrame:
+    """Line and deviations of each series, from its sums alone.
+
+    ``repo_id, points, x_mean, mean, slope, residual, spread``: the slope is NULL where
+    all points lie on one day, the sample deviation ``spread`` for a single point.
+    """
+    n = F.col("n")
+    times, minus = F.try_multiply, F.try_subtract
+    xx = minus(times(n, F.col("sxx")), times(F.col("sx"), F.col("sx")))
+    xy = minus(times(n, F.col("sxy")), times(F.col("sx"), F.col("sy")))
+    yy = minus(times(n, F.col("syy")), times(F.col("sy"), F.col("sy")))
+    parts = state.select("*", xx.alias("xx"), xy.alias("xy"), yy.alias("yy"))
+    d = {c: F.col(c).cast("double") for c in ("n", "sx", "sy", "xx", "xy", "yy")}
+    # Exact down to the division, or a perfect line would show a residual.
+    left = minus(times("yy", "xx"), times("xy", "xy")).cast("double")
+    left = F.coalesce(left, F.greatest(d["yy"] * d["xx"] - d["xy"] * d["xy"], F.lit(0.0)))
+    return parts.select(
+        "repo_id", n.cast("bigint").alias("points"), (d["sx"] / d["n"]).alias("x_mean"), (d["sy"] / d["n"]).alias("mean"),
+        F.when(d["xx"] != 0, d["xy"] / d["xx"]).alias("slope"),
+        F.when(d["xx"] != 0, F.sqrt(left / d["xx"]) / d["n"]).alias("residual"),
+        F.when(n > 1, F.sqrt(d["yy"] / (d["n"] * (d["n"] - 1)))).alias("spread"),
+    )
+
+
+def with_fits(points: DataFrame, state: DataFrame) -> DataFrame:
+    """Points with ``_fit``, the fit of their series; nothing is fitted again."""
+    known = fits(state)
+    fit = known.select(F.col("repo_id").alias("_of"), F.struct(*known.columns[1:]).alias("_fit"))
+    return points.join(fit, F.col("repo_id") == F.col("_of")).drop("_of")
+
+
 def with_trend_bounds(points: DataFrame, z: float = Z_95) -> DataFrame:
     """Straight-line trend per series, band of ``z`` residual deviations."""
+    if "_fit" in points.columns:
+        yhat = F.col("_fit.mean") + F.col("_fit.slope") * (F.unix_date("ds") - F.col("_fit.x_mean"))
+        band = z * F.col("_fit.residual")
+        return points.withColumns({
+            "yhat_lower": F.round(yhat - band, ROUND_DIGITS), "yhat_upper": F.round(yhat + band, ROUND_DIGITS),
+        })
     x = F.datediff("ds", _over(F.min("ds"))).cast("double")
     fitted = (
         points.withColumn("_x", x)
@@ -58,8 +124,9 @@ def with_trend_bounds(points: DataFrame, z: float = Z_95) -> DataFrame:
 
 def with_fallback_bounds(points: DataFrame) -> DataFrame:
     """Mean plus or minus 1.5 deviations, for short series and failed fits."""
-    mean = _over(F.avg("y"))
-    spread = _over(F.stddev_samp("y"))
+    known = "_fit" in points.columns
+    mean = F.col("_fit.mean") if known else _over(F.avg("y"))
+    spread = F.col("_fit.spread") if known else _over(F.stddev_samp("y"))
     spread = F.when(
         spread.isNull() | F.isnan(spread) | (spread == 0),
         F.when(mean > 0, mean * FALLBACK_SPREAD).otherwise(1.0),
@@ -153,14 +220,18 @@ def grouped_bounds(
 def anomalies(
     points: DataFrame, method: str = "auto", run_ts: datetime | None = None,
     min_points: int = MIN_POINTS, z: float = Z_95, fit: Callable = piecewise_fit,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """Points outside their series' band, in the shape of the anomaly table.
 
     ``trend`` and ``zscore`` apply one rule to every series.  ``auto`` uses the
     trend from ``min_points`` days on and the deviation rule below;
     ``piecewise`` does the same with the Python model, and also falls back
-    where it fails.
+    where it fails.  With the sums of :func:`trend_state` the bounds come from them, and
+    ``points`` may be any part of the series.
     """
+    if state is not None and method != "piecewise":
+        points = with_fits(points, state)
     if method == "trend":
         scored = with_trend_bounds(points, z).withColumn("anomaly_score", _outside())
     elif method == "zscore":
@@ -168,8 +239,9 @@ def anomalies(
     elif method in ("auto", "piecewise"):
         modelled = with_trend_bounds(points, z) if method == "auto" else grouped_bounds(points, fit, z)
         modelled = modelled.withColumnsRenamed({"yhat_lower": "_lower", "yhat_upper": "_upper"})
+        count = F.col("_fit.points") if "_fit" in points.columns else _over(F.count("*"))
         usable = (
-            (_over(F.count("*")) >= min_points)
+            (count >= min_points)
             & F.col("_lower").isNotNull() & ~F.isnan("_lower")
         )
         scored = with_fallback_bounds(modelled.withColumn("_usable", usable))

@@ -218,6 +218,14 @@ def overwrite_partitions(rows: DataFrame, root: str, *parts: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(root)
 
 
+class LoadFailed(RuntimeError):
+    """A load broke off after it had read ``processed`` rows."""
+
+    def __init__(self, processed: int) -> None:
+        super().__init__(f"load failed after reading {processed} rows")
+        self.processed = processed
+
+
 def load_batch(landing: DataFrame, raw_root: str, quarantine_root: str, loaded_at: datetime) -> LoadReport:
     """Insert a landing batch into the raw table; rerunning it inserts nothing.
 
@@ -238,26 +246,24 @@ def load_batch(landing: DataFrame, raw_root: str, quarantine_root: str, loaded_a
         F.collect_set(F.when(accepted, F.col("event_date"))).alias("dates"),
         F.count_if(accepted & F.col("event_date").isNull()).alias("undated"),
     ).first()
-    batch = flagged.filter(accepted).drop("reason")
-    fresh = insert_if_absent(batch, raw.held_keys(batch), "id", delivery_order())
-    inserted, path = Observation(), version_path(raw.staged, last + 1)
-    fresh.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp")).select(*STAGED.names).observe(
-        inserted, F.count(F.lit(1)).alias("n")
-    ).write.mode("overwrite").parquet(path)
-    number = raw.finish() if spark.read.schema(STAGED).parquet(path).head(1) else last
-    if number == last:
-        delete(spark, path)
-
-    if seen.bad:
-        stamped = flagged.filter(~accepted).drop("event_date").withColumn(
-            "loaded_at", F.lit(loaded_at).cast("timestamp")
-        )
-        append_absent(stamped, quarantine_root, LANDING.names)
     dates: list[date | None] = sorted(seen.dates)
-    return LoadReport(
-        processed=seen.n, inserted=inserted.get["n"] if number > last else 0, rejected=seen.bad,
-        dates=dates + [None] * bool(seen.undated), load_id=number,
-    )
+    report = LoadReport(seen.n, 0, seen.bad, dates + [None] * bool(seen.undated), last)
+    stamp = F.lit(loaded_at).cast("timestamp").alias("loaded_at")
+    try:
+        batch = flagged.filter(accepted).drop("reason").select("*", stamp)
+        fresh = insert_if_absent(batch, raw.held_keys(batch), "id", delivery_order()).select(*STAGED.names)
+        inserted, path = Observation(), version_path(raw.staged, last + 1)
+        counted = fresh.observe(inserted, F.count(F.lit(1)).alias("n"))
+        counted.write.mode("overwrite").parquet(path)
+        if spark.read.schema(STAGED).parquet(path).isEmpty():
+            delete(spark, path)
+        else:
+            report.load_id, report.inserted = raw.finish(), inserted.get["n"]
+        if seen.bad:
+            append_absent(flagged.filter(~accepted).drop("event_date").select("*", stamp), quarantine_root, LANDING.names)
+    except Exception as error:
+        raise LoadFailed(seen.n) from error
+    return report
 
 
 def on_dates(dates: Sequence[date | None]) -> Column:

@@ -2,67 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.session import stage_table
 
-# A table of distinct values is broadcast up to this many rows (about 30 MB).
-BROADCAST_ROWS = 1_000_000
-SALTS = 32
 
+def value_ranges(values: DataFrame) -> DataFrame:
+    """Adds ``at``, a number that grows with the descending order of (measure, value),
+    and ``part``, the range a value fell into.
 
-def _block(value: Column) -> Column:
-    """A coarse bucket that grows with the value.
-
-    64 buckets per power of two and sign, so a finite double falls into one of at
-    most 2 * 64 * 1024 + 1 buckets.  In descending order NULL comes first, then
-    NaN and infinity.
+    The borders are sampled by the sort, so a range holds about as many values as any
+    other, however they are spread.
     """
-    v = value.cast("double")
-    top = F.lit(1 << 40)
-    return (
-        F.when(v.isNull(), top)
-        .when(F.isnan(v) | (v == float("inf")), top - 1)
-        .when(v == float("-inf"), -top)
-        .otherwise((F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * 64)).cast("bigint"))
-    )
+    # Written once: a second evaluation could sample other borders.
+    return stage_table(
+        values.orderBy("measure", F.col("value").desc_nulls_first())
+        .withColumn("at", F.monotonically_increasing_id()),
+        "rank-values",
+    ).withColumn("part", F.shiftright("at", 33))
 
 
 def _ranked_values(values: DataFrame) -> DataFrame:
     """``rank()`` descending of each distinct (measure, value) weighted by ``n``.
 
-    A value's rank is one more than the rows above it: those in higher blocks,
-    plus those above it inside its block.
+    A value's rank is one more than the rows above it: those of higher ranges, and
+    those before it inside its own.
     """
-    blocked = values.withColumn("block", _block(F.col("value")))
+    ranged = value_ranges(values)
     inside = (
-        Window.partitionBy("measure", "block").orderBy(F.col("value").desc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("measure", "part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     )
-    above = (
-        Window.partitionBy("measure").orderBy(F.col("block").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range and measure, that is per partition of the sort.
+    above = Window.partitionBy("measure").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("measure", "part").agg(F.sum("n").alias("part_n")).select(
+        "measure", "part", F.coalesce(F.sum("part_n").over(above), F.lit(0)).alias("above_part")
     )
-    totals = (
-        blocked.groupBy("measure", "block").agg(F.sum("n").alias("block_n"))
-        .withColumn("above_block", F.coalesce(F.sum("block_n").over(above), F.lit(0)))
-        .drop("block_n")
-    )
-    # The number of blocks is bounded by construction (see _block).
     return (
-        blocked.withColumn("above_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .join(F.broadcast(totals), ["measure", "block"])
-        .select("measure", "value", (F.col("above_block") + F.col("above_inside") + 1).alias("rank"))
+        ranged.withColumn("above_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+        .join(totals, ["measure", "part"])
+        .select("measure", "value", (F.col("above_part") + F.col("above_inside") + 1).alias("rank"))
     )
 
 
-def global_rank(df: DataFrame, ranks: dict[str, str], broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def global_rank(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
     """Add ``rank() over (order by column desc)`` for each ``column -> name``.
 
-    Equal to the un-partitioned window (ties share a rank, gaps follow, NULL
-    first), but only the distinct values are ordered.  ``df`` is read twice, so
-    pass a table, not a long plan; the columns must have a common type.
+    Equal to the un-partitioned window (ties share a rank, gaps follow, NULL first),
+    but only the distinct values are ordered, and by a distributed sort.  They are
+    joined back; adaptive execution broadcasts them when they turn out to be few, and
+    else splits a value that most rows share.  ``df`` is read once per rank and once
+    more, so pass a table, not a long plan; the columns must have a common type.
     """
     columns = list(ranks)
     entries = F.array(*[F.struct(F.lit(i).alias("measure"), F.col(c).alias("value"))
@@ -71,34 +61,16 @@ def global_rank(df: DataFrame, ranks: dict[str, str], broadcast_rows: int = BROA
         df.select(F.explode(entries).alias("e")).select("e.*")
         .groupBy("measure", "value").agg(F.count("*").alias("n"))
     )
-    # Written once, so that its size is known before the join is chosen.
-    values = stage_table(values, "rank-values")
-    small = values.count() <= broadcast_rows
-    ranked = _ranked_values(values)
+    ranked = stage_table(_ranked_values(values), "ranks")
     result = df
     for i, c in enumerate(columns):
         lookup = ranked.filter(F.col("measure") == i).select(
             F.col("value").alias("_value"), F.col("rank").alias(ranks[c])
         )
-        result = _attach(result, lookup, c, small)
+        result = result.join(lookup, F.col(c).eqNullSafe(F.col("_value")), "left").drop("_value")
     return result
 
 
-def _attach(df: DataFrame, lookup: DataFrame, column: str, small: bool) -> DataFrame:
-    same = F.col(column).eqNullSafe(F.col("_value"))
-    if small:
-        return df.join(F.broadcast(lookup), same, "left").drop("_value")
-    # One value (a count of 1, say) may belong to most rows: spread it.
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
-    copies = lookup.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
-    )
-    return (
-        salted.join(copies, same & (F.col("_salt") == F.col("_copy")), "left")
-        .drop("_value", "_salt", "_copy")
-    )
-
-
 def top_k_with_ties(df: DataFrame, column: str, k: int, name: str = "rank") -> DataFrame:
     """Rows with ``rank() over (order by column desc) <= k``; ties all stay.
 

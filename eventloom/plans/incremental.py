@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventloom.operators.anomaly import TREND_STATE, merge_trend_states, trend_state
 from eventloom.operators.load import RawTable, on_dates, overwrite_partitions
 from eventloom.plans import rollups
 from eventloom.plans.marts import fact_events, fct_repo_stars
@@ -152,10 +153,33 @@ class Models:
         if after < last:
             table.upsert(state.fold(self.since(after)), state.united, last)
 
+    def series(self) -> StateTable:
+        """The sums a trend or deviation needs, per repository's series of daily counts."""
+        return bucketed(f"{self.root}/series", TREND_STATE, "repo_id")
+
+    def refresh_series(self) -> None:
+        """Bring the sums up to date: touched days leave with their old count and come
+        back with the new one.  Needs :data:`REPO_DAYS` at the last load."""
+        table, last = self.series(), self.events_version()
+        after = table.version(self.spark)
+        if after >= last:
+            return
+        grown = self.since(after).groupBy("repo_id", "event_date").agg(F.count("*").alias("more"))
+        dates = [d for d in self.raw.dates(after) if d is not None]
+        now = self.read(REPO_DAYS, dates).join(grown, ["repo_id", "event_date"]).select(
+            "repo_id", F.col("event_date").alias("ds"), F.col("total_events").alias("y"), "more"
+        )
+        now = stage_table(now, "grown")
+        before = now.withColumn("y", F.col("y") - F.col("more")).filter("y > 0")
+        changes = trend_state(now).unionByName(trend_state(before, F.lit(-1)))
+        table.upsert(changes, lambda held, fresh: merge_trend_states(held.unionByName(fresh)), last)
+
     def refresh(self, states: Sequence[State] = STATES) -> None:
         """Bring the event tables and ``states`` up to the last load."""
         self.refresh_events()
         write_together(self.spark, [partial(self.refresh_state, state) for state in states])
+        if REPO_DAYS in states:
+            self.refresh_series()
 
     def repo_totals(self, only: Sequence | None = None) -> DataFrame:
         """Every repository measure over all days, with the number of distinct pushers."""

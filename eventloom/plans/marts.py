@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.jsonfields import with_actor, with_repo
@@ -181,6 +181,6 @@ def languages_from_totals(totals: DataFrame, repos: DataFrame) -> DataFrame:
         .agg(*[F.sum(c).alias(c) for c in LANGUAGE_SUMS],
              F.count_distinct("_repo").alias("active_repos"))
     )
-    return global_rank(
-        stage_table(per_language, "language-totals"), {"total_events": "popularity_rank"}
-    )
+    # A row per language: few enough for one ordinary window.
+    popular = Window.orderBy(F.col("total_events").desc_nulls_first())
+    return per_language.withColumn("popularity_rank", F.rank().over(popular).cast("bigint"))

@@ -22,15 +22,16 @@ from eventloom.plans.incremental import (
     ACTOR_DAYS, ACTOR_TOTALS, EVENT_TABLES, REPO_DAYS, REPO_TOTALS, Models, of_touched, touched_keys,
     with_touched_replaced,
 )
-from eventloom.schemas import CORRUPT, DETECTED_ANOMALIES, DIM_REPO, PIPELINE_METRICS
+from eventloom.schemas import CORRUPT, DETECTED_ANOMALIES, DIM_REPO, MAX_LENGTHS, PIPELINE_METRICS
 from eventloom.session import pin, write_together
 from eventloom.sources.feed import (
     feed_files, hour_key, land_batch, read_feed, read_landing,
 )
 from eventloom.sources.paths import exists, latest_version, mark_version
 from eventloom.sources.tables import (
-    append_absent, append_table, read_latest, read_table, replace_table,
+    append_absent, append_table, read_latest, read_table, replace_table, split_by_contract,
 )
+from eventloom.streaming.runlog import BatchLog
 from eventloom.streaming.streams import load_stream
 
 
@@ -135,7 +136,7 @@ class Lake:
             "pipeline_metrics": self.metrics(),
         }
         for view in staging.EVENT_VIEWS:
-            views[f"stg_{view}_events"] = staging.stage(self.events(), view)
+            views[f"stg_{view}_events"] = staging.stage(self.models.typed(), view)
         for name in MARTS:
             views[name] = self.mart(name)
         for name, frame in views.items():
@@ -188,7 +189,7 @@ def load_hours(lake: Lake, first: datetime, last: datetime, run_ts: datetime) ->
     return load_batch(batch, lake.path("raw/events"), lake.path("quarantine/rows"), run_ts)
 
 
-def load_landed(lake: Lake, run_ts: datetime) -> list[date | None]:
+def load_landed(lake: Lake, run_ts: datetime, log: BatchLog | None = None) -> list[date | None]:
     """Load every landed file that no load has taken yet, whatever hours it holds.
 
     Returns the event dates that wait for their models: those of this load and of
@@ -198,7 +199,7 @@ def load_landed(lake: Lake, run_ts: datetime) -> list[date | None]:
         if exists(lake.spark, f"{lake.path(folder)}/year=*"):
             load_stream(
                 lake.spark, lake.path(folder), lake.path("raw/events"), lake.path("quarantine/rows"),
-                lake.path(f"checkpoints/load_{folder}"), run_ts,
+                lake.path(f"checkpoints/load_{folder}"), run_ts, log=log,
             ).awaitTermination()
     return lake.waiting()
 
@@ -248,19 +249,35 @@ def detect_anomalies(
     touched = touched_keys(days, "repo_id", dates)
     names = lake.models.read(REPO_TOTALS)
     changed = marts.daily_repo_view(of_touched(days, "repo_id", touched), names)
+    sums = lake.models.series().read(lake.spark)
     found = with_touched_replaced(
-        lake.detected_anomalies(), anomalies(series(changed), method, run_ts), "repo_id", touched
+        lake.detected_anomalies(), anomalies(series(changed), method, run_ts, state=sums), "repo_id", touched
     )
-    replace_table(
+    good, bad = split_by_contract(
         found.withColumn("run_timestamp", F.lit(run_ts).cast("timestamp")),
-        lake.path("analytics/detected_anomalies"),
+        DETECTED_ANOMALIES, MAX_LENGTHS["detected_anomalies"],
     )
+    replace_table(good, lake.path("analytics/detected_anomalies"))
+    set_aside(lake, bad, "anomalies", ["repo_id", "ds"])
+
+
+def set_aside(lake: Lake, bad: DataFrame, name: str, identity: list[str]) -> None:
+    """Keep rows that a table refused, once each."""
+    if not bad.isEmpty():
+        append_absent(bad, lake.path(f"quarantine/{name}"), identity)
+
+
+def record_run(lake: Lake, rows: DataFrame, table: str = "pipeline_metrics") -> None:
+    """Append run rows that keep the contract; others are set aside."""
+    good, bad = split_by_contract(rows, PIPELINE_METRICS, MAX_LENGTHS["pipeline_metrics"])
+    append_table(good, lake.path(f"observability/{table}"))
+    set_aside(lake, bad, table, ["run_id", "run_timestamp"])
 
 
 def check_tables(lake: Lake, dates: list[date | None] | None = None) -> dict[str, DataFrame]:
     """The tables the declared tests run on; event-sized ones limited to ``dates``."""
     scope = F.lit(True) if dates is None else on_dates(dates)
-    events = lake.events().filter(scope)
+    events, typed = lake.events().filter(scope), lake.models.typed().filter(scope)
     tables = {
         "raw_events": lake.raw().filter(scope),
         "stg_raw_events": events,
@@ -272,7 +289,7 @@ def check_tables(lake: Lake, dates: list[date | None] | None = None) -> dict[str
         "int_repo_watch_stats": lake.mart("int_daily_repo_metrics_joined"),
     }
     for view in quality.STAGED_UNIQUE:
-        tables[f"stg_{view}_events"] = staging.stage(events, view)
+        tables[f"stg_{view}_events"] = staging.stage(typed, view)
     return tables
 
 
@@ -287,36 +304,48 @@ def run_hour(
     has landed and is not loaded yet, however old or undated its events are.
     Tests cover the event days this run touched, and the ids it brought against the
     whole raw table, or everything with ``check_everything``; with ``gate`` a failing
-    test stops the run before the anomalies, after recording it.
+    test stops the run before the anomalies, after recording it.  A run that breaks off
+    is recorded too, with the rows its load had read, and so is every micro-batch.
     """
     started = time.monotonic()
-    lake = Lake(pin(spark), root)
-    ingest_hours(lake, feed_dir, logical_hour.date(), logical_hour.date(), logical_hour.hour)
-    dates = load_landed(lake, run_ts)
-    last, settled = lake.raw_table.last(), lake.settled()
-    build_models(lake, run_ts)
-
-    scope = None if check_everything else dates
-    ids = {} if check_everything else {"raw_events": lake.raw_table.keys_of(settled)}
-    results = quality.run_checks(check_tables(lake, scope), ids).collect()
-    failures = [r for r in results if r.failures]
-
-    def record(status: str) -> DataFrame:
-        days = lake.day_table("repo_days")
-        counted = days.filter(F.col("event_date") == F.lit(logical_hour.date())).agg(
-            F.coalesce(F.sum("total_events"), F.lit(0)).alias("n")
-        ).first().n
+    lake, log = Lake(pin(spark), root), BatchLog(spark)
+
+    def record(status: str, passed: int = 0, failed: int = 0, rows: int | None = None) -> DataFrame:
+        if rows is None:
+            rows = lake.day_table("repo_days").filter(F.col("event_date") == F.lit(logical_hour.date())).agg(
+                F.coalesce(F.sum("total_events"), F.lit(0)).alias("n")
+            ).first().n
         lag = observe.freshness(lake.models.read(REPO_TOTALS), run_ts, "last_event_at").first().freshness_lag_seconds
         row = observe.run_record(
-            spark, run_id, logical_hour, counted, lag, len(results) - len(failures), len(failures),
-            int(time.monotonic() - started), status, run_ts,
+            spark, run_id, logical_hour, rows, lag, passed, failed, int(time.monotonic() - started), status, run_ts,
         )
-        append_table(row, lake.path("observability/pipeline_metrics"))
+        record_run(lake, row)
         return row
 
-    if failures and gate:
-        record("FAILED")
-        raise quality.QualityError(failures)
-    detect_anomalies(lake, dates, method, run_ts)
-    settle(lake, last)
-    return record("SUCCESS")
+    try:
+        ingest_hours(lake, feed_dir, logical_hour.date(), logical_hour.date(), logical_hour.hour)
+        with log:
+            dates = load_landed(lake, run_ts, log)
+        last, settled = lake.raw_table.last(), lake.settled()
+        build_models(lake, run_ts)
+
+        scope = None if check_everything else dates
+        ids = {} if check_everything else {"raw_events": lake.raw_table.keys_of(settled)}
+        results = quality.run_checks(check_tables(lake, scope), ids).collect()
+        failures = [r for r in results if r.failures]
+        passed = len(results) - len(failures)
+        if failures and gate:
+            record("FAILED", passed, len(failures))
+            raise quality.QualityError(failures)
+        detect_anomalies(lake, dates, method, run_ts)
+        settle(lake, last)
+    except quality.QualityError:
+        raise
+    except Exception:
+        record("FAILED", rows=log.input_rows())
+        raise
+    finally:
+        batches = log.rows(run_id, logical_hour, run_ts)
+        if not batches.isEmpty():
+            record_run(lake, batches, "stream_metrics")
+    return record("SUCCESS", passed, len(failures))

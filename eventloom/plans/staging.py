@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.jsonfields import (
-    has_actor, has_repo, members, with_actor, with_payload, with_repo,
+    has_actor, has_repo, members, variant_text, with_actor, with_payload, with_repo,
 )
 from eventloom.functions.timeparse import parse_event_ts
 from eventloom.operators.latest import latest_per_key
@@ -123,8 +123,8 @@ EVENT_VIEWS = {
 }
 
 
-def _typed(path: str, type_name: str) -> Column:
-    text = F.col(f"_payload.{path}")
+def _typed(path: str, type_name: str, parsed: bool) -> Column:
+    text = variant_text(F.col("payload"), path) if parsed else F.col(f"_payload.{path}")
     if type_name == "string":
         return text
     if type_name == "timestamp":
@@ -136,15 +136,17 @@ def stage(events: DataFrame, view: str) -> DataFrame:
     """The typed view ``view`` over staged raw events.
 
     The filter on ``event_type`` comes first, so it reaches the scan and the
-    payload of other types is never parsed.
+    payload of other types is never parsed.  Over :func:`typed_events` no text is
+    parsed at all: members come from the payload's VARIANT.
     """
     spec = EVENT_VIEWS[view]
+    parsed = "payload" in events.columns
     rows = with_repo(with_actor(events.filter(F.col("event_type").isin(*spec.types))))
-    if spec.payload:
+    if spec.payload and not parsed:
         rows = rows.withColumn("_payload", members(F.col("raw_payload"), spec.payload))
     return rows.select(
         "event_id", "event_type", "actor_id", "repo_id",
-        *[_typed(path, type_name).alias(name) for name, path, type_name in spec.columns],
+        *[_typed(path, type_name, parsed).alias(name) for name, path, type_name in spec.columns],
         "event_at",
     )
 
@@ -168,12 +170,14 @@ def stg_actors(events: DataFrame) -> DataFrame:
 def typed_events(events: DataFrame, *keep: str) -> DataFrame:
     """Staged events with every JSON member the models read as a column.
 
-    Parsing JSON is most of the cost of a model.  Written once per event day,
-    this table lets all of them share one parse.
+    Parsing JSON is most of the cost of a model.  Written once, this table lets
+    all of them share one parse; ``payload`` keeps the whole object as VARIANT for
+    the members that only a typed view reads.
     """
     typed = events.withColumns({"has_actor": has_actor(events), "has_repo": has_repo(events)})
     return with_payload(with_repo(with_actor(typed))).select(
         "event_id", "event_type", "has_actor", "actor_id", "actor_login", "actor_avatar_url",
         "has_repo", "repo_id", "repo_name", "is_public", "event_at", "loaded_at", "details",
+        F.try_parse_json("raw_payload").alias("payload"),
         F.to_date("event_at").alias("event_date"), *keep,
     )

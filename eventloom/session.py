@@ -32,6 +32,8 @@ def build_session(app: str = "eventloom", master: str | None = None, **conf: str
 def pin(spark: SparkSession) -> SparkSession:
     """Event times are UTC wall-clock text, so parsing must not use local time."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # A repeated member counts with its last value, as in the text parser.
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventloom.session import stage_table
 from eventloom.sources.paths import exists, expire_versions, latest_version, version_path
 
 
@@ -22,10 +23,13 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 def contract_breaks(
     df: DataFrame, schema: T.StructType, max_lengths: dict[str, int] | None = None
 ) -> DataFrame:
-    """Rows of ``df`` that the table contract refuses, with the ``reason``.
+    """Rows of ``df`` that the table contract refuses, with the ``reason``."""
+    return df.withColumn("reason", broken_rule(df, schema, max_lengths)).filter(F.col("reason").isNotNull())
 
-    A value that does not convert, an absent required value, a text too long.
-    """
+
+def broken_rule(df: DataFrame, schema: T.StructType, max_lengths: dict[str, int] | None = None) -> Column:
+    """The first rule of the contract a row breaks: a value that does not convert, an
+    absent required value, a text too long.  NULL for a good row."""
     reason = F
     for field in schema.fields:
         if field.name not in df.columns:
@@ -39,7 +43,21 @@ def contract_breaks(
             reason = reason.when(value.isNull(), f"{field.name} missing")
     for name, limit in (max_lengths or {}).items():
         reason = reason.when(F.length(name) > limit, f"{name} longer than {limit}")
-    return df.withColumn("reason", reason.otherwise(None)).filter(F.col("reason").isNotNull())
+    return reason.otherwise(None)
+
+
+def split_by_contract(
+    df: DataFrame, schema: T.StructType, max_lengths: dict[str, int] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(rows in the shape of ``schema``, rows it refuses with the ``reason``).
+
+    ``df`` is written once, as both parts read it.
+    """
+    staged = stage_table(df, "contract")
+    bad = contract_breaks(staged, schema, max_lengths)
+    reason = "reason" if "reason" not in df.columns else "_reason"
+    flagged = staged.withColumn(reason, broken_rule(staged, schema, max_lengths))
+    return enforce_schema(flagged.filter(F.col(reason).isNull()), schema), bad
 
 
 KEEP_VERSIONS = 5

@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
-from eventloom.operators.load import LoadReport, RawTable, insert_if_absent, load_batch, near_keys
+from eventloom.operators.load import LoadFailed, LoadReport, RawTable, insert_if_absent, load_batch, near_keys
 from eventloom.operators.normalize import normalize, split_corrupt
 from eventloom.plans.incremental import REPO_DAYS, REPO_TOTALS, Models
 from eventloom.plans.marts import daily_repo_view
 from eventloom.schemas import FEED, HOUR_PARTITIONS
 from eventloom.sources.feed import LANDING_ON_DISK, decode, json_object
 from eventloom.sources.tables import append_table, read_table
+from eventloom.streaming.runlog import BatchLog
 
 # Flush settings of the live consumer (fixed values).
 FLUSH_ROWS = 5000
@@ -134,22 +135,27 @@ def quarantine_stream(
 def load_stream(
     spark: SparkSession, landing_root: str, raw_root: str, quarantine_root: str, checkpoint: str,
     loaded_at: datetime, interval: str | None = None, max_files: int = 1000,
-    on_loaded: Callable[[LoadReport], None] | None = None,
+    on_loaded: Callable[[LoadReport], None] | None = None, log: BatchLog | None = None,
 ) -> StreamingQuery:
     """Load every landed file, whatever hour it belongs to, exactly once by key.
 
     A micro-batch that is repeated after a failure inserts nothing again,
     because the insert itself is keyed.  ``on_loaded`` gets each report, for
-    instance to refresh the days it names; it is repeated with its batch.  Run
-    one loader of a table at a time.
+    instance to refresh the days it names; it is repeated with its batch.  ``log``
+    learns the input of a batch that fails.  Run one loader of a table at a time.
     """
     landed = (
         spark.readStream.schema(LANDING_ON_DISK).option("maxFilesPerTrigger", max_files)
         .option("maxFileAge", ANY_AGE).option("pathGlobFilter", "*.parquet").parquet(landing_root)
     )
 
-    def load(batch: DataFrame, _: int) -> None:
-        report = load_batch(batch, raw_root, quarantine_root, loaded_at)
+    def load(batch: DataFrame, number: int) -> None:
+        try:
+            report = load_batch(batch, raw_root, quarantine_root, loaded_at)
+        except LoadFailed as error:
+            if log:
+                log.failed(number, error.processed)
+            raise
         if on_loaded:
             on_loaded(report)
 

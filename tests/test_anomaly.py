@@ -5,7 +5,9 @@ from datetime import date, datetime, timedelta
 import numpy as np
 import pytest
 
-from eventloom.operators.anomaly import anomalies, piecewise_fit
+from pyspark.sql import functions as F
+
+from eventloom.operators.anomaly import anomalies, merge_trend_states, piecewise_fit, trend_state
 
 RUN = datetime(2024, 2, 1)
 POINTS = "repo_id bigint, repo_name string, ds date, y double"
@@ -102,3 +104,31 @@ def test_piecewise_constant_and_deterministic():
 def test_unknown_method(points):
     with pytest.raises(ValueError):
         anomalies(points(a=[1]), "other", RUN)
+
+
+def sums_of(df):
+    return {r.repo_id: tuple(map(int, r[1:])) for r in df.collect()}
+
+
+@pytest.mark.parametrize("method", ["trend", "zscore", "auto"])
+def test_bounds_from_sums_equal_those_from_points(points, method):
+    rng = np.random.default_rng(3)
+    ys = {f"r{i}": rng.poisson(20 + i, 50).tolist() for i in range(8)}
+    ys["r1"][20], ys["r2"][30], ys["r3"][3] = 400, 0, 10**7
+    df = points(one=[4], two=[1, 60], line=[10**6 + 7 * i for i in range(40)], flat=[3] * 9, six=[6] * 5 + [60], **ys)
+    want = anomalies(df, method, RUN)
+    got = anomalies(df, method, RUN, state=trend_state(df))
+    assert found(got) == found(want) != []
+    for a, b in zip(*(sorted(x.collect(), key=lambda r: (r.repo_id, r.ds)) for x in (got, want))):
+        assert a[:4] == b[:4] and a[4:7] == pytest.approx(b[4:7], abs=2e-6, rel=1e-9)
+
+
+def test_sums_follow_changes(points):
+    old = points(a=[5, 6, 7], b=[1, 2])
+    new = points(a=[5, 9, 7, 8], b=[], c=[4])
+    parts = trend_state(old).unionByName(trend_state(old, F.lit(-1))).unionByName(trend_state(new))
+    assert sums_of(merge_trend_states(parts)) == sums_of(trend_state(new))
+    half = points(a=[5, 6], b=[1]).filter("ds < '2024-01-02'")
+    rest = points(a=[5, 6], b=[1, 7]).filter("ds >= '2024-01-02'")
+    whole = merge_trend_states(trend_state(half).unionByName(trend_state(rest)))
+    assert sums_of(whole) == sums_of(trend_state(half.unionByName(rest)))

@@ -260,3 +260,26 @@ def test_threshold_status(metrics):
     rows = observe.run_status(metrics).orderBy("run_id").collect()
     assert [r.lag_status for r in rows] == ["green", "yellow", "red"]
     assert [r.success_status for r in rows] == ["green", "yellow", "red"]
+
+
+@pytest.mark.parametrize("view", list(staging.EVENT_VIEWS))
+def test_views_over_variant_equal_views_over_text(staged, view):
+    odd = [
+        event(2000, "IssuesEvent", payload={"action": "opened", "issue": {"id": "7", "number": 1.5, "state": ["a", {"b": 1}]}}),
+        event(2001, "PullRequestEvent", payload={"pull_request": {"id": 8, "merged": "true", "closed_at": "2024-01-01 00:00:00"}}),
+        event(2002, "ReleaseEvent", payload={"release": {"id": 2**63 - 1, "tag_name": "v\"1é"}}),
+        event(2003, "ForkEvent", payload={"forkee": "text"}), event(2004, "PushEvent", payload=[1]),
+        (2005, "PushEvent", None, None, None, '{"push_id": 1, "push_id": 2, "size": null}', True, "2024-01-01T00:00:00Z"),
+        (2006, "PushEvent", None, None, None, "{broken", True, "2024-01-01T00:00:00Z"),
+        (2007, "PushEvent", None, None, None, None, True, "2024-01-01T00:00:00Z"),
+        *[event(2010 + i, t) for i, t in enumerate(("GollumEvent", "PublicEvent", "PullRequestReviewEvent", "IssueCommentEvent"))],
+    ]
+    events = staged(messy_events() + odd)
+    typed = stage_table(staging.typed_events(events))
+    by_variant = stage(typed, view)
+    assert brief(by_variant) == brief(stage(events, view)) != []
+    assert "from_json" not in by_variant._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def brief(df):
+    return sorted(map(str, df.collect()))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from eventloom.operators.latest import first_per_key, latest_per_key
 from eventloom.operators.load import insert_if_absent, load_batch, near_keys
-from eventloom.operators.ranking import global_rank, top_k_with_ties
+from eventloom.operators.ranking import global_rank, top_k_with_ties, value_ranges
 from eventloom.operators.scd2 import (
     REPO_CHECKS, REPO_KEY, history_schema, read_history, scd2_merge, snapshot_table,
 )
@@ -47,17 +47,30 @@ def test_global_rank_known_ties(spark):
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(values=st.lists(st.one_of(st.none(), st.integers(-(10**6), 10**6), st.sampled_from([0, 1, 2])), min_size=1, max_size=60))
-@pytest.mark.parametrize("broadcast_rows", [10**6, 0])
-def test_global_rank_equals_window(spark, values, broadcast_rows):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_global_rank_equals_window(spark, values, threshold):
     def rank(v):
         above = [x for x in values if (x is None and v is not None) or (None not in (x, v) and x > v)]
         return 1 + len(above)
 
     df = spark.createDataFrame(list(enumerate(values)), "id bigint, v bigint")
-    rows = global_rank(df, {"v": "r"}, broadcast_rows).collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    rows = global_rank(df, {"v": "r"}).collect()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sorted((r.id, r.r) for r in rows) == [(i, rank(v)) for i, v in enumerate(values)]
 
 
+def test_ranges_are_even_for_narrow_values(spark):
+    """A year of epoch seconds, which lie within two percent of each other."""
+    year = spark.range(0, 365 * 86400, 400).select(
+        F.lit(0).alias("measure"), (F.col("id") + 1704067200).alias("value"), F.lit(1).alias("n")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sizes = [r["count"] for r in value_ranges(year).groupBy("part").count().collect()]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) == 8 and max(sizes) < 1.5 * sum(sizes) / 8
+
+
 def test_global_rank_of_doubles(spark):
     inf, nan = float("inf"), float("nan")
     values = [0.5, 0.25, 0.5, -3.0, 1e300, 1e-9, 0.0, inf, -inf, nan, None, -0.0]

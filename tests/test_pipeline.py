@@ -159,3 +159,42 @@ def test_stragglers_and_undated_events_of_a_feed_file_are_loaded(spark, tmp_path
     if aside.exists():
         loaded |= {r.id for r in spark.read.parquet(str(aside)).select("id").collect()}
     assert loaded == {1, 2, 3, 4, 5, 6}
+
+
+def test_a_failing_batch_leaves_a_failed_row_with_its_input(spark, tmp_path, monkeypatch):
+    from eventloom.operators import load
+
+    hour = datetime(2024, 1, 5, 7)
+    write_feed(tmp_path / "feed/2024-01-05-7.json.gz", hour_messages(hour, 12))
+
+    def crash(*_):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(load, "insert_if_absent", crash)
+        with pytest.raises(Exception, match="after reading 12 rows"):
+            run(spark, tmp_path / "lake", tmp_path / "feed", hour, "r1")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    assert [(r.status, r.rows_ingested) for r in lake.metrics().collect()] == [("FAILED", 12)]
+    assert run(spark, tmp_path / "lake", tmp_path / "feed", hour, "r2").status == "SUCCESS"
+    batches = spark.read.parquet(lake.path("observability/stream_metrics")).orderBy("run_id").collect()
+    assert [(r.run_id.split("/")[0], r.status, r.rows_ingested) for r in batches] == [
+        ("r1", "FAILED", 12), ("r2", "SUCCESS", 12)
+    ]
+    assert lake.waiting() == [] and lake.raw().count() == 12
+
+
+def test_rows_that_break_a_contract_are_set_aside(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    rows = [("ok", 1), ("x" * 101, 1), (None, 1), ("no count", None)]
+    made = spark.createDataFrame(rows, "run_id string, rows_ingested bigint").withColumns({
+        "dag_run_timestamp": F.lit("2024-01-01 00:00:00"), "status": F.lit("SUCCESS"),
+        "run_timestamp": F.lit("2024-01-01 00:00:00"), "extra": F.lit(1),
+    })
+    for _ in range(2):
+        pipeline.record_run(lake, made)
+    assert [r.run_id for r in lake.metrics().collect()] == ["ok", "ok"]
+    aside = spark.read.parquet(lake.path("quarantine/pipeline_metrics"))
+    assert sorted(r.reason for r in aside.collect()) == [
+        "rows_ingested missing", "run_id longer than 100", "run_id missing"
+    ]

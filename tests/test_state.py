@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventloom.operators import load as loading
+from eventloom.operators.anomaly import series, trend_state
 from eventloom.operators.load import RawTable, load_batch
 from eventloom.operators.scd2 import snapshot_table
 from eventloom.plans import marts, rollups
@@ -116,6 +117,7 @@ def assert_like_a_rebuild(lake):
         "repo_id", "unique_pushers")) == plain(pushers.select("repo_id", "unique_pushers"))
     assert plain(marts.daily_repo_view(models.read(REPO_DAYS), models.read(REPO_TOTALS))) == plain(marts.daily_repo(events))
     assert plain(marts.daily_actor_view(models.read(ACTOR_DAYS), models.read(ACTOR_TOTALS))) == plain(marts.daily_actor(events))
+    assert plain(models.series().read(raw.spark)) == plain(trend_state(series(marts.daily_repo(events))))
     assert plain(models.events("fact_events").drop("event_date")) == plain(marts.fact_events(events))
 
 
@@ -152,8 +154,8 @@ def test_a_load_reads_and_writes_touched_partitions_only(lake):
     assert {p: t for p, t in files(models.root).items() if p in before} == before
     days = {p.split("event_date=")[1][:10] for p in written if "event_date=" in p}
     buckets = {p.split("/v=")[0].rsplit("/", 1)[1]: 0 for p in written if "bucket=" in p}
-    assert days == {"2024-01-10"} and set(buckets) == {"repo_totals", "actor_totals", "repo_pushers"}
-    assert sum("bucket=" in p for p in written) == 3
+    assert days == {"2024-01-10"} and set(buckets) == {"repo_totals", "actor_totals", "repo_pushers", "series"}
+    assert sum("bucket=" in p for p in written) == 4
     assert files_read(models.read(REPO_TOTALS, models.touched(REPO_TOTALS, 1))) == 1
 
 

@@ -100,12 +100,77 @@ def view(event_type: str, columns: str = "") -> str:
     )
 
 
-LANDED = """
-SELECT event_id AS id, event_type AS type,
-  CASE WHEN actor_id IS NOT NULL THEN '{"id":' || actor_id || ',"login":"' || actor_login
-    || '","avatar_url":"' || actor_avatar_url || '"}' END AS actor,
-  CASE WHEN repo_id IS NOT NULL THEN '{"id":' || repo_id || ',"name":"' || repo_name || '"}' END AS repo,
-  CAST(NULL AS VARCHAR) AS org, is_public AS public, created_at,
+def _stamp(time: str) -> str:
+    return (
+        f"CASE WHEN event_id % 2 = 0 THEN strftime({time}, '%Y-%m-%dT%H:%M:%SZ')"
+        f" ELSE strftime({time}, '%Y-%m-%d %H:%M:%S') END"
+    )
+
+
+def _members(**values: str) -> str:
+    """JSON members: a value that starts with ``"`` is text, an empty SQL value a JSON null."""
+    parts = []
+    for name, value in values.items():
+        text = f"""'"' || ({value[1:]}) || '"'""" if value.startswith('"') else f"CAST(({value}) AS VARCHAR)"
+        parts.append(f"""'"{name}":' || coalesce({text}, 'null')""")
+    return ", ".join(parts)
+
+
+def _nested(name: str, **values: str) -> str:
+    return f"""'"{name}":{{' || concat_ws(',', {_members(**values)}) || '}}'"""
+
+
+_OPEN = "CASE WHEN event_id % 2 = 0 THEN 'open{0}' ELSE 'closed' END"
+_OPEN3 = "CASE WHEN event_id % 3 = 0 THEN 'open{0}' ELSE 'closed' END"
+_HOURS, _PR_HOURS = "event_at - to_hours(CAST(event_id % 48 AS INTEGER))", "event_at - to_hours(CAST(event_id % 72 AS INTEGER))"
+_REVIEW = [_members(action="\"'created'"), _nested("pull_request", id="event_id")]
+_PAYLOADS = {
+    "WatchEvent": [_members(action="\"'started'")],
+    "PushEvent": [_members(
+        push_id="event_id", size="CASE WHEN event_id % 7 <> 0 THEN event_id % 20 END", distinct_size="event_id % 5",
+        ref="\"'refs/heads/main'",
+    )],
+    "CreateEvent": [_members(
+        ref_type="\"'branch'", ref="\"'b' || event_id", master_branch="\"'main'",
+        description="\"CASE WHEN event_id % 4 <> 0 THEN 'desc ' || (event_id % 13) END",
+    )],
+    "ForkEvent": [_nested("forkee", id="event_id + 1000000", full_name="\"'fork/' || event_id")],
+    "ReleaseEvent": [
+        _members(action="\"'published'"), _nested("release", id="event_id", tag_name="\"'v' || (event_id % 30)")
+    ],
+    "IssuesEvent": [_members(action='"' + _OPEN.format("ed")), _nested(
+        "issue", id="event_id", number="event_id % 1000", state='"' + _OPEN.format(""), created_at='"' + _stamp(_HOURS),
+        closed_at=f'"CASE WHEN event_id % 2 = 1 THEN {_stamp("event_at")} END',
+    )],
+    "IssueCommentEvent": [
+        _members(action="\"'created'"), _nested("issue", id="event_id"), _nested("comment", id="event_id")
+    ],
+    "PullRequestEvent": [_members(action='"' + _OPEN3.format("ed")), _nested(
+        "pull_request", id="event_id", number="event_id % 1000", state='"' + _OPEN3.format(""),
+        merged="CASE event_id % 3 WHEN 1 THEN 'true' WHEN 2 THEN 'false' END", created_at='"' + _stamp(_PR_HOURS),
+        closed_at=f'"CASE WHEN event_id % 3 <> 0 THEN {_stamp("event_at")} END',
+        merged_at=f'"CASE WHEN event_id % 3 = 1 THEN {_stamp("event_at")} END',
+    )],
+    "PullRequestReviewEvent": _REVIEW,
+    "PullRequestReviewCommentEvent": _REVIEW,
+}
+_LANGUAGE = """CASE WHEN language IS NOT NULL THEN '"language":"' || language || '"' END"""
+PAYLOAD = "CASE event_type " + " ".join(
+    f"WHEN '{name}' THEN '{{' || concat_ws(',', {_LANGUAGE}, {', '.join(parts)}) || '}}'"
+    for name, parts in _PAYLOADS.items()
+) + f" ELSE '{{' || concat_ws(',', {_LANGUAGE}) || '}}' END"
+ACTOR = """CASE WHEN actor_id IS NOT NULL THEN '{"id":' || actor_id || ',"login":"' || actor_login
+    || '","avatar_url":"' || actor_avatar_url || '"}' END"""
+REPO = """CASE WHEN repo_id IS NOT NULL THEN '{"id":' || repo_id || ',"name":"' || repo_name || '"}' END"""
+LINE = (
+    """'{"id":"' || event_id || '","type":"' || event_type || '","actor":' || coalesce(""" + ACTOR
+    + """, 'null') || ',"repo":' || coalesce(""" + REPO + """, 'null') || ',"org":null,"payload":' || """ + PAYLOAD
+    + """ || ',"public":' || is_public || ',"created_at":"' || created_at || '"}'"""
+)
+
+LANDED = f"""
+SELECT event_id AS id, event_type AS type, {ACTOR} AS actor, {REPO} AS repo,
+  CAST(NULL AS VARCHAR) AS org, {PAYLOAD} AS payload, is_public AS public, created_at,
   strftime(event_at, '%Y') AS year, strftime(event_at, '%m') AS month,
   strftime(event_at, '%d') AS day, strftime(event_at, '%H') AS hour
 FROM ev
@@ -435,12 +500,12 @@ ORACLE: dict[str, str] = {
     ),
     "land_batch": over_events(HOUR_COUNTS),
     "partition_scan": over_events(
-        "SELECT event_id AS id, event_type AS type, is_public AS public, created_at,"
+        f"SELECT event_id AS id, event_type AS type, {PAYLOAD} AS payload, is_public AS public, created_at,"
         " CAST(5 AS INTEGER) AS day, CAST(7 AS INTEGER) AS hour FROM ev"
         " WHERE date_trunc('hour', event_at) = TIMESTAMP '2024-01-05 07:00:00'"
     ),
     "insert_if_absent": over_events(
-        "SELECT event_id AS id, event_type AS type, created_at FROM ev"
+        f"SELECT event_id AS id, event_type AS type, {PAYLOAD} AS payload, created_at FROM ev"
         " WHERE event_date >= DATE '2024-01-16'"
     ),
     "hour_grid": """
@@ -456,7 +521,7 @@ FROM (SELECT CAST(unnest(generate_series(date_trunc('day', min(o_orderdate)),
   date_trunc('day', max(o_orderdate)), INTERVAL 1 DAY)) AS DATE) AS d FROM orders)""",
     "stg_raw_events": over_events(
         "SELECT id AS event_id, type AS event_type, actor AS raw_actor, repo AS raw_repo, org AS raw_org,"
-        " public AS is_public, event_at, TIMESTAMP '2024-02-01 00:00:00' AS loaded_at"
+        " payload AS raw_payload, public AS is_public, event_at, TIMESTAMP '2024-02-01 00:00:00' AS loaded_at"
         f" FROM ({LANDED.replace('created_at,', 'created_at, event_at,')})"
     ),
     "stg_watch": view("'WatchEvent'", "'started' AS action,"),
@@ -626,10 +691,11 @@ SELECT * FROM (SELECT *, rank() OVER (ORDER BY line_count DESC) AS rank_lines FR
         " SELECT f.* FROM deviation_flags f JOIN deviation d USING (repo_id, ds) WHERE d.n < 3",
         SERIES,
     ),
-    "replay": over_events("SELECT CAST(event_id AS VARCHAR) AS key, event_type AS type FROM ev"),
+    "replay": over_events(f"SELECT CAST(event_id AS VARCHAR) AS key, {LINE} AS value FROM ev"),
     "stream_land": over_events(HOUR_COUNTS),
     "stream_load": over_events(
-        "SELECT event_id AS id, event_type AS type, is_public AS public, created_at, event_date FROM ev"
+        f"SELECT event_id AS id, event_type AS type, {ACTOR} AS actor, {REPO} AS repo, {PAYLOAD} AS payload,"
+        " is_public AS public, created_at, event_date, TIMESTAMP '2024-02-01 00:00:00' AS loaded_at FROM ev"
     ),
     "stream_dedupe": over_events("SELECT event_id AS id, event_type AS type, event_at FROM ev"),
     "stream_daily": over_events(
@@ -637,4 +703,65 @@ SELECT * FROM (SELECT *, rank() OVER (ORDER BY line_count DESC) AS rank_lines FR
         " FROM daily_repo",
         f"{REPOS}, {DAILY_REPO}",
     ),
+    "message_ids": over_events(
+        "SELECT count(*) AS messages, count(DISTINCT CASE WHEN event_id % 71 = 0 THEN 'x' || event_id"
+        " ELSE CAST(event_id AS VARCHAR) END) AS ids, count(*) AS same_again FROM ev"
+    ),
+    "repo_pushers_bitmap": over_events(
+        "SELECT repo_id, event_date, count(DISTINCT actor_id) AS pushers, ("
+        " SELECT count(DISTINCT q.actor_id) FROM (SELECT * FROM ev WHERE event_type = 'PushEvent') q"
+        " WHERE q.repo_id IS NOT DISTINCT FROM p.repo_id) AS pushers_ever"
+        " FROM (SELECT * FROM ev WHERE event_type = 'PushEvent' AND actor_id IS NOT NULL) p GROUP BY repo_id, event_date"
+    ),
+    "incremental_profile": over_events("SELECT * FROM profile", PROFILE),
+    "incremental_actors": over_events("SELECT * FROM actor_totals", DAILY_ACTOR),
+    "daily_repo_pruned": over_events(
+        "SELECT * FROM daily_repo WHERE event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'",
+        f"{REPOS}, {DAILY_REPO}",
+    ),
+    "daily_actor_pruned": over_events(
+        "SELECT * FROM daily_actor WHERE event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'", DAILY_ACTOR,
+    ),
+    "key_lookup": over_events("SELECT event_id AS id FROM ev WHERE event_id % 3 <> 0 AND event_id % 5 = 0"),
+    "late_load": over_events("SELECT event_id AS id, event_type AS type, created_at, event_date FROM ev"),
+    "anomaly_states": over_events(
+        "SELECT 'trend' AS rule, * FROM trend_flags UNION ALL SELECT 'zscore', * FROM deviation_flags", SERIES
+    ),
+    "anomaly_short": over_events(
+        "SELECT f.* FROM trend_flags f JOIN trend t USING (repo_id, ds) WHERE t.n >= 3 UNION ALL"
+        " SELECT f.* FROM deviation_flags f JOIN deviation d USING (repo_id, ds) WHERE d.n < 3",
+        SERIES.replace(
+            "FROM daily_repo WHERE repo_id IS NOT NULL",
+            "FROM daily_repo WHERE repo_id IS NOT NULL AND (repo_id % 2 = 0 OR event_date <= DATE '2024-01-02')",
+        ),
+    ),
+    "stg_variant": over_events(
+        "SELECT 'push' AS view, event_id, push_id AS number, branch_ref AS words, CAST(NULL AS TIMESTAMP) AS closed_at FROM pushes"
+        " UNION ALL SELECT 'issues', event_id, issue_number, issue_state || ' ' || action, issue_closed_at FROM issues"
+        " UNION ALL SELECT 'pull_request', event_id, pr_number, pr_state || ' ' || action, pr_closed_at FROM prs"
+    ),
+    "event_ranks": over_events(
+        "SELECT event_id, rank() OVER (ORDER BY epoch(event_at) DESC NULLS FIRST) AS newest_rank FROM ev"
+    ),
+    "contract_tables": over_events(
+        "SELECT kind, reason, count(*) AS n FROM ("
+        " SELECT 'anomalies' AS kind, CASE WHEN repo_id IS NULL THEN 'repo_id missing'"
+        " WHEN repo_id % 5 = 0 THEN 'repo_name missing' WHEN event_date IS NULL THEN 'ds missing'"
+        " WHEN repo_id % 7 = 0 THEN 'repo_name longer than 255' ELSE 'kept' END AS reason FROM daily_repo"
+        " UNION ALL SELECT 'metrics', CASE WHEN day(event_date) % 5 = 0 THEN 'run_id missing'"
+        " WHEN day(event_date) % 7 = 0 THEN 'rows_ingested is not bigint'"
+        " WHEN day(event_date) % 3 = 0 THEN 'run_id longer than 100' ELSE 'kept' END"
+        " FROM (SELECT event_date FROM ev GROUP BY event_date)) GROUP BY kind, reason",
+        f"{REPOS}, {DAILY_REPO}",
+    ),
+    "pipeline_hour": over_events(
+        "SELECT event_id, event_type, actor_id, repo_id, event_at, n AS repo_day_events,"
+        " CASE WHEN repo_id IS NOT NULL THEN rank_total END AS rank_total"
+        " FROM (SELECT * FROM seen LEFT JOIN days USING (repo_id, event_date)) LEFT JOIN ranked USING (repo_id)",
+        "seen AS (SELECT event_id, event_type, actor_id, repo_id, CASE WHEN event_id % 61 <> 0 THEN event_at END AS event_at,"
+        " CASE WHEN event_id % 61 <> 0 THEN event_date END AS event_date FROM ev),"
+        " days AS (SELECT repo_id, event_date, count(*) AS n FROM seen WHERE repo_id IS NOT NULL AND event_date IS NOT NULL"
+        " GROUP BY ALL), ranked AS (SELECT repo_id, rank() OVER (ORDER BY total DESC) AS rank_total"
+        " FROM (SELECT repo_id, count(*) AS total FROM seen GROUP BY repo_id))",
+    ),
 }

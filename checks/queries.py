@@ -7,7 +7,7 @@ Steps that write do so below the session's checkpoint folder.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import wraps
 
 import numpy as np
@@ -26,13 +26,14 @@ from eventloom.operators.scd2 import (
     REPO_CHECKS, REPO_KEY, history_schema, read_history, scd2_merge, snapshot_table,
 )
 from eventloom.plans import marts, observe, quality, rollups, staging
-from eventloom.plans.incremental import REPO_DAYS, REPO_TOTALS, Models
+from eventloom.plans.incremental import ACTOR_DAYS, ACTOR_TOTALS, REPO_DAYS, REPO_TOTALS, Models
+from eventloom.plans.pipeline import Lake, ingest_hours, load_landed, run_hour
 from eventloom.plans.staging import EVENT_VIEWS, stage, stg_raw_events
-from eventloom.schemas import FEED_FIELDS
+from eventloom.schemas import DETECTED_ANOMALIES, FEED_FIELDS, MAX_LENGTHS, PIPELINE_METRICS
 from eventloom.session import pin, scratch_path, stage_table
 from eventloom.sources.feed import land_batch, read_feed, read_landing, read_landing_hour
-from eventloom.sources.paths import list_files
-from eventloom.sources.tables import read_table
+from eventloom.sources.paths import glob_paths, list_files, move
+from eventloom.sources.tables import read_table, split_by_contract
 from eventloom.operators.load import RAW_ON_DISK
 from eventloom.streaming import streams
 
@@ -76,7 +77,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # Ingest ---------------------------------------------------------------------
 
-LANDED = ["id", "type", "actor", "repo", "org", "public", "created_at", "year", "month", "day", "hour"]
+LANDED = ["id", "type", "actor", "repo", "org", "payload", "public", "created_at", "year", "month", "day", "hour"]
 
 
 @query("normalize_batch")
@@ -147,6 +148,19 @@ def _(spark, sf_dir):
     )
 
 
+@query("message_ids")
+def _(spark, sf_dir):
+    """Equal messages get equal ids and different ones different, numeric ids or not."""
+    e = F.col("id").cast("bigint")
+    messages = feed(spark, sf_dir).withColumn("id", F.when(e % 71 == 0, F.concat(F.lit("x"), "id")).otherwise(F.col("id")))
+    rows = normalize(messages.unionByName(messages), "hash", F.lit(AS_OF).cast("timestamp"))
+    per_id = rows.groupBy("id").agg(F.count("*").alias("n"))
+    return per_id.agg(
+        (F.sum("n") / 2).cast("bigint").alias("messages"), F.count("*").alias("ids"),
+        F.count_if(F.col("n") == 2).alias("same_again"),
+    )
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "landing")
     land_batch(landing(spark, sf_dir), root)
@@ -163,7 +177,7 @@ def _(spark, sf_dir):
 @query("partition_scan")
 def _(spark, sf_dir):
     hour = read_landing_hour(spark, _landed(spark, sf_dir), 2024, 1, 5, 7)
-    return hour.select("id", "type", "public", "created_at", "day", "hour")
+    return hour.select("id", "type", "payload", "public", "created_at", "day", "hour")
 
 
 @query("insert_if_absent")
@@ -172,7 +186,7 @@ def _(spark, sf_dir):
     loaded = rows.filter(F.substring("created_at", 1, 10) < "2024-01-16")
     batch = rows.unionByName(rows.filter(F.col("type") == "WatchEvent"))
     fresh = insert_if_absent(batch, near_keys(loaded, batch, "id"), "id", delivery_order())
-    return fresh.select("id", "type", "created_at")
+    return fresh.select("id", "type", "payload", "created_at")
 
 
 @query("hour_grid")
@@ -189,7 +203,7 @@ def _(spark, sf_dir):
 
 @query("stg_raw_events")
 def _(spark, sf_dir):
-    return staged(spark, sf_dir).drop("raw_payload")
+    return staged(spark, sf_dir)
 
 
 VIEW_KEYS = {
@@ -280,6 +294,79 @@ def _(spark, sf_dir):
     return marts.daily_repo_view(models.read(REPO_DAYS), models.read(REPO_TOTALS))
 
 
+def _in_loads(spark: SparkSession, sf_dir: str, name: str) -> Models:
+    """Models after three loads of interleaved events, the second of them delivered again."""
+    root = scratch_path(spark, name)
+    models = Models(RawTable(spark, f"{root}/raw"), f"{root}/states")
+    rows, third = landing(spark, sf_dir), F.crc32(F.col("id").cast("string")) % 3
+    for part in (rows.filter(third == 0), rows.filter(third == 1), rows.filter(third > 0)):
+        load_batch(part, models.raw.root, f"{root}/bad", datetime.fromisoformat(LOADED_AT))
+        models.refresh()
+    return models
+
+
+@query("incremental_profile")
+def _(spark, sf_dir):
+    """The profile from totals that saw each load's inserted rows only."""
+    return rollups.profile_from_totals(_in_loads(spark, sf_dir, "profile").repo_totals(), AS_OF)
+
+
+@query("incremental_actors")
+def _(spark, sf_dir):
+    return rollups.actor_activities(_in_loads(spark, sf_dir, "actors").read(ACTOR_TOTALS))
+
+
+@query("repo_pushers_bitmap")
+def _(spark, sf_dir):
+    """Distinct pushers per repository and day, and over all days by uniting the days."""
+    bitmaps = stage_table(rollups.repo_day_pushers(staged(spark, sf_dir)), "bitmaps")
+    days = bitmaps.groupBy("repo_id", "event_date").agg(F.sum(F.bitmap_count("bits")).alias("pushers"))
+    ever = rollups.count_pushers(rollups.merge_pushers(bitmaps)).select(
+        F.col("repo_id").alias("_repo"), F.col("unique_pushers").alias("pushers_ever")
+    )
+    return days.join(ever, F.col("repo_id").eqNullSafe(F.col("_repo"))).drop("_repo")
+
+
+def _some_days(view: DataFrame) -> DataFrame:
+    return view.filter(F.col("event_date").between("2024-01-10", "2024-01-12"))
+
+
+@query("daily_repo_pruned")
+def _(spark, sf_dir):
+    """Three days of the daily facts; the filter prunes the days that are read."""
+    models = _in_loads(spark, sf_dir, "pruned")
+    return _some_days(marts.daily_repo_view(models.read(REPO_DAYS), models.read(REPO_TOTALS)))
+
+
+@query("daily_actor_pruned")
+def _(spark, sf_dir):
+    models = _in_loads(spark, sf_dir, "pruned-actors")
+    return _some_days(marts.daily_actor_view(models.read(ACTOR_DAYS), models.read(ACTOR_TOTALS)))
+
+
+@query("key_lookup")
+def _(spark, sf_dir):
+    """Which ids of a batch are loaded, from the index of ids."""
+    root, rows = scratch_path(spark, "keys"), landing(spark, sf_dir)
+    raw = RawTable(spark, f"{root}/raw")
+    for rest in (1, 2):
+        load_batch(rows.filter(F.col("id") % 3 == rest), raw.root, f"{root}/bad", datetime.fromisoformat(LOADED_AT))
+        if rest == 1:
+            raw.compact_keys()
+    probe = rows.filter(F.col("id") % 5 == 0).select("id")
+    return raw.held_keys(probe).join(probe, "id", "left_semi")
+
+
+@query("late_load")
+def _(spark, sf_dir):
+    """Days in reverse order, each part with a repeat of the one before: every event once."""
+    root, rows = scratch_path(spark, "late"), landing(spark, sf_dir)
+    raw, day = RawTable(spark, f"{root}/raw"), F.substring("created_at", 1, 10)
+    for low in ("2024-01-21", "2024-01-11", "2024-01-01"):
+        load_batch(rows.filter(day >= low), raw.root, f"{root}/bad", datetime.fromisoformat(LOADED_AT))
+    return raw.read().select("id", "type", "created_at", "event_date")
+
+
 # Generic operators on the order tables ---------------------------------------
 
 @query("orders_latest")
@@ -495,6 +582,129 @@ def _(spark, sf_dir):
     return anomalies(series(daily), "piecewise", AS_OF, fit=straight_line)
 
 
+@query("anomaly_states")
+def _(spark, sf_dir):
+    """Both rules with bounds from the sums that follow the loads."""
+    models = _in_loads(spark, sf_dir, "anomaly-states")
+    points = series(marts.daily_repo_view(models.read(REPO_DAYS), models.read(REPO_TOTALS)))
+    sums = models.series().read(spark)
+    found = None
+    for rule in ("trend", "zscore"):
+        rows = anomalies(points, rule, AS_OF, state=sums).select(F.lit(rule).alias("rule"), "*")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@query("anomaly_short")
+def _(spark, sf_dir):
+    """Dispatch by length: odd repositories have two days at most, even ones their whole series."""
+    points = series(marts.daily_repo(staged(spark, sf_dir)))
+    return anomalies(points.filter((F.col("repo_id") % 2 == 0) | (F.col("ds") <= "2024-01-02")), "auto", AS_OF)
+
+
+@query("stg_variant")
+def _(spark, sf_dir):
+    """Typed views over the payload as VARIANT, which parse no text."""
+    events = _typed(spark, sf_dir)
+    none = F.lit(None).cast("timestamp")
+    parts = [
+        stage(events, "push").select(F.lit("push").alias("view"), "event_id", F.col("push_id").alias("number"),
+                                     F.col("branch_ref").alias("words"), none.alias("closed_at")),
+        stage(events, "issues").select(F.lit("issues"), "event_id", F.col("issue_number").cast("bigint"),
+                                       F.concat_ws(" ", "issue_state", "action"), "issue_closed_at"),
+        stage(events, "pull_request").select(F.lit("pull_request"), "event_id", F.col("pr_number").cast("bigint"),
+                                             F.concat_ws(" ", "pr_state", "action"), "pr_closed_at"),
+    ]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@query("event_ranks")
+def _(spark, sf_dir):
+    """Rank of every event by its second: as many distinct values as rows, close together."""
+    events = staged(spark, sf_dir).select("event_id", F.unix_timestamp("event_at").alias("at"))
+    return global_rank(stage_table(events, "seconds"), {"at": "newest_rank"}).drop("at")
+
+
+@query("contract_tables")
+def _(spark, sf_dir):
+    """What the contracts of the anomaly and run tables keep and refuse."""
+    daily = marts.daily_repo(staged(spark, sf_dir))
+    rows = daily.select(
+        "repo_id", F.when(F.col("repo_id") % 5 == 0, None).when(F.col("repo_id") % 7 == 0, F.repeat(F.lit("n"), 256))
+        .otherwise(F.col("repo_name")).alias("repo_name"), F.col("event_date").alias("ds"),
+        *[F.lit(1.0).alias(c) for c in ("y", "yhat_lower", "yhat_upper", "anomaly_score")],
+    )
+    metrics, day = _metrics(spark, sf_dir), F.dayofmonth("dag_run_timestamp")
+    runs = metrics.withColumn(
+        "run_id", F.when(day % 5 == 0, None).when(day % 3 == 0, F.repeat(F.lit("r"), 101)).otherwise(F.col("run_id"))
+    ).withColumn(
+        "rows_ingested", F.when(day % 7 == 0, F.lit("many")).otherwise(F.col("rows_ingested").cast("string"))
+    )
+    found = None
+    for kind, frame, schema, name in (
+        ("anomalies", rows, DETECTED_ANOMALIES, "detected_anomalies"), ("metrics", runs, PIPELINE_METRICS, "pipeline_metrics"),
+    ):
+        good, bad = split_by_contract(frame, schema, MAX_LENGTHS[name])
+        for part in (good.select(F.lit("kept").alias("reason")), bad.select("reason")):
+            counted = part.select(F.lit(kind).alias("kind"), "reason")
+            found = counted if found is None else found.unionByName(counted)
+    return found.groupBy("kind", "reason").agg(F.count("*").alias("n"))
+
+
+# The whole chain ------------------------------------------------------------------
+
+FEED_DAY = datetime(2024, 2, 2)
+
+
+def _hourly_feed(spark: SparkSession, sf_dir: str) -> list[str]:
+    """All events as 24 files, one per hour as the feed has them, some without a readable time."""
+    folder = scratch_path(spark, "hourly-feed")
+    e = F.get_json_object("value", "$.id").cast("bigint")
+    undated = F.regexp_replace("value", '"created_at":"[^"]*"}$', '"created_at":"bad"}')
+    lines = feed_lines(spark, sf_dir).select(
+        F.when(e % 61 == 0, undated).otherwise(F.col("value")).alias("value"), F.pmod(F.hash(e), F.lit(24)).alias("h")
+    )
+    lines.repartition(24, "h").write.partitionBy("h").option("compression", "gzip").text(folder)
+    return glob_paths(spark, f"{folder}/h=*/*.txt.gz")
+
+
+@query("pipeline_hour")
+def _(spark, sf_dir):
+    """Feed files of a day: most landed at once, then one hour, then one whose first run
+    was lost after its load.  All events are at least a day late.  Each event with its
+    repository's count on its day and rank over all days."""
+    root, feed_dir = scratch_path(spark, "lake"), scratch_path(spark, "feed-files")
+    lake, files = Lake(spark, root), _hourly_feed(spark, sf_dir)
+
+    def appear(*hours: int) -> None:
+        for path in files:
+            hour = int(path.rsplit("/", 2)[-2].split("=")[1])
+            if hour in hours:
+                move(spark, path, f"{feed_dir}/{FEED_DAY:%Y-%m-%d}-{hour}.json.gz")
+
+    def at(hour: int) -> datetime:
+        return FEED_DAY + timedelta(hours=hour)
+
+    appear(*range(22))
+    ingest_hours(lake, feed_dir, FEED_DAY.date(), FEED_DAY.date())
+    appear(22)
+    run_hour(spark, root, feed_dir, at(22), at(24), "h22", gate=False)
+    appear(23)
+    ingest_hours(lake, feed_dir, FEED_DAY.date(), FEED_DAY.date(), 23)
+    load_landed(lake, at(24))
+    run_hour(spark, root, feed_dir, at(23), at(25), "h23", gate=False)
+    facts = lake.day_table("fact_events").select("event_id", "event_type", "actor_id", "repo_id", "event_at", "date_id")
+    days = lake.daily_repo().select(
+        F.col("repo_id").alias("_repo"), F.col("event_date").alias("_day"), F.col("total_events").alias("repo_day_events")
+    )
+    ranks = lake.mart("mart_trending_repos").select(F.col("repo_id").alias("_ranked"), "rank_total")
+    return (
+        facts.join(days, (F.col("repo_id") == F.col("_repo")) & (F.col("date_id") == F.col("_day")), "left")
+        .join(ranks, F.col("repo_id") == F.col("_ranked"), "left")
+        .select("event_id", "event_type", "actor_id", "repo_id", "event_at", "repo_day_events", "rank_total")
+    )
+
+
 # Streams ------------------------------------------------------------------------
 
 @query("replay")
@@ -505,8 +715,7 @@ def _(spark, sf_dir):
     streams.replay_messages(lines).writeStream.format("parquet").option(
         "checkpointLocation", f"{out}-progress"
     ).trigger(availableNow=True).start(out).awaitTermination()
-    messages = spark.read.schema("key string, value string").parquet(out)
-    return messages.select("key", F.get_json_object("value", "$.type").alias("type"))
+    return spark.read.schema("key string, value string").parquet(out)
 
 
 @query("stream_land")
@@ -531,7 +740,7 @@ def _(spark, sf_dir):
         datetime.fromisoformat(LOADED_AT), max_files=1000000,
     ).awaitTermination()
     return read_table(spark, f"{root}/raw", RAW_ON_DISK).select(
-        "id", "type", "public", "created_at", "event_date"
+        "id", "type", "actor", "repo", "payload", "public", "created_at", "event_date", "loaded_at"
     )
 
 

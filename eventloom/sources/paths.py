@@ -35,6 +35,15 @@ def latest_version(spark: SparkSession, root: str) -> int:
     return max(versions(spark, root), default=0)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file, making the folder it goes to."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    system = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(target.getParent())
+    if not system.rename(source, target):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder or file, if it is there."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,31 +1,38 @@
 """Near-duplicates by a multi-index Hamming join of b-bit MinHash signatures.
 
-A signature is ``HASHES`` symbols of 16 bits, each the low bits of the mixed minimum
-of one hash function over the document's shingles.  Two documents of similarity J
-differ in a symbol with probability 1 - J, so the distance bound ``T`` is set four
-standard deviations above the mean at the link threshold.  The signature is split into
+A signature is ``HASHES`` symbols of 8 bits, each the low bits of the mixed minimum of
+one hash function over the document's shingles.  Two documents of similarity J differ in
+a symbol with probability 1 - J, so the distance bound ``T`` is set four standard
+deviations above the mean at the link threshold: a pair right at the threshold is missed
+with a chance of 3 in 100,000, one above it less often.  The signature is split into
 ``m`` chunks with ``2 * m > T``: by the pigeonhole principle two signatures within T
 differ in at most one symbol of some chunk, so the chunk without one of its symbols,
-for each symbol, is a key; *every* pair within T shares a key.  Keys carry 64-bit
-hashes; candidates are compared on whole signatures, or on a longer sketch of 8-bit
-symbols where buckets are crowded, and confirmed on full sets.
+for each symbol, is a key; *every* pair within T shares a key.  Keys carry 57-bit
+hashes and their number; candidates are confirmed on full sets.
 
 Copies and hot buckets.  Documents with equal sets are one class from the start.  A
-bucket is never turned into all its pairs:
+bucket is never turned into all its pairs, and no more than its rows ever travels:
 
 1. every member is paired with the bucket's smallest member only (linear);
-2. where a bucket still holds several components, every member is paired with its
-   nearest member of another component (linear), again while that closes half of them;
-3. what is left, that is close pairs between different components, is checked in full.
+2. in crowded buckets that still hold several components, every member is paired with
+   the next one in an order by hash (linear), again while that closes half of them;
+3. the members of buckets that are still open meet with their signatures, to tell which
+   of them have a partner within T in another component.  A pair counts in the first of
+   its shared keys only.  Out go members, not pairs;
+4. those members meet again with their full sets.  Pairs are confirmed there and links
+   that join nothing new are left out, so a group gives fewer links than members.
 
 Pairs inside one component need no check, since they cannot change the components.  A
-bucket of more than ``SLICE`` members is compared slice against slice, so that no task
-holds more than two slices.
+bucket of more than ``SLICE`` members, or whose sets are larger than ``SLICE_BYTES``, is
+compared slice against slice, so that no task holds more than two slices.
 
 Shingles are 64-bit hashes of words folded to lower case (A-Z).  Defined results: null
 text is empty; a document without words has an empty set, links with nothing and is
-kept; one with fewer than k words has one shingle.  Rows sharing a ``doc_id`` are one
-document; a row without an id links with nothing and is kept.  Other columns are ignored.
+kept; one with fewer than k words has one shingle; texts are read whole.  Rows are told
+apart by ``doc_id`` and text: two texts of one id are two documents.  In the decisions a
+row without an id links with nothing and is kept; the filter lets such rows link like any
+other and prefers rows with an id.  Repeated rows become one.  An empty table gives no
+rows; other columns are untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -45,37 +52,32 @@ from eventloom.llm.common import (
 from eventloom.llm.components import components
 from eventloom.session import stage_table
 
-HASHES = 64
-# Symbols of 8 bits of the longer sketch that members of open buckets are compared on.
-SKETCH = 512
-SLICE = 4096
-# Members of buckets of this size or more carry the whole sketch, others one bit a symbol.
+HASHES = 128
+SLICE, SLICE_BYTES = 4096, 1 << 24
+# Buckets of this size or more are thinned by neighbours before they are compared.
 CROWD = 32
 _HASH = SpanHash()
 _ODD = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 _ADD = mix(np.arange(1001, 1001 + HASHES, dtype=np.uint64))
-_ODD_32 = (mix(np.arange(2001, 2001 + SKETCH, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-_ADD_32 = (mix(np.arange(4001, 4001 + SKETCH, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
 
-def distance_bound(percent: int, symbols: int = HASHES, bits: bool = False) -> int:
-    """The largest distance that counts, for a link threshold in percent.
+def distance_bound(percent: int) -> int:
+    """The largest distance that counts, for a link threshold in percent: four standard
+    deviations above the mean distance at the threshold."""
+    apart = 1 - percent / 100
+    return min(HASHES - 2, math.ceil(HASHES * apart + 4 * math.sqrt(HASHES * apart * (1 - apart))))
 
-    Four standard deviations above the mean distance at the threshold; single bits
-    differ half as often as symbols.
-    """
-    apart = (1 - percent / 100) / (2 if bits else 1)
-    return min(symbols - 1, math.ceil(symbols * apart + 4 * math.sqrt(symbols * apart * (1 - apart))))
+
+def chunk_cuts(bound: int) -> list[int]:
+    """Where the chunks of a signature start, and its end; a chunk has two symbols or more."""
+    chunks = bound // 2 + 1
+    return [round(i * HASHES / chunks) for i in range(chunks + 1)]
 
 
 def key_sets(bound: int) -> list[tuple[int, ...]]:
-    """The symbols of every key: each chunk without one of its symbols."""
-    chunks = bound // 2 + 1
-    cuts = [round(i * HASHES / chunks) for i in range(chunks + 1)]
-    return [
-        kept for a, b in zip(cuts, cuts[1:])
-        for kept in (combinations(range(a, b), b - a - 1) if b - a > 1 else [(a,)])
-    ]
+    """The symbols of every key: each chunk without one of its symbols, the last first."""
+    cuts = chunk_cuts(bound)
+    return [kept for a, b in zip(cuts, cuts[1:]) for kept in combinations(range(a, b), b - a - 1)]
 
 
 def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,27 +97,14 @@ def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A row of ``HASHES`` 16-bit symbols per set; rows of empty sets are meaningless."""
-    out = np.zeros((len(sizes), HASHES), dtype="<u2")
+    """A row of ``HASHES`` 8-bit symbols per set; rows of empty sets are meaningless."""
+    out = np.zeros((len(sizes), HASHES), dtype=np.uint8)
     full = sizes > 0
     starts = (np.cumsum(sizes) - sizes)[full]
     if len(starts):
         for j in range(HASHES):
             least = np.minimum.reduceat(shingles * _ODD[j] + _ADD[j], starts)
-            out[full, j] = (mix(least) & np.uint64(0xFFFF)).astype("<u2")
-    return out
-
-
-def sketches(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A row of ``SKETCH`` 8-bit symbols per set, of other hash functions."""
-    out = np.zeros((len(sizes), SKETCH), dtype=np.uint8)
-    full = sizes > 0
-    starts = (np.cumsum(sizes) - sizes)[full]
-    if len(starts):
-        short = (mix(shingles) >> np.uint64(32)).astype(np.uint32)
-        for j in range(SKETCH):
-            least = np.minimum.reduceat(short * _ODD_32[j] + _ADD_32[j], starts)
-            out[full, j] = ((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
+            out[full, j] = (mix(least) & np.uint64(0xFF)).astype(np.uint8)
     return out
 
 
@@ -125,27 +114,25 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return (total[ends] - total[ends - sizes]).view(np.int64)
 
 
-SIGNED = "doc_id long, n_shingles long, s1 long, s2 long, signature binary, sketch binary"
+SIGNED = "doc_id long, digest binary, n_shingles long, s1 long, s2 long, signature binary"
 
 
 def _signer(k: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             shingles, sizes = shingle_sets(block.column("text"), k)
-            rows = [signatures(shingles, sizes), sketches(shingles, sizes)]
             yield pa.RecordBatch.from_arrays([
-                block.column("doc_id"), pa.array(sizes.astype(np.int64)),
+                block.column("doc_id"), block.column("digest"), pa.array(sizes.astype(np.int64)),
                 pa.array(_sums(mix(shingles), sizes)), pa.array(_sums(mix(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)), sizes)),
-                *(pa.array([r.tobytes() for r in row], pa.binary()) for row in rows),
-            ], names=["doc_id", "n_shingles", "s1", "s2", "signature", "sketch"])
+                pa.array([r.tobytes() for r in signatures(shingles, sizes)], pa.binary()),
+            ], names=["doc_id", "digest", "n_shingles", "s1", "s2", "signature"])
 
     return sign
 
 
-def _matrix(column) -> np.ndarray:
-    """Signatures as rows, from an Arrow column or a pandas one."""
-    values = column.to_pylist() if hasattr(column, "to_pylist") else list(column)
-    return np.frombuffer(b"".join(values), dtype="<u2").reshape(-1, HASHES)
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Signatures as rows."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, HASHES)
 
 
 def _keyer(bound: int):
@@ -160,11 +147,28 @@ def _keyer(bound: int):
                 h = np.full(len(rows), i + 1, dtype=np.uint64)
                 for j in kept:
                     h = mix(h * np.uint64(0x9FB21C651E98DF25) + rows[:, j])
+                # The low bits tell which key it is.
+                h = h & ~np.uint64(HASHES - 1) | np.uint64(i)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), rep], names=["key", "rep"])
 
     return keys
 
 
+def first_shared_key(one: np.ndarray, two: np.ndarray, bound: int) -> np.ndarray:
+    """The number of the first key that each pair of signatures shares; HASHES if none."""
+    cuts = np.array(chunk_cuts(bound))
+    differs = one != two
+    errors = np.add.reduceat(differs, cuts[:-1], axis=1)
+    shares = errors <= 1
+    chunk = shares.argmax(axis=1)
+    start, end = cuts[chunk], cuts[chunk + 1]
+    # Keys of a chunk leave out its symbols from the last to the first.
+    at = np.arange(HASHES)
+    wrong = (differs & (at >= start[:, None]) & (at < end[:, None])).argmax(axis=1)
+    left_out = np.where(errors[np.arange(len(chunk)), chunk] == 0, end - 1, wrong)
+    return np.where(shares.any(axis=1), start + (end - 1 - left_out), HASHES)
+
+
 def _near(pairs: DataFrame, reps: DataFrame, bound: int, percent: int) -> DataFrame:
     """Pairs (a, b) within the distance bound and of compatible set sizes."""
     side = lambda c: reps.select(
@@ -183,25 +187,30 @@ def _near(pairs: DataFrame, reps: DataFrame, bound: int, percent: int) -> DataFr
     return joined.select("a", "b", "s_a", "s_b").mapInArrow(close, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs that link by their full shingle sets.
-
-    Only documents that occur in a pair are reduced to sets.
-    """
-    pairs = stage_table(pairs, "near-pairs")
-    needed = pairs.select(F.col("a").alias("doc_id")).distinct().union(pairs.select("b").distinct()).distinct()
+def _full_sets(needed: DataFrame, reps: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """``rep, shingles`` of the classes in ``needed``; only one text of each is read."""
+    wanted = reps.join(needed.select("rep").distinct(), "rep", "left_semi").select("rep", "doc_id", "digest")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             shingles, sizes = shingle_sets(block.column("text"), k)
             ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
-                block.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(shingles.view(np.int64)))
-            ], names=["doc_id", "shingles"])
+                block.column("rep"), pa.ListArray.from_arrays(pa.array(ends), pa.array(shingles.view(np.int64)))
+            ], names=["rep", "shingles"])
 
-    texts = docs.join(needed, "doc_id", "left_semi").select("doc_id", "text")
-    full = stage_table(texts.mapInArrow(sets, "doc_id long, shingles array<bigint>"), "near-sets")
-    side = lambda c: full.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"s_{c}"))
+    named = wanted.select("rep", F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
+    texts = docs.join(named, same).select("rep", "text").dropDuplicates(["rep"])
+    return stage_table(texts.mapInArrow(sets, "rep long, shingles array<bigint>"), "near-sets")
+
+
+def _confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs that link by their full shingle sets."""
+    pairs = stage_table(pairs, "near-pairs")
+    needed = pairs.select(F.col("a").alias("rep")).distinct().union(pairs.select("b").distinct())
+    full = _full_sets(needed, reps, docs, k)
+    side = lambda c: full.select(F.col("rep").alias(c), F.col("shingles").alias(f"s_{c}"))
     both = F.size(F.array_intersect("s_a", "s_b"))
     union = F.size("s_a") + F.size("s_b") - both
     return (
@@ -228,55 +237,102 @@ def _expanded(sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         row = stop
 
 
-def _nearest(i: np.ndarray, j: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of pairs in either direction the nearest partner of each member."""
-    one, two, apart = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([apart, apart])
-    order = np.lexsort((two, apart, one))
-    first = order[np.diff(one[order], prepend=-1) != 0]
-    return one[first], two[first]
-
+class _Run:
+    """Sorted rows of whole (key, x, y) groups, and the pairs among them worth a check."""
 
-def _crossing(percent: int, nearest: bool):
-    """Pairs close enough to link between different components of one bucket.
-
-    Buckets (or slice pairs) arrive sorted, as runs of rows.  Pairs are compared on one
-    bit of each sketch symbol first, then on whole symbols.  With ``nearest`` every
-    member gives its nearest partner only.
+    def __init__(self, rows: pa.RecordBatch, bound: int, percent: int) -> None:
+        self.rows, self.bound, self.percent = rows, bound, percent
+        self.group = np.cumsum(group_starts(rows, ["key", "x", "y"])) - 1
+        self.key, self.rep, self.label, self.left, self.right, self.n = (
+            rows.column(c).to_numpy(zero_copy_only=False) for c in ("key", "rep", "label", "left", "right", "n_shingles")
+        )
+        self.symbols = _matrix(rows.column("signature"))
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Members of different components within the bound, in the pair's first key."""
+        for i, j in _expanded(np.bincount(self.group)):
+            wanted = (self.label[i] != self.label[j]) & (self.left[i] & self.right[j] | self.right[i] & self.left[j])
+            wanted &= 100 * np.minimum(self.n[i], self.n[j]) >= self.percent * np.maximum(self.n[i], self.n[j])
+            i, j = i[wanted], j[wanted]
+            one, two = self.symbols[i], self.symbols[j]
+            apart = (one != two).sum(axis=1)
+            close = apart <= self.bound
+            i, j, apart, one, two = i[close], j[close], apart[close], one[close], two[close]
+            first = first_shared_key(one, two, self.bound) == (self.key[i] & (HASHES - 1))
+            if first.any():
+                yield i[first], j[first], apart[first]
+
+
+def _having_partners(bound: int, percent: int):
+    """The rows that have a pair worth a check; each once for its group."""
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, ["key", "x", "y"]):
+            run = _Run(rows, bound, percent)
+            paired = np.zeros(rows.num_rows, dtype=bool)
+            for i, j, _ in run.pairs():
+                paired[i] = paired[j] = True
+            if paired.any():
+                yield rows.filter(pa.array(paired))
+
+    return members
+
+
+class _Forest:
+    """Which labels have been joined so far."""
+
+    def __init__(self) -> None:
+        self.top: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while (up := self.top.get(x, x)) != x:
+            self.top[x] = self.top.get(up, up)
+            x = up
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.find(a), self.find(b)
+        if a != b:
+            self.top[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _linking(bound: int, percent: int):
+    """Links between components, confirmed on full sets; none that joins nothing new.
+
+    A member is checked against all its partners at once, nearest members first.
     """
-    bound, bit_bound = distance_bound(percent, SKETCH), distance_bound(percent, SKETCH, bits=True)
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in whole_groups(batches, ["key", "x", "y"]):
-            group = np.cumsum(group_starts(run, ["key", "x", "y"])) - 1
-            rep, label, left, right, n = (
-                run.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "label", "left", "right", "n_shingles")
-            )
-            bits = np.frombuffer(b"".join(run.column("bits").to_pylist()), dtype=np.uint64).reshape(-1, SKETCH // 64)
-            crowded = run.column("sketch").is_valid().to_numpy(zero_copy_only=False)
-            rows = np.frombuffer(b"".join(run.column("sketch").drop_null().to_pylist()), dtype=np.uint8).reshape(-1, SKETCH)
-            at = np.cumsum(crowded) - 1
-            kept = []
-            for i, j in _expanded(np.bincount(group)):
-                wanted = (label[i] != label[j]) & (left[i] & right[j] | right[i] & left[j])
-                i, j = i[wanted], j[wanted]
-                close = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
-                i, j = i[close], j[close]
-                apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1)
-                close = apart <= bit_bound
-                i, j, apart = i[close], j[close], apart[close]
-                full = np.flatnonzero(crowded[i])
-                apart[full] = (rows[at[i[full]]] != rows[at[j[full]]]).sum(axis=1)
-                close = apart <= np.where(crowded[i], bound, bit_bound)
-                if close.any():
-                    kept.append((i[close], j[close], apart[close].astype(np.int64)))
-            if kept:
-                i, j, apart = (np.concatenate(c) for c in zip(*kept))
-                if nearest:
-                    i, j = _nearest(i, j, apart)
-                found = np.unique(np.stack([np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
-
-    return pairs
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, ["key", "x", "y"]):
+            run, forest, found = _Run(rows, bound, percent), _Forest(), []
+            sets = rows.column("shingles")
+            ends = np.append(0, np.cumsum(sets.value_lengths().to_numpy())).astype(np.int64)
+            values = sets.flatten().to_numpy()
+            for i, j, apart in run.pairs():
+                order = np.lexsort((j, i))
+                i, j, apart = i[order], j[order], apart[order]
+                cuts = np.append(np.flatnonzero(np.diff(i, prepend=-1)), len(i))
+                for m in np.argsort(np.minimum.reduceat(apart, cuts[:-1]), kind="stable"):
+                    one, others = i[cuts[m]], j[cuts[m]:cuts[m + 1]]
+                    mine = forest.find(run.label[one])
+                    others = others[[forest.find(x) != mine for x in run.label[others].tolist()]]
+                    if not len(others):
+                        continue
+                    own, size = values[ends[one]:ends[one + 1]], ends[others + 1] - ends[others]
+                    at = np.arange(size.sum()) + np.repeat(ends[others] - np.cumsum(size) + size, size)
+                    theirs = values[at]
+                    place = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+                    both = np.add.reduceat(own[place] == theirs, np.cumsum(size) - size)
+                    linked = 100 * both >= percent * (len(own) + size - both)
+                    for other in others[linked]:
+                        if forest.join(run.label[one], run.label[other]):
+                            found.append((run.rep[one], run.rep[other]))
+            if found:
+                ends_of = np.array(found)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(ends_of.min(axis=1)), pa.array(ends_of.max(axis=1))
+                ], names=["a", "b"])
+
+    return links
 
 
 def _open_members(shared: DataFrame, labels: DataFrame) -> DataFrame:
@@ -286,53 +342,66 @@ def _open_members(shared: DataFrame, labels: DataFrame) -> DataFrame:
     bucket = Window.partitionBy("key")
     return known.withColumn("lo", F.min("label").over(bucket)).withColumn("hi", F.max("label").over(bucket)).withColumn(
         "n", F.count("*").over(bucket)
-    ).filter("lo < hi")
+    ).filter("lo < hi").drop("lo", "hi")
 
 
-def _sketches_of(members: DataFrame, reps: DataFrame, signed: DataFrame) -> DataFrame:
-    """``rep, n_shingles, sketch, bits`` of the documents in open buckets.
+def _neighbours(open_: DataFrame, turn: int) -> DataFrame:
+    """Each member of a crowded bucket with the next one by hash, if of another component.
 
-    Buckets only close from round to round, so one table serves all rounds.
+    The order is the same in all buckets, so that members meet the same neighbours there.
     """
-    keys = ["rep", "s1", "s2", "n_shingles"]
-    wanted = reps.select(*keys).join(members.select("rep").distinct(), "rep", "left_semi")
-    rows = signed.select(F.col("doc_id").alias("rep"), "s1", "s2", "n_shingles", "sketch").join(wanted, keys, "left_semi")
+    order = Window.partitionBy("key").orderBy(F.xxhash64("rep", F.lit(turn)), "rep")
+    following = F.lead(F.struct("rep", "label")).over(order)
+    pairs = open_.filter(F.col("n") >= CROWD).select("rep", "label", following.alias("next"))
+    return pairs.filter("label != next.label").select(
+        F.least("rep", "next.rep").alias("a"), F.greatest("rep", "next.rep").alias("b")
+    ).distinct()
 
-    def with_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = batch.column("sketch").to_pylist()
-            low = np.packbits(np.frombuffer(b"".join(raw), dtype=np.uint8).reshape(-1, SKETCH) & 1, axis=1)
-            yield batch.append_column("bits", pa.array([r.tobytes() for r in low], pa.binary()))
 
-    found = rows.select("rep", "n_shingles", "sketch").mapInArrow(
-        with_bits, "rep long, n_shingles long, sketch binary, bits binary"
-    )
-    return stage_table(found.dropDuplicates(["rep", "n_shingles"]), "near-sketches")
-
-
-def _unresolved(open_: DataFrame, sketches_: DataFrame) -> DataFrame:
-    """Members of open buckets with their sketches, cut into slice pairs."""
-    slices = F.ceil(F.col("n") / SLICE).cast("int")
+def _sliced(members: DataFrame, slices) -> DataFrame:
+    """Members of a bucket cut into pairs of ``slices`` slices, of rows that can meet."""
+    slices = slices.cast("int")
     mine = F.pmod(F.xxhash64("rep"), slices).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), slices - 1), lambda s: F.struct(
-        F.least(s, mine).alias("x"), F.greatest(s, mine).alias("y")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda s: F.struct(
+        F.least(s, F.col("mine")).alias("x"), F.greatest(s, F.col("mine")).alias("y")
     ))
-    cut = open_.withColumn("mine", mine).withColumn("pair", F.explode(pairs)).select(
-        "key", "rep", "label", "n", "pair.x", "pair.y", (F.col("mine") == F.col("pair.x")).alias("left"),
+    cut = members.withColumns({"mine": mine, "slices": slices}).withColumn("pair", F.explode(pairs))
+    return cut.select(
+        *members.columns, "pair.x", "pair.y", (F.col("mine") == F.col("pair.x")).alias("left"),
         (F.col("mine") == F.col("pair.y")).alias("right"),
     )
-    return cut.join(sketches_, "rep").withColumn("sketch", F.when(F.col("n") >= CROWD, F.col("sketch")))
 
 
-def near_links(docs: DataFrame, signed: DataFrame, k: int, percent: int) -> DataFrame:
-    """``id, component`` for the class representatives that link with another class."""
-    bound = distance_bound(percent)
-    reps = stage_table(
-        signed.filter("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2", "n_shingles")
-        .agg(F.min(F.struct("doc_id", "signature")).alias("m"))
-        .select(F.col("m.doc_id").alias("rep"), "s1", "s2", "n_shingles", "m.signature"),
-        "near-reps",
+def _by_group(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+
+
+MEMBER = "key long, rep long, label long, x int, y int, left boolean, right boolean, n_shingles long, signature binary"
+
+
+def _last_links(open_: DataFrame, reps: DataFrame, docs: DataFrame, k: int, bound: int, percent: int) -> DataFrame:
+    """The links that are missing between the components of open buckets."""
+    columns = [c.split()[0] for c in MEMBER.split(", ")]
+    signed = open_.join(reps.select("rep", "n_shingles", "signature"), "rep")
+    meeting = _sliced(signed, F.ceil(F.col("n") / SLICE)).select(*columns)
+    # A row that has partners in several slices comes once.
+    paired = stage_table(
+        _by_group(meeting).mapInArrow(_having_partners(bound, percent), MEMBER).dropDuplicates(["key", "rep"])
+        .select("key", "rep", "label", "n_shingles", "signature"),
+        "near-paired",
+    )
+    full = _full_sets(paired, reps, docs, k)
+    bytes_in = F.sum(F.col("n_shingles") * 8).over(Window.partitionBy("key"))
+    cut = _sliced(paired.withColumn("size", bytes_in), F.ceil(F.col("size") / SLICE_BYTES))
+    return (
+        _by_group(cut.join(full, "rep").select(*columns, "shingles"))
+        .mapInArrow(_linking(bound, percent), "a long, b long").distinct()
     )
+
+
+def near_links(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
+    """``id, component`` for the classes that link with another class."""
+    bound = distance_bound(percent)
     bucket = Window.partitionBy("key")
     shared = stage_table(
         reps.select("rep", "signature").mapInArrow(_keyer(bound), "key long, rep long")
@@ -340,29 +409,57 @@ def near_links(docs: DataFrame, signed: DataFrame, k: int, percent: int) -> Data
         .filter("center < top").drop("top"),
         "near-shared",
     )
-    star = shared.filter("center < rep").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
-    found = stage_table(_confirmed(_near(star, reps, bound, percent), docs, k, percent), "near-links")
-    labels, before, sketched, nearest = components(found), None, None, True
+    pairs = shared.filter("center < rep").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
+    found = stage_table(_confirmed(_near(pairs, reps, bound, percent), reps, docs, k, percent), "near-links")
+    labels, before, turn = components(found), None, 0
+    shared = shared.drop("center")
     while True:
-        open_ = _open_members(shared, labels)
-        sketched = _sketches_of(open_, reps, signed) if sketched is None else sketched
-        if nearest:
-            # Nearest partners in crowded buckets, as long as that closes half of them.
-            open_ = open_.filter(F.col("n") >= CROWD)
-            rows = open_.count()
-            if not rows or before is not None and 2 * rows > before:
-                nearest = False
-                continue
-            before = rows
-        pairs = (
-            _unresolved(open_, sketched).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-            .mapInArrow(_crossing(percent, nearest), "a long, b long").distinct()
-        )
-        found = stage_table(found.unionByName(_confirmed(pairs, docs, k, percent)), "near-links")
-        labels = components(found)
-        if not nearest:
+        open_ = stage_table(_open_members(shared, labels), "near-open")
+        crowded = open_.filter(F.col("n") >= CROWD).count()
+        if not crowded or before is not None and 2 * crowded > before:
             break
-    return labels
+        before, turn = crowded, turn + 1
+        more = _confirmed(_near(_neighbours(open_, turn), reps, bound, percent), reps, docs, k, percent)
+        found = stage_table(found.unionByName(more), "near-links")
+        labels = components(found)
+    last = stage_table(_last_links(open_, reps, docs, k, bound, percent), "near-last")
+    return labels if last.isEmpty() else components(found.unionByName(last))
+
+
+SETS = ["s1", "s2", "n_shingles"]
+
+
+def _components(docs: DataFrame, k: int, percent: int, unnamed: bool) -> tuple[DataFrame, DataFrame]:
+    """Every row as ``doc_id, digest, s1, s2, n_shingles``, and the component of each set.
+
+    With ``unnamed`` rows without an id count, too.  Classes are numbered, so that two
+    texts of one id are two classes.
+    """
+    pin_batches(docs.sparkSession)
+    docs = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"),
+        F.unhex(F.sha2(text_of(), 256)).alias("digest"),
+    )
+    signed = stage_table(docs.select("doc_id", "digest", "text").mapInArrow(_signer(k), SIGNED), "near-signed")
+    counted = F.col("n_shingles") > 0
+    counted = counted if unnamed else counted & F.col("doc_id").isNotNull()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest", "signature")).alias("m")
+    reps = stage_table(
+        signed.filter(counted).groupBy(*SETS).agg(first)
+        .select(F.monotonically_increasing_id().alias("rep"), *SETS, "m.doc_id", "m.digest", "m.signature"),
+        "near-reps",
+    )
+    labels = near_links(docs, reps, k, percent)
+    joined = reps.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
+        "component", F.coalesce("component", "rep")
+    )
+    named = joined.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("first")
+    )
+    classes = joined.join(named, "component").select(*SETS, "first.doc_id", "first.digest")
+    return signed.drop("signature"), stage_table(
+        classes.withColumnsRenamed({"doc_id": "first_id", "digest": "first_digest"}), "near-classes"
+    )
 
 
 def near_decisions(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -371,25 +468,41 @@ def near_decisions(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     Documents link when their sets of ``k``-word shingles have a similarity of at
     least ``percent``; a component is the transitive closure, named by its smallest id.
     """
-    pin_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-    signed = stage_table(docs.mapInArrow(_signer(k), SIGNED), "near-signed")
-    labels = near_links(docs, signed, k, percent)
-    sets = ["s1", "s2", "n_shingles"]
-    classes = (
-        signed.filter("n_shingles > 0 and doc_id is not null").groupBy(*sets).agg(F.min("doc_id").alias("id"))
-        .join(labels, "id", "left").select(*sets, F.coalesce("component", "id").alias("component"))
-    )
-    classes = stage_table(classes, "near-classes")
-    return signed.drop("signature").join(classes, sets, "left").select(
-        "doc_id", "n_shingles",
-        F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
-        .alias("component_id"),
+    rows, classes = _components(docs, k, percent, unnamed=False)
+    linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    return rows.join(classes, SETS, "left").select(
+        "doc_id", "n_shingles", F.when(linked, F.col("first_id")).otherwise(F.col("doc_id")).alias("component_id")
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of every component; rows without an id stay."""
-    decisions = stage_table(near_decisions(docs, k, percent), "near-decisions")
-    dropped = decisions.filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """``docs`` with one row of every component: that of the smallest id.
+
+    A row is known by ``doc_id`` and text.  Rows without words stay.
+    """
+    def own(name: str) -> str:
+        while any(c.lower() == name for c in docs.columns):
+            name = "_" + name
+        return name
+
+    rows, classes = _components(docs, k, percent, unnamed=True)
+    decided = stage_table(
+        rows.filter("n_shingles > 0").join(classes, SETS).select("doc_id", "digest", (
+            F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("digest") == F.col("first_digest"))
+        ).alias("kept")),
+        "near-decided",
+    )
+    mine, its_id, its_digest = own("row_digest"), own("dropped_id"), own("dropped_digest")
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(its_id)) & (F.col(mine) == F.col(its_digest))
+
+    def named(found: DataFrame) -> DataFrame:
+        return found.select(F.col("doc_id").alias(its_id), F.col("digest").alias(its_digest))
+
+    dropped = named(decided.filter(~F.col("kept")).distinct())
+    kept = docs.withColumn(mine, F.unhex(F.sha2(text_of(), 256))).join(dropped, same, "left_anti")
+    again = decided.filter("kept").groupBy("doc_id", "digest").count().filter("count > 1")
+    if again.isEmpty():
+        return kept.select(docs.columns)
+    # Only where rows repeat: one of each stays.
+    once = kept.join(named(again), same, "left_semi").dropDuplicates(["doc_id", mine])
+    return kept.join(named(again), same, "left_anti").unionByName(once).select(docs.columns)

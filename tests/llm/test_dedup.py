@@ -224,3 +224,47 @@ def test_mixing(sample, edge, empty):
 def test_mix_comes_near_its_targets(sample):
     rows = mixing.mix_counts(sample).groupBy("source", "target").sum("taken").collect()
     assert sum(abs(r["sum(taken)"] - r["target"]) for r in rows) < 0.1 * sum(r["target"] for r in rows)
+
+
+def test_first_shared_key_equals_a_search():
+    rng = np.random.default_rng(2)
+    bound = minhash.distance_bound(80)
+    sets = minhash.key_sets(bound)
+    assert len(sets) == minhash.HASHES
+    one = rng.integers(0, 3, (200, minhash.HASHES), dtype=np.uint8)
+    two = one.copy()
+    for row in two:
+        at = rng.choice(minhash.HASHES, size=rng.integers(0, 90), replace=False)
+        row[at] = 7
+    got = minhash.first_shared_key(one, two, bound)
+    for a, b, first in zip(one, two, got):
+        want = [n for n, kept in enumerate(sets) if all(a[i] == b[i] for i in kept)]
+        assert first == (want[0] if want else minhash.HASHES)
+
+
+def test_near_filter_knows_rows_by_id_and_text(spark):
+    words = [f"w{i}" for i in range(60)]
+    a, near_a, b = " ".join(words), " ".join(words[:-1] + ["z"]), " ".join(f"b{i}" for i in range(60))
+    rows = [
+        (1, a), (2, near_a), (2, b), (3, b), (3, b), (None, a), (None, "x y z u v w"), (None, "X Y Z U V W"), (None, None),
+        (7, ""), (8, "only one"), (8, "only one"),
+    ]
+    docs = spark.createDataFrame([(*r, 1, "q") for r in rows], "doc_id long, text string, row_digest int, Dropped_ID string")
+    kept = minhash.near_dedup(docs.repartition(4))
+    assert kept.columns == docs.columns
+    got = sorted((str(r["doc_id"]), (r["text"] or "").lower()) for r in kept.collect())
+    assert got == [("1", a), ("2", b), ("7", ""), ("8", "only one"), ("None", ""), ("None", "x y z u v w")]
+
+
+def test_links_across_slices_join_nothing_twice(spark, monkeypatch):
+    """Chains of near copies: every task may only give links that join something."""
+    monkeypatch.setattr(minhash, "SLICE_BYTES", 4096)
+    rng, rows = np.random.default_rng(11), []
+    for c in range(4):
+        words = [f"{c}w{i}" for i in range(120)]
+        for i in range(40):
+            words[int(rng.integers(120))] = f"{c}n{i}"
+            rows.append((c * 100 + i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_decisions(df, 3, 85).collect()}
+    assert got == near_brute(rows, 3, 85)

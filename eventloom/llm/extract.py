@@ -13,11 +13,12 @@
    importance, and, where it is a node further up, holds no important block on the page.
    What the markup declares to be no text is removed too: menus, headers, footers,
    sidebars, notices, adverts, forms, comments, scripts.  A class, id or role declares it
-   if all its words do (``cookie-notice``); one with other words besides (``menu-open``,
-   ``search-results``) leaves the decision to the tree, except for comments and adverts,
-   whose text differs from page to page.  Words and forms never hide html, body, an
-   article or main element, or what holds one; an article inside an article counts as any
-   element.  Where a page has an article or main element, only what is inside it counts.
+   if all its words do, boxes aside (``cookie-notice``, ``comment-list``); one with other
+   words besides (``menu-open``, ``comments-open``, ``ad-hoc``) leaves the decision to the
+   tree.  Words never hide headings, sections (but for those of reader comments), html,
+   body, an article or main element, or what holds one, and a form does not hide a page
+   it goes round; an article inside an article counts as any element.  Where a page has
+   an article or main element, only what is inside it counts.
 
 Only hashes of paths and texts are shuffled, folded inside the tasks first: a text is one
 row with the nodes above it, dealt by host and text and spread to its nodes behind the
@@ -25,16 +26,19 @@ shuffle.  The join by host is dealt over ``LANES`` lanes, so that a hot host doe
 in one task.
 
 Defined results: null or empty html gives empty text; a page without a readable host has
-no style tree, only its markup counts; unclosed elements end with their parent; blocks
-directly in an article, without attributes of their own, are never removed by entropy,
-so that copies of one article on a host keep their text; other columns are ignored.
+no style tree, only its markup counts, and so has a host of one page; unclosed elements
+end with their parent; blocks directly in an article, without attributes of their own,
+are never removed by entropy, and a page that would lose all its text keeps it, so that
+copies of one article on a host keep theirs.  A page is read in one pass, however long
+or broken; elements nested deeper than ``DEPTH`` hang on the last one.  Repeated rows
+give a row each; an empty table gives none; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import Counter, namedtuple
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import blake2b
@@ -45,61 +49,79 @@ from pyspark.sql import functions as F
 
 from eventloom.llm.common import blocks, pin_batches
 
-# A node seen on fewer pages of its host says nothing about the site.
-LEAST_PAGES = 4
+# One page says nothing about its site: a text it holds stands on all pages seen.
+LEAST_PAGES = 2
 LANES = 32
 IMPORTANCE, CONTENT_SHARE = 0.3, 0.8
+# Elements nested deeper hang on the last one, as browsers do it too.
+DEPTH = 256
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
-    r"|<[!?][^>]*>",
-    re.S,
-)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
-# Fixed values of HTML: elements whose content is no text, and those that form blocks.
+# Fixed values of HTML: elements whose content is no text, inside a line or not, and
+# those that form blocks.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp"}
-NEVER = RAW | {"head", "nav", "footer", "aside", "form", "svg", "button", "select", "dialog", "menu", "object", "canvas"}
+CONTROL = {"svg", "button", "select", "object", "canvas"}
+NEVER = {"head", "nav", "footer", "aside", "form", "dialog", "menu"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr", "param"}
+HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 BLOCK = set(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer"
-    " form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol p pre section summary table tbody td tfoot th"
+    " form head header hr html li main menu nav ol p pre section summary table tbody td tfoot th"
     " thead tr ul".split()
-) | NEVER
+) | NEVER | HEADING
 ENDS = {  # What an opening element ends first, and where the search for it stops.
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
 }
 MAIN = {"article", "main"}
+# What stands in a form that goes round a whole page, as some servers write it.
+FRAME = {"nav", "header", "footer", "h1"} | MAIN
 NOISE = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar cookie cookies"
     " consent notice notices alert popup modal overlay newsletter subscribe signup login search share sharing social"
     " related breadcrumb breadcrumbs menu nav navbar navigation footer masthead comment comments reply replies respond"
     " widget toolbar pagination pager contentinfo complementary header".split()
 )
-# Noise whose text differs from page to page, so that entropy cannot confirm it.
-VARIED = set(
-    "ad ads advert adverts advertisement advertising sponsor sponsored comment comments reply replies respond".split()
-)
+# Words that only name a box, and so leave the meaning to the word beside them.
+BOX = set("list area box wrap wrapper container block item items thread user reader slot unit top bottom left right".split())
+COMMENT = {"comment", "comments", "reply", "replies", "respond"}
 
 
 @lru_cache(maxsize=1 << 14)
 def _element(tag: str, attributes: str) -> tuple[str, bool]:
-    """The element's name in a path, and whether its class, id or role says it is no text."""
+    """The element's name in a path, and whether its class, id or role says it is no text.
+
+    Headings, tables' parts and the page's own elements are never hidden by a word, and
+    a section, which any chapter is, only by those of reader comments.
+    """
     names = []
     for kind, *values in _NAMED.findall(attributes):
         names.append((kind.lower(), next((v for v in values if v), "")))
     marks = [{w.lower() for w in _PART.findall(mark)} for _, v in names for mark in v.split()]
-    noise = any(words and (words <= NOISE or words & VARIED) for words in marks)
+    said = [words for words in marks if words & NOISE and words <= NOISE | BOX]
+    if tag == "section":
+        noise = any(words <= COMMENT | BOX for words in said)
+    else:
+        noise = bool(said) and tag not in HEADING | MAIN | {"html", "body", "td", "th", "tr", "tbody", "thead"}
     return tag + "".join(f"[{k}={v}]" for k, v in sorted(names)), noise
 
 
 @lru_cache(maxsize=1 << 16)
-def code(text: str) -> int:
-    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+def step(above: int, name: str) -> int:
+    """The code of a path from the code of the path above and one more name."""
+    raw = above.to_bytes(8, "little", signed=True) + name.encode("utf-8", "surrogatepass")
+    return int.from_bytes(blake2b(raw, digest_size=8).digest(), "little", signed=True)
+
+
+def code(path: str) -> int:
+    """The code of a path written with slashes; that of a text is its only step."""
+    value = 0
+    for name in path.split("/"):
+        value = step(value, name)
+    return value
 
 
 class _Open:
@@ -107,7 +129,7 @@ class _Open:
 
     def __init__(self, tag: str, name: str, hinted: bool, above: _Open | None) -> None:
         self.tag = tag
-        self.path = name if above is None else f"{above.path}/{name}"
+        self.path = step(0 if above is None else above.path, name)
         self.above = above
         inside = above is not None and above.main
         within = above is not None and above.story
@@ -116,13 +138,17 @@ class _Open:
         # A page header is noise; the header of an article holds its title.
         self.noise = tag in NEVER and tag != "form" or tag == "header" and not inside
         # Noise unless it turns out to hold the main text, as a form round a whole page does.
-        self.hinted = tag == "form" or hinted and tag not in ("html", "body") and not (tag == "header" and inside)
+        self.hinted = tag == "form" or hinted and not (tag == "header" and inside)
         self.holds = False
+        node: _Open | None = self
         if tag == "main" or tag == "article" and not within:
-            node: _Open | None = self
             while node is not None and not node.holds:
                 node.holds = True
                 node = node.above
+        elif tag in FRAME:
+            while node is not None:
+                node.holds = node.holds or node.tag == "form"
+                node = node.above
         self.bare = inside and above.bare and name == tag or tag in MAIN
         self.children: list[str] = []
 
@@ -135,16 +161,77 @@ class _Open:
             node = node.above
         return False
 
+    def paths(self) -> tuple[int, ...]:
+        found, node = [], self
+        while node.above is not None:
+            found.append(node.path)
+            node = node.above
+        return tuple(reversed(found))
+
+
+class _Reader:
+    """Finds tags in one pass: whatever the page, no part of it is searched again and again."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.strict, self.next, self.open = page, True, {}, set()
+
+    def find(self, what: str, at: int) -> int:
+        """The next place of ``what`` from ``at`` on, or the page's end."""
+        known = self.next.get(what, -1)
+        if known < at:
+            known = self.page.find(what, at)
+            self.next[what] = known = len(self.page) if known < 0 else known
+        return known
+
+    def tag_end(self, at: int) -> int:
+        """Where the tag's ``>`` is: the first outside quotes.
+
+        Once quotes of a page turn out not to close, tags end at the first ``>``.
+        """
+        end = first = self.find(">", at)
+        while self.strict and end < len(self.page):
+            quote = min(self.find('"', at), self.find("'", at))
+            if quote > end:
+                return end
+            closing = self.find(self.page[quote], quote + 1)
+            if closing == len(self.page):
+                break
+            at = closing + 1
+            end = self.find(">", at)
+        if end != first or end == len(self.page):
+            self.strict = False
+        return first
+
+    def after(self, tag: str, at: int, nested: bool) -> int | None:
+        """Behind the end tag of the element opened before ``at``; None if there is none."""
+        if tag in self.open:
+            return None
+        depth = 1
+        for found in _ends(tag).finditer(self.page, at):
+            depth += -1 if found[1] else nested
+            if not depth:
+                return min(self.find(">", found.end()) + 1, len(self.page))
+        self.open.add(tag)
+        return None
+
 
-def parse(page: str) -> tuple[list[tuple], list[tuple]]:
-    """Blocks (paths above, text, noise, main, bare) in page order, and the
-    presentation (path, child tags) of every element that holds others.
+@lru_cache(maxsize=64)
+def _ends(tag: str) -> re.Pattern:
+    return re.compile(rf"<(/?){tag}(?=[\s/>])", re.I)
+
+
+Block = namedtuple("Block", "paths text noise main bare heading")
+
+
+def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
+    """Blocks in page order, and the presentation (path, child tags) of every element
+    that holds others.
 
     Text beside child elements gets a last path of its own.
     """
-    found: list[tuple] = []
-    shapes: list[tuple] = []
-    root = _Open("", "", False, None)
+    found: list[tuple[_Open, str]] = []
+    shapes: dict[int, list[str]] = {}
+    root, reader = _Open("", "", False, None), _Reader(page)
     stack, pieces, at, size = [root], [], 0, len(page)
 
     def flush() -> None:
@@ -152,26 +239,42 @@ def parse(page: str) -> tuple[list[tuple], list[tuple]]:
             text = " ".join(html.unescape("".join(pieces)).split())
             pieces.clear()
             if text:
-                top = stack[-1]
-                found.append((tuple(o.path for o in stack[1:]), text, top, top.main, top.bare))
+                found.append((stack[-1], text))
 
     def close(n: int) -> None:
         while len(stack) > n:
             node = stack.pop()
             if node.children:
-                shapes.append((node.path, " ".join(node.children)))
+                shapes.setdefault(node.path, []).append(" ".join(node.children))
 
     while at < size:
-        token = _TOKEN.search(page, at)
-        if token is None:
-            pieces.append(page[at:])
+        mark = reader.find("<", at)
+        pieces.append(page[at:mark])
+        if mark == size:
             break
-        pieces.append(page[at:token.start()])
-        at = token.end()
-        ending, tag, rest = token.group(1, 2, 3) if token[2] else token.group(4, 5, 6)
-        if not tag:
+        if page.startswith("<!--", mark):
+            end = page.find("-->", mark + 4)
+            at = size if end < 0 else end + 3
+            continue
+        ending = page.startswith("/", mark + 1)
+        named = _NAME.match(page, mark + 1 + ending)
+        if not named and not page.startswith(("!", "?"), mark + 1):
+            pieces.append("<")
+            at = mark + 1
+            continue
+        end = reader.tag_end(named.end()) if named else reader.find(">", mark)
+        if end == size:
+            pieces.append(page[mark:])
+            break
+        at = end + 1
+        if not named:
+            continue
+        tag, rest = named[0].lower(), page[named.end():end]
+        if tag in RAW or tag in CONTROL:
+            if not ending and not rest.endswith("/"):
+                behind = reader.after(tag, at, tag in CONTROL)
+                at = behind if behind is not None else at if tag in CONTROL else size
             continue
-        tag = tag.lower()
         if tag not in BLOCK:
             if tag == "br":
                 pieces.append(" ")
@@ -183,7 +286,7 @@ def parse(page: str) -> tuple[list[tuple], list[tuple]]:
                     close(i)
                     break
             continue
-        if stack[-1].tag == "p" and tag not in RAW:
+        if stack[-1].tag == "p":
             close(len(stack) - 1)
         mates, stop = ENDS.get(tag, ((), ()))
         for i in range(len(stack) - 1, 0, -1):
@@ -192,38 +295,43 @@ def parse(page: str) -> tuple[list[tuple], list[tuple]]:
             if stack[i].tag in mates:
                 close(i)
                 break
+        close(DEPTH)
         stack[-1].children.append(tag)
-        if tag in RAW and not rest.endswith("/"):
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = end.end() if end else size
-        elif tag not in VOID:
+        if tag not in VOID:
             stack.append(_Open(tag, *_element(tag, rest), stack[-1]))
     flush()
     close(1)
-    mixed = {path for path, _ in shapes}
-    return [
-        (paths + (f"{paths[-1]}/",) if paths and paths[-1] in mixed else paths, text, node.hidden(), main, bare)
-        for paths, text, node, main, bare in found
-    ], shapes
+    out, known = [], {}
+    for node, text in found:
+        if node not in known:
+            paths = node.paths()
+            if paths and node.path in shapes:
+                paths += (step(node.path, ""),)
+            known[node] = paths, node.hidden()
+        paths, hidden = known[node]
+        out.append(Block(paths, text, hidden, node.main, node.bare, node.tag in HEADING))
+    return out, [(path, shape) for path, many in shapes.items() for shape in many]
 
 
 def page_text(page: str, low: frozenset[int] = frozenset(), high: frozenset[int] = frozenset()) -> str:
     """The main text: blocks that are no noise and not held by the host's tree to be of low
-    importance; ``low`` and ``high`` are its known nodes."""
+    importance; ``low`` and ``high`` are its known nodes.
+
+    A page that would lose all its text by the tree keeps it: it is a copy of others.
+    """
+    shown = [block for block in parse(page)[0] if not block.noise]
+    if any(block.main for block in shown):
+        shown = [block for block in shown if block.main]
     judged, rich = [], set()
-    for paths, text, noise, main, bare in parse(page)[0]:
-        if noise:
-            continue
-        above = [code(p) for p in paths] if low else []
+    for block in shown if low else ():
+        # A heading that many pages have is judged by what it stands in.
+        above = block.paths if not (block.main and block.heading) else block.paths[:-1]
         known = next((p for p in reversed(above) if p in low or p in high), None)
-        if bare or known in high:
-            rich.update(above)
-        own = bool(above) and known == above[-1]
-        judged.append((main, text, not bare and known in low, known, own))
-    kept = [(main, text) for main, text, poor, known, own in judged if not poor or not own and known in rich]
-    if any(main for main, _ in kept):
-        kept = [(main, text) for main, text in kept if main]
-    return "\n".join(text for _, text in kept)
+        if block.bare or known in high:
+            rich.update(block.paths)
+        judged.append((not block.bare and known in low, known, bool(above) and known == block.paths[-1]))
+    kept = [block for block, (poor, known, own) in zip(shown, judged) if not poor or not own and known in rich]
+    return "\n".join(block.text for block in kept or shown)
 
 
 def host_of(url: str = "url"):
@@ -240,14 +348,14 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Kinds: 0 the node itself, 1 a text, 2 a presentation of the node.  A text that some
     nodes of a page hold more often than others has a row for each number of uses.
     """
-    for block in blocks(batches, "html", 8 << 20):
+    for some in blocks(batches, "html", 8 << 20):
         pages: Counter = Counter()
         uses: Counter = Counter()
-        for host, page in zip(block.column("host").to_pylist(), block.column("html").to_pylist()):
+        for host, page in zip(some.column("host").to_pylist(), some.column("html").to_pylist()):
             found, shapes = parse(page)
             texts: dict[int, Counter] = {}
-            for paths, text, *_ in found:
-                texts.setdefault(code(text), Counter()).update(map(code, paths))
+            for block in found:
+                texts.setdefault(step(0, block.text), Counter()).update(block.paths)
             nodes: set[int] = set()
             for value, under in texts.items():
                 nodes.update(under)
@@ -256,8 +364,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pages[key] += 1
                     uses[key] += n
             for path, shape in shapes:
-                if code(path) in nodes:
-                    uses[host, 2, code(f"{path} {shape}"), (code(path),)] += 1
+                if path in nodes:
+                    uses[host, 2, step(path, f" {shape}"), (path,)] += 1
             for node in nodes:
                 pages[host, 0, node, (node,)] += 1
         keys = list(pages.keys() | uses.keys())

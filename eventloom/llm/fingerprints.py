@@ -13,8 +13,9 @@ The order of paragraphs does not matter, and adding or subtracting the fingerpri
 some paragraphs inserts or deletes them without the rest of the text (``merge``).
 
 ``edited_fingerprints`` also needs the next document.  Documents are dealt out by
-ranges of ``doc_id`` and sorted there, so the next one is the next row; only the first
-and last row of each range meet in a second, small step.  Every text is shuffled once.
+ranges of ``doc_id`` between quantiles that are computed first, and sorted there, so the
+next one is the next row; only the first and last row of each range meet in a second,
+small step.  Every text is shuffled once.
 
 Defined results: null text is empty; an empty text has the zero vector, equal only to
 itself; ids sort ascending with null first, equal ids by text, so repeated rows follow
@@ -29,8 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import SpanHash, blocks, bytes_of, mix, pin_batches, shingle_hashes, shuffle_parts, spaced, text_of, words
@@ -143,16 +143,17 @@ def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first and the last row of a sorted partition."""
-    part, first, last = TaskContext.get().partitionId(), None, None
+    """The first and the last row of a sorted range."""
+    first, last = None, None
     for batch in batches:
         if batch.num_rows:
             first = batch.slice(0, 1) if first is None else first
             last = batch.slice(batch.num_rows - 1)
     if first is not None:
-        yield pa.RecordBatch.from_arrays([
-            pa.array([part], pa.int32()), first.column("text"), last.column("doc_id"), last.column("text")
-        ], names=["part", "head", "doc_id", "text"])
+        yield pa.RecordBatch.from_arrays(
+            [first.column("part"), first.column("text"), last.column("doc_id"), last.column("text")],
+            names=["part", "head", "doc_id", "text"],
+        )
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,16 +164,26 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _range_of(rows: DataFrame, parts: int) -> Column:
+    """The range of a row's id; ranges hold about equally many rows, null is in the first."""
+    shares = [i / parts for i in range(1, parts)]
+    found = rows.agg(F.percentile_approx("doc_id", shares, 10_000)).first()[0] if shares else None
+    borders = F.array(*[F.lit(b) for b in sorted(set(found or []))]).cast("array<bigint>")
+    return F.coalesce(F.size(F.filter(borders, lambda b: b < F.col("doc_id"))), F.lit(0))
+
+
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of the text whose last quarter of code points is
     replaced by the first as many of the next document's, and their likeness."""
     spark = pin_batches(docs.sparkSession)
     parts = shuffle_parts(spark)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
     ordered = (
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-        .repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+        rows.withColumn("part", _range_of(rows, parts)).repartitionById(parts, "part")
+        .sortWithinPartitions("doc_id", "text")
     )
-    # One row per range.  The exchange lets both its readers share one pass.
+    # One row per range.  Its borders are fixed numbers, so both readers of ``ordered``
+    # see the same ranges, whether they share the exchange or not.
     edges = ordered.mapInArrow(_edges, "part int, head string, doc_id long, text string").repartition(parts, "part")
     order = edges.select("part")
     by_part = Window.orderBy("part")

@@ -21,10 +21,16 @@ whole corpus, without a row per byte.
 A phrase that stands in one batch with the same bytes several times goes on once; the
 later places are repeated for certain.
 
+Not done by the name: no suffix array of the whole dictionary and parse is merged into
+corpus order.  It would move the suffix of every phrase, about the corpus again per
+sorting round, to order suffixes that occur once; here only those with a repeated gram
+are ordered, as far as ``SPAN`` bytes.
+
 Defined results: null text is empty; a text shorter than ``SPAN`` keeps all; a null id
-counts as the smallest.  Rows sharing a ``doc_id`` stand at the same place, so that
-repeated rows get the same spans and neither repeats the other.  Matches never cross
-texts.  Other columns are ignored.
+counts as the smallest.  Rows with the same ``doc_id`` and text stand at the same place,
+so that they get the same spans and neither repeats the other; several texts of one id,
+or without one, are documents in the order of their digests.  Matches never cross texts,
+which are read whole.  An empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,6 +47,7 @@ from pyspark.sql import functions as F
 
 from eventloom.llm.bpe import pack, spans, unpack
 from eventloom.llm.common import SpanHash, blocks, bytes_of, group_starts, mix, pin_batches, shuffle_parts, text_of, whole_groups
+from eventloom.session import stage_table
 
 SPAN, GRAM = 100, 32
 RUN = SPAN - GRAM + 1
@@ -268,18 +275,33 @@ def _sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_ids(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), text_of().cast("string").alias("text")
-    )
+    """``id, doc_id, text`` with one ``id`` per document, ascending in their order.
 
+    It is ``doc_id`` where that tells all texts apart.  Where one id, or no id, has
+    several texts, these are numbered instead, in the order of id (null first) and text
+    digest, by a distributed sort of ids and digests.
+    """
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), text_of().cast("string").alias("text")
+    )
+    named = rows.select("doc_id", F.sha2("text", 256).alias("digest"))
+    several = named.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+    if several.filter("low < high").isEmpty():
+        return rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "doc_id", "text")
+    numbered = stage_table(
+        named.distinct().orderBy(F.col("doc_id").asc_nulls_first(), "digest")
+        .select(F.col("doc_id").alias("named"), "digest", F.monotonically_increasing_id().alias("id")),
+        "repeats-ids",
+    )
+    rows = rows.withColumn("digest", F.sha2("text", 256)).withColumnRenamed("digest", "mine")
+    same = F.col("doc_id").eqNullSafe(F.col("named")) & (F.col("mine") == F.col("digest"))
+    return rows.join(numbered, same).select("id", "doc_id", "text")
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``id, spans``: per document with repeated strings its spans (start, stop), unmerged.
 
-    ``id`` is ``doc_id``, or the smallest number for null.
-    """
-    spark = pin_batches(docs.sparkSession)
-    owners, texts = shuffle_parts(spark), _with_ids(docs)
+def repeated_spans(texts: DataFrame) -> DataFrame:
+    """``id, spans``: per document with repeated strings its spans (start, stop), unmerged."""
+    spark = pin_batches(texts.sparkSession)
+    owners, texts = shuffle_parts(spark), texts.select("id", "text")
     found = (
         texts.mapInArrow(_sender(owners), MESSAGE).groupBy("owner").applyInPandas(_repeated, TRIGGER)
         .groupBy("id").agg(F.collect_list(F.struct("place", "before", "n")).alias("found"))
@@ -312,7 +334,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         runs = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
         for block in blocks(batches):
             ids, sizes, removed, kept = [], [], [], []
-            for id_, text, found in zip(block.column("id").to_pylist(), block.column("text"), block.column("spans")):
+            for id_, text, found in zip(block.column("doc_id").to_pylist(), block.column("text"), block.column("spans")):
                 raw = text.as_buffer().to_pybytes()
                 gone = []
                 if found.is_valid:
@@ -321,7 +343,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                     inside = b <= len(raw)
                     gone = merged(a[inside], b[inside])
                 edges = [0, *(x for run in gone for x in run), len(raw)]
-                ids.append(None if id_ == NO_ID else id_)
+                ids.append(id_)
                 sizes.append(len(raw))
                 removed.append([{"start": a, "stop": b} for a, b in gone])
                 kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])))
@@ -330,7 +352,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n_bytes", "removed", "kept"],
             )
 
-    return _with_ids(docs).join(repeated_spans(docs), "id", "left").select("id", "text", "spans").mapInArrow(cut, KEPT)
+    texts = _with_ids(docs)
+    return texts.join(repeated_spans(texts), "id", "left").select("doc_id", "text", "spans").mapInArrow(cut, KEPT)
 
 
 def repeat_digest(cut: DataFrame) -> DataFrame:

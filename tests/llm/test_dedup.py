@@ -168,11 +168,53 @@ def test_repeats(sample, edge, empty, spark):
     assert suffix_dedup.without_repeats(empty).count() == 0
 
 
+def test_repeats_of_several_texts_of_one_id(spark):
+    """Spans belong to a row's text: what one text of an id repeats is no matter of the other's."""
+    rng = np.random.default_rng(4)
+    words = lambda n: " ".join(f"{x:06x}" for x in rng.integers(0, 1 << 24, n))
+    shared = words(40)
+    rows = [
+        (1, shared), (5, shared + words(30)), (5, words(80)), (5, words(20) + shared), (None, words(60)), (None, shared),
+        (None, shared), (9, words(30) + shared),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, hashlib.sha256(r[1].encode()).hexdigest()))
+    at = {row: n for n, row in enumerate(order)}
+    brute = repeats_brute([(at[r], r[1]) for r in rows])
+    want = Counter()
+    for (n, *rest), times in brute.items():
+        want[(order[n][0], *rest)] += times
+    assert Counter(tuple(r) for r in suffix_dedup.repeat_digest(suffix_dedup.without_repeats(df)).collect()) == want
+
+
 def test_long_repeat_is_removed_whole(edge):
     rows = {r["doc_id"]: r for r in suffix_dedup.without_repeats(edge).collect()}
     assert rows[9]["n_bytes"] - len(rows[9]["kept"]) > 0.99 * rows[9]["n_bytes"] - 200
 
 
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_fingerprints_equal_brute_force(sample, edge, spark, reuse):
+    """Both fingerprints and the likeness of each row, also if no exchange is reused."""
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    for df in (sample.repartition(5), edge):
+        rows = sorted(pairs_of(df), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+        of = lambda t: fingerprints.vectors(pa.array([t or ""]))
+        want = []
+        for (i, t), (_, f) in zip(rows, rows[1:] + rows[:1]):
+            t, f = t or "", f or ""
+            changed = t[:len(t) - len(t) // 4] + f[:len(t) // 4]
+            want.append((
+                str(i), fingerprints.pack(*of(t))[0], fingerprints.pack(*of(changed))[0],
+                round(float(fingerprints.likeness(of(t), of(changed))[0]), 9), round(float(fingerprints.likeness(of(t), of(f))[0]), 9),
+            ))
+        got = [
+            (str(r["doc_id"]), r["fingerprint"], r["edited_fingerprint"], round(r["near_edited"], 9), round(r["near_next"], 9))
+            for r in fingerprints.edited_fingerprints(df).collect()
+        ]
+        assert sorted(got) == sorted(want)
+    spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
 def test_fingerprints_match_edits(sample, edge, empty, spark):
     for df in (sample, edge):
         rows = sorted(pairs_of(df), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))

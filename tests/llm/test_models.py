@@ -6,6 +6,7 @@ import base64
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -224,6 +225,103 @@ def test_words_hide_only_leaf_side_branches(page):
     assert extract.page_text(page) == "a\nb"
 
 
+@pytest.mark.parametrize("page", [
+    "<article><section id='login'><h2>a</h2><p>b</p></section></article>",
+    "<article><h2 id='related'>a</h2><h2 id=comments>b</h2></article>",
+    "<div class='post comments-open'><p>a<p>b</div>", "<main><div class='ad-hoc'><p>a<p>b</div></main>",
+    "<form><nav>no</nav><div><h1>a</h1><p>b</div><footer>no</footer></form>",
+    "<p>a <!-- x --><script>no</script><style>no</style>\n<h2>b<svg><text>no</text><svg>no</svg></svg></h2>",
+    "<div class='comment-list'>no</div><p>a<p>b<ul class='related items'><li>no</ul>",
+    "<p>a<p><button>no</button>b<select><option>no</select>",
+])
+def test_anchors_and_styles_hide_nothing(page):
+    assert extract.page_text(page) == "a\nb"
+
+
+def test_controls_stand_in_their_line():
+    assert extract.page_text("<p>a <button>b</button> c</p>") == "a c"
+    assert extract.page_text("<p>a<svg><path d='M0 0>1'/></svg>b</p>") == "ab"
+    assert extract.page_text("<p>a <button>b <select> c") == "a b c"
+
+
+def test_wrapped_copies_and_common_headings_keep_their_text(spark):
+    page = "<body><div class='entry-content'><p class=t>one<p class=t>two</div></body>"
+    assert texts_of(spark, [page] * 6) == ["one\ntwo"] * 6
+    pages = [f"<body><article><h2 class='sec'>Ingredients</h2><p>text {i}</article></body>" for i in range(6)]
+    assert texts_of(spark, pages) == [f"Ingredients\ntext {i}" for i in range(6)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4])
+def test_small_hosts_have_a_tree(spark, n):
+    """One page tells nothing about its site; two do."""
+    pages = [f"<body><div class=bar><p>Share this page now</div><div class=c><p>own {i}</p></div></body>" for i in range(n)]
+    shared = "Share this page now\n" if n == 1 else ""
+    assert texts_of(spark, pages) == [f"{shared}own {i}" for i in range(n)]
+
+
+BROKEN = [
+    "<a " * 300_000, "<div>x" * 170_000, "<a \">\"" * 150_000 + "'", "<svg>" * 200_000, "<p>" * 300_000, "<!--" * 250_000,
+    "<" * 1_000_000, "<a '" * 250_000 + ">", "<script>" * 120_000, "<a b=\"" * 140_000, "&amp;" * 200_000, "<li>x" * 200_000,
+    "<div class=\"a'\">x</div>" * 40_000, "</div>" * 160_000, "x" * 1_000_000,
+]
+
+
+@pytest.mark.parametrize("number", range(len(BROKEN)))
+def test_broken_megabytes_are_read_in_one_pass(number):
+    started = time.time()
+    extract.page_text(BROKEN[number])
+    assert time.time() - started < 20
+
+
+def test_deep_pages_keep_their_text():
+    page = "<div>" * 2000 + "deep <p>text" + "</div>" * 2000 + "<p>end"
+    assert extract.page_text(page) == "deep\ntext\nend"
+
+
+def brute_tree(pages):
+    """Importance of each node of one host, computed from the pages' own lists."""
+    parsed = [extract.parse(p) for p in pages]
+    nodes = {}
+    for n, (found, shapes) in enumerate(parsed):
+        for block in found:
+            for path in block.paths:
+                node = nodes.setdefault(path, {"pages": set(), "texts": [], "shapes": []})
+                node["pages"].add(n)
+                node["texts"].append((n, block.text))
+        for path, shape in shapes:
+            if path in nodes:
+                nodes[path]["shapes"].append(shape)
+    out = {}
+    for path, node in nodes.items():
+        base = math.log(max(2, len(node["pages"])))
+        on = {t: len({n for n, u in node["texts"] if u == t}) for _, t in node["texts"]}
+        content = sum(1 - math.log(on[t]) / base for _, t in node["texts"]) / len(node["texts"])
+        total, shown = len(node["shapes"]), content
+        if total:
+            shown = min(1.0, -sum(c / total * math.log(c / total) for c in Counter(node["shapes"]).values()) / base)
+        out[path] = (len(node["pages"]), 0.8 * content + 0.2 * shown)
+    return out
+
+
+def test_style_tree_equals_brute_force(spark):
+    rng = np.random.default_rng(9)
+    words = ["menu", "text", "new", "old", "more"]
+    part = lambda d: words[rng.integers(5)] + (str(rng.integers(3)) if d else "")
+
+    def made(depth=0):
+        if depth > 3 or rng.random() < 0.3:
+            return f"<p>{part(1)}</p>"
+        return f"<div class={part(0)}>{''.join(made(depth + 1) for _ in range(rng.integers(1, 4)))}{part(1)}</div>"
+
+    pages = [f"<body>{made()}{made()}</body>" for _ in range(12)]
+    rows = [(f"https://h.example/{i}", page) for i, page in enumerate(pages)]
+    tree = extract.style_tree(spark.createDataFrame(rows, "url string, html string").repartition(4))
+    got = {r["path"]: (r["pages"], r["importance"]) for r in tree.collect()}
+    want = brute_tree(pages)
+    assert set(got) == set(want)
+    assert all(got[p][0] == want[p][0] and got[p][1] == pytest.approx(want[p][1], abs=1e-9) for p in want)
+
+
 def test_the_host_confirms_ambiguous_words(spark):
     got = texts_of(spark, [
         f"<body><div class=menu-open><p>text {i}</p></div><div class=main-menu><p>home</p></div></body>" for i in range(8)

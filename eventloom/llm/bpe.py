@@ -158,6 +158,7 @@ def _read_words(row) -> list[bytes]:
 
 
 ANSWER = "block long, owner int, sizes binary, ids binary"
+DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 def _owner(vocab, pattern: str):
@@ -200,8 +201,8 @@ def _assemble(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"doc_id": pd.Series(out["doc_id"], dtype="Int64"), "ids": pd.Series(out["ids"], dtype=object)})
 
 
-def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, owners: int | None = None) -> DataFrame:
-    """``doc_id, ids`` for every row of ``docs``, as the vocabulary's own library encodes."""
+def _encoded(docs: DataFrame, vocab_path: str, pattern: str, owners: int | None):
+    """Blocks of documents, the ids of their words, and the vocabulary."""
     spark: SparkSession = pin_batches(docs.sparkSession)
     owners = owners or shuffle_parts(spark)
     vocab = spark.sparkContext.broadcast(vocabulary(vocab_path))
@@ -209,10 +210,45 @@ def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, owners: int
         docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
         .mapInArrow(_cutter(pattern, owners), CUT).repartition(owners, "key")
     )
-    answers = cut.groupBy("key").applyInPandas(_owner(vocab, pattern), ANSWER)
+    return cut, cut.groupBy("key").applyInPandas(_owner(vocab, pattern), ANSWER), vocab
+
+
+def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, owners: int | None = None) -> DataFrame:
+    """``doc_id, ids`` for every row of ``docs``, as the vocabulary's own library encodes."""
+    cut, answers, _ = _encoded(docs, vocab_path, pattern, owners)
     return cut.groupBy("key").cogroup(answers.groupBy("block")).applyInPandas(_assemble, "doc_id long, ids array<int>")
 
 
+def _digests(vocab):
+    """Assembles a block's ids, decodes them again and keeps the digests, in one worker."""
+    def finish(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        data, starts, sizes = token_table(vocab.value)
+        whole = _assemble(rows, answers)
+        ids_sha, decoded_sha = [], []
+        for ids in whole["ids"]:
+            ids_sha.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
+            decoded = hashlib.sha256()
+            for part in _chunks(ids):
+                decoded.update(data[spans(starts[part], sizes[part])].tobytes())
+            decoded_sha.append(decoded.hexdigest())
+        return pd.DataFrame({
+            "doc_id": whole["doc_id"], "n_tokens": whole["ids"].map(len).astype("int64"),
+            "ids_sha256": ids_sha, "decoded_sha256": decoded_sha,
+        })
+
+    return finish
+
+
+def encode_digest(docs: DataFrame, vocab_path: str, pattern: str, owners: int | None = None) -> DataFrame:
+    """``decoded_digest`` of the encoded documents.
+
+    Ids are assembled, decoded and digested by one Python worker a task, not by two that
+    hand them on through the JVM.
+    """
+    cut, answers, vocab = _encoded(docs, vocab_path, pattern, owners)
+    return cut.groupBy("key").cogroup(answers.groupBy("block")).applyInPandas(_digests(vocab), DIGEST)
+
+
 def _decoder(vocab):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, starts, sizes = token_table(vocab.value)
@@ -252,9 +288,6 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
-DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-
-
 def token_digest(decoded: DataFrame) -> DataFrame:
     """Per row the number of ids, and digests of the ids and of the decoded bytes."""
     return decoded.mapInArrow(_digest, DIGEST)

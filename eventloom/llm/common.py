@@ -75,6 +75,8 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = BL
             stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    # Workers are used again by later stages; what this one freed goes back first.
+    pa.default_memory_pool().release_unused()
 
 
 def byte_lengths(column: pa.Array) -> np.ndarray:
@@ -225,3 +227,4 @@ def whole_groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[p
         held.append(batch.slice(last))
     if held:
         yield pa.concat_batches(held)
+    pa.default_memory_pool().release_unused()

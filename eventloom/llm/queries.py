@@ -75,8 +75,7 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 @query("op8_bpe")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
-    ids = bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return bpe.decoded_digest(ids, path)
+    return bpe.encode_digest(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
 @query("op9_extract")

@@ -42,6 +42,9 @@ def test_bpe_equals_the_library(sample, edge, empty):
     ids = bpe.encode_documents(edge, VOCAB, public_tokenizers.PATTERN)
     apart = bpe.token_digest(bpe.decode_documents(ids, VOCAB)).collect()
     assert sorted(map(str, bpe.decoded_digest(ids, VOCAB).collect())) == sorted(map(str, apart))
+    at_once = bpe.encode_digest(edge, VOCAB, public_tokenizers.PATTERN).collect()
+    assert sorted(map(str, at_once)) == sorted(map(str, apart))
+    assert bpe.encode_digest(empty, VOCAB, public_tokenizers.PATTERN).count() == 0
     assert bpe.token_digest(bpe.decode_documents(bpe.encode_documents(empty, VOCAB, public_tokenizers.PATTERN), VOCAB)).count() == 0
 
 

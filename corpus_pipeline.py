@@ -37,8 +37,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left, checked by decoding them again."""
-    path = public_tokenizers.path(VOCABULARY)
-    return bpe.decoded_digest(bpe.encode_documents(docs, path, public_tokenizers.PATTERN), path)
+    return bpe.encode_digest(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
 STAGES = [

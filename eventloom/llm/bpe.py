@@ -233,7 +233,7 @@ def _digests(vocab):
             decoded_sha.append(decoded.hexdigest())
         return pd.DataFrame({
             "doc_id": whole["doc_id"], "n_tokens": whole["ids"].map(len).astype("int64"),
-            "ids_sha256": ids_sha, "decoded_sha256": decoded_sha,
+            "ids_sha256": pd.Series(ids_sha, dtype=object), "decoded_sha256": pd.Series(decoded_sha, dtype=object),
         })
 
     return finish

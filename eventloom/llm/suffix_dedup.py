@@ -274,12 +274,12 @@ def _sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _with_ids(docs: DataFrame) -> DataFrame:
-    """``id, doc_id, text`` with one ``id`` per document, ascending in their order.
+def _with_ids(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``id, text`` with one ``id`` per document, ascending in their order, and the names
+    of the ids, if they are not ``doc_id`` itself.
 
-    It is ``doc_id`` where that tells all texts apart.  Where one id, or no id, has
-    several texts, these are numbered instead, in the order of id (null first) and text
-    digest, by a distributed sort of ids and digests.
+    Where one id, or no id, has several texts, these are numbered, in the order of id
+    (null first) and text digest, by a distributed sort of ids and digests.
     """
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), text_of().cast("string").alias("text")
@@ -287,21 +287,22 @@ def _with_ids(docs: DataFrame) -> DataFrame:
     named = rows.select("doc_id", F.sha2("text", 256).alias("digest"))
     several = named.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
     if several.filter("low < high").isEmpty():
-        return rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "doc_id", "text")
+        # The same two columns in every use, so that the texts are shuffled once.
+        return rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text"), None
     numbered = stage_table(
         named.distinct().orderBy(F.col("doc_id").asc_nulls_first(), "digest")
-        .select(F.col("doc_id").alias("named"), "digest", F.monotonically_increasing_id().alias("id")),
+        .select("doc_id", "digest", F.monotonically_increasing_id().alias("id")),
         "repeats-ids",
     )
-    rows = rows.withColumn("digest", F.sha2("text", 256)).withColumnRenamed("digest", "mine")
-    same = F.col("doc_id").eqNullSafe(F.col("named")) & (F.col("mine") == F.col("digest"))
-    return rows.join(numbered, same).select("id", "doc_id", "text")
+    keys = numbered.select("id", F.col("doc_id").alias("named"), F.col("digest").alias("its"))
+    same = F.col("doc_id").eqNullSafe(F.col("named")) & (F.sha2("text", 256) == F.col("its"))
+    return rows.join(keys, same).select("id", "text"), numbered.select("id", "doc_id")
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """``id, spans``: per document with repeated strings its spans (start, stop), unmerged."""
     spark = pin_batches(texts.sparkSession)
-    owners, texts = shuffle_parts(spark), texts.select("id", "text")
+    owners = shuffle_parts(spark)
     found = (
         texts.mapInArrow(_sender(owners), MESSAGE).groupBy("owner").applyInPandas(_repeated, TRIGGER)
         .groupBy("id").agg(F.collect_list(F.struct("place", "before", "n")).alias("found"))
@@ -325,7 +326,7 @@ def merged(starts: np.ndarray, stops: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-KEPT = "doc_id long, n_bytes long, removed array<struct<start:int,stop:int>>, kept binary"
+KEPT = "id long, n_bytes long, removed array<struct<start:int,stop:int>>, kept binary"
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -334,7 +335,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         runs = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
         for block in blocks(batches):
             ids, sizes, removed, kept = [], [], [], []
-            for id_, text, found in zip(block.column("doc_id").to_pylist(), block.column("text"), block.column("spans")):
+            for id_, text, found in zip(block.column("id").to_pylist(), block.column("text"), block.column("spans")):
                 raw = text.as_buffer().to_pybytes()
                 gone = []
                 if found.is_valid:
@@ -349,11 +350,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(removed, runs), pa.array(kept, pa.binary())],
-                names=["doc_id", "n_bytes", "removed", "kept"],
+                names=["id", "n_bytes", "removed", "kept"],
             )
 
-    texts = _with_ids(docs)
-    return texts.join(repeated_spans(texts), "id", "left").select("doc_id", "text", "spans").mapInArrow(cut, KEPT)
+    texts, names = _with_ids(docs)
+    done = texts.join(repeated_spans(texts), "id", "left").select("id", "text", "spans").mapInArrow(cut, KEPT)
+    if names is None:
+        return done.select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), *done.columns[1:])
+    return done.join(names, "id").select("doc_id", *done.columns[1:])
 
 
 def repeat_digest(cut: DataFrame) -> DataFrame:

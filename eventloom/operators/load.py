@@ -14,7 +14,7 @@ from eventloom.functions.timeparse import parse_event_ts
 from eventloom.operators.latest import first_per_key
 from eventloom.operators.normalize import bad_row_reason
 from eventloom.schemas import LANDING, RAW_EVENTS
-from eventloom.session import stage_table
+from eventloom.session import stage_table, write_together
 from eventloom.sources.paths import delete, glob_paths, latest_version, version_path, versions
 from eventloom.sources.state import StateTable, bucket_of, bucketed
 from eventloom.sources.tables import append_absent, read_table
@@ -192,9 +192,11 @@ class RawTable:
         # Adaptive execution sizes the rebalanced partitions: a day that holds most
         # rows is split over tasks, small days share one.
         table = rows.select(*RAW_ON_DISK.names).hint("rebalance", "event_date").sortWithinPartitions("event_date", "id")
-        overwrite_partitions(table, self.root, "event_date", "load_id")
-        ids = rows.select("id", bucket_of("id").alias("bucket"), "load_id")
-        overwrite_partitions(ids.hint("rebalance", "bucket").sortWithinPartitions("bucket", "id"), self.new_keys, "bucket", "load_id")
+        ids = rows.select("id", bucket_of("id").alias("bucket"), "load_id").hint("rebalance", "bucket")
+        write_together(spark, [
+            lambda: overwrite_partitions(table, self.root, "event_date", "load_id"),
+            lambda: overwrite_partitions(ids.sortWithinPartitions("bucket", "id"), self.new_keys, "bucket", "load_id"),
+        ])
         rows.select("event_date").distinct().write.mode("overwrite").parquet(version_path(self.loads, number))
         delete(spark, version_path(self.staged, number))
         if number - self.keys.version(spark) >= COMPACT_EVERY:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.operators.anomaly import TREND_STATE, merge_trend_states, trend_state
-from eventloom.operators.load import RawTable, on_dates, overwrite_partitions
+from eventloom.operators.load import RAW_ON_DISK, RawTable, on_dates, overwrite_partitions
 from eventloom.plans import rollups
 from eventloom.plans.marts import fact_events, fct_repo_stars
 from eventloom.plans.staging import stg_raw_events, typed_events
@@ -58,8 +58,8 @@ class State:
     merge: Callable[[DataFrame], DataFrame]
     entity: str | None = None
 
-    def table(self, root: str, typed: DataFrame) -> StateTable:
-        schema, path = self.fold(typed).schema, f"{root}/{self.name}"
+    def table(self, root: str, schema: T.StructType) -> StateTable:
+        path = f"{root}/{self.name}"
         return bucketed(path, schema, self.entity) if self.entity else by_date(path, schema)
 
     def united(self, held: DataFrame, fresh: DataFrame) -> DataFrame:
@@ -88,12 +88,22 @@ REPO_PUSHERS = State("repo_pushers", rollups.repo_pushers, rollups.merge_pushers
 STATES = (REPO_DAYS, ACTOR_DAYS, REPO_TOTALS, ACTOR_TOTALS, REPO_PUSHERS)
 
 
+# Schemas that builders give, by what is built; they depend on nothing else.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 @dataclass(frozen=True)
 class Models:
-    """The event tables and states below ``root`` that follow the raw table."""
+    """The event tables and states below ``root`` that follow the raw table.
+
+    ``tables`` names the event tables that are kept, ``follow_series`` whether the sums
+    per series are.
+    """
 
     raw: RawTable
     root: str
+    tables: tuple[str, ...] = tuple(EVENT_TABLES)
+    follow_series: bool = True
 
     @property
     def spark(self) -> SparkSession:
@@ -102,8 +112,11 @@ class Models:
     def _typed_rows(self, rows: DataFrame) -> DataFrame:
         return typed_events(stg_raw_events(rows, *LOAD_PARTS), "load_id")
 
-    def _schema(self, build: Callable[[DataFrame], DataFrame]) -> T.StructType:
-        return build(self._typed_rows(self.raw.read())).schema
+    def _schema(self, name: str, build: Callable[[DataFrame], DataFrame]) -> T.StructType:
+        if name not in _SCHEMAS:
+            empty = T.StructType([T.StructField(f.name, f.dataType) for f in RAW_ON_DISK.fields])
+            _SCHEMAS[name] = build(self._typed_rows(self.spark.createDataFrame([], empty))).schema
+        return _SCHEMAS[name]
 
     def _event_table(self, name: str, schema: T.StructType) -> DataFrame:
         fields = [f for f in schema.fields if f.name not in LOAD_PARTS]
@@ -111,19 +124,19 @@ class Models:
         return read_table(self.spark, f"{self.root}/{name}", T.StructType(fields + parts))
 
     def typed(self) -> DataFrame:
-        rows = self._event_table(TYPED, self._schema(lambda typed: typed))
+        rows = self._event_table(TYPED, self._schema(TYPED, lambda typed: typed))
         return rows.filter(F.col("load_id") <= self.events_version())
 
     def events(self, name: str) -> DataFrame:
         """One of :data:`EVENT_TABLES`."""
-        rows = self._event_table(name, self._schema(EVENT_TABLES[name]))
+        rows = self._event_table(name, self._schema(name, EVENT_TABLES[name]))
         return rows.filter(F.col("load_id") <= self.events_version()).drop("load_id")
 
     def events_version(self) -> int:
         return latest_version(self.spark, f"{self.root}/events_done")
 
     def state(self, state: State) -> StateTable:
-        return state.table(self.root, self._typed_rows(self.raw.read()))
+        return state.table(self.root, self._schema(state.name, state.fold))
 
     def read(self, state: State, only: Sequence | None = None) -> DataFrame:
         return self.state(state).read(self.spark, only)
@@ -136,11 +149,16 @@ class Models:
         overwrite_partitions(
             self._typed_rows(self.raw.since(after)).hint("rebalance", *LOAD_PARTS), f"{self.root}/{TYPED}", *LOAD_PARTS
         )
-        fresh = self._event_table(TYPED, self._schema(lambda typed: typed)).filter(
+        fresh = self._event_table(TYPED, self._schema(TYPED, lambda typed: typed)).filter(
             F.col("load_id").between(after + 1, last) & on_dates(self.raw.dates(after))
         )
-        for name, build in EVENT_TABLES.items():
-            overwrite_partitions(build(fresh).hint("rebalance", *LOAD_PARTS), f"{self.root}/{name}", *LOAD_PARTS)
+        write_together(self.spark, [
+            partial(
+                overwrite_partitions, EVENT_TABLES[name](fresh).hint("rebalance", *LOAD_PARTS), f"{self.root}/{name}",
+                *LOAD_PARTS,
+            )
+            for name in self.tables
+        ])
         mark_version(self.spark, f"{self.root}/events_done", last)
 
     def since(self, after: int) -> DataFrame:
@@ -178,7 +196,7 @@ class Models:
         """Bring the event tables and ``states`` up to the last load."""
         self.refresh_events()
         write_together(self.spark, [partial(self.refresh_state, state) for state in states])
-        if REPO_DAYS in states:
+        if self.follow_series and REPO_DAYS in states:
             self.refresh_series()
 
     def repo_totals(self, only: Sequence | None = None) -> DataFrame:

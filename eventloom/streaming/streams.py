@@ -231,4 +231,4 @@ def daily_repo_streamed(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _streamed(spark: SparkSession, root: str) -> Models:
-    return Models(RawTable(spark, f"{root}/raw"), f"{root}/states")
+    return Models(RawTable(spark, f"{root}/raw"), f"{root}/states", tables=(), follow_series=False)

@@ -6,11 +6,17 @@
    a message, so a group of copies costs one code per sender however large it is.
 2. Owners decode and merge the messages of their range and answer each sender with
    one bit per code: does another sender hold it as well?
-3. Senders unfold their rows.  Only the suspects (repeated inside a sender, or
-   flagged) are shuffled by their 256-bit digest and byte length, which decide; a
-   chance equality of fingerprints is thrown out there.  The digest stands for the
-   bytes, since the result has to report it for every document anyway; texts are
-   read once and never shuffled.
+3. Senders unfold their rows.  Only the texts of the suspects (repeated inside a
+   sender, or flagged) are moved: their folded bytes are grouped, and the bytes decide
+   which texts are equal.  Copies inside a task are one row before that shuffle, so a
+   group of copies sends its text once per task.  A chance equality of fingerprints is
+   thrown out there, and so would be one of digests: rows learn their group by digest
+   and length where these name one text, and by the bytes where they do not.
+
+Senders keep no texts.  Those of the suspects come from a second scan, which tells
+them by a hash that Spark computes of the text as it stands; what else has the same
+hash moves along and joins no group.  Beyond Spark's broadcast threshold (some million
+suspects by default) that scan meets the hashes in a shuffle, which moves all texts once.
 
 Senders' tables are written to the shared folder first, so that the answers refer to
 the same senders even if an executor is lost.
@@ -24,7 +30,7 @@ input are ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -42,8 +48,13 @@ SENDER_ROWS = 300_000
 
 POSTINGS = (
     "sender long, owner int, codes int, rice int, code binary, runs binary,"
-    " ids array<bigint>, digests binary, sizes binary"
+    " ids array<bigint>, digests binary, sizes binary, marks binary"
 )
+MOVED = "doc_id long, digest binary, n_bytes long, bytes binary"
+
+
+def sha256(raw: bytes) -> bytes:
+    return hashlib.sha256(raw).digest()
 
 
 def rice_encode(gaps: np.ndarray, k: int) -> bytes:
@@ -69,7 +80,9 @@ def owner_of(fingerprints: np.ndarray, owners: int) -> np.ndarray:
     return (fingerprints // np.uint64(width)).astype(np.int64)
 
 
-def _messages(sender: int, ids: list, digests: list[bytes], sizes: list[int], owners: int) -> pa.RecordBatch:
+def _messages(
+    sender: int, ids: list, digests: list[bytes], sizes: list[int], marks: list[int], owners: int
+) -> pa.RecordBatch:
     prints = np.frombuffer(b"".join(d[:8] for d in digests), dtype=">u8").astype(np.uint64)
     prints >>= np.uint64(64 - FINGERPRINT_BITS)
     order = np.argsort(prints, kind="stable")
@@ -80,7 +93,7 @@ def _messages(sender: int, ids: list, digests: list[bytes], sizes: list[int], ow
     owner = owner_of(distinct, owners)
     cuts = np.append(np.flatnonzero(np.diff(owner, prepend=-1)), len(owner))
     width = -(-(1 << FINGERPRINT_BITS) // owners)
-    sizes = np.asarray(sizes, dtype="<i8")
+    sizes, marks = np.asarray(sizes, dtype="<i8"), np.asarray(marks, dtype="<i8")
     rows = []
     for a, b in zip(cuts[:-1], cuts[1:]):
         base = np.uint64(int(owner[a]) * width)
@@ -90,6 +103,7 @@ def _messages(sender: int, ids: list, digests: list[bytes], sizes: list[int], ow
         rows.append((
             sender, int(owner[a]), int(b - a), rice, rice_encode(gaps, rice), runs[a:b].tobytes(),
             [ids[i] for i in held], b"".join(digests[i] for i in held), sizes[held].tobytes(),
+            marks[held].tobytes(),
         ))
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(zip(*rows), _POSTINGS_ARROW.types)], schema=_POSTINGS_ARROW
@@ -99,25 +113,26 @@ def _messages(sender: int, ids: list, digests: list[bytes], sizes: list[int], ow
 _POSTINGS_ARROW = pa.schema([
     ("sender", pa.int64()), ("owner", pa.int32()), ("codes", pa.int32()), ("rice", pa.int32()),
     ("code", pa.binary()), ("runs", pa.binary()), ("ids", pa.list_(pa.int64())), ("digests", pa.binary()),
-    ("sizes", pa.binary()),
+    ("sizes", pa.binary()), ("marks", pa.binary()),
 ])
 
 
-def _sender(owners: int):
+def _sender(owners: int, digest: Callable[[bytes], bytes]):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        cut, ids, digests, sizes = 0, [], [], []
+        cut, ids, digests, sizes, marks = 0, [], [], [], []
         for batch in batches:
             ids += batch.column(0).to_pylist()
             for text in batch.column(1):
                 raw = text.as_buffer().to_pybytes().translate(FOLD)
-                digests.append(hashlib.sha256(raw).digest())
+                digests.append(digest(raw))
                 sizes.append(len(raw))
+            marks += batch.column(2).to_pylist()
             if len(ids) >= SENDER_ROWS:
-                yield _messages(part << 20 | cut, ids, digests, sizes, owners)
-                cut, ids, digests, sizes = cut + 1, [], [], []
+                yield _messages(part << 20 | cut, ids, digests, sizes, marks, owners)
+                cut, ids, digests, sizes, marks = cut + 1, [], [], [], []
         if ids:
-            yield _messages(part << 20 | cut, ids, digests, sizes, owners)
+            yield _messages(part << 20 | cut, ids, digests, sizes, marks, owners)
 
     return send
 
@@ -150,23 +165,45 @@ def _unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(row["ids"], pa.int64()), digests.cast(pa.binary()),
-                    pa.array(np.frombuffer(row["sizes"], dtype="<i8")), pa.array(suspect),
+                    pa.array(np.frombuffer(row["sizes"], dtype="<i8")),
+                    pa.array(np.frombuffer(row["marks"], dtype="<i8")), pa.array(suspect),
+                ],
+                names=["doc_id", "digest", "n_bytes", "mark", "suspect"],
+            )
+
+
+def _mover(digest: Callable[[bytes], bytes]):
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raws = [text.as_buffer().to_pybytes().translate(FOLD) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), pa.array([digest(raw) for raw in raws], pa.binary()),
+                    pa.array([len(raw) for raw in raws], pa.int64()), pa.array(raws, pa.binary()),
                 ],
-                names=["doc_id", "digest", "n_bytes", "suspect"],
+                names=["doc_id", "digest", "n_bytes", "bytes"],
             )
 
+    return move
 
-def dedup_decisions(docs: DataFrame, owners: int | None = None) -> DataFrame:
+
+def dedup_decisions(
+    docs: DataFrame, owners: int | None = None, digest: Callable[[bytes], bytes] = sha256
+) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256`` for every row of ``docs``.
 
     ``owners`` is the number of fingerprint ranges; it defaults to the session's
-    shuffle partitions, the number its user has fitted to the data.
+    shuffle partitions, the number its user has fitted to the data.  ``digest`` (32
+    bytes) is what fingerprints are cut from and ``text_sha256`` shows; groups are of
+    equal bytes whatever it is.
     """
     spark = pin_batches(docs.sparkSession)
     owners = owners or shuffle_parts(spark)
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"), F.xxhash64(text_of()).alias("mark")
+    )
     postings = stage_table(
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-        .mapInArrow(_sender(owners), POSTINGS),
+        rows.mapInArrow(_sender(owners, digest), POSTINGS),
         "dedup-postings",
     )
     bits = (
@@ -174,21 +211,34 @@ def dedup_decisions(docs: DataFrame, owners: int | None = None) -> DataFrame:
         .applyInPandas(_answer(owners), "sender long, owner int, bits binary")
     )
     held = stage_table(
-        postings.select("sender", "owner", "runs", "ids", "digests", "sizes")
+        postings.select("sender", "owner", "runs", "ids", "digests", "sizes", "marks")
         .join(bits, ["sender", "owner"])
-        .mapInArrow(_unfold, "doc_id long, digest binary, n_bytes long, suspect boolean"),
+        .mapInArrow(_unfold, "doc_id long, digest binary, n_bytes long, mark long, suspect boolean"),
         "dedup-rows",
     )
     suspects = held.filter("suspect").drop("suspect")
+    # Written, so that their size is known: as few as they mostly are, the texts meet them in place.
+    marks = stage_table(suspects.select("mark").distinct(), "dedup-marks")
+    moved = (
+        rows.join(marks, "mark", "left_semi").select("doc_id", "text")
+        .mapInArrow(_mover(digest), MOVED)
+    )
     # Written, so that the join below reads two plain exchanges and a hot group is split.
-    groups = stage_table(
-        suspects.groupBy("digest", "n_bytes").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")),
+    texts = stage_table(
+        moved.groupBy("digest", "n_bytes", "bytes").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")),
         "dedup-groups",
     )
+    named, decided = ["digest", "n_bytes"], ["doc_id", "digest", "keep_id", "group_size"]
     alone = held.filter(~F.col("suspect")).select(
         "doc_id", "digest", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size")
     )
-    grouped = suspects.join(groups, ["digest", "n_bytes"]).select("doc_id", "digest", "keep_id", "group_size")
+    clashes = stage_table(texts.groupBy(*named).count().filter("count > 1").select(*named), "dedup-clashes")
+    if clashes.isEmpty():
+        grouped = suspects.join(texts.drop("bytes"), named).select(*decided)
+    else:
+        plain = texts.drop("bytes").join(clashes, named, "left_anti")
+        told = moved.join(clashes, named, "left_semi").join(texts, [*named, "bytes"])
+        grouped = suspects.join(plain, named).select(*decided).unionByName(told.select(*decided))
     return alone.unionByName(grouped).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),

@@ -53,6 +53,30 @@ def test_exact_decisions(edge, sample, empty):
     assert dedup_decisions(empty).count() == 0
 
 
+def by_length(raw: bytes) -> bytes:
+    """A digest that all texts of a length share."""
+    return len(raw).to_bytes(32, "big")
+
+
+def test_exact_groups_are_told_by_bytes(spark):
+    rows = [(1, "ab"), (2, "AB"), (3, "cd"), (None, "cd"), (5, "ef"), (6, "xyz"), (7, "XYZ"), (8, "alone"), (9, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = dedup_decisions(docs, digest=by_length).select("doc_id", "keep_id", "group_size", "kept").collect()
+    assert Counter(map(tuple, got)) == Counter([
+        (1, 2, 2, False), (2, 2, 2, True), (3, 3, 2, True), (None, 3, 2, False), (5, 5, 1, True), (6, 7, 2, False),
+        (7, 7, 2, True), (8, 8, 1, True), (9, 9, 2, True), (9, 9, 2, True),
+    ])
+
+
+def test_exact_copies_that_are_no_utf8(spark):
+    docs = spark.sql(
+        "SELECT id AS doc_id, CAST(unhex(CASE WHEN id < 2 THEN 'FF41' WHEN id = 2 THEN 'FF61' ELSE 'FE61' END) AS STRING) AS text"
+        " FROM range(4)"
+    )
+    got = dedup_decisions(docs).select("doc_id", "keep_id", "group_size").collect()
+    assert sorted(map(tuple, got)) == [(0, 2, 3), (1, 2, 3), (2, 2, 3), (3, 3, 1)]
+
+
 def test_exact_filter_keeps_columns_and_one_row_each(edge):
     kept = exact_dedup(edge)
     assert kept.columns == edge.columns

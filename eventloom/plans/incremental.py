@@ -50,13 +50,15 @@ class State:
     """A table that is a fold of all events.
 
     ``fold`` gives rows from typed events; ``merge`` makes one row of several that stand
-    for the same.  Days lie by date, entities by the hash of their id.
+    for the same.  Days lie by date, entities by the hash of their id.  ``finer`` names
+    the state whose rows ``merge`` turns into rows of this one.
     """
 
     name: str
     fold: Callable[[DataFrame], DataFrame]
     merge: Callable[[DataFrame], DataFrame]
     entity: str | None = None
+    finer: str | None = None
 
     def table(self, root: str, schema: T.StructType) -> StateTable:
         path = f"{root}/{self.name}"
@@ -78,11 +80,11 @@ REPO_DAYS = State("repo_days", rollups.repo_days, _repo_days)
 ACTOR_DAYS = State("actor_days", rollups.actor_days, _actor_days)
 REPO_TOTALS = State(
     "repo_totals", lambda typed: rollups.repo_state(typed, rollups.REPO_DAY),
-    lambda rows: rollups.merge_repo_state(rows, rollups.REPO_DAY), "repo_id",
+    lambda rows: rollups.merge_repo_state(rows, rollups.REPO_DAY), "repo_id", REPO_DAYS.name,
 )
 ACTOR_TOTALS = State(
     "actor_totals", lambda typed: rollups.actor_state(typed, rollups.DAILY_ACTOR),
-    lambda rows: rollups.merge_actor_state(rows, rollups.DAILY_ACTOR), "actor_id",
+    lambda rows: rollups.merge_actor_state(rows, rollups.DAILY_ACTOR), "actor_id", ACTOR_DAYS.name,
 )
 REPO_PUSHERS = State("repo_pushers", rollups.repo_pushers, rollups.merge_pushers, "repo_id")
 STATES = (REPO_DAYS, ACTOR_DAYS, REPO_TOTALS, ACTOR_TOTALS, REPO_PUSHERS)
@@ -142,21 +144,20 @@ class Models:
         return self.state(state).read(self.spark, only)
 
     def refresh_events(self) -> None:
-        """Parse the rows of the new loads once and write them by day and load."""
+        """Parse the rows of the new loads once and write them by day and load.
+
+        The raw table has its rows by day and load already, in files of an even size, and
+        a task reads a few of them: nothing is shuffled, and each file becomes one.
+        """
         after, last = self.events_version(), self.raw.last()
         if after >= last:
             return
-        overwrite_partitions(
-            self._typed_rows(self.raw.since(after)).hint("rebalance", *LOAD_PARTS), f"{self.root}/{TYPED}", *LOAD_PARTS
-        )
+        overwrite_partitions(self._typed_rows(self.raw.since(after)), f"{self.root}/{TYPED}", *LOAD_PARTS)
         fresh = self._event_table(TYPED, self._schema(TYPED, lambda typed: typed)).filter(
             F.col("load_id").between(after + 1, last) & on_dates(self.raw.dates(after))
         )
         write_together(self.spark, [
-            partial(
-                overwrite_partitions, EVENT_TABLES[name](fresh).hint("rebalance", *LOAD_PARTS), f"{self.root}/{name}",
-                *LOAD_PARTS,
-            )
+            partial(overwrite_partitions, EVENT_TABLES[name](fresh), f"{self.root}/{name}", *LOAD_PARTS)
             for name in self.tables
         ])
         mark_version(self.spark, f"{self.root}/events_done", last)
@@ -165,11 +166,20 @@ class Models:
         """Typed events of the loads past ``after``; reads only the dates they touched."""
         return self.typed().filter(F.col("load_id") > after).filter(on_dates(self.raw.dates(after)))
 
-    def refresh_state(self, state: State) -> None:
+    def refresh_state(self, state: State, coarser: Sequence[State] = ()) -> None:
+        """Fold the events of the new loads into ``state``, and its rows into the ``coarser`` states."""
         table, last = self.state(state), self.events_version()
         after = table.version(self.spark)
+        # One that a crash left at another load has events of its own to fold.
+        level = [other for other in coarser if self.state(other).version(self.spark) == after]
         if after < last:
-            table.upsert(state.fold(self.since(after)), state.united, last)
+            changes = stage_table(state.fold(self.since(after)), "changes")
+            table.merge_in(changes, state.united, last)
+            for other in level:
+                self.state(other).upsert(other.merge(changes), other.united, last)
+        for other in coarser:
+            if other not in level:
+                self.refresh_state(other)
 
     def series(self) -> StateTable:
         """The sums a trend or deviation needs, per repository's series of daily counts."""
@@ -195,7 +205,11 @@ class Models:
     def refresh(self, states: Sequence[State] = STATES) -> None:
         """Bring the event tables and ``states`` up to the last load."""
         self.refresh_events()
-        write_together(self.spark, [partial(self.refresh_state, state) for state in states])
+        names = {state.name for state in states}
+        write_together(self.spark, [
+            partial(self.refresh_state, state, [other for other in states if other.finer == state.name])
+            for state in states if state.finer not in names
+        ])
         if self.follow_series and REPO_DAYS in states:
             self.refresh_series()
 

@@ -102,7 +102,12 @@ class StateTable:
         self, changes: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], version: int | None = None
     ) -> int:
         """Replace the touched partitions by ``merge(their rows, changes)``."""
-        staged = stage_table(changes, "changes")
+        return self.merge_in(stage_table(changes, "changes"), merge, version)
+
+    def merge_in(
+        self, staged: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], version: int | None = None
+    ) -> int:
+        """:meth:`upsert` of changes that are a table already."""
         touched = self.values_in(staged)
         return self.write(merge(self.read(staged.sparkSession, touched), staged), version)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime
 from pathlib import Path
 
@@ -198,6 +199,32 @@ def test_a_crash_inside_a_refresh_folds_each_load_once(lake, monkeypatch, name):
     assert_like_a_rebuild(lake)
 
 
+def test_totals_follow_from_the_days_folded(lake):
+    """One fold of the events serves the days and the totals, unless a crash parted them."""
+    models = lake[1]
+    states = [REPO_DAYS, REPO_TOTALS, ACTOR_DAYS, ACTOR_TOTALS]
+    for state in states:
+        models.state(state)  # schemas are worked out with the folds as they are
+    folded = []
+
+    def counted(state):
+        return replace(state, fold=lambda typed: folded.append(state.name) or state.fold(typed))
+
+    put(lake, [event(1), event(2, repo=None), event(3, actor=None, at="bad"), event(4, repo=2, at="2024-01-02T00:00:00Z")])
+    models.refresh([counted(state) for state in states])
+    assert sorted(folded) == ["actor_days", "repo_days"]
+    for state in states:
+        assert plain(models.read(state)) == plain(state.fold(models.since(0)))
+    put(lake, [event(5, type="PushEvent"), event(6, repo=3)])
+    models.refresh_events()
+    models.refresh_state(REPO_DAYS)  # and no further
+    folded.clear()
+    models.refresh([counted(state) for state in states])
+    assert sorted(folded) == ["actor_days", "repo_totals"]
+    for state in states:
+        assert plain(models.read(state)) == plain(state.fold(models.since(0)))
+
+
 def test_few_scattered_ids_are_looked_up_by_value(spark, tmp_path):
     raw = RawTable(spark, str(tmp_path / "raw"))
     rows = spark.range(0, 200_000, 7).select(

@@ -85,8 +85,8 @@ def _(spark, sf_dir):
     return landing(spark, sf_dir).select(*LANDED)
 
 
-def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed as one line of JSON per event."""
+def feed_lines(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """The feed as one line of JSON per event; ``keep`` adds members as columns."""
     members = []
     for name in FEED_FIELDS:
         value = F.col(name)
@@ -94,7 +94,7 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             value = F.concat(F.lit('"'), value, F.lit('"'))
         members.append(F.concat(F.lit(f'"{name}":'), F.coalesce(value, F.lit("null"))))
     line = F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
-    return feed(spark, sf_dir).select(line.alias("value"))
+    return feed(spark, sf_dir).select(line.alias("value"), *keep)
 
 
 def _write_lines(spark: SparkSession, sf_dir: str) -> str:
@@ -659,12 +659,12 @@ FEED_DAY = datetime(2024, 2, 2)
 def _hourly_feed(spark: SparkSession, sf_dir: str) -> list[str]:
     """All events as 24 files, one per hour as the feed has them, some without a readable time."""
     folder = scratch_path(spark, "hourly-feed")
-    e = F.get_json_object("value", "$.id").cast("bigint")
+    e = F.col("id").cast("bigint")
     undated = F.regexp_replace("value", '"created_at":"[^"]*"}$', '"created_at":"bad"}')
-    lines = feed_lines(spark, sf_dir).select(
+    lines = feed_lines(spark, sf_dir, "id").select(
         F.when(e % 61 == 0, undated).otherwise(F.col("value")).alias("value"), F.pmod(F.hash(e), F.lit(24)).alias("h")
     )
-    lines.repartition(24, "h").write.partitionBy("h").option("compression", "gzip").text(folder)
+    lines.repartitionById(24, "h").write.partitionBy("h").option("compression", "gzip").text(folder)
     return glob_paths(spark, f"{folder}/h=*/*.txt.gz")
 
 

@@ -33,8 +33,15 @@ def json_object(text: Column, schema: T.StructType) -> Column:
     Parsed as the only element of an array, because Spark's parser stops after
     the first value and would accept whatever follows it.
     """
+    return _only(text, _values(text, schema))
+
+
+def _values(text: Column, schema: T.StructType) -> Column:
     wrapped = F.concat(F.lit("["), text, F.lit("]"))
-    values = F.from_json(wrapped, T.ArrayType(schema), {"allowSingleQuotes": "false"})
+    return F.from_json(wrapped, T.ArrayType(schema), {"allowSingleQuotes": "false"})
+
+
+def _only(text: Column, values: Column) -> Column:
     return F.when(text.rlike(r"^\s*\{") & (F.size(values) == 1), values[0])
 
 
@@ -45,7 +52,11 @@ def decode(messages: DataFrame, value: Column) -> DataFrame:
     ``_corrupt``.  Other columns of ``messages`` are kept.
     """
     text = F.try_validate_utf8(value.cast("string"))
-    return messages.withColumn("_message", json_object(text, FEED)).select(
+    parsed = messages.withColumn("_values", _values(text, FEED))
+    # One row each way: a filter on ``_corrupt`` stays above the explode, while it would
+    # take copies of the parser below a projection and parse every message again.
+    parsed = parsed.withColumn("_message", F.explode(F.array(_only(text, F.col("_values")))))
+    return parsed.select(
         *[F.col(f"_message.{name}") for name in FEED_FIELDS],
         F.when(
             F.col("_message").isNull(), F.coalesce(text, F.base64(value.cast("binary")))

@@ -98,6 +98,12 @@ def test_decode_quarantines_what_is_not_an_object(spark):
     assert bad.count() == len(values) - 2
 
 
+def test_readable_messages_are_parsed_once(spark, tmp_path):
+    write_feed(tmp_path / "2024-01-05-7.json.gz", FEED_MIXED)
+    for part in split_corrupt(read_feed(spark, [str(tmp_path / "2024-01-05-7.json.gz")])):
+        assert part._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+
+
 def test_quarantine_split_reasons(spark):
     rows = [
         (1, "A", "2024-01-01T00:00:00Z"), (None, "A", "x"), (2, None, "x"), (3, "t" * 51, "x"),

@@ -306,7 +306,8 @@ def _linking(bound: int, percent: int):
             run, forest, found = _Run(rows, bound, percent), _Forest(), []
             sets = rows.column("shingles")
             ends = np.append(0, np.cumsum(sets.value_lengths().to_numpy())).astype(np.int64)
-            values = sets.flatten().to_numpy()
+            # Sets are in the order of their unsigned hashes.
+            values = sets.flatten().to_numpy().view(np.uint64)
             for i, j, apart in run.pairs():
                 order = np.lexsort((j, i))
                 i, j, apart = i[order], j[order], apart[order]

@@ -334,3 +334,28 @@ def test_links_across_slices_join_nothing_twice(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_decisions(df, 3, 85).collect()}
     assert got == near_brute(rows, 3, 85)
+
+
+def test_last_links_find_every_near_copy():
+    """Sets that meet in a bucket are compared whole, wherever their hashes lie."""
+    rng, texts = np.random.default_rng(3), []
+    base = [f"w{i}" for i in range(200)]
+    for i in range(60):
+        words = list(base)
+        for j in rng.choice(200, size=1 + i // 6, replace=False):
+            words[j] = f"c{i}x{j}"
+        texts.append(" ".join(words))
+    texts.insert(0, " ".join(base))
+    shingles, sizes = minhash.shingle_sets(pa.array(texts), 3)
+    symbols, sets = minhash.signatures(shingles, sizes), np.split(shingles.view(np.int64), np.cumsum(sizes)[:-1])
+    bound = minhash.distance_bound(85)
+    keys = minhash.first_shared_key(np.repeat(symbols[:1], 60, axis=0), symbols[1:], bound)
+    # A bucket for the base and each copy, named by the first key that the two share.
+    rows = [(int(key) + 128 * n, r, r, 0, 0, True, True, int(sizes[r]), symbols[r].tobytes(), sets[r].tolist())
+            for n, key in enumerate(keys, 1) for r in (0, n)]
+    names = [c.split()[0] for c in minhash.MEMBER.split(", ")] + ["shingles"]
+    batches = [pa.RecordBatch.from_pydict(dict(zip(names, zip(*rows[i:i + 2])))) for i in range(0, len(rows), 2)]
+    got = {tuple(r.values()) for b in minhash._linking(bound, 85)(iter(batches)) for r in b.to_pylist()}
+    want = {i: c for i, (_, c) in near_brute(list(enumerate(texts)), 3, 85).items()}
+    assert got == {(0, n) for n in range(1, 61) if want[n] == 0}
+    assert 20 < len(got) < 60

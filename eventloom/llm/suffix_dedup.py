@@ -52,7 +52,9 @@ from eventloom.session import stage_table
 SPAN, GRAM = 100, 32
 RUN = SPAN - GRAM + 1
 # Text bytes whose triggers make up one message per owner.
-SENDER_BYTES = 8 << 20
+SENDER_BYTES = 16 << 20
+# Strings of one gram that are sorted at a time.
+STRINGS = 1 << 20
 HASH_BITS = 48
 NO_ID = -(1 << 63)
 _GRAMS, _ONE, _TWO = SpanHash(11), SpanHash(12), SpanHash(13)
@@ -116,30 +118,35 @@ _MESSAGE = pa.schema([
 ])
 
 
+def _dealt(grams: np.ndarray, owners: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the grams owner by owner, in their order, and where each owner's start."""
+    owner = (grams % np.uint64(owners)).astype(np.int64)
+    order = np.argsort(owner, kind="stable")
+    return order, np.append(0, np.cumsum(np.bincount(owner, minlength=owners)))
+
+
 def _messages(ids: np.ndarray, parts: list[tuple], owners: int, sender: int) -> pa.RecordBatch | None:
     grams, doc, place, first, n = (np.concatenate(c) for c in zip(*parts))
     ranked, rank = np.unique(ids, return_inverse=True)
     doc = rank[doc]
     order = np.argsort(grams, kind="stable")
     grams, doc, place, first, n = (v[order] for v in (grams, doc, place, first, n))
-    docs = pack_wide(ranked)
     new = np.ones(len(grams), dtype=bool)
     new[1:] = grams[1:] != grams[:-1]
     run = np.cumsum(new) - 1
     alone = (np.bincount(run) == 1)[run] if len(run) else new
 
     def row(owner: int, at: np.ndarray, known: np.ndarray, sure: bool) -> tuple:
-        return (owner, docs, pack_wide(grams[at].astype(np.int64)), pack(doc[at]), pack(place[at]),
+        # Only the documents of this message, since there is one for every owner.
+        own, its = np.unique(doc[at], return_inverse=True)
+        return (owner, pack_wide(ranked[own]), pack_wide(grams[at].astype(np.int64)), pack(its), pack(place[at]),
                 pack(place[at] - first[at]), pack(n[at]), pack_wide(known.astype(np.int64)), sure)
 
     rows = []
-    owner = (grams % np.uint64(owners)).astype(np.int64)
-    repeated = np.unique(grams[~alone])
-    for o in range(owners):
-        at = np.flatnonzero(alone & (owner == o))
-        known = repeated[repeated % np.uint64(owners) == o]
-        if len(at) or len(known):
-            rows.append(row(o, at, known, False))
+    asked, repeated = np.flatnonzero(alone), np.unique(grams[~alone])
+    (asks, starts), (knows, begins) = _dealt(grams[asked], owners), _dealt(repeated, owners)
+    for o in np.flatnonzero(np.diff(starts) + np.diff(begins)).tolist():
+        rows.append(row(o, asked[asks[starts[o]:starts[o + 1]]], repeated[knows[begins[o]:begins[o + 1]]], False))
     if not alone.all():
         # Repeated here, so no owner needs to be asked.
         rows.append(row(sender % owners, np.flatnonzero(~alone), repeated[:0], True))
@@ -172,22 +179,37 @@ def _sender(owners: int):
 TRIGGER = "id long, place int, before int, n int"
 
 
+def _again(sent: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of the sent grams were sent twice or are known to be repeated; one sort for all."""
+    both = np.concatenate([sent, known])
+    order = np.argsort(both, kind="stable")
+    ordered = both[order]
+    new = np.ones(len(both), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    start = np.flatnonzero(new)
+    run = np.cumsum(new) - 1
+    again = np.diff(start, append=len(both)) > 1
+    again[run[order >= len(sent)]] = True
+    out = np.empty(len(both), dtype=bool)
+    out[order] = again[run]
+    return out[:len(sent)]
+
+
 def _repeated(messages: pd.DataFrame) -> pd.DataFrame:
     """The triggers of an owner's grams that occur more than once."""
-    grams = [unpack_wide(m.grams) for m in messages.itertuples()]
-    sent = [g for g, sure in zip(grams, messages["sure"]) if not sure]
-    known = [unpack_wide(b) for b in messages["known"]]
-    ordered = np.sort(np.concatenate([*sent, *known] or [np.zeros(0, dtype=np.int64)]))
-    again = np.unique(np.concatenate([ordered[1:][ordered[1:] == ordered[:-1]], *known]))
-    out = []
-    for m, g in zip(messages.itertuples(), grams):
-        at = np.arange(len(g)) if m.sure else np.flatnonzero(np.isin(g, again))
-        if len(at):
-            out.append(pd.DataFrame({
-                "id": unpack_wide(m.docs)[unpack(m.doc)[at]], "place": unpack(m.place)[at].astype(np.int32),
-                "before": unpack(m.first)[at].astype(np.int32), "n": unpack(m.n)[at].astype(np.int32),
-            }))
-    return pd.concat(out) if out else pd.DataFrame({"id": [], "place": [], "before": [], "n": []}).astype(np.int64)
+    none = np.zeros(0, dtype=np.int64)
+    sure = messages["sure"].to_numpy(dtype=bool)
+    grams = [unpack_wide(b) for b in messages["grams"]]
+    sent = np.concatenate([none, *(g for g, s in zip(grams, sure) if not s)])
+    known = np.concatenate([none, *(unpack_wide(b) for b in messages["known"])])
+    asked = np.repeat(~sure, [len(g) for g in grams])
+    again = np.ones(len(asked), dtype=bool)
+    again[asked] = _again(sent, known)
+    id_ = np.concatenate([none, *(unpack_wide(d)[unpack(b)] for d, b in zip(messages["docs"], messages["doc"]))])
+    found = {"id": id_[again]}
+    for name, column in (("place", "place"), ("before", "first"), ("n", "n")):
+        found[name] = np.concatenate([none, *(unpack(b) for b in messages[column])])[again].astype(np.int32)
+    return pd.DataFrame(found)
 
 
 PHRASE = "gram long, id long, first int, n int, covered binary"
@@ -237,8 +259,25 @@ def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ], names=["gram", "id", "first", "n", "covered"])
 
 
+def _string_keys(covered: pa.Array, n: np.ndarray) -> np.ndarray:
+    """A hash of every string of the phrases, one after the other."""
+    keys = [np.zeros(0, dtype=np.uint64)]
+    rows = pa.RecordBatch.from_arrays([covered, pa.array(n)], names=["covered", "n"])
+    for block in blocks(iter([rows]), "covered"):
+        data, starts = bytes_of(block.column("covered"))
+        string = spans(starts[:-1], block.column("n").to_numpy())
+        one = _ONE.spans(_ONE.prefix(data), string, string + SPAN)
+        two = _TWO.spans(_TWO.prefix(data), string, string + SPAN)
+        keys.append(one ^ (two << np.uint64(1) | two >> np.uint64(63)))
+    return np.concatenate(keys)
+
+
 def _sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans (id, start, stop) of the strings that are not the first of their run."""
+    """Spans (id, start, stop) of the strings that are not the first of their run.
+
+    Equal strings have equal hashes, so that a gram with very many strings is sorted in
+    parts, by hash; no more than ``STRINGS`` or so at a time.
+    """
     for run in whole_groups(batches, ["gram"]):
         ids, first = run.column("id").to_numpy(), run.column("first").to_numpy().astype(np.int64)
         n = run.column("n").to_numpy().astype(np.int64)
@@ -248,26 +287,28 @@ def _sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Phrases without bytes repeat an earlier place of their block.
         out = [(ids[~sent], first[~sent], first[~sent] + n[~sent] + SPAN - 1)]
         ids, first, n, group = ids[sent], first[sent], n[sent], group[sent]
-        data, starts = bytes_of(covered.drop_null())
         if len(ids):
-            string = spans(starts[:-1], n)
-            one = _ONE.spans(_ONE.prefix(data), string, string + SPAN)
-            two = _TWO.spans(_TWO.prefix(data), string, string + SPAN)
-            phrase = np.repeat(np.arange(len(ids)), n)
-            key = one ^ (two << np.uint64(1) | two >> np.uint64(63))
-            place, doc, of = string - starts[phrase] + first[phrase], ids[phrase], group[phrase]
-            order = np.lexsort((place, doc, key, of))
-            k, g = key[order], of[order]
-            head = np.ones(len(order), dtype=bool)
-            head[1:] = (k[1:] != k[:-1]) | (g[1:] != g[:-1])
-            lead = order[np.flatnonzero(head)[np.cumsum(head) - 1]]
-            repeated = np.zeros(len(order), dtype=bool)
-            repeated[order] = (doc[order] != doc[lead]) | (place[order] != place[lead])
+            keys = _string_keys(covered.drop_null(), n)
+            phrase = np.repeat(np.arange(len(ids), dtype=np.int32), n)
+            shift = first - np.cumsum(n) + n
+            parts = -(-len(keys) // STRINGS)
+            repeated = np.zeros(len(keys), dtype=bool)
+            for part in range(parts):
+                at = np.flatnonzero(keys % np.uint64(parts) == part) if parts > 1 else np.arange(len(keys))
+                key, of = keys[at], group[phrase[at]]
+                place, doc = at + shift[phrase[at]], ids[phrase[at]]
+                order = np.lexsort((place, doc, key, of))
+                k, g = key[order], of[order]
+                head = np.ones(len(order), dtype=bool)
+                head[1:] = (k[1:] != k[:-1]) | (g[1:] != g[:-1])
+                lead = order[np.flatnonzero(head)[np.cumsum(head) - 1]] if len(order) else order
+                repeated[at[order]] = (doc[order] != doc[lead]) | (place[order] != place[lead])
             at = np.flatnonzero(repeated)
             if len(at):
                 cut = np.flatnonzero((np.diff(at, prepend=-2) != 1) | (np.diff(phrase[at], prepend=-1) != 0))
                 last = at[np.append(cut[1:], len(at)) - 1]
-                out.append((doc[at[cut]], place[at[cut]], place[last] + SPAN))
+                begin, of = at[cut], phrase[at[cut]]
+                out.append((ids[of], begin + shift[of], last + shift[of] + SPAN))
         id_, start, stop = (np.concatenate(c) for c in zip(*out))
         yield pa.RecordBatch.from_arrays(
             [pa.array(id_), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32))], names=["id", "start", "stop"]

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -211,6 +213,52 @@ def test_repeats_of_several_texts_of_one_id(spark):
     assert Counter(tuple(r) for r in suffix_dedup.repeat_digest(suffix_dedup.without_repeats(df)).collect()) == want
 
 
+def test_owners_work_follows_the_grams_not_the_messages():
+    """Each message lists its own documents only, and an owner looks once at what is repeated."""
+    rng = np.random.default_rng(6)
+    grams = rng.integers(0, 1 << 40, 4000).astype(np.uint64)
+    one = np.ones(4000, dtype=np.int64)
+    part = (grams, rng.integers(0, 1000, 4000), one, one, one)
+    messages = suffix_dedup._messages(np.arange(1000), [part], 400, 0).to_pandas()
+    assert sum(len(suffix_dedup.unpack_wide(b)) for b in messages["docs"]) <= 4000
+
+    known = np.arange(300_000) * 8
+    rows = [{
+        "owner": 0, "docs": suffix_dedup.pack_wide(np.array([m])), "grams": suffix_dedup.pack_wide(np.array([8 * m, 8 * m + 1])),
+        **dict.fromkeys(("doc", "place", "first"), suffix_dedup.pack(np.zeros(2))), "n": suffix_dedup.pack(np.ones(2)),
+        "known": suffix_dedup.pack_wide(known if m == 0 else known[:0]), "sure": False,
+    } for m in range(1000)]
+    began = time.process_time()
+    found = suffix_dedup._repeated(pd.DataFrame(rows))
+    assert found["id"].tolist() == list(range(1000))
+    assert time.process_time() - began < 2
+
+
+def test_strings_of_a_gram_are_sorted_in_parts(monkeypatch):
+    """All of a run of equal strings but its first place is repeated, however many are sorted at a time."""
+    rng = np.random.default_rng(8)
+    pool = rng.integers(97, 99, (6, 160)).astype(np.uint8)
+    phrases = []
+    for _ in range(200):
+        gram, at, n = int(rng.integers(0, 3)), int(rng.integers(0, 30)), int(rng.integers(1, 20))
+        text = pool[rng.integers(6), at:at + n + 99].tobytes()
+        phrases.append((gram, int(rng.integers(0, 90)), int(rng.integers(0, 5000)), n, text))
+    names = [c.split()[0] for c in suffix_dedup.PHRASE.split(", ")]
+    rows = pa.RecordBatch.from_pydict(dict(zip(names, zip(*sorted(phrases)))))
+    least, want = {}, set()
+    for gram, id_, first, n, text in phrases:
+        for j in range(n):
+            key = (gram, text[j:j + 100])
+            least[key] = min(least.get(key, (id_, first + j)), (id_, first + j))
+    for gram, id_, first, n, text in phrases:
+        want.update((id_, first + j) for j in range(n) if least[gram, text[j:j + 100]] != (id_, first + j))
+    for strings in (suffix_dedup.STRINGS, 50, 1):
+        monkeypatch.setattr(suffix_dedup, "STRINGS", strings)
+        found = [r for b in suffix_dedup._sorted_runs(iter([rows.slice(0, 70), rows.slice(70)])) for r in b.to_pylist()]
+        got = {(r["id"], s) for r in found for s in range(r["start"], r["stop"] - 99)}
+        assert got == want
+
+
 def test_long_repeat_is_removed_whole(edge):
     rows = {r["doc_id"]: r for r in suffix_dedup.without_repeats(edge).collect()}
     assert rows[9]["n_bytes"] - len(rows[9]["kept"]) > 0.99 * rows[9]["n_bytes"] - 200
